@@ -194,3 +194,80 @@ def paging_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = fx.search_queries(spark, sf_dir)
     ranked = se.search_ranked(doc_index(spark, sf_dir), queries)
     return se.paging_facts(ranked, fx.page_requests(queries))
+
+
+# --- links and URLs -----------------------------------------------------------
+
+from trawl.functions import urls as ur  # noqa: E402
+from trawl.operators import links as lk  # noqa: E402
+
+
+@query
+def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1+L2: hrefs of every page in page order, blank and ``#`` ones dropped."""
+    hrefs = lk.anchor_hrefs(web_pages(spark, sf_dir))
+    return hrefs.where((F.col("href") != "") & ~F.col("href").startswith("#"))
+
+
+@query
+def link_extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: extension of each href and whether it is followed."""
+    return lk.classify_links(web_pages(spark, sf_dir))
+
+
+@query
+def resolve_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4+L5: page links and the fixed href cases resolved against each page."""
+    pages = web_pages(spark, sf_dir)
+    hrefs = lk.extract_links(pages).unionByName(fx.href_cases(spark, sf_dir))
+    return hrefs.select("src", "pos", "href", ur.resolve_link(F.col("src"), F.col("href")).alias("url"))
+
+
+@query
+def same_host_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved links on their page's own host."""
+    return lk.same_host_links(lk.resolved_links(web_pages(spark, sf_dir))).select("src", "pos", "url")
+
+
+@query
+def outlink_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Followed links, distinct URLs and distinct same-host URLs per page."""
+    return lk.outlink_counts(lk.resolved_links(web_pages(spark, sf_dir)))
+
+
+@query
+def crawl_reachable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1-O3: URLs visited by a same-site crawl from the seed, with BFS depth and fetched flag."""
+    pages, links, seed = fx.site_links(spark, sf_dir)
+    return lk.crawl_reachable(pages, links, seed)
+
+
+def _display_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs and every resolved link URL, distinct."""
+    pages = web_pages(spark, sf_dir)
+    linked = lk.resolved_links(pages).where(F.col("url").isNotNull()).select("url")
+    return pages.select("url").unionByName(linked).distinct()
+
+
+@query
+def url_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1+U2: display URL and title."""
+    urls = _display_urls(spark, sf_dir)
+    return urls.select("url", ur.format_url(F.col("url")).alias("display_url"), ur.display_title(F.col("url")).alias("title"))
+
+
+@query
+def url_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slug of each URL."""
+    return _display_urls(spark, sf_dir).select("url", ur.clean_path(F.col("url")).alias("slug"))
+
+
+@query
+def resolve_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slugs of linked URLs looked up among the page slugs; a clash resolves to the lowest url."""
+    pages = web_pages(spark, sf_dir)
+    table = pages.select(ur.clean_path(F.col("url")).alias("slug"), "url").groupBy("slug").agg(F.min("url").alias("url"))
+    linked = lk.resolved_links(pages).where(F.col("url").isNotNull())
+    requests = linked.select(ur.clean_path(F.col("url")).alias("slug")).distinct()
+    found = requests.join(table, "slug", "left")
+    return found.select("slug", "url", F.col("url").isNotNull().alias("found"))

@@ -227,3 +227,165 @@ SELECT qid, page, page_no, total, total_pages, start_index,
        CASE WHEN total_pages > 1 THEN array_to_string(range(first_p, last_p + 1), ',') END AS page_range
 FROM rng2
 """)
+
+
+# --- links and URLs -----------------------------------------------------------
+
+from trawl.functions import urls as ur  # noqa: E402
+from trawl.operators import links as lk  # noqa: E402
+
+
+def part_sql(x: str, i: int) -> str:
+    return f"regexp_extract({x}, {q(ur.URL_PARTS)}, {i})"
+
+
+def rx(x: str, pattern: str) -> str:
+    return f"regexp_matches({x}, {q(pattern)})"
+
+
+def escape_path_sql(p: str) -> str:
+    enc = f"url_encode(url_decode({p}))"
+    for code, ch in ur.PATH_RESTORE:
+        enc = f"replace({enc}, {q(code)}, {q(ch)})"
+    return f"(CASE WHEN {rx(p, ur.PATH_KEPT)} THEN {p} ELSE {enc} END)"
+
+
+def invalid_sql(ref: str) -> str:
+    scheme, host, path, frag = (part_sql(ref, i) for i in (1, 2, 3, 5))
+    return (
+        f"({rx(ref, ur.CONTROL)} OR {rx(f'({host} || {path} || {frag})', ur.BAD_PERCENT)} OR {rx(host, ur.BAD_HOST)}"
+        f" OR ({scheme} = '' AND NOT {rx(ref, ur.HAS_AUTHORITY)} AND {rx(path, '^[^/]*:')})"
+        f" OR starts_with({ref}, ':'))"
+    )
+
+
+def resolve_sql(base: str, href: str) -> str:
+    rs, rh, rp, rq = (part_sql(href, i) for i in (1, 2, 3, 4))
+    scheme = f"lower(CASE WHEN {rs} <> '' THEN {rs} ELSE {part_sql(base, 1)} END)"
+    host = f"(CASE WHEN {rh} <> '' THEN {rh} ELSE {part_sql(base, 2)} END)"
+    rest = f"regexp_extract({href}, {q(ur.OPAQUE_REST)}, 1)"
+    opaque = f"({rs} <> '' AND NOT starts_with({rest}, '/'))"
+    path = escape_path_sql(rp)
+    slash = f"(CASE WHEN {rp} <> '' AND NOT starts_with({rp}, '/') AND {host} <> '' THEN '/' ELSE '' END)"
+    authority = f"(CASE WHEN {host} <> '' OR {rp} <> '' THEN '//' || {host} ELSE '' END)"
+    hier = f"((CASE WHEN {scheme} <> '' THEN {scheme} || ':' ELSE '' END) || {authority} || {slash} || {path} || {rq})"
+    opaque_url = f"(lower({rs}) || ':' || {rest})"
+    return (
+        f"(CASE WHEN coalesce({base}, '') = '' OR coalesce({href}, '') = '' THEN ''"
+        f" WHEN {invalid_sql(href)} OR {invalid_sql(base)} THEN NULL"
+        f" WHEN {opaque} THEN {opaque_url} ELSE {hier} END)"
+    )
+
+
+def host_sql(x: str) -> str:
+    return part_sql(x, 2)
+
+
+def ext_sql(h: str) -> str:
+    return f"trim(replace(lower(regexp_extract({h}, '(\\.[^./]*)\\z', 1)), '\\', ''), '\"')"
+
+
+def followed_sql(h: str) -> str:
+    exts = ", ".join(q(e) for e in ur.FOLLOWED_EXTENSIONS)
+    return f"({h} <> '' AND NOT starts_with({h}, '#') AND {ext_sql(h)} IN ({exts}))"
+
+
+def stripped_sql(col: str) -> str:
+    body = col
+    for pat in (tx.SCRIPT, tx.COMMENT, tx.STYLE):
+        body = f"regexp_replace({body}, {q(pat)}, ' ', 'g')"
+    return body
+
+
+HREF_SQL = "replace(" + " || ".join(f"regexp_extract(tag, {q(lk.HREF)}, {i})" for i in (1, 2, 3)) + ", '&amp;', '&')"
+
+ANCHORS = f"""
+anchors AS (
+  SELECT src, CAST(pos AS BIGINT) AS pos, {HREF_SQL} AS href FROM (
+    SELECT url AS src, unnest(l) AS tag, generate_subscripts(l, 1) - 1 AS pos
+    FROM (SELECT url, regexp_extract_all({stripped_sql('html')}, {q(lk.ANCHOR_TAG)}, 0) AS l FROM pages))),
+followed AS (SELECT src, pos, href FROM anchors WHERE {followed_sql('href')}),
+resolved AS (SELECT src, pos, href, {resolve_sql('src', 'href')} AS url FROM followed)"""
+
+register("extract_links", with_(ANCHORS) + "SELECT src, pos, href FROM anchors WHERE href <> '' AND NOT starts_with(href, '#')")
+
+register("link_extension_filter", with_(ANCHORS) + f"""
+SELECT src, pos, href, {ext_sql('href')} AS ext, {followed_sql('href')} AS keep
+FROM anchors WHERE href <> '' AND NOT starts_with(href, '#')
+""")
+
+_CASES = ", ".join(f"({-i - 1}, {q(h)})" for i, h in enumerate(fx.HREF_CASES))
+register("resolve_links", with_(ANCHORS, f"""
+cases AS (SELECT p.url AS src, CAST(c.pos AS BIGINT) AS pos, c.href FROM pages p, (VALUES {_CASES}) c(pos, href)),
+allh AS (SELECT src, pos, href FROM followed UNION ALL SELECT src, pos, href FROM cases)""") + f"""
+SELECT src, pos, href, {resolve_sql('src', 'href')} AS url FROM allh
+""")
+
+register("same_host_links", with_(ANCHORS) + f"""
+SELECT src, pos, url FROM resolved WHERE url IS NOT NULL AND {host_sql('url')} = {host_sql('src')}
+""")
+
+register("outlink_counts", with_(ANCHORS) + f"""
+SELECT src, CAST(count(*) AS BIGINT) AS n_links, CAST(count(DISTINCT url) AS BIGINT) AS n_urls,
+       CAST(count(DISTINCT CASE WHEN {host_sql('url')} = {host_sql('src')} THEN url END) AS BIGINT) AS n_same_host
+FROM resolved GROUP BY src
+""")
+
+
+def display_title_sql(u: str) -> str:
+    word = "upper(w[1]) || lower(w[2:])"
+    part = f"regexp_replace(replace(replace(regexp_replace(p, '\\.html\\z', ''), '-', ' '), '_', ' '), '^{SPLIT[:-1]}+|{SPLIT[:-1]}+$', '', 'g')"
+    words = f"list_filter(regexp_split_to_array({part}, {q(SPLIT)}), lambda w: w <> '')"
+    title = f"array_to_string(list_transform({words}, lambda w: {word}), ' ')"
+    titles = f"list_filter(list_transform(list_reverse(string_split({u}, '/')), lambda p: {title}), lambda t: t <> '')"
+    return f"coalesce({titles}[1], regexp_replace({u}, '^https://', ''))"
+
+
+def clean_path_sql(u: str) -> str:
+    suffix = f"CAST(CAST(('0x' || substr(md5({u}), 1, 8)) AS BIGINT) % 1000 AS VARCHAR)"
+    return f"(translate(lower({display_title_sql(u)}), ' /.', '---') || '-' || {suffix})"
+
+
+DISPLAY = with_(ANCHORS, "urls AS (SELECT url FROM pages UNION SELECT url FROM resolved WHERE url IS NOT NULL)")
+
+register("url_display", DISPLAY + f"""
+SELECT url, regexp_replace(url, '^https://', '') AS display_url, {display_title_sql('url')} AS title FROM urls
+""")
+
+register("url_slug", DISPLAY + f"SELECT url, {clean_path_sql('url')} AS slug FROM urls")
+
+register("resolve_slug", with_(ANCHORS, f"""
+tbl AS (SELECT slug, min(url) AS url FROM (SELECT {clean_path_sql('url')} AS slug, url FROM pages) GROUP BY slug),
+req AS (SELECT DISTINCT {clean_path_sql('url')} AS slug FROM resolved WHERE url IS NOT NULL)""") + """
+SELECT r.slug, t.url, t.url IS NOT NULL AS found FROM req r LEFT JOIN tbl t ON t.slug = r.slug
+""")
+
+HOST_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
+SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
+
+register("crawl_reachable", f"""
+WITH RECURSIVE pg AS (SELECT page_id, url, regexp_extract(url, {q(HOST_RE)}, 1) AS host FROM pages),
+num AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS n FROM pg),
+hosts AS (SELECT host, row_number() OVER (ORDER BY host) AS hn FROM (SELECT DISTINCT host FROM pg)),
+firsts AS (SELECT h.hn, m.url FROM num m JOIN hosts h ON h.host = m.host WHERE m.n = 0),
+links AS (
+  SELECT a.url AS src, b.url AS href FROM num a JOIN num b ON a.host = b.host AND (b.n = 2 * a.n + 1 OR b.n = 2 * a.n + 2)
+  UNION ALL SELECT a.url, f.url FROM num a JOIN hosts h ON h.host = a.host JOIN firsts f ON f.hn = h.hn + 1
+  UNION ALL SELECT url, regexp_extract(url, {q(SCHEME_RE)}, 1) || '://' || host || '/missing' FROM num),
+seed AS (
+  SELECT first AS url FROM (SELECT host, count(*) AS c, arg_min(url, page_id) AS first FROM pg GROUP BY host)
+  ORDER BY c DESC, host LIMIT 1),
+keys AS (SELECT DISTINCT {resolve_sql('url', 'url')} AS url FROM pages),
+seed_url AS (SELECT {resolve_sql('url', 'url')} AS url FROM seed),
+cand AS (SELECT {resolve_sql('src', 'src')} AS src, {resolve_sql('src', 'href')} AS dst FROM links),
+edges AS (
+  SELECT DISTINCT src, dst FROM cand
+  WHERE dst IS NOT NULL AND {host_sql('dst')} = (SELECT {host_sql('url')} FROM seed_url)
+    AND src IN (SELECT url FROM keys)),
+reach(url, depth) AS (
+  SELECT url, 0 FROM seed_url
+  UNION ALL
+  SELECT e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.url
+  WHERE r.depth < (SELECT count(*) FROM pages))
+SELECT url, CAST(min(depth) AS INTEGER) AS depth, url IN (SELECT url FROM keys) AS fetched FROM reach GROUP BY url
+""")
