@@ -61,7 +61,8 @@ def escape_path(path: Column) -> Column:
     return F.when(path.rlike(PATH_KEPT), path).otherwise(enc)
 
 
-def _invalid(ref: Column) -> Column:
+def invalid_url(ref: Column) -> Column:
+    """True when the URL would not parse: control characters, a bad escape, a bad host or a colon in a scheme-less first segment."""
     scheme = url_part(ref, 1)
     host = url_part(ref, 2)
     path = url_part(ref, 3)
@@ -100,7 +101,7 @@ def resolve_link(base: Column, href: Column) -> Column:
     resolved = F.when(opaque, opaque_url).otherwise(hierarchical)
     return (
         F.when((F.coalesce(base, F.lit("")) == "") | (F.coalesce(href, F.lit("")) == ""), F.lit(""))
-        .when(_invalid(href) | _invalid(base), F.lit(None).cast("string"))
+        .when(invalid_url(href) | invalid_url(base), F.lit(None).cast("string"))
         .otherwise(resolved)
     )
 

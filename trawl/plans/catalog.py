@@ -271,3 +271,61 @@ def resolve_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = linked.select(ur.clean_path(F.col("url")).alias("slug")).distinct()
     found = requests.join(table, "slug", "left")
     return found.select("slug", "url", F.col("url").isNotNull().alias("found"))
+
+
+# --- robots ---------------------------------------------------------------------
+
+from trawl.operators import robots as rb  # noqa: E402
+
+# Fixed value: the time at which robots files are checked for freshness.
+ROBOTS_AS_OF = "2024-01-31 12:00:00"
+
+
+def _as_of() -> F.Column:
+    return F.to_timestamp(F.lit(ROBOTS_AS_OF))
+
+
+@query
+def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1+R2+W2: allow/disallow rules of every robots file, in the group of the user-agent above them."""
+    rules = rb.parse_robots(fx.robots_files(spark, sf_dir))
+    return rules.select("host", "line_no", "kind", "pattern", "regex")
+
+
+@query
+def robots_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl delay per host (last valid value > 0 wins)."""
+    return rb.crawl_delays(fx.robots_files(spark, sf_dir)).select("host", "delay_s")
+
+
+@query
+def robots_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3+J5: page and link URLs checked against the fresh robots rules of their host."""
+    rules = rb.parse_robots(rb.fresh_files(fx.robots_files(spark, sf_dir), _as_of()))
+    return rb.robots_filter(_display_urls(spark, sf_dir), rules)
+
+
+@query
+def robots_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per host, whether its latest robots file is fresh, with its delay and rule count when it is."""
+    files = fx.robots_files(spark, sf_dir)
+    fresh = rb.fresh_files(files, _as_of())
+    delays = rb.crawl_delays(fresh).select("host", "delay_s")
+    n_rules = rb.parse_robots(fresh).groupBy("host").agg(F.count(F.lit(1)).alias("n_rules"))
+    hosts = files.select("host").distinct()
+    out = hosts.join(fresh.select("host", "status", F.lit(True).alias("fresh")), "host", "left")
+    out = out.join(delays, "host", "left").join(n_rules, "host", "left")
+    return out.select(
+        "host",
+        F.coalesce("fresh", F.lit(False)).alias("fresh"),
+        F.coalesce("delay_s", F.lit(0.0)).alias("delay_s"),
+        F.coalesce("n_rules", F.lit(0)).cast("bigint").alias("n_rules"),
+    )
+
+
+@query
+def fetch_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polite fetch offsets per host in page_id order, from the fresh crawl delays."""
+    fresh = rb.fresh_files(fx.robots_files(spark, sf_dir), _as_of())
+    urls = web_pages(spark, sf_dir).select("url", F.col("page_id").alias("ord"))
+    return rb.fetch_schedule(urls, rb.crawl_delays(fresh).select("host", "delay_s"))

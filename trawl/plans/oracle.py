@@ -389,3 +389,100 @@ reach(url, depth) AS (
   WHERE r.depth < (SELECT count(*) FROM pages))
 SELECT url, CAST(min(depth) AS INTEGER) AS depth, url IN (SELECT url FROM keys) AS fetched FROM reach GROUP BY url
 """)
+
+
+# --- robots ---------------------------------------------------------------------
+
+from trawl.operators import robots as rb  # noqa: E402
+from trawl.plans.catalog import ROBOTS_AS_OF  # noqa: E402
+
+TRIM_RE = r"^[\s\x0b\x85\p{Z}]+|[\s\x0b\x85\p{Z}]+\z"
+
+
+def trim_sql(x: str) -> str:
+    return f"regexp_replace({x}, {q(TRIM_RE)}, '', 'g')"
+
+
+def robots_files_sql() -> str:
+    return f"""
+rhosts AS (SELECT DISTINCT regexp_extract(url, {q(HOST_RE)}, 1) AS host FROM pages),
+rfiles AS (
+  SELECT host,
+         CASE WHEN substr(md5(host), 1, 1) = '1' THEN TIMESTAMP '2024-01-29 23:00:00'
+              ELSE TIMESTAMP '2024-01-31 00:00:00' END AS fetched_at,
+         CASE WHEN substr(md5(host), 1, 1) = '2' THEN 404 ELSE 200 END AS status,
+         {q(fx.ROBOTS_BODY)} AS body
+  FROM rhosts)"""
+
+
+def robots_lines_sql(files: str) -> str:
+    agent = q(rb.DEFAULT_AGENT)
+    return f"""
+rl0 AS (
+  SELECT host, fetched_at, CAST(line_no AS BIGINT) AS line_no, {trim_sql('raw')} AS line FROM (
+    SELECT host, fetched_at, unnest(string_split(body, chr(10))) AS raw,
+           generate_subscripts(string_split(body, chr(10)), 1) - 1 AS line_no
+    FROM {files} WHERE status < 400)),
+rl1 AS (
+  SELECT host, fetched_at, line_no,
+         lower({trim_sql("split_part(line, ':', 1)")}) AS directive,
+         {trim_sql("substr(line, strpos(line, ':') + 1)")} AS value
+  FROM rl0 WHERE line <> '' AND NOT starts_with(line, '#') AND strpos(line, ':') > 0),
+rlines AS (
+  SELECT *, coalesce(last_value(CASE WHEN directive = 'user-agent'
+                                     THEN lower(value) = '*' OR contains(lower(value), {agent}) END IGNORE NULLS)
+             OVER (PARTITION BY host, fetched_at ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             false) AS applies
+  FROM rl1),
+rrules AS (
+  SELECT host, fetched_at, line_no, directive AS kind, value AS pattern,
+         '^\\Q' || replace(replace(replace(value, '\\E', '\\E\\\\E\\Q'), '*', '\\E.*\\Q'), '$', '\\E\\z\\Q') || '\\E' AS regex
+  FROM rlines WHERE applies AND directive IN ('allow', 'disallow') AND value <> ''),
+rdelay AS (
+  SELECT host, fetched_at, arg_max(d, line_no) AS delay_s FROM (
+    SELECT host, fetched_at, line_no, TRY_CAST(value AS DOUBLE) AS d FROM rlines
+    WHERE applies AND directive = 'crawl-delay') WHERE d > 0 GROUP BY host, fetched_at)"""
+
+
+FRESH_SQL = f"""
+rfresh AS (
+  SELECT host, f.fetched_at, f.status, f.body FROM (
+    SELECT host, arg_max({{'fetched_at': fetched_at, 'status': status, 'body': body}}, fetched_at) AS f
+    FROM rfiles GROUP BY host)
+  WHERE f.fetched_at >= TIMESTAMP '{ROBOTS_AS_OF}' - INTERVAL 24 HOURS)"""
+
+register("robots_rules", with_(robots_files_sql(), robots_lines_sql("rfiles")) + """
+SELECT host, line_no, kind, pattern, regex FROM rrules
+""")
+
+register("robots_delay", with_(robots_files_sql(), robots_lines_sql("rfiles")) + "SELECT host, delay_s FROM rdelay")
+
+register("robots_filter", with_(ANCHORS, robots_files_sql(), FRESH_SQL, robots_lines_sql("rfresh"), f"""
+urls AS (SELECT url FROM pages UNION SELECT url FROM resolved WHERE url IS NOT NULL),
+keyed AS (
+  SELECT url, {host_sql('url')} AS host,
+         CASE WHEN {part_sql('url', 3)} = '' THEN '/' ELSE url_decode({part_sql('url', 3)}) END AS path,
+         {invalid_sql('url')} AS unparsable
+  FROM urls)""") + """
+SELECT k.url,
+       bool_or(k.unparsable) OR coalesce(bool_or(r.kind = 'allow'), false)
+         OR NOT coalesce(bool_or(r.kind = 'disallow'), false) AS allowed
+FROM keyed k LEFT JOIN rrules r ON r.host = k.host AND regexp_matches(k.path, r.regex)
+GROUP BY k.url
+""")
+
+register("robots_fresh", with_(robots_files_sql(), FRESH_SQL, robots_lines_sql("rfresh")) + """
+SELECT h.host, f.host IS NOT NULL AS fresh, coalesce(d.delay_s, 0.0) AS delay_s,
+       CAST(coalesce(n.n_rules, 0) AS BIGINT) AS n_rules
+FROM (SELECT DISTINCT host FROM rfiles) h
+LEFT JOIN rfresh f ON f.host = h.host
+LEFT JOIN rdelay d ON d.host = h.host
+LEFT JOIN (SELECT host, count(*) AS n_rules FROM rrules GROUP BY host) n ON n.host = h.host
+""")
+
+register("fetch_schedule", with_(robots_files_sql(), FRESH_SQL, robots_lines_sql("rfresh"), f"""
+fu AS (SELECT url, page_id, {host_sql('url')} AS host FROM pages),
+fn AS (SELECT url, host, row_number() OVER (PARTITION BY host ORDER BY page_id, url) AS n FROM fu)""") + """
+SELECT fn.url, fn.host, CAST(fn.n AS BIGINT) AS n, (fn.n - 1) * coalesce(d.delay_s, 0.0) AS offset_s
+FROM fn LEFT JOIN rdelay d ON d.host = fn.host
+""")
