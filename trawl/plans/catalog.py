@@ -329,3 +329,181 @@ def fetch_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = rb.fresh_files(fx.robots_files(spark, sf_dir), _as_of())
     urls = web_pages(spark, sf_dir).select("url", F.col("page_id").alias("ord"))
     return rb.fetch_schedule(urls, rb.crawl_delays(fresh).select("host", "delay_s"))
+
+
+# --- sources, storage, appending ------------------------------------------------
+
+from trawl.functions.sqlfuncs import register_sql_functions  # noqa: E402
+from trawl.operators import reports as rp  # noqa: E402
+from trawl.session import scratch_path  # noqa: E402
+from trawl.sources import index_store as st  # noqa: E402
+from trawl.sources.pages import fetch_outcomes  # noqa: E402
+from trawl.streaming import index_stream as xs  # noqa: E402
+
+
+@query
+def page_source_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch results split into pages (status 200) and error rows."""
+    return fetch_outcomes(fx.fetched_pages(spark, sf_dir))
+
+
+@query
+def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3+S4: the ``pages`` index written as bucketed Parquet and read back."""
+    path = scratch_path(spark, "index")
+    st.write_index(page_index(spark, sf_dir), path, buckets=16)
+    post = st.open_index(spark, path).postings
+    return post.select("term", "url", "cnt", "word_count", r6("tf").alias("tf"))
+
+
+def _with_postings(index: ix.Index) -> DataFrame:
+    counts = index.postings.groupBy("url").agg(F.count(F.lit(1)).alias("n_postings"))
+    return index.documents.join(counts, "url", "left").withColumn(
+        "n_postings", F.coalesce("n_postings", F.lit(0)).cast("bigint")
+    )
+
+
+@query
+def import_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5+O4: the ``documents`` and ``pages`` postings imported in nested map form into the ``pages`` index."""
+    pages_ix = page_index(spark, sf_dir)
+    nested = ix.export_nested(doc_index(spark, sf_dir).postings).unionByName(ix.export_nested(pages_ix.postings))
+    merged = ix.import_index(pages_ix, nested, seq=1).resolved()
+    return _with_postings(merged).select("url", "word_count", "n_postings")
+
+
+def _reindexed(spark: SparkSession, sf_dir: str) -> ix.Index:
+    log = fx.reindex_log(spark, sf_dir)
+    return ix.build_text_index(log, seq=F.col("seq"))
+
+
+@query
+def add_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-sent documents ``(url, word_count, word_map, seq)`` appended to the ``pages`` index."""
+    part = _reindexed(spark, sf_dir)
+    maps = part.postings.groupBy("url", "seq", "word_count").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "cnt"))).alias("word_map")
+    )
+    empty = part.documents.join(maps.select("url", "seq"), ["url", "seq"], "left_anti").select(
+        "url", "seq", "word_count", F.create_map().cast("map<string,bigint>").alias("word_map")
+    )
+    merged = ix.add_documents(page_index(spark, sf_dir), maps.unionByName(empty)).resolved()
+    return _with_postings(merged).select("url", "word_count", "seq", "n_postings")
+
+
+@query
+def first_wins_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One documents row per URL, the earliest ``seq`` winning."""
+    return ix.first_wins_documents(_reindexed(spark, sf_dir).documents)
+
+
+@query
+def last_wins_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One posting per (term, url), the latest ``seq`` winning."""
+    post = ix.last_wins_postings(_reindexed(spark, sf_dir).postings)
+    return post.select("term", "url", "cnt", "word_count", r6("tf").alias("tf"), "seq")
+
+
+@query
+def term_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term ids 1..n in term order over the ``documents`` index."""
+    return ix.term_dictionary(doc_index(spark, sf_dir).postings)
+
+
+@query
+def term_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (term_id, url) bridge of the ``pages`` index."""
+    post = page_index(spark, sf_dir).postings
+    return ix.term_key(post, ix.term_dictionary(post))
+
+
+# --- reports ------------------------------------------------------------------
+
+
+@query
+def crawl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visited, documents, errors, elapsed time and pages per second of the fetch log."""
+    out = rp.crawl_report(fx.fetch_log(spark, sf_dir))
+    return out.select(
+        "visited", "documents", "errors", "fetches",
+        r6("elapsed_s").alias("elapsed_s"), r6("ms_per_page").alias("ms_per_page"),
+        r6("pages_per_second").alias("pages_per_second"),
+    )
+
+
+def _doc_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = text_documents(spark, sf_dir).join(
+        fx.read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id"
+    )
+    wc = doc_index(spark, sf_dir).documents.select("url", "word_count")
+    return rp.document_batches(docs.select("url", "lang", "doc_id").join(wc, "url"), F.col("doc_id"), "lang")
+
+
+@query
+def document_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in batches of 150 in doc_id order per language (one language = one crawl)."""
+    return _doc_batches(spark, sf_dir).select("url", "lang", F.col("n").cast("bigint"), "batch_id")
+
+
+@query
+def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, postings and words per batch."""
+    return rp.batch_report(_doc_batches(spark, sf_dir), doc_index(spark, sf_dir).postings, "lang")
+
+
+@query
+def stall_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visited count at every 30-second tick of the fetch log, stalled ticks and the first one."""
+    return rp.stall_ticks(fx.fetch_log(spark, sf_dir))
+
+
+# --- streaming -----------------------------------------------------------------
+
+
+@query
+def streaming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1+X3: pages arriving in four files indexed micro-batch by micro-batch, drained, then resolved."""
+    base = scratch_path(spark, "stream-index")
+    pages = web_pages(spark, sf_dir).select("url", "html")
+    landing = xs.land_files(pages, f"{base}/landing", 4)
+    stream = xs.file_stream(spark, landing, pages.schema, files_per_trigger=1)
+    xs.index_stream(stream, f"{base}/index", f"{base}/checkpoint").awaitTermination()
+    post = xs.read_streamed_index(spark, f"{base}/index").resolved().postings
+    return post.select("term", "url", "cnt", "word_count", r6("tf").alias("tf"))
+
+
+def _fetch_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    log = fx.fetch_log(spark, sf_dir)
+    landing = xs.land_in_time_order(log, f"{base}/landing", 4)
+    return xs.file_stream(spark, landing, log.schema, files_per_trigger=1)
+
+
+@query
+def streaming_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visited set of a fetch stream, each URL once."""
+    base = scratch_path(spark, "stream-dedupe")
+    visited = xs.dedupe_stream(_fetch_stream(spark, sf_dir, base))
+    xs.write_stream(visited, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("url")
+
+
+@query
+def streaming_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct URLs per 30-second window of a fetch stream (drained, complete mode)."""
+    base = scratch_path(spark, "stream-progress")
+    progress = xs.progress_stream(_fetch_stream(spark, sf_dir, base))
+    xs.write_stream(progress, f"{base}/out", f"{base}/checkpoint", mode="complete").awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(F.unix_seconds("window.start").alias("window_start"), F.col("n_urls").cast("bigint"))
+
+
+@query
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the display functions registered as SQL functions and used from ``spark.sql``."""
+    register_sql_functions(spark)
+    web_pages(spark, sf_dir).createOrReplaceTempView("trawl_pages")
+    return spark.sql(
+        """SELECT url, format_url(url) AS display_url, display_title(url) AS title, clean_path(url) AS slug,
+                  format_score(CAST(length(html) AS DOUBLE) / 7) AS size_score
+           FROM trawl_pages"""
+    )

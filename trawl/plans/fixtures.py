@@ -45,12 +45,18 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
 
 
+def absolute_time(ts: Column) -> Column:
+    """A TIMESTAMP_NTZ read as UTC, as an instant (watermarks need TIMESTAMP; no session-zone dependence)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, ts))
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, ts, status)`` from ``events``: two events per URL, every tenth event a 404."""
     events = read_table(spark, sf_dir, "events")
     return events.select(
         F.concat(F.lit("https://crawl.example.org/p/"), F.floor(F.col("event_id") / 2).cast("bigint")).alias("url"),
-        "ts",
+        absolute_time(F.col("ts")).alias("ts"),
         F.when(F.col("event_id") % 10 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
     )
 

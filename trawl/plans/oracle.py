@@ -486,3 +486,137 @@ fn AS (SELECT url, host, row_number() OVER (PARTITION BY host ORDER BY page_id,
 SELECT fn.url, fn.host, CAST(fn.n AS BIGINT) AS n, (fn.n - 1) * coalesce(d.delay_s, 0.0) AS offset_s
 FROM fn LEFT JOIN rdelay d ON d.host = fn.host
 """)
+
+
+# --- sources, storage, appending ------------------------------------------------
+
+register("page_source_split", """
+SELECT url, page_id % 10 <> 0 AS ok,
+       CASE WHEN page_id % 10 = 0 THEN 'unexpected status code: 404' END AS error
+FROM pages
+""")
+
+register("index_roundtrip", with_(corpus("page", PAGE_SRC)) + """
+SELECT term, url, cnt, word_count, round(tf, 6) AS tf FROM page_post
+""")
+
+register("import_index", with_(corpus("page", PAGE_SRC), corpus("doc", DOC_SRC)) + """
+, docs AS (
+  SELECT url, word_count FROM page_docs
+  UNION ALL
+  SELECT url, 0 FROM (SELECT DISTINCT url FROM doc_post) x WHERE url NOT IN (SELECT url FROM page_docs)),
+np AS (SELECT url, count(*) AS n FROM (SELECT term, url FROM page_post UNION SELECT term, url FROM doc_post) GROUP BY url)
+SELECT d.url, CAST(d.word_count AS BIGINT) AS word_count, CAST(coalesce(np.n, 0) AS BIGINT) AS n_postings
+FROM docs d LEFT JOIN np ON np.url = d.url
+""")
+
+RL = corpus("rl", "SELECT CAST(doc_id AS VARCHAR) AS url, text FROM documents")
+RL_KEYED = """
+rl_map AS (SELECT CAST(doc_id AS VARCHAR) AS k, 'src:' || source AS url, doc_id AS seq FROM documents),
+rdocs AS (SELECT m.url, m.seq, d.word_count FROM rl_docs d JOIN rl_map m ON m.k = d.url),
+rpost AS (SELECT p.term, m.url, m.seq, p.cnt, p.word_count, p.tf FROM rl_post p JOIN rl_map m ON m.k = p.url)"""
+
+register("add_documents", with_(corpus("page", PAGE_SRC), RL, RL_KEYED) + """
+, alld AS (SELECT url, word_count, 0 AS seq FROM page_docs UNION ALL SELECT url, word_count, seq FROM rdocs),
+firstd AS (SELECT url, arg_min(word_count, seq) AS word_count, min(seq) AS seq FROM alld GROUP BY url),
+np AS (SELECT url, count(*) AS n FROM (SELECT term, url FROM page_post UNION SELECT term, url FROM rpost) GROUP BY url)
+SELECT f.url, CAST(f.word_count AS BIGINT) AS word_count, CAST(f.seq AS BIGINT) AS seq,
+       CAST(coalesce(np.n, 0) AS BIGINT) AS n_postings
+FROM firstd f LEFT JOIN np ON np.url = f.url
+""")
+
+register("first_wins_documents", with_(RL, RL_KEYED) + """
+SELECT url, CAST(arg_min(word_count, seq) AS BIGINT) AS word_count, CAST(min(seq) AS BIGINT) AS seq FROM rdocs GROUP BY url
+""")
+
+register("last_wins_postings", with_(RL, RL_KEYED) + """
+SELECT term, url, CAST(arg_max(cnt, seq) AS BIGINT) AS cnt, CAST(arg_max(word_count, seq) AS BIGINT) AS word_count,
+       round(arg_max(tf, seq), 6) AS tf, CAST(max(seq) AS BIGINT) AS seq
+FROM rpost GROUP BY term, url
+""")
+
+register("term_dictionary", with_(corpus("doc", DOC_SRC)) + """
+SELECT CAST(row_number() OVER (ORDER BY term) AS BIGINT) AS term_id, term FROM (SELECT DISTINCT term FROM doc_post)
+""")
+
+register("term_key", with_(corpus("page", PAGE_SRC)) + """
+, dict AS (SELECT CAST(row_number() OVER (ORDER BY term) AS BIGINT) AS term_id, term FROM (SELECT DISTINCT term FROM page_post))
+SELECT d.term_id, p.url, p.term FROM page_post p JOIN dict d ON d.term = p.term
+""")
+
+
+# --- reports ------------------------------------------------------------------
+
+FETCH_LOG = """
+fl AS (
+  SELECT 'https://crawl.example.org/p/' || CAST(event_id // 2 AS VARCHAR) AS url, ts,
+         CASE WHEN event_id % 10 = 0 THEN 404 ELSE 200 END AS status
+  FROM events)"""
+
+register("crawl_report", with_(FETCH_LOG) + """
+, a AS (
+  SELECT count(DISTINCT url) AS visited,
+         count(DISTINCT url) FILTER (WHERE status = 200) AS documents,
+         count(DISTINCT url) FILTER (WHERE status <> 200) AS errors,
+         count(*) AS fetches,
+         (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS elapsed_s
+  FROM fl)
+SELECT CAST(visited AS BIGINT) AS visited, CAST(documents AS BIGINT) AS documents, CAST(errors AS BIGINT) AS errors,
+       CAST(fetches AS BIGINT) AS fetches, round(elapsed_s, 6) AS elapsed_s,
+       round(elapsed_s * 1000 / visited, 6) AS ms_per_page,
+       round(CASE WHEN elapsed_s * 1000 / visited > 0 THEN 1000 / (elapsed_s * 1000 / visited) END, 6) AS pages_per_second
+FROM a
+""")
+
+BATCHES = """
+nb AS (
+  SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS url, lang,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id, 'doc:' || CAST(doc_id AS VARCHAR)) AS n
+  FROM documents)"""
+
+register("document_batches", with_(BATCHES) + """
+SELECT url, lang, CAST(n AS BIGINT) AS n, CAST((n - 1) // 150 AS BIGINT) AS batch_id FROM nb
+""")
+
+register("batch_report", with_(corpus("doc", DOC_SRC), BATCHES) + """
+SELECT nb.lang, CAST((nb.n - 1) // 150 AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_docs,
+       CAST(sum(coalesce(np.n, 0)) AS BIGINT) AS n_postings, CAST(sum(d.word_count) AS BIGINT) AS n_words
+FROM nb JOIN doc_docs d ON d.url = nb.url
+LEFT JOIN (SELECT url, count(*) AS n FROM doc_post GROUP BY url) np ON np.url = nb.url
+GROUP BY 1, 2
+""")
+
+register("stall_ticks", with_(FETCH_LOG) + """
+, st AS (SELECT epoch_us(min(ts)) AS s FROM fl),
+fs AS (SELECT url, epoch_us(min(ts)) AS f FROM fl GROUP BY url),
+nw AS (SELECT (f - (SELECT s FROM st)) // 30000000 + 1 AS tick, count(*) AS new FROM fs GROUP BY 1),
+tk AS (SELECT range AS tick FROM range(1, (SELECT max(tick) FROM nw) + 1)),
+v AS (
+  SELECT t.tick, coalesce(nw.new, 0) AS new,
+         sum(coalesce(nw.new, 0)) OVER (ORDER BY t.tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS visited
+  FROM tk t LEFT JOIN nw ON nw.tick = t.tick),
+f2 AS (SELECT *, visited > 0 AND new = 0 AS stalled FROM v)
+SELECT CAST(tick AS BIGINT) AS tick, CAST(new AS BIGINT) AS new, CAST(visited AS BIGINT) AS visited, stalled,
+       coalesce(tick = (SELECT min(tick) FROM f2 WHERE stalled), false) AS first_stall
+FROM f2
+""")
+
+
+# --- streaming (drained streams equal these batch statements) --------------------
+
+register("streaming_index", with_(corpus("page", PAGE_SRC)) + """
+SELECT term, url, cnt, word_count, round(tf, 6) AS tf FROM page_post
+""")
+
+register("streaming_dedupe", with_(FETCH_LOG) + "SELECT DISTINCT url FROM fl")
+
+register("streaming_progress", with_(FETCH_LOG) + """
+SELECT CAST((epoch_us(ts) // 30000000) * 30 AS BIGINT) AS window_start, CAST(count(DISTINCT url) AS BIGINT) AS n_urls
+FROM fl GROUP BY 1
+""")
+
+register("sql_functions", f"""
+SELECT url, regexp_replace(url, '^https://', '') AS display_url, {display_title_sql('url')} AS title,
+       {clean_path_sql('url')} AS slug, printf('%.4f', CAST(length(html) AS DOUBLE) / 7) AS size_score
+FROM pages
+""")
