@@ -9,9 +9,10 @@ The index is two DataFrames:
 
 ``seq`` orders index parts: documents are first-wins on ``url`` and postings
 last-wins on ``(term, url)`` (W1), so appending a part never rewrites the old
-one. Per-document work (tokenising, stop filter, word_count) is a projection
-with no shuffle; the only shuffle of a build is the (url, term) count, which
-aggregates map-side first.
+one. A document is one row, so all per-document work - tokenising, the stop
+filter, word_count and the term counts themselves - runs inside that row
+(sort the terms, count the runs) with no shuffle at all. A build shuffles only
+when its output is written (by term bucket) or joined.
 """
 
 from __future__ import annotations
@@ -36,6 +37,11 @@ class Index:
 
     documents: DataFrame
     postings: DataFrame
+    # Both in one table, when built from text: one row per document (term null)
+    # and one per posting. Lets a writer produce both from a single pass.
+    rows: DataFrame | None = None
+    # Number of term buckets of an index read from disk (enables bucket pruning).
+    buckets: int | None = None
 
     def resolved(self) -> Index:
         """W1 applied: first-wins documents, last-wins postings."""
@@ -68,17 +74,52 @@ def documents_of(analyzed: DataFrame) -> DataFrame:
     return analyzed.select(*DOCUMENT_COLUMNS)
 
 
-def term_counts(analyzed: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
-    """A1 (+P7-P9): ``(url, seq, word_count, term, cnt)``, empty terms dropped after word_count."""
-    tokens = analyzed.select("url", "seq", "word_count", F.explode("kept").alias("token"))
-    terms = tokens.select("url", "seq", "word_count", index_term(F.col("token"), stem).alias("term"))
-    return (
-        terms.where(F.col("term") != "")
-        .groupBy("url", "seq", "word_count", "term")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+def _term_runs(analyzed: DataFrame, stem: Stemmer) -> DataFrame:
+    """Per document, the sorted non-empty terms and the 1-based positions where a new term starts."""
+    terms = F.array_sort(F.filter(F.transform("kept", lambda t: index_term(t, stem)), lambda t: t != ""))
+    with_terms = analyzed.select("url", "seq", "word_count", terms.alias("_terms")).withColumn(
+        "_n", F.size("_terms")
+    )
+    starts = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.col("_n"), F.lit(1))),
+        lambda i: (F.col("_n") > 0)
+        & ((i == 1) | (F.try_element_at("_terms", i) != F.try_element_at("_terms", i - 1))),
+    )
+    return with_terms.withColumn("_starts", starts)
+
+
+def _runs_to_pairs() -> F.Column:
+    """``array<struct<term, cnt>>`` from ``_terms``/``_starts``: one entry per distinct term."""
+    return F.transform(
+        "_starts",
+        lambda s, j: F.struct(
+            F.element_at("_terms", s).alias("term"),
+            (F.coalesce(F.try_element_at("_starts", j + 2), F.col("_n") + 1) - s).cast("bigint").alias("cnt"),
+        ),
     )
 
 
+def term_counts(analyzed: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
+    """A1 (+P7-P9): ``(url, seq, word_count, term, cnt)``, empty terms dropped after word_count.
+
+    Counted inside each document's row: the terms are sorted and every run of
+    equal terms becomes one (term, cnt). No hash aggregation, no shuffle.
+    """
+    runs = _term_runs(analyzed, stem)
+    return runs.select("url", "seq", "word_count", F.inline(_runs_to_pairs()))
+
+
+def index_rows(analyzed: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
+    """Documents and postings in one pass: ``(url, seq, word_count, term, cnt)``.
+
+    Each document yields a first row with ``term`` and ``cnt`` null (its
+    documents row, also when it has no terms) followed by its postings.
+    """
+    runs = _term_runs(analyzed, stem)
+    marker = F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("cnt"))
+    return runs.select("url", "seq", "word_count", F.inline(F.concat(F.array(marker), _runs_to_pairs())))
+
+
 def postings_of(counts: DataFrame) -> DataFrame:
     """A3: ``tf = cnt / word_count`` (word_count > 0 whenever a posting exists)."""
     return counts.select(
@@ -101,7 +142,8 @@ def build_index(
 ) -> Index:
     """Index ``docs(url, ...)`` on the text Column ``text``."""
     analyzed = analyze(docs, text, stop_words=stop_words, seq=seq)
-    return Index(documents_of(analyzed), postings_of(term_counts(analyzed, stem)))
+    rows = index_rows(analyzed, stem)
+    return Index(documents_of(analyzed), postings_of(term_counts(analyzed, stem)), rows)
 
 
 def build_text_index(docs: DataFrame, **kw) -> Index:

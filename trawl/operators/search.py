@@ -20,6 +20,9 @@ from trawl.operators.indexing import Index, document_frequency
 from trawl.operators.sequence import number_rows
 
 RESULTS_PER_PAGE = 10
+# Query terms (and their weights) are broadcast when a bounded count shows at
+# most this many rows; beyond it the joins shuffle instead.
+BROADCAST_TERMS = 200_000
 # Scores equal to this many decimals are ties, broken by url ascending; this
 # keeps the order stable across engines that sum in a different order.
 TIE_DECIMALS = 9
@@ -37,9 +40,22 @@ def idf(df: Column, n_docs: Column) -> Column:
     return F.when(df == 0, F.lit(0.0)).otherwise(F.ln(n_docs.cast("double") / (df + 1)) + 1)
 
 
-def term_lookup(index: Index, terms: DataFrame) -> DataFrame:
-    """Postings of the given terms (inner join: absent terms contribute nothing)."""
-    wanted = terms.select("term").distinct()
+def at_most(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows (a bounded count: it stops after ``limit + 1``)."""
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
+def _hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def term_lookup(index: Index, terms: DataFrame, small: bool = False) -> DataFrame:
+    """Postings of the given terms (inner join: absent terms contribute nothing).
+
+    With ``small`` the distinct terms are broadcast, so the postings are
+    probed where they lie and never shuffled on ``term``.
+    """
+    wanted = _hint(terms.select("term").distinct(), small)
     return index.postings.select("term", "url", "tf").join(wanted, "term")
 
 
@@ -51,12 +67,27 @@ def term_idf(index: Index, hits: DataFrame) -> DataFrame:
     )
 
 
-def search_scores(index: Index, queries: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
-    """``(qid, url, score)`` for every document matching at least one query term."""
+def search_scores(
+    index: Index,
+    queries: DataFrame,
+    stem: Stemmer = identity_stem,
+    broadcast_terms: int = BROADCAST_TERMS,
+) -> DataFrame:
+    """``(qid, url, score)`` for every document matching at least one query term.
+
+    When the query terms number at most ``broadcast_terms`` (checked), they and
+    their idf weights (one row per distinct term) are broadcast: the only
+    shuffles left are the partial df count per term and the (qid, url) sum.
+    """
     qt = query_terms(queries, stem)
-    hits = term_lookup(index, qt)
-    weights = term_idf(index, hits).select("term", "idf")
-    scored = hits.join(weights, "term").join(qt, "term")
+    return scores_for_terms(index, qt, at_most(qt, broadcast_terms))
+
+
+def scores_for_terms(index: Index, qt: DataFrame, small: bool) -> DataFrame:
+    """A7 from query terms ``(qid, term, m)``; ``small`` broadcasts them and their weights."""
+    hits = term_lookup(index, qt, small)
+    weights = _hint(term_idf(index, hits).select("term", "idf"), small)
+    scored = hits.join(weights, "term").join(_hint(qt, small), "term")
     return scored.groupBy("qid", "url").agg(F.sum(F.col("m") * F.col("tf") * F.col("idf")).alias("score"))
 
 
@@ -93,9 +124,18 @@ def search(index: Index, queries: DataFrame, k: int = RESULTS_PER_PAGE, stem: St
 
 def search_one(index: Index, text: str, page: str | int | None = 1, stem: Stemmer = identity_stem) -> DataFrame:
     """one request - the page ``page`` of results for ``text`` (10 per page)."""
+    from trawl.sources.index_store import postings_for
+
     spark = index.postings.sparkSession
-    queries = spark.createDataFrame([(1, text)], "qid BIGINT, q STRING")
-    scores = search_scores(index, queries, stem)
+    queries = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.lit(text).alias("q"))
+    # The request's own terms (bounded by its length) become literals, so only
+    # their term buckets and row groups of the index are read, and the query
+    # side is a literal table, broadcast without a size check.
+    terms = query_terms(queries, stem).select("term", "m").collect()
+    literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).cast("bigint").alias("m")) for t, m in terms])
+    qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.inline(literal))
+    narrowed = Index(index.documents, postings_for(index, [t for t, _ in terms]), buckets=index.buckets)
+    scores = scores_for_terms(narrowed, qt, small=True)
     start = (page_number(page) - 1) * RESULTS_PER_PAGE
     # orderBy + offset + limit plans as TakeOrderedAndProject: a bounded top-k, no full sort.
     return scores.orderBy(*_rank_order()).offset(start).limit(RESULTS_PER_PAGE)

@@ -1,16 +1,17 @@
 """The index on disk as Parquet.
 
-Layout under ``path``::
+One dataset holds both tables, partitioned by ``term_bucket``::
 
-    documents/                 url, word_count, seq
-    postings/term_bucket=B/    term, url, cnt, word_count, tf, seq  (sorted by term)
+    term_bucket=-1/   documents: url, word_count, seq (term, cnt, tf null)
+    term_bucket=B/    postings:  term, url, cnt, word_count, tf, seq (sorted by term)
 
-``term_bucket = pmod(xxhash64(term), buckets)``. A lookup of known terms
-reads only their buckets (static partition pruning: the bucket of a literal
-term is constant-folded), and within a bucket Parquet row-group statistics on
-the sorted ``term`` column skip the rest. Each bucket is written by
+``term_bucket = pmod(xxhash64(term), buckets)``. Documents and postings come
+out of one pass over the text and one shuffle. A lookup of known terms reads
+only their buckets (static partition pruning: the bucket of a literal term is
+constant-folded), and within a bucket Parquet row-group statistics on the
+sorted ``term`` column skip the rest. Each bucket is written by
 ``files_per_bucket`` tasks, salted by url, so one very frequent term never
-lands in a single task or file.
+lands in a single task or file; document rows are spread over all tasks.
 """
 
 from __future__ import annotations
@@ -22,13 +23,29 @@ from pyspark.sql import functions as F
 
 from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index
 
-DEFAULT_BUCKETS = 64
+# Term buckets: scale with the postings size (about one bucket per 256 MB of
+# postings); ``files_per_bucket`` spreads each bucket over more tasks.
+DEFAULT_BUCKETS = 16
 
 
 def term_bucket(term: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _combined(index: Index) -> DataFrame:
+    """``(url, seq, word_count, term, cnt, tf)``: document rows (term null) and postings together."""
+    if index.rows is not None:
+        rows = index.rows
+        tf = F.when(F.col("term").isNotNull(), F.col("cnt") / F.col("word_count"))
+        return rows.select("url", "seq", "word_count", "term", "cnt", tf.alias("tf"))
+    docs = index.documents.select(
+        "url", "seq", "word_count",
+        F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("cnt"),
+        F.lit(None).cast("double").alias("tf"),
+    )
+    return docs.unionByName(index.postings.select("url", "seq", "word_count", "term", "cnt", "tf"))
+
+
 def write_index(
     index: Index,
     path: str,
@@ -37,29 +54,39 @@ def write_index(
     files_per_bucket: int = 1,
     mode: str = "overwrite",
 ) -> None:
-    """Write documents and postings; ``overwrite`` replaces any old index (the caller picks, D11)."""
-    index.documents.select(*DOCUMENT_COLUMNS).write.mode(mode).parquet(f"{path}/documents")
-    salt = F.pmod(F.xxhash64("url"), F.lit(files_per_bucket))
-    postings = (
-        index.postings.select(*POSTING_COLUMNS)
-        .withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-        .repartition(buckets * files_per_bucket, "term_bucket", salt)
+    """Write documents and postings in one job; ``overwrite`` replaces any old index (the caller picks, D11)."""
+    rows = _combined(index)
+    is_doc = F.col("term").isNull()
+    tasks = buckets * files_per_bucket
+    bucket = F.when(is_doc, F.lit(-1)).otherwise(term_bucket(F.col("term"), buckets))
+    salt = F.when(is_doc, F.pmod(F.xxhash64("url"), F.lit(tasks))).otherwise(
+        F.pmod(F.xxhash64("url"), F.lit(files_per_bucket))
+    )
+    (
+        rows.withColumn("term_bucket", bucket)
+        .repartition(tasks, "term_bucket", salt)
         .sortWithinPartitions("term_bucket", "term", "url")
+        .write.mode(mode)
+        .partitionBy("term_bucket")
+        .parquet(path)
     )
-    postings.write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings")
+    # A one-row side table (ignored by partition discovery: leading '_').
+    rows.sparkSession.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Read an index written by ``write_index`` (postings keep their ``term_bucket`` column)."""
-    documents = spark.read.parquet(f"{path}/documents")
-    postings = spark.read.parquet(f"{path}/postings")
-    return Index(documents, postings)
+    """Read an index written by ``write_index``; postings keep their ``term_bucket`` column."""
+    table = spark.read.parquet(path)
+    buckets = spark.read.schema("buckets INT").json(f"{path}/_meta").first()[0]
+    documents = table.where(F.col("term_bucket") == -1).select(*DOCUMENT_COLUMNS)
+    postings = table.where(F.col("term_bucket") >= 0).select(*POSTING_COLUMNS, "term_bucket")
+    return Index(documents, postings, buckets=buckets)
 
 
-def postings_for(index: Index, terms: Iterable[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Postings of known terms, pruned to their buckets and pushed down to the Parquet scan."""
+def postings_for(index: Index, terms: Iterable[str]) -> DataFrame:
+    """Postings of known terms: bucket partitions pruned, ``term IN (...)`` pushed to the Parquet scan."""
     terms = list(dict.fromkeys(terms))
     post = index.postings
-    if "term_bucket" in post.columns:
-        post = post.where(F.col("term_bucket").isin([term_bucket(F.lit(t), buckets) for t in terms]))
+    if index.buckets and "term_bucket" in post.columns:
+        post = post.where(F.col("term_bucket").isin([term_bucket(F.lit(t), index.buckets) for t in terms]))
     return post.where(F.col("term").isin(terms))

@@ -11,15 +11,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer partitions than there are cores.
+
+    Tokenising and HTML extraction are CPU-bound per row, so a file with one
+    large row group would otherwise run in a single task. On a cluster the
+    input splits outnumber the cores and nothing moves. The hash covers the
+    given columns (url and content), so many rows under one URL still spread.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.xxhash64(*keys))
+
+
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as indexable rows ``(url, text, doc_id)``; the url is ``doc:<doc_id>``."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = balanced(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return docs.select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text", "doc_id")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as ``(page_id, url, html)``."""
-    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return balanced(read_table(spark, sf_dir, "pages"), "url", "html").select("page_id", "url", "html")
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

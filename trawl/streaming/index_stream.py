@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trawl.functions.text import Stemmer, identity_stem
-from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index, build_page_index
+from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index, build_page_index, postings_of
 
 DEFAULT_TICK = "30 seconds"
 
@@ -71,13 +71,11 @@ def index_stream(
     """
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
         part = build_page_index(
             batch.select("url", "html"), stop_words=stop_words, stem=stem, seq=F.lit(batch_id)
         )
-        part.documents.select(*DOCUMENT_COLUMNS).write.mode("overwrite").parquet(f"{out}/documents/batch_id={batch_id}")
-        part.postings.select(*POSTING_COLUMNS).write.mode("overwrite").parquet(f"{out}/postings/batch_id={batch_id}")
-        batch.unpersist()
+        # Documents (term null) and postings of the part in one pass and one write.
+        part.rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = pages.writeStream.foreachBatch(write_part).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()
@@ -85,9 +83,10 @@ def index_stream(
 
 def read_streamed_index(spark: SparkSession, out: str) -> Index:
     """The parts written by ``index_stream`` as one index (resolve it with ``Index.resolved``)."""
-    docs = spark.read.parquet(f"{out}/documents").select(*DOCUMENT_COLUMNS)
-    post = spark.read.parquet(f"{out}/postings").select(*POSTING_COLUMNS)
-    return Index(docs, post)
+    rows = spark.read.parquet(out)
+    docs = rows.where(F.col("term").isNull()).select(*DOCUMENT_COLUMNS)
+    post = postings_of(rows.where(F.col("term").isNotNull()))
+    return Index(docs, post.select(*POSTING_COLUMNS))
 
 
 def dedupe_stream(fetches: DataFrame, watermark: str | None = None) -> DataFrame:
