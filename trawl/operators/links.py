@@ -97,8 +97,10 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str, max_rounds: i
         .checkpoint()
     )
     frontier = seed_url.select("url", F.lit(0).alias("depth")).checkpoint()
-    visited = frontier
+    rounds = [frontier]
     for depth in range(1, max_rounds + 1):
+        # O1: the visited set is the union of the checkpointed rounds (short lineage).
+        visited = _union_all(rounds)
         step = (
             frontier.join(edges, frontier["url"] == edges["src"])
             .select(F.col("dst").alias("url"))
@@ -107,10 +109,18 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str, max_rounds: i
             .select("url", F.lit(depth).alias("depth"))
             .checkpoint()
         )
-        if step.isEmpty():
+        if step.isEmpty():  # fixpoint: nothing new (D5)
             break
-        visited = visited.unionByName(step).checkpoint()  # O1
+        rounds.append(step)
         frontier = step
+    visited = _union_all(rounds)
     return visited.join(page_keys.select("url", F.lit(True).alias("fetched")), "url", "left").select(
         "url", F.col("depth").cast("int"), F.coalesce("fetched", F.lit(False)).alias("fetched")
     )
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

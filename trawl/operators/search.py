@@ -91,8 +91,16 @@ def scores_for_terms(index: Index, qt: DataFrame, small: bool) -> DataFrame:
     return scored.groupBy("qid", "url").agg(F.sum(F.col("m") * F.col("tf") * F.col("idf")).alias("score"))
 
 
+_TIE_SCORE = "_tie_score"
+
+
+def _with_tie_score(scores: DataFrame) -> DataFrame:
+    """The rounded score as a column, computed once per row rather than in every comparison."""
+    return scores.withColumn(_TIE_SCORE, F.round("score", TIE_DECIMALS))
+
+
 def _rank_order() -> list[Column]:
-    return [F.round("score", TIE_DECIMALS).desc(), F.col("url").asc()]
+    return [F.col(_TIE_SCORE).desc(), F.col("url").asc()]
 
 
 def search_ranked(index: Index, queries: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
@@ -101,7 +109,7 @@ def search_ranked(index: Index, queries: DataFrame, stem: Stemmer = identity_ste
     Ranks are numbered by range partitioning, so a query matching a third of
     the collection is spread over many tasks rather than sorted in one.
     """
-    scores = search_scores(index, queries, stem)
+    scores = _with_tie_score(search_scores(index, queries, stem))
     return number_rows(scores, _rank_order(), ["qid"], name="rank").select(
         "qid", F.col("rank").cast("bigint"), "url", "score"
     )
@@ -113,7 +121,7 @@ def search(index: Index, queries: DataFrame, k: int = RESULTS_PER_PAGE, stem: St
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so at most ``k`` rows per query and task travel.
     """
-    scores = search_scores(index, queries, stem)
+    scores = _with_tie_score(search_scores(index, queries, stem))
     w = Window.partitionBy("qid").orderBy(*_rank_order())
     return (
         scores.withColumn("rank", F.row_number().over(w))
@@ -135,10 +143,10 @@ def search_one(index: Index, text: str, page: str | int | None = 1, stem: Stemme
     literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).cast("bigint").alias("m")) for t, m in terms])
     qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.inline(literal))
     narrowed = Index(index.documents, postings_for(index, [t for t, _ in terms]), buckets=index.buckets)
-    scores = scores_for_terms(narrowed, qt, small=True)
+    scores = _with_tie_score(scores_for_terms(narrowed, qt, small=True))
     start = (page_number(page) - 1) * RESULTS_PER_PAGE
     # orderBy + offset + limit plans as TakeOrderedAndProject: a bounded top-k, no full sort.
-    return scores.orderBy(*_rank_order()).offset(start).limit(RESULTS_PER_PAGE)
+    return scores.orderBy(*_rank_order()).offset(start).limit(RESULTS_PER_PAGE).select("qid", "url", "score")
 
 
 def page_number(page: str | int | None) -> int:
@@ -160,21 +168,28 @@ def parse_page(page: Column) -> Column:
 
 
 def result_page(ranked: DataFrame, requests: DataFrame) -> DataFrame:
-    """The requested page of each query's ranked results; a page past the end is empty."""
+    """The requested page of each query's ranked results; a page past the end is empty.
+
+    ``ranked`` needs ranks up to 10 x the highest requested page, so
+    ``search(index, queries, k=...)`` (a bounded top-k) is enough.
+    """
     req = requests.select("qid", "page", parse_page(F.col("page")).alias("page_no"))
     lo = (F.col("page_no") - 1) * RESULTS_PER_PAGE
     return req.join(ranked, "qid").where((F.col("rank") > lo) & (F.col("rank") <= lo + RESULTS_PER_PAGE))
 
 
-def result_counts(ranked: DataFrame) -> DataFrame:
-    """A10: number of results per query."""
-    return ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("total"))
+def result_counts(results: DataFrame) -> DataFrame:
+    """A10: number of results per query (of scored or ranked rows)."""
+    return results.groupBy("qid").agg(F.count(F.lit(1)).alias("total"))
 
 
-def paging_facts(ranked: DataFrame, requests: DataFrame) -> DataFrame:
-    """Paging facts per request; the page range exists only when there is more than one page."""
+def paging_facts(results: DataFrame, requests: DataFrame) -> DataFrame:
+    """Paging facts per request; the page range exists only when there is more than one page.
+
+    ``results`` are the scored (or ranked) rows; only their count per query is used.
+    """
     req = requests.select("qid", "page", parse_page(F.col("page")).alias("page_no"))
-    totals = req.join(result_counts(ranked), "qid", "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    totals = req.join(result_counts(results), "qid", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     total_pages = F.floor((F.col("total") + RESULTS_PER_PAGE - 1) / RESULTS_PER_PAGE).cast("int")
     facts = totals.select(
         "qid",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,25 +28,36 @@ def number_rows(
     *,
     name: str = "rn",
     partitions: int | None = None,
+    broadcast_groups: int = 1_000_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, ... within each ``partition_by`` group in ``order_by`` order.
 
     ``order_by`` should make the order total (add a unique tie-break column),
     otherwise tied rows get their numbers in an arbitrary order.
+
+    Jobs: one sample and one shuffle of the input (persisted so its upstream
+    runs once), a checkpoint of the numbered partitions, and a small count.
+    The per-(partition, group) offsets - at most one row per group and
+    partition - are broadcast when a bounded count allows, so the rows are
+    never shuffled a second time.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by]
-    ranged = df.repartitionByRange(n_parts, *keys, *order_by).sortWithinPartitions(*keys, *order_by)
-    # The position is the offset within the sorted partition; a reliable
-    # checkpoint pins rows to positions so both uses below agree, also when an
-    # executor is lost and a stage is recomputed.
+    # Range partitioning samples its input first; persisting it keeps the
+    # upstream from running twice. The bounds are fixed once sampled.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = source.repartitionByRange(n_parts, *keys, *order_by).sortWithinPartitions(*keys, *order_by)
+    # The position is the offset within the sorted partition; the reliable
+    # checkpoint pins rows to positions so the counts and the numbering agree,
+    # also when an executor is lost and a stage is recomputed.
     tagged = (
         ranged.withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
+    source.unpersist()
     counts = tagged.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST))
     earlier = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     group_keys = [f"_rn_g{i}" for i in range(len(partition_by))]
@@ -55,6 +67,8 @@ def number_rows(
         _FIRST,
         F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias(_BEFORE),
     )
+    if offsets.limit(broadcast_groups + 1).count() <= broadcast_groups:
+        offsets = F.broadcast(offsets)
     # Null-safe join keys: a null group key is a group of its own, as in a window.
     cond = [F.col(_PID) == F.col("_rn_opid")] + [
         F.col(c).eqNullSafe(F.col(g)) for c, g in zip(partition_by, group_keys)

@@ -183,7 +183,9 @@ def stem_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2+U4+A10: the requested page of results per query, score formatted to 4 decimals."""
     queries = fx.search_queries(spark, sf_dir)
-    ranked = se.search_ranked(doc_index(spark, sf_dir), queries)
+    # Only the top 10 x (highest requested page) results per query are ranked.
+    k = se.RESULTS_PER_PAGE * max(se.page_number(p) for p in fx.PAGE_REQUESTS)
+    ranked = se.search(doc_index(spark, sf_dir), queries, k=k)
     page = se.result_page(ranked, fx.page_requests(queries))
     return page.select("qid", "page", "page_no", "rank", "url", F.format_string("%.4f", "score").alias("score"))
 
@@ -192,8 +194,9 @@ def result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paging_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paging facts per (query, page request)."""
     queries = fx.search_queries(spark, sf_dir)
-    ranked = se.search_ranked(doc_index(spark, sf_dir), queries)
-    return se.paging_facts(ranked, fx.page_requests(queries))
+    # Paging needs only the number of results per query, not their order.
+    scores = se.search_scores(doc_index(spark, sf_dir), queries)
+    return se.paging_facts(scores, fx.page_requests(queries))
 
 
 # --- links and URLs -----------------------------------------------------------
