@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
 from trawl.functions.urls import followed_link, link_extension, resolve_link, url_host
-from trawl.session import ensure_checkpoint_dir
+from trawl.session import ensure_checkpoint_dir, scratch_path
 
 # The link-extraction patterns. Complete `<a ...>` tags in page
 # order, then the first href value (double-quoted, single-quoted or bare).
@@ -65,7 +65,7 @@ def outlink_counts(links: DataFrame) -> DataFrame:
     )
 
 
-def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str, max_rounds: int = 10_000) -> DataFrame:
+def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
     """O1-O3 (J4, J8, L6): the URLs a same-site crawl from ``seed`` visits.
 
     ``pages(url)`` are the fetchable URLs, ``links(src, href)`` the hrefs found
@@ -73,16 +73,18 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str, max_rounds: i
     on the seed's host, deduplicated on the exact resolved URL, with its BFS
     depth; a URL that is not a page is visited but not fetched and has no links.
 
-    One Spark job per BFS round (semi-naive: only the new frontier is joined
-    with the edges). The edge table is resolved and filtered once, hash
-    partitioned by ``src`` and checkpointed, so each round shuffles only the
-    frontier. Rounds are checkpointed to cut lineage.
+    A semi-naive BFS, one job per round. The edges (resolved, filtered to the
+    seed host and to fetched pages once) and the visited set live in tables
+    bucketed on the join keys in the shared scratch folder, so a round moves
+    only the new frontier: it is shuffled once to meet the edge buckets, and
+    its deduplicated candidates already sit in the visited set's buckets for
+    the anti-join. Each round's frontier is checkpointed (lineage cut) and
+    appended to the visited table; the loop ends at the fixpoint.
     """
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seed_col = F.lit(seed)
-    seed_url = spark.range(1).select(resolve_link(seed_col, seed_col).alias("url"))
     page_keys = pages.select(resolve_link(F.col("url"), F.col("url")).alias("url")).distinct()
     # J8 keys: links of a page are reachable from its resolved URL.
     edges = (
@@ -93,32 +95,45 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str, max_rounds: i
         .where(F.col("dst").isNotNull() & (url_host(F.col("dst")) == url_host(seed_col)))
         .join(page_keys.withColumnRenamed("url", "src"), "src", "left_semi")  # only fetched pages have links
         .distinct()
-        .repartition(n_parts, "src")
-        .checkpoint()
     )
-    frontier = seed_url.select("url", F.lit(0).alias("depth")).checkpoint()
-    rounds = [frontier]
-    for depth in range(1, max_rounds + 1):
-        # O1: the visited set is the union of the checkpointed rounds (short lineage).
-        visited = _union_all(rounds)
+    edge_table = _bucketed(edges, "src", n_buckets, "crawl_edges")
+    seed_url = spark.range(1).select(resolve_link(seed_col, seed_col).alias("url"), F.lit(0).alias("depth"))
+    visited_table = _bucketed(seed_url, "url", n_buckets, "crawl_visited")
+    frontier = spark.table(visited_table)
+    depth = 0
+    while True:  # until no new URL: as many rounds as the site is deep
+        depth += 1
+        edges_b = spark.table(edge_table)
         step = (
-            frontier.join(edges, frontier["url"] == edges["src"])
+            frontier.join(edges_b, frontier["url"] == edges_b["src"])
             .select(F.col("dst").alias("url"))
             .distinct()
-            .join(visited.select("url"), "url", "left_anti")  # J4 / O2
+            .join(spark.table(visited_table).select("url"), "url", "left_anti")  # J4 / O2
             .select("url", F.lit(depth).alias("depth"))
             .checkpoint()
         )
         if step.isEmpty():  # fixpoint: nothing new (D5)
             break
-        rounds.append(step)
+        _append_bucketed(step, "url", n_buckets, visited_table)  # O1
         frontier = step
-    visited = _union_all(rounds)
+    visited = spark.table(visited_table)
     return visited.join(page_keys.select("url", F.lit(True).alias("fetched")), "url", "left").select(
         "url", F.col("depth").cast("int"), F.coalesce("fetched", F.lit(False)).alias("fetched")
     )
 
 
+def _bucketed(df: DataFrame, key: str, buckets: int, name: str) -> str:
+    """Write ``df`` as a table bucketed on ``key`` under the shared scratch folder; returns its name."""
+    path = scratch_path(df.sparkSession, name)
+    table = f"trawl_{name}_{path.rsplit('-', 1)[-1]}"
+    df.write.bucketBy(buckets, key).mode("overwrite").option("path", path).saveAsTable(table)
+    return table
+
+
+def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str) -> None:
+    df.write.bucketBy(buckets, key).mode("append").saveAsTable(table)
+
+
 def _union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -47,7 +47,11 @@ def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1+P6: every stop word of the list file with its number of raw tokens in ``documents``."""
     words = read_stop_words(spark)
     tokens = text_documents(spark, sf_dir).select(F.explode(tokenize(F.col("text"))).alias("word"))
-    hits = tokens.join(F.broadcast(words), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n_tokens"))
+    # The list is broadcast only after a bounded count shows it is small.
+    small = se.at_most(words, se.BROADCAST_TERMS)
+    hits = tokens.join(F.broadcast(words) if small else words, "word").groupBy("word").agg(
+        F.count(F.lit(1)).alias("n_tokens")
+    )
     return words.join(hits, "word", "left").select("word", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
 
 

@@ -19,8 +19,12 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     input splits outnumber the cores and nothing moves. The hash covers the
     given columns (url and content), so many rows under one URL still spread.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # e.g. no RDD access: leave the scan as it is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, F.xxhash64(*keys))
 
