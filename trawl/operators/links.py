@@ -73,13 +73,15 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
     on the seed's host, deduplicated on the exact resolved URL, with its BFS
     depth; a URL that is not a page is visited but not fetched and has no links.
 
-    A semi-naive BFS, one job per round. The edges (resolved, filtered to the
-    seed host and to fetched pages once) and the visited set live in tables
-    bucketed on the join keys in the shared scratch folder, so a round moves
-    only the new frontier: it is shuffled once to meet the edge buckets, and
-    its deduplicated candidates already sit in the visited set's buckets for
-    the anti-join. Each round's frontier is checkpointed (lineage cut) and
-    appended to the visited table; the loop ends at the fixpoint.
+    A semi-naive BFS, one write per round. The edges (resolved, filtered to
+    the seed host and to fetched pages once) and the visited set live in
+    tables bucketed on the join keys in the shared scratch folder, so a round
+    moves only the new frontier: it is shuffled once to meet the edge buckets,
+    and its deduplicated candidates already sit in the visited set's buckets
+    for the anti-join. The visited table is also partitioned by depth: a round
+    appends partition ``depth = d`` (the written table cuts the lineage) and
+    the next round reads only that partition as its frontier. The loop ends
+    at the fixpoint, when a round adds nothing.
     """
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
@@ -98,40 +100,41 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
     )
     edge_table = _bucketed(edges, "src", n_buckets, "crawl_edges")
     seed_url = spark.range(1).select(resolve_link(seed_col, seed_col).alias("url"), F.lit(0).alias("depth"))
-    visited_table = _bucketed(seed_url, "url", n_buckets, "crawl_visited")
-    frontier = spark.table(visited_table)
+    visited_table = _bucketed(seed_url, "url", n_buckets, "crawl_visited", partition="depth")
     depth = 0
     while True:  # until no new URL: as many rounds as the site is deep
         depth += 1
+        visited = spark.table(visited_table)
+        frontier = visited.where(F.col("depth") == depth - 1).select("url")
         edges_b = spark.table(edge_table)
         step = (
             frontier.join(edges_b, frontier["url"] == edges_b["src"])
             .select(F.col("dst").alias("url"))
             .distinct()
-            .join(spark.table(visited_table).select("url"), "url", "left_anti")  # J4 / O2
+            .join(visited.select("url"), "url", "left_anti")  # J4 / O2
             .select("url", F.lit(depth).alias("depth"))
-            .checkpoint()
         )
-        if step.isEmpty():  # fixpoint: nothing new (D5)
+        _append_bucketed(step, "url", n_buckets, visited_table, partition="depth")  # O1
+        if spark.table(visited_table).where(F.col("depth") == depth).isEmpty():  # fixpoint (D5)
             break
-        _append_bucketed(step, "url", n_buckets, visited_table)  # O1
-        frontier = step
     visited = spark.table(visited_table)
     return visited.join(page_keys.select("url", F.lit(True).alias("fetched")), "url", "left").select(
         "url", F.col("depth").cast("int"), F.coalesce("fetched", F.lit(False)).alias("fetched")
     )
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int, name: str) -> str:
+def _bucketed(df: DataFrame, key: str, buckets: int, name: str, partition: str | None = None) -> str:
     """Write ``df`` as a table bucketed on ``key`` under the shared scratch folder; returns its name."""
     path = scratch_path(df.sparkSession, name)
     table = f"trawl_{name}_{path.rsplit('-', 1)[-1]}"
-    df.write.bucketBy(buckets, key).mode("overwrite").option("path", path).saveAsTable(table)
+    writer = df.write.bucketBy(buckets, key).mode("overwrite").option("path", path)
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
     return table
 
 
-def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str) -> None:
-    df.write.bucketBy(buckets, key).mode("append").saveAsTable(table)
+def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str, partition: str | None = None) -> None:
+    writer = df.write.bucketBy(buckets, key).mode("append")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
 
 
 def _union_all(parts: list[DataFrame]) -> DataFrame:
