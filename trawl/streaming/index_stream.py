@@ -7,6 +7,7 @@ query resumes where it stopped.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trawl.functions.text import Stemmer, identity_stem
+from trawl.sources.tables import balanced
 from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index, build_page_index, postings_of
 
 DEFAULT_TICK = "30 seconds"
@@ -71,16 +73,35 @@ def index_stream(
     """
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
-        part = build_page_index(
-            batch.select("url", "html"), stop_words=stop_words, stem=stem, seq=F.lit(batch_id)
-        )
+        started = time.time()
+        # A micro-batch of few large files is spread over all cores before the
+        # CPU-bound HTML work (a no-op when the batch already has enough splits).
+        pages_part = balanced(batch.select("url", "html"), "url", "html")
+        part = build_page_index(pages_part, stop_words=stop_words, stem=stem, seq=F.lit(batch_id))
         # Documents (term null) and postings of the part in one pass and one write.
         part.rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # The batch report row, from the part just written (a footer-level read).
+        written = batch.sparkSession.read.parquet(f"{out}/batch_id={batch_id}")
+        report = written.agg(
+            F.count_if(F.col("term").isNull()).alias("n_docs"),
+            F.count_if(F.col("term").isNotNull()).alias("n_postings"),
+        ).select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            "n_docs",
+            "n_postings",
+            F.lit(round(time.time() - started, 3)).alias("seconds"),
+        )
+        report.coalesce(1).write.mode("overwrite").parquet(f"{out}/_batches/batch_id={batch_id}")
 
     writer = pages.writeStream.foreachBatch(write_part).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()
 
 
+def stream_batch_report(spark: SparkSession, out: str) -> DataFrame:
+    """A12 for a stream: ``(batch_id, n_docs, n_postings, seconds)`` per committed micro-batch."""
+    return spark.read.parquet(f"{out}/_batches").select("batch_id", "n_docs", "n_postings", "seconds")
+
+
 def read_streamed_index(spark: SparkSession, out: str) -> Index:
     """The parts written by ``index_stream`` as one index (resolve it with ``Index.resolved``)."""
     rows = spark.read.parquet(out)
