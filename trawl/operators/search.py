@@ -55,8 +55,17 @@ def term_lookup(index: Index, terms: DataFrame, small: bool = False) -> DataFram
     With ``small`` the distinct terms are broadcast, so the postings are
     probed where they lie and never shuffled on ``term``.
     """
-    wanted = _hint(terms.select("term").distinct(), small)
-    return index.postings.select("term", "url", "tf").join(wanted, "term")
+    wanted = terms.select("term").distinct()
+    keys = ["term"]
+    if index.buckets and "term_bucket" in index.postings.columns:
+        # Joining on the bucket too lets dynamic partition pruning skip every
+        # bucket of an on-disk index that holds none of the query terms.
+        from trawl.sources.index_store import term_bucket
+
+        wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
+        keys = ["term_bucket", "term"]
+    post = index.postings.select(*keys, "url", "tf")
+    return post.join(_hint(wanted, small), keys).select("term", "url", "tf")
 
 
 def term_idf(index: Index, hits: DataFrame) -> DataFrame:
