@@ -59,3 +59,15 @@ def test_collection_stats(spark):
     index = ix.build_text_index(spark.createDataFrame([("u1", "x y x"), ("u2", "")], "url STRING, text STRING"))
     r = ix.collection_stats(index).first()
     assert (r.n_docs, r.n_words, r.n_empty_docs, r.n_postings, r.n_terms) == (2, 3, 1, 2, 2)
+
+
+def test_number_rows_aqe_sized_ranges(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        hot = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
+        out = number_rows(hot, [F.col("o")], ["g"], name="rn")
+        bad = out.where(F.col("rn") != (F.floor(F.col("o") / 3) + 1)).count()
+        assert bad == 0 and out.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

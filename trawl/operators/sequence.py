@@ -43,12 +43,17 @@ def number_rows(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by]
     # Range partitioning samples its input first; persisting it keeps the
     # upstream from running twice. The bounds are fixed once sampled.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = source.repartitionByRange(n_parts, *keys, *order_by).sortWithinPartitions(*keys, *order_by)
+    # Without an explicit count, AQE sizes the range exchange; coalesced
+    # partitions are adjacent ranges, so the order across partitions holds.
+    ranged = (
+        source.repartitionByRange(partitions, *keys, *order_by)
+        if partitions
+        else source.repartitionByRange(*keys, *order_by)
+    ).sortWithinPartitions(*keys, *order_by)
     # The position is the offset within the sorted partition; the reliable
     # checkpoint pins rows to positions so the counts and the numbering agree,
     # also when an executor is lost and a stage is recomputed.

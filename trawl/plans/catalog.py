@@ -490,7 +490,8 @@ def streaming_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visited set of a fetch stream, each URL once."""
     base = scratch_path(spark, "stream-dedupe")
     visited = xs.dedupe_stream(_fetch_stream(spark, sf_dir, base))
-    xs.write_stream(visited, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    xs.write_stream(visited, f"{base}/out", f"{base}/checkpoint", state_partitions=cores).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("url")
 
 
@@ -499,7 +500,10 @@ def streaming_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct URLs per 30-second window of a fetch stream (drained, complete mode)."""
     base = scratch_path(spark, "stream-progress")
     progress = xs.progress_stream(_fetch_stream(spark, sf_dir, base))
-    xs.write_stream(progress, f"{base}/out", f"{base}/checkpoint", mode="complete").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    xs.write_stream(
+        progress, f"{base}/out", f"{base}/checkpoint", mode="complete", state_partitions=cores
+    ).awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.select(F.unix_seconds("window.start").alias("window_start"), F.col("n_urls").cast("bigint"))
 

@@ -54,6 +54,19 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+def _start(spark: SparkSession, writer, state_partitions: int | None) -> StreamingQuery:
+    """Start a query; ``state_partitions`` (shuffle and state-store partitions) is fixed at its first start."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def index_stream(
     pages: DataFrame,
     out: str,
@@ -142,8 +155,13 @@ def write_stream(
     mode: str = "append",
     available_now: bool = True,
     interval: str = "30 seconds",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Write a streaming result to Parquet; in complete mode each batch replaces the table."""
+    """Write a streaming result to Parquet; in complete mode each batch replaces the table.
+
+    ``state_partitions`` sets the shuffle/state-store partitions of a stateful
+    query (default: the session's ``spark.sql.shuffle.partitions``).
+    """
     if mode == "complete":
 
         def replace(batch: DataFrame, batch_id: int) -> None:
@@ -153,4 +171,4 @@ def write_stream(
     else:
         writer = df.writeStream.outputMode(mode).format("parquet").option("path", out)
     writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, interval).start()
+    return _start(df.sparkSession, _trigger(writer, available_now, interval), state_partitions)
