@@ -16,7 +16,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from trawl.operators import indexing as ix  # noqa: E402
 from trawl.operators import search as se  # noqa: E402
