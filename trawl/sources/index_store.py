@@ -9,9 +9,10 @@ One dataset holds both tables, partitioned by ``term_bucket``::
 out of one pass over the text and one shuffle. A lookup of known terms reads
 only their buckets (static partition pruning: the bucket of a literal term is
 constant-folded), and within a bucket Parquet row-group statistics on the
-sorted ``term`` column skip the rest. Each bucket is written by
-``files_per_bucket`` tasks, salted by url, so one very frequent term never
-lands in a single task or file; document rows are spread over all tasks.
+sorted ``term`` column skip the rest. The write uses a ``REBALANCE`` hint on
+the bucket: adaptive execution splits a bucket that holds a very frequent
+term over several tasks (and files) and merges small ones, so no term ever
+lands in a single task; ``files_per_bucket`` adds a url salt on top.
 """
 
 from __future__ import annotations
@@ -51,20 +52,24 @@ def write_index(
     path: str,
     *,
     buckets: int = DEFAULT_BUCKETS,
-    files_per_bucket: int = 1,
+    files_per_bucket: int = 2,
     mode: str = "overwrite",
 ) -> None:
     """Write documents and postings in one job; ``overwrite`` replaces any old index (the caller picks, D11)."""
     rows = _combined(index)
     is_doc = F.col("term").isNull()
-    tasks = buckets * files_per_bucket
     bucket = F.when(is_doc, F.lit(-1)).otherwise(term_bucket(F.col("term"), buckets))
-    salt = F.when(is_doc, F.pmod(F.xxhash64("url"), F.lit(tasks))).otherwise(
-        F.pmod(F.xxhash64("url"), F.lit(files_per_bucket))
-    )
+    # REBALANCE: hash by bucket (and an optional url salt), then AQE splits
+    # skewed partitions - a bucket holding a very frequent term is written by
+    # several tasks - and merges small ones.
+    keys = ["term_bucket"]
+    if files_per_bucket > 1:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("url"), F.lit(files_per_bucket)))
+        keys.append("_salt")
     (
         rows.withColumn("term_bucket", bucket)
-        .repartition(tasks, "term_bucket", salt)
+        .hint("rebalance", *keys)
+        .drop("_salt")
         .sortWithinPartitions("term_bucket", "term", "url")
         .write.mode(mode)
         .partitionBy("term_bucket")
