@@ -6,8 +6,10 @@ one job answers many requests. Per query term ``t`` with multiplicity ``m``::
     idf(t)     = ln(N / (df(t) + 1)) + 1      (0 when df = 0)
     score(q,d) = sum over t of m * tf(t, d) * idf(t)
 
-Postings are only touched through a join with the (small) set of query terms,
-so frequent terms never cause a shuffle of the postings on ``term``.
+Postings are only touched through a join with the set of query terms. When a
+bounded count shows that set is small (the usual case), it is broadcast and
+the postings are probed where they lie, so frequent terms never cause a
+shuffle of the postings on ``term``; above the limit the join shuffles.
 """
 
 from __future__ import annotations
