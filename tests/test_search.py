@@ -84,3 +84,22 @@ def test_search_one_on_disk_index(spark, tmp_path):
     first = se.search_one(index, "Banana, cherry", page=1).collect()
     assert [r.url for r in first] == ["u0", "u2", "u1"]
     assert se.search_one(index, "banana", page=2).count() == 0
+
+
+def test_stored_term_statistics_match_postings(spark, tmp_path):
+    from trawl.sources import index_store as st
+    from conftest import SF001
+    from trawl.plans import fixtures as fx
+    from trawl.sources.tables import text_documents
+
+    built = ix.build_text_index(text_documents(spark, SF001))
+    path = str(tmp_path / "ix")
+    st.write_index(built, path, buckets=8)
+    index = st.open_index(spark, path)
+    counted = {r.term: r.df for r in ix.document_frequency(built.postings).collect()}
+    stored = {r.term: r.df for r in index.terms.collect()}
+    assert stored == counted
+    queries = fx.search_queries(spark, SF001)
+    a = sorted((r.qid, r.rank, r.url, round(r.score, 9)) for r in se.search(built, queries, k=10).collect())
+    b = sorted((r.qid, r.rank, r.url, round(r.score, 9)) for r in se.search(index, queries, k=10).collect())
+    assert a == b

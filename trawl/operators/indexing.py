@@ -42,6 +42,9 @@ class Index:
     rows: DataFrame | None = None
     # Number of term buckets of an index read from disk (enables bucket pruning).
     buckets: int | None = None
+    # Term statistics ``(term, df, term_bucket)`` of an index read from disk:
+    # document frequencies looked up instead of recounted from postings.
+    terms: DataFrame | None = None
 
     def resolved(self) -> Index:
         """W1 applied: first-wins documents, last-wins postings."""

@@ -94,10 +94,27 @@ def search_scores(
     return scores_for_terms(index, qt, at_most(qt, broadcast_terms))
 
 
+def stored_idf(index: Index, qt: DataFrame, small: bool) -> DataFrame:
+    """J2+A6 from an index's stored term statistics: a bucket-pruned lookup, no postings read."""
+    from trawl.sources.index_store import term_bucket
+
+    wanted = qt.select("term").distinct().withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
+    stats = index.terms.join(_hint(wanted, small), ["term_bucket", "term"])
+    n_docs = index.document_count()
+    return stats.select("term", "df", n_docs.alias("n_docs"), idf(F.col("df"), n_docs).alias("idf"))
+
+
 def scores_for_terms(index: Index, qt: DataFrame, small: bool) -> DataFrame:
-    """A7 from query terms ``(qid, term, m)``; ``small`` broadcasts them and their weights."""
+    """A7 from query terms ``(qid, term, m)``; ``small`` broadcasts them and their weights.
+
+    An index read from disk carries its term statistics, so df is looked up
+    and the postings of the query terms are read once (for scoring only).
+    """
     hits = term_lookup(index, qt, small)
-    weights = _hint(term_idf(index, hits).select("term", "idf"), small)
+    if index.terms is not None and index.buckets:
+        weights = _hint(stored_idf(index, qt, small).select("term", "idf"), small)
+    else:
+        weights = _hint(term_idf(index, hits).select("term", "idf"), small)
     scored = hits.join(weights, "term").join(_hint(qt, small), "term")
     return scored.groupBy("qid", "url").agg(F.sum(F.col("m") * F.col("tf") * F.col("idf")).alias("score"))
 
@@ -153,7 +170,9 @@ def search_one(index: Index, text: str, page: str | int | None = 1, stem: Stemme
     terms = query_terms(queries, stem).select("term", "m").collect()
     literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).cast("bigint").alias("m")) for t, m in terms])
     qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.inline(literal))
-    narrowed = Index(index.documents, postings_for(index, [t for t, _ in terms]), buckets=index.buckets)
+    narrowed = Index(
+        index.documents, postings_for(index, [t for t, _ in terms]), buckets=index.buckets, terms=index.terms
+    )
     scores = _with_tie_score(scores_for_terms(narrowed, qt, small=True))
     start = (page_number(page) - 1) * RESULTS_PER_PAGE
     # orderBy + offset + limit plans as TakeOrderedAndProject: a bounded top-k, no full sort.

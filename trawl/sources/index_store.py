@@ -2,8 +2,10 @@
 
 One dataset holds both tables, partitioned by ``term_bucket``::
 
-    term_bucket=-1/   documents: url, word_count, seq (term, cnt, tf null)
-    term_bucket=B/    postings:  term, url, cnt, word_count, tf, seq (sorted by term)
+    term_bucket=-1/         documents: url, word_count, seq (term, cnt, tf null)
+    term_bucket=B/          postings:  term, url, cnt, word_count, tf, seq (sorted by term)
+    _terms/term_bucket=B/   term statistics: term, df (document frequency)
+    _meta/                  the number of buckets
 
 ``term_bucket = pmod(xxhash64(term), buckets)``. Documents and postings come
 out of one pass over the text and one shuffle. A lookup of known terms reads
@@ -75,8 +77,16 @@ def write_index(
         .partitionBy("term_bucket")
         .parquet(path)
     )
+    spark = rows.sparkSession
+    # Term statistics from the postings just written (one column read, map-side
+    # partial counts), bucketed like the postings for pruned lookups.
+    written = spark.read.parquet(path).where(F.col("term_bucket") >= 0)
+    stats = written.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df"))
+    stats.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term").write.mode(mode).partitionBy(
+        "term_bucket"
+    ).parquet(f"{path}/_terms")
     # A one-row side table (ignored by partition discovery: leading '_').
-    rows.sparkSession.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
+    spark.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
@@ -85,7 +95,8 @@ def open_index(spark: SparkSession, path: str) -> Index:
     buckets = spark.read.schema("buckets INT").json(f"{path}/_meta").first()[0]
     documents = table.where(F.col("term_bucket") == -1).select(*DOCUMENT_COLUMNS)
     postings = table.where(F.col("term_bucket") >= 0).select(*POSTING_COLUMNS, "term_bucket")
-    return Index(documents, postings, buckets=buckets)
+    terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "term_bucket")
+    return Index(documents, postings, buckets=buckets, terms=terms)
 
 
 def postings_for(index: Index, terms: Iterable[str]) -> DataFrame:
