@@ -28,7 +28,7 @@ def number_rows(
     *,
     name: str = "rn",
     partitions: int | None = None,
-    broadcast_groups: int = 1_000_000,
+    broadcast_groups: int = 200_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, ... within each ``partition_by`` group in ``order_by`` order.
 
