@@ -57,7 +57,9 @@ def main() -> None:
     warm = scratch_path(spark, "bench-warm")
     st.write_index(ix.build_text_index(text_documents(spark, SF_DIR).limit(200)), warm)
     st.write_index(ix.build_page_index(web_pages(spark, SF_DIR).limit(50)), scratch_path(spark, "bench-warm-pages"))
-    se.search(st.open_index(spark, warm), fx.search_queries(spark, SF_DIR).limit(5), k=10).collect()
+    warm_index = st.open_index(spark, warm)
+    se.search(warm_index, fx.search_queries(spark, SF_DIR).limit(5), k=10).collect()
+    se.search_one(warm_index, "warm up query", page=1).collect()
 
     doc_path = scratch_path(spark, "bench-doc-index")
     page_path = scratch_path(spark, "bench-page-index")
