@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.sources.tables import benchmark_queries, read_table, text_documents, web_pages
+from trawl.sources.tables import balanced, benchmark_queries, read_table, web_pages
 
 # Inline query cases added to the benchmark queries (negative qids):
 # repeats, punctuation, stop words with and without comma, mixed case, an
@@ -112,16 +112,12 @@ def reindex_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Sources hold several documents, so a URL arrives several times with
     different contents: first-wins documents and last-wins postings apply.
     """
-    docs = read_table(spark, sf_dir, "documents")
+    docs = balanced(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return docs.select(
         F.concat(F.lit("src:"), F.col("source")).alias("url"), "text", F.col("doc_id").alias("seq")
     )
 
 
-def documents_as_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` rows in the ``(url, text)`` form."""
-    return text_documents(spark, sf_dir).select("url", "text")
-
 
 # Href cases resolved against every page, beside the page's own links.
 HREF_CASES = (
