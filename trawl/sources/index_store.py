@@ -89,6 +89,17 @@ def write_index(
     spark.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
 
 
+def compact_index(index: Index, path: str, **kw) -> Index:
+    """Rewrite an index of appended parts as one resolved index on disk (W1 applied once).
+
+    Appends only add rows (first-wins documents and last-wins postings are
+    resolved when read); compaction writes the resolved result with fresh term
+    statistics, so later reads skip the resolution.
+    """
+    write_index(index.resolved(), path, **kw)
+    return open_index(index.postings.sparkSession, path)
+
+
 def open_index(spark: SparkSession, path: str) -> Index:
     """Read an index written by ``write_index``; postings keep their ``term_bucket`` column."""
     table = spark.read.parquet(path)
