@@ -68,3 +68,18 @@ def test_display_functions(spark):
     assert slug.startswith("about-us-now-") and slug.rsplit("-", 1)[1].isdigit()
     again = df.select(clean_path(F.col("url"))).first()[0]
     assert again == slug  # one URL always gets the same slug (D7)
+
+
+def test_resolved_host_and_resolvable_agree_with_resolution(spark):
+    from trawl.functions.urls import resolvable, resolved_host, url_host
+
+    df = spark.createDataFrame([(BASE, h) for h, _ in RESOLVE] + [("", "/x"), (BASE, None)], "base STRING, href STRING")
+    url = resolve_link(F.col("base"), F.col("href"))
+    rows = df.select(
+        url.isNotNull().alias("a"), resolvable(F.col("base"), F.col("href")).alias("b"),
+        url_host(url).alias("h1"), resolved_host(F.col("base"), F.col("href")).alias("h2"),
+    ).collect()
+    for r in rows:
+        assert r.a == r.b
+        if r.a:
+            assert r.h1 == r.h2

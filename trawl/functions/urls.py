@@ -106,6 +106,24 @@ def resolve_link(base: Column, href: Column) -> Column:
     )
 
 
+def resolvable(base: Column, href: Column) -> Column:
+    """True when ``resolve_link(base, href)`` is not null (cheap: no URL is built)."""
+    blank = (F.coalesce(base, F.lit("")) == "") | (F.coalesce(href, F.lit("")) == "")
+    return blank | ~(invalid_url(href) | invalid_url(base))
+
+
+def resolved_host(base: Column, href: Column) -> Column:
+    """``url_host(resolve_link(base, href))`` without building the URL: '' for blank or opaque references.
+
+    Filters on the resolved host then stay small; a predicate on the resolved
+    URL itself would copy the whole resolution expression into the filter.
+    """
+    blank = (F.coalesce(base, F.lit("")) == "") | (F.coalesce(href, F.lit("")) == "")
+    r_host = url_part(href, 2)
+    opaque = (url_part(href, 1) != "") & ~F.regexp_extract(href, OPAQUE_REST, 1).startswith("/")
+    return F.when(blank | opaque, F.lit("")).when(r_host != "", r_host).otherwise(url_host(base))
+
+
 def link_extension(href: Column) -> Column:
     """L3: suffix from the last '.' after the last '/' of the whole href, lower-cased, '\\' removed, quotes trimmed."""
     ext = F.lower(F.regexp_extract(href, r"(\.[^./]*)\z", 1))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
-from trawl.functions.urls import followed_link, link_extension, resolve_link, url_host
+from trawl.functions.urls import followed_link, link_extension, resolvable, resolve_link, resolved_host, url_host
 from trawl.session import ensure_checkpoint_dir, scratch_path
 
 # The link-extraction patterns. Complete `<a ...>` tags in page
@@ -51,13 +51,18 @@ def resolved_links(pages: DataFrame) -> DataFrame:
 
 
 def same_host_links(links: DataFrame) -> DataFrame:
-    """Resolved links whose host equals their page's host."""
-    return links.where(F.col("url").isNotNull() & (url_host(F.col("url")) == url_host(F.col("src"))))
+    """Resolved links whose host equals their page's host (exact, case-sensitive, with port).
+
+    Decided from the link's parts (``resolvable``, ``resolved_host``), so the
+    filter does not repeat the resolution expression of the ``url`` column.
+    """
+    src, href = F.col("src"), F.col("href")
+    return links.where(resolvable(src, href) & (resolved_host(src, href) == url_host(src)))
 
 
 def outlink_counts(links: DataFrame) -> DataFrame:
     """Per page, followed links, distinct resolved URLs and distinct same-host URLs."""
-    same = F.when(url_host(F.col("url")) == url_host(F.col("src")), F.col("url"))
+    same = F.when(resolved_host(F.col("src"), F.col("href")) == url_host(F.col("src")), F.col("url"))
     return links.groupBy("src").agg(
         F.count(F.lit(1)).alias("n_links"),
         F.countDistinct("url").alias("n_urls"),
@@ -89,12 +94,16 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
     seed_col = F.lit(seed)
     page_keys = pages.select(resolve_link(F.col("url"), F.col("url")).alias("url")).distinct()
     # J8 keys: links of a page are reachable from its resolved URL.
+    # L6 from the link's parts, so the filter does not repeat the resolution.
+    same_site = resolvable(F.col("src"), F.col("href")) & (
+        resolved_host(F.col("src"), F.col("href")) == url_host(seed_col)
+    )
     edges = (
-        links.select(
+        links.where(same_site)
+        .select(
             resolve_link(F.col("src"), F.col("src")).alias("src"),
             resolve_link(F.col("src"), F.col("href")).alias("dst"),
         )
-        .where(F.col("dst").isNotNull() & (url_host(F.col("dst")) == url_host(seed_col)))
         .join(page_keys.withColumnRenamed("url", "src"), "src", "left_semi")  # only fetched pages have links
         .distinct()
     )
