@@ -103,3 +103,14 @@ def test_stored_term_statistics_match_postings(spark, tmp_path):
     a = sorted((r.qid, r.rank, r.url, round(r.score, 9)) for r in se.search(built, queries, k=10).collect())
     b = sorted((r.qid, r.rank, r.url, round(r.score, 9)) for r in se.search(index, queries, k=10).collect())
     assert a == b
+
+
+def test_open_incomplete_index_fails_clearly(spark, tmp_path):
+    import pytest
+
+    from trawl.sources import index_store as st
+
+    path = str(tmp_path / "half")
+    ix.build_text_index(docs(spark)).rows.write.parquet(path)  # data without the commit marker
+    with pytest.raises(FileNotFoundError):
+        st.open_index(spark, path)

@@ -85,7 +85,8 @@ def write_index(
     stats.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term").write.mode(mode).partitionBy(
         "term_bucket"
     ).parquet(f"{path}/_terms")
-    # A one-row side table (ignored by partition discovery: leading '_').
+    # A one-row side table (ignored by partition discovery: leading '_'),
+    # written last: it is the commit marker of a complete index.
     spark.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
 
 
@@ -102,8 +103,14 @@ def compact_index(index: Index, path: str, **kw) -> Index:
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """Read an index written by ``write_index``; postings keep their ``term_bucket`` column."""
+    try:
+        meta = spark.read.schema("buckets INT").json(f"{path}/_meta").first()
+    except Exception as err:  # no marker: the write did not finish
+        raise FileNotFoundError(f"no complete index at {path} (missing _meta; the write did not finish)") from err
+    if meta is None:
+        raise FileNotFoundError(f"no complete index at {path} (empty _meta)")
+    buckets = meta[0]
     table = spark.read.parquet(path)
-    buckets = spark.read.schema("buckets INT").json(f"{path}/_meta").first()[0]
     documents = table.where(F.col("term_bucket") == -1).select(*DOCUMENT_COLUMNS)
     postings = table.where(F.col("term_bucket") >= 0).select(*POSTING_COLUMNS, "term_bucket")
     terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "term_bucket")
