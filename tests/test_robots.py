@@ -76,3 +76,23 @@ def test_fetch_schedule(spark):
     delays = spark.createDataFrame([("h", 2.0)], "host STRING, delay_s DOUBLE")
     got = {r.url: (r.n, r.offset_s) for r in rb.fetch_schedule(urls, delays).collect()}
     assert got == {"https://h/b": (1, 0.0), "https://h/a": (2, 2.0), "https://z/c": (1, 0.0)}
+
+
+def test_pattern_metacharacters_are_literal(spark):
+    body = "User-agent: *\nDisallow: /a+b(c)\nDisallow: /x.y$\nDisallow: /q?z\nDisallow: /w\\Ev\nDisallow: /[br]"
+    files = spark.createDataFrame([("h", "2024-01-31 00:00:00", 200, body)], "host STRING, fetched_at STRING, status INT, body STRING")
+    rules = rb.parse_robots(files.withColumn("fetched_at", F.to_timestamp("fetched_at")))
+    cases = [
+        ("https://h/a+b(c)/1", False),
+        ("https://h/aab(c)", True),  # '+' is not a quantifier
+        ("https://h/x.y", False),
+        ("https://h/xzy", True),  # '.' is not any character
+        ("https://h/x.y/z", True),  # '$' anchors the end
+        ("https://h/q?z", True),  # the query is not part of the matched path
+        ("https://h/w%5CEv", False),  # a literal backslash-E in the pattern
+        ("https://h/[br]", False),
+        ("https://h/b", True),
+    ]
+    urls = spark.createDataFrame([(u,) for u, _ in cases], "url STRING")
+    got = {r.url: r.allowed for r in rb.robots_filter(urls, rules).collect()}
+    assert got == dict(cases)
