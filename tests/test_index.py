@@ -50,9 +50,10 @@ def test_number_rows_with_a_hot_group(spark):
     cold = spark.range(7).select(F.lit("cold").alias("g"), F.col("id").alias("o"))
     none = spark.range(2).select(F.lit(None).cast("string").alias("g"), F.col("id").alias("o"))
     df = hot.unionByName(cold).unionByName(none)
-    out = number_rows(df, [F.col("o")], ["g"], name="rn", partitions=8)
-    bad = out.where(F.col("rn") != F.col("o") + 1).count()
-    assert bad == 0 and out.count() == 3009
+    for window_rows in (100, 1_000_000):  # range-partitioned path, then the bounded-window path
+        out = number_rows(df, [F.col("o")], ["g"], name="rn", partitions=8, window_group_rows=window_rows)
+        bad = out.where(F.col("rn") != F.col("o") + 1).count()
+        assert bad == 0 and out.count() == 3009
 
 
 def test_collection_stats(spark):
@@ -66,8 +67,15 @@ def test_number_rows_aqe_sized_ranges(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
         hot = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
-        out = number_rows(hot, [F.col("o")], ["g"], name="rn")
+        out = number_rows(hot, [F.col("o")], ["g"], name="rn", window_group_rows=10)
         bad = out.where(F.col("rn") != (F.floor(F.col("o") / 3) + 1)).count()
         assert bad == 0 and out.count() == 5000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_number_rows_global_both_paths(spark):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("o"))
+    for window_rows in (50, 1_000_000):
+        out = number_rows(df, [F.col("o")], name="rn", window_group_rows=window_rows)
+        assert out.where(F.col("rn") != F.col("o") + 1).count() == 0 and out.count() == 2000

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,40 +28,46 @@ def number_rows(
     name: str = "rn",
     partitions: int | None = None,
     broadcast_groups: int = 200_000,
+    window_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, ... within each ``partition_by`` group in ``order_by`` order.
 
     ``order_by`` should make the order total (add a unique tie-break column),
     otherwise tied rows get their numbers in an arbitrary order.
 
-    Jobs: one sample and one shuffle of the input (persisted so its upstream
-    runs once), a checkpoint of the numbered partitions, and a small count.
-    The per-(partition, group) offsets - at most one row per group and
-    partition - are broadcast when a bounded count allows, so the rows are
-    never shuffled a second time.
+    The input is checkpointed once (its upstream runs once and the rows stay
+    fixed if an executor is lost). A cheap aggregate then measures the largest
+    group: when every group has at most ``window_group_rows`` rows, a plain
+    ``row_number()`` window numbers them (no task holds more than that bound);
+    otherwise the rows are range-partitioned on (group, order) so a hot group
+    spans many tasks, each task numbers its rows locally (partition ids and
+    positions pinned by a second checkpoint), and per-(partition, group)
+    offsets - broadcast when a bounded count allows - complete the numbers.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = [F.col(c) for c in partition_by]
-    # Range partitioning samples its input first; persisting it keeps the
-    # upstream from running twice. The bounds are fixed once sampled.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    fixed = df.checkpoint(eager=True)
+    if window_group_rows > 0:
+        sizes = fixed.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rn_size"))
+        largest = sizes.agg(F.max("_rn_size")).first()[0] or 0
+        if largest <= window_group_rows:
+            w = Window.partitionBy(*keys).orderBy(*order_by) if keys else Window.orderBy(*order_by)
+            return fixed.select(*[F.col(c) for c in df.columns], F.row_number().over(w).cast("bigint").alias(name))
     # Without an explicit count, AQE sizes the range exchange; coalesced
     # partitions are adjacent ranges, so the order across partitions holds.
     ranged = (
-        source.repartitionByRange(partitions, *keys, *order_by)
+        fixed.repartitionByRange(partitions, *keys, *order_by)
         if partitions
-        else source.repartitionByRange(*keys, *order_by)
+        else fixed.repartitionByRange(*keys, *order_by)
     ).sortWithinPartitions(*keys, *order_by)
-    # The position is the offset within the sorted partition; the reliable
-    # checkpoint pins rows to positions so the counts and the numbering agree,
-    # also when an executor is lost and a stage is recomputed.
+    # Partition ids and positions are pinned by a reliable checkpoint, so the
+    # counts and the numbering below read exactly the same placement.
     tagged = (
         ranged.withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    source.unpersist()
     counts = tagged.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST))
     earlier = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     group_keys = [f"_rn_g{i}" for i in range(len(partition_by))]
