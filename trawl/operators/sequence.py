@@ -1,11 +1,13 @@
-"""Row numbers within groups without sending a whole group to one task.
+"""Row numbers within groups without sending an unbounded group to one task.
 
 ``row_number() over (partition by g order by o)`` puts every row of a group in
 one task, so one hot group (a third of the data) would run on a single core.
-Here the rows are range-partitioned on ``(g, o)`` instead, so a hot group is
-split over many tasks. Each task numbers its rows locally, and a small table of
-per-partition counts gives every group the number of its rows in earlier
-partitions. This generalises ``zipWithIndex`` to grouped numbering.
+The largest group is measured first: while every group is within a bound the
+window is fine and used. Beyond it the rows are range-partitioned on
+``(g, o)`` instead, so a hot group is split over many tasks. Each task numbers
+its rows locally, and a small table of per-partition counts gives every group
+the number of its rows in earlier partitions. This generalises
+``zipWithIndex`` to grouped numbering.
 """
 
 from __future__ import annotations
