@@ -114,3 +114,14 @@ def test_open_incomplete_index_fails_clearly(spark, tmp_path):
     ix.build_text_index(docs(spark)).rows.write.parquet(path)  # data without the commit marker
     with pytest.raises(FileNotFoundError):
         st.open_index(spark, path)
+
+
+def test_page_number_parsing():
+    assert [se.page_number(p) for p in ["1", "2", "0", "-1", "abc", "", None, " 3 ", 4]] == [1, 2, 1, 1, 1, 1, 1, 3, 4]
+
+
+def test_parse_page_column_matches_python(spark):
+    pages = ["1", "2", "0", "-1", "abc", "", " 3 "]
+    df = spark.createDataFrame([(p,) for p in pages], "page STRING")
+    got = [r[0] for r in df.select(se.parse_page(F.col("page"))).collect()]
+    assert got == [se.page_number(p) for p in pages]
