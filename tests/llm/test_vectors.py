@@ -1,0 +1,159 @@
+import numpy as np
+import pytest
+from helpers import SF, table
+from pyspark.sql import functions as F
+
+from trawl.llm import exact_search as es
+from trawl.llm import lsh_forest as lf
+from trawl.llm.queries import QUERIES
+
+VECS = "vec_id bigint, embedding array<float>, label int"
+
+
+def load(spark, sf=SF):
+    rows = [(r["vec_id"], np.array(r["embedding"], dtype=np.float64)) for r in table(spark, "embeddings", sf).collect()]
+    return np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+
+
+def brute(ids, vecs, query_rows, k):
+    out = {}
+    for j in query_rows:
+        scores = vecs @ vecs[j]
+        at = [i for i in np.lexsort((ids, -scores)) if ids[i] != ids[j]][:k]
+        out[int(ids[j])] = [(int(ids[i]), scores[i]) for i in at]
+    return out
+
+
+def ranked(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for rows in out.values():
+        rows.sort()
+        assert [r for r, _, _ in rows] == list(range(1, len(rows) + 1))
+    return {q: [(v, s) for _, v, s in rows] for q, rows in out.items()}
+
+
+def test_exact_query_matches_brute_force(spark):
+    ids, vecs = load(spark)
+    whole = np.floor(1024 * vecs).astype(np.int64)
+    want = brute(ids, whole, np.nonzero(ids % 100 == 0)[0], 10)
+    assert ranked(QUERIES["op3_exact_top_k"](spark, SF)) == {q: [(v, int(s)) for v, s in x] for q, x in want.items()}
+
+
+@pytest.mark.parametrize("shape", ["spread", "equal", "clusters", "coarse"])
+def test_pruning_keeps_every_result(spark, monkeypatch, shape):
+    """Lengths from tiny to long, ties, hubs: the same rows as without pruning."""
+    rng = np.random.default_rng(11)
+    n, d = 600, 12
+    vecs = rng.standard_normal((n, d))
+    if shape == "spread":
+        vecs *= np.exp(rng.uniform(-4, 4, (n, 1)))
+    elif shape == "clusters":
+        vecs = vecs[rng.integers(0, 5, n)] + 0.05 * rng.standard_normal((n, d))
+    elif shape == "coarse":
+        vecs = rng.integers(-1, 2, (n, d)) / 8
+    whole = np.floor(1024 * vecs).astype(np.int64)
+    for name, value in (("PART_ROWS", 70), ("BLOCK_QUERIES", 7), ("SEEDS", 40)):
+        monkeypatch.setattr(es, name, value)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(whole)], "vec_id bigint, vec array<bigint>")
+    got = ranked(es.exact_top_k(df, df.where("vec_id % 20 = 0"), 10))
+    want = brute(np.arange(n), whole, range(0, n, 20), 10)
+    assert got == {q: [(v, int(s)) for v, s in x] for q, x in want.items()}
+
+
+def test_both_prunings_happen_and_agree():
+    rng = np.random.default_rng(2)
+    vecs = (1000 * rng.standard_normal((400, 8))).astype(np.int64)
+    part = es.Part(np.arange(400), vecs)
+    q = vecs[5].astype(float)
+    scores = part.vecs @ vecs[5]
+    sizes = []
+    for threshold in (-1e18, 0.0, 0.3 * scores.max(), 0.9 * scores.max(), 1e12):
+        at = part.candidates(q, float(np.sqrt(q @ q)), threshold)
+        assert set(np.nonzero(scores >= threshold)[0]) <= set(at.tolist())
+        sizes.append(len(at))
+    assert sizes[0] == 400 and sizes[-1] == 0 and sizes[3] < sizes[0] and part.lists
+
+
+def odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0], 1),
+        (0, [1.0, 2.0], 1),
+        (100, [1.0, 2.0], 1),
+        (200, [0.0, 0.0], None),
+        (3, [1.0, None], 1),
+        (4, [nan, 1.0], 1),
+        (5, [inf, 1.0], 1),
+        (6, None, 1),
+        (7, [], 1),
+        (8, [3.0, 1.0], 1),
+        (9, [1.0, 2.0, 3.0], 1),
+        (300, [3e38, 3e38], 1),
+        (None, [1.0, 2.0], 1),
+    ]
+    return spark.createDataFrame(rows, VECS).withColumn("score", F.lit(1)).withColumn("id", F.lit("x"))
+
+
+def test_odd_vectors_exact(spark):
+    rows = odd_vectors(spark)
+    ints = rows.withColumn("vec", es.scaled(F.col("embedding")))
+    got = ranked(es.exact_top_k(ints, ints.where("vec_id % 100 = 0"), 10))
+    assert set(got) == {0, 100, 200, 300}
+    assert [v for v, _ in got[0]] == [300, 8, 100, 200]
+    assert got[0][1:3] == [(8, 5 << 20), (100, 5 << 20)] and got[200] == [(0, 0), (8, 0), (100, 0), (300, 0)]
+    assert got[300][0][1] == 2**63 - 1
+    assert es.exact_top_k(ints.limit(0), ints.limit(0), 10).count() == 0
+    assert es.exact_top_k(ints, ints.limit(0), 10).count() == 0
+
+
+def test_odd_vectors_forest(spark):
+    rows = odd_vectors(spark)
+    got = ranked(lf.nearest(rows, rows.where("vec_id % 100 = 0"), 20))
+    assert set(got) == {0, 100, 300}
+    assert [v for v, _ in got[0]] == [300, 8, 100] and got[0][1][1] == 5.0
+    assert lf.nearest(rows.limit(0), rows.limit(0), 20).count() == 0
+
+
+def recall(got, want):
+    return np.mean([len({v for v, _ in got[q]} & {v for v, _ in x}) / len(x) for q, x in want.items()])
+
+
+def test_forest_recall_and_scores(spark):
+    """Held against brute force where a shard is much larger than the candidates asked for."""
+    ids, vecs = load(spark, "/root/testdata/sf0.1")
+    queries = np.nonzero(ids % 20 == 0)[0]
+    want = brute(ids, vecs, queries, 20)
+    rows = table(spark, "embeddings", "/root/testdata/sf0.1")
+    # the production ratio of candidates to shard rows
+    ratio = lf.MIN_CANDIDATES / lf.SHARD_ROWS
+    got = ranked(lf.nearest(rows, rows.where("vec_id % 20 = 0"), 20, min_candidates=int(ratio * len(ids))))
+    assert recall(got, want) >= 0.9
+    place = {int(i): j for j, i in enumerate(ids)}
+    for q, rows in got.items():
+        assert len(rows) == 20 and rows == sorted(rows, key=lambda x: (-x[1], x[0]))
+        for v, s in rows:
+            assert abs(s - vecs[place[q]] @ vecs[place[v]]) < 1e-12
+
+
+def test_ascent_covers_the_least_number_at_the_longest_prefix():
+    rng = np.random.default_rng(4)
+    vecs = rng.standard_normal((500, 16))
+    forest = lf.Forest(np.arange(500), vecs, trees=5)
+    queries = lf.hash_strings(rng.standard_normal((20, 16)), 5)
+    low, high = forest.ascend(queries, 60)
+    for j in range(20):
+        for bits in range(lf.BITS, -1, -1):
+            shift = lf.BITS - bits
+            counts = [sum(int(s) >> shift == int(queries[t, j]) >> shift for s in forest.strings[t]) for t in range(5)]
+            if sum(counts) >= 60:
+                break
+        assert (high - low)[:, j].tolist() == counts
+
+
+def test_many_copies_are_all_candidates():
+    vecs = np.repeat(np.array([[1.0, 2.0, 3.0]]), 300, axis=0)
+    forest = lf.Forest(np.arange(300)[::-1].copy(), vecs, trees=3)
+    ((near, scores),) = forest.search(np.array([5]), vecs[:1], 4, 10)
+    assert near.tolist() == [0, 1, 2, 3] and set(scores) == {14.0}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.llm import exact_search, lsh_forest, packing, simhash
 from trawl.llm import license_scan as licenses
-from trawl.llm import packing, simhash
 from trawl.llm.common import read
 
 
@@ -17,10 +17,21 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(docs).select("doc_id", *licenses.summary(F.col("license_scan")))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    rows = rows.select("vec_id", exact_search.scaled(F.col("embedding")).alias("vec"))
+    return exact_search.exact_top_k(rows, rows.where("vec_id % 100 = 0"), 10)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return lsh_forest.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -28,8 +39,30 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_lsh_forest": op5_lsh_forest,
     "op6_simhash": op6_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+# FLOOR of a product with a power of two is exact, and so are the integer products.
+ORACLE: dict[str, str] = {
+    "op3_exact_top_k": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, q.vec AS query, c.vec_id AS vec_id,
+                   CAST(list_sum([q.vec[i] * c.vec[i] FOR i IN range(1, len(q.vec) + 1)]) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON len(q.vec) = len(c.vec) AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS INTEGER)
+                       AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
