@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, lsh_forest, packing, simhash
+from trawl.llm import exact_search, lsh_forest, packing, secret_scan, simhash
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 
@@ -37,12 +37,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", *secret_scan.summary(F.col("secret_scan")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_lsh_forest": op5_lsh_forest,
     "op6_simhash": op6_simhash,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 # FLOOR of a product with a power of two is exact, and so are the integer products.

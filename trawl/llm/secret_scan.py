@@ -1,0 +1,211 @@
+"""Secret scan by sliding-window entropy (operator 7), in DataFrame functions only.
+
+Three fixed patterns give the base spans: assignments to secret-like names,
+access keys and hex runs. The method adds spans: candidate strings (maximal
+runs of at least ``WINDOW`` characters of the base64 alphabets) are put into a
+character class by what they hold, and a window of ``WINDOW`` characters slides
+over each. The window's Shannon entropy is
+
+    H = log2(W) - (1 / W) sum c log2(c)
+
+over the counts ``c`` of its characters, and the sum is kept up incrementally:
+one character enters, one leaves, two counts change. Where H reaches the
+class's threshold, the span from the first such window to the end of the last
+is reported as ``entropy_<class>``. The sums are integers (``c log2(c)`` in
+millionths), so a threshold is met alike on every machine. Candidates on the
+allow list (identifiers, digests that name themselves, examples, plain
+sequences, paths) are suppressed; base spans never are.
+
+Offsets are code points, ends exclusive. Positions come from the lengths of the
+texts between matches, so a text is scanned whole in one row and nothing is
+shuffled.
+
+Defined results: a null or empty text has no span; the digest of no span is
+that of the empty string; repeated rows each give a row; extra columns are kept.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Fixed values of the task: kind, pattern, group whose length counts, least length.
+# "Followed by 14 or more" and "16 or more, not preceded by one" find the same
+# places as the plain runs with a length test after it, in one pass.
+BASE = (
+    (
+        "assign",
+        r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""",
+        2,
+        12,
+    ),
+    ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", r"(?<![0-9a-f])[0-9a-f]{16,}", 0, 16),
+)
+
+WINDOW = 20
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+# class, pattern of the whole candidate (the first that fits counts), least entropy of a window in bits
+CLASSES = (
+    ("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
+    ("digits", r"^[0-9]+$", 3.2),
+    ("letters", r"^[A-Za-z]+$", 4.0),
+    ("alnum", r"^[A-Za-z0-9]+$", 3.7),
+    ("base64", r"^(?=.*[0-9])(?=.*[A-Za-z]).*$", 3.7),
+)
+# A candidate that fits one of these is no secret.
+ALLOWED = (
+    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
+    r"(?i)^(?:sha(?:1|256|384|512)|md5)[-_=]",
+    r"^[a-z]+(?:[-_/][a-z]+)+$",
+    r"^/?(?:[A-Za-z0-9_-]{1,15}/){2,}[A-Za-z0-9_=-]*$",
+    r"(?i)0123456789|abcdefghijkl|qwertyuiop",
+    r"^[=_/+-]+$",
+)
+# Text right before a candidate that says what it is.
+ALLOWED_BEFORE = r"(?i)(?:sha(?:1|256|384|512)|md5|digest|checksum|commit|integrity|base64)[\"']?\s*[:,=@-]\s*[\"']?$"
+_BEFORE_CHARS = 24
+_MILLION = 1_000_000
+
+
+def _c_log_c(c: int) -> int:
+    return round(c * math.log2(c) * _MILLION) if c else 0
+
+
+def _places(text: Column, pattern: str, group: int) -> Column:
+    """Leftmost non-overlapping matches: ``array<struct<start, end, value, before>>``.
+
+    ``split`` with limit -1 gives the texts between the matches, one more than
+    there are matches; the running sum of lengths gives the offsets. ``value``
+    is the given group.
+    """
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("match"), value.alias("value"))
+    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
+
+    def step(state: Column, part: Column) -> Column:
+        start = state["at"] + F.length(part["gap"])
+        end = start + F.length(part["match"])
+        place = F.struct(
+            start.alias("start"), end.alias("end"), part["value"].alias("value"),
+            F.right(part["gap"], F.lit(_BEFORE_CHARS)).alias("before"),
+        )
+        return F.when(part["match"].isNull(), state).otherwise(
+            F.struct(end.alias("at"), F.concat(state["found"], F.array(place)).alias("found"))
+        )
+
+    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
+    return F.when(text.rlike(pattern), found).otherwise(empty)
+
+
+def _window_span(value: Column, most: Column) -> Column:
+    """``struct<first, last>``: first and last position whose window's sum is at most ``most``, else nulls."""
+    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c))
+    table = F.array(*[F.lit(_c_log_c(c)).cast("bigint") for c in range(WINDOW + 1)])
+    start = F.struct(
+        F.array_repeat(F.lit(0), 128).alias("counts"),
+        F.lit(0).cast("bigint").alias("sum"),
+        F.lit(None).cast("int").alias("first"),
+        F.lit(None).cast("int").alias("last"),
+    )
+    steps = F.transform(
+        codes,
+        lambda c, i: F.struct(i.alias("i"), c.alias("enter"), F.when(i >= WINDOW, F.get(codes, i - WINDOW)).alias("leave")),
+    )
+
+    def slide(state: Column, step: Column) -> Column:
+        enter, leave, counts = step["enter"], step["leave"], state["counts"]
+        stays = F.coalesce(enter == leave, F.lit(False))
+        changed = F.transform(
+            counts,
+            lambda c, k: c + F.when(k == enter, 1).otherwise(0) - F.when(F.coalesce(k == leave, F.lit(False)), 1).otherwise(0),
+        )
+        now, gone = F.get(counts, enter), F.get(counts, leave)
+        added = F.get(table, now + 1) - F.get(table, now)
+        removed = F.coalesce(F.get(table, gone - 1) - F.get(table, gone), F.lit(0).cast("bigint"))
+        total = F.when(stays, state["sum"]).otherwise(state["sum"] + added + removed)
+        met = (step["i"] >= WINDOW - 1) & (total <= most)
+        return F.struct(
+            F.when(stays, counts).otherwise(changed).alias("counts"),
+            total.alias("sum"),
+            F.when(met, F.coalesce(state["first"], step["i"] - (WINDOW - 1))).otherwise(state["first"]).alias("first"),
+            F.when(met, step["i"] + 1).otherwise(state["last"]).alias("last"),
+        )
+
+    return F.aggregate(steps, start, slide, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+
+
+def _entropy_spans(text: Column) -> Column:
+    """Spans that the method adds: ``array<struct<start, kind_no, end, kind>>``."""
+
+    def kind_no(value: Column) -> Column:
+        out = F.lit(None).cast("int")
+        for i in range(len(CLASSES) - 1, -1, -1):
+            out = F.when(value.rlike(CLASSES[i][1]), i).otherwise(out)
+        return out
+
+    most = F.array(*[F.lit(round(WINDOW * (math.log2(WINDOW) - h) * _MILLION)).cast("bigint") for _, _, h in CLASSES])
+    names = F.array(*[F.lit(f"entropy_{name}") for name, _, _ in CLASSES])
+
+    def allowed(c: Column) -> Column:
+        out = c["before"].rlike(ALLOWED_BEFORE)
+        for pattern in ALLOWED:
+            out = out | c["value"].rlike(pattern)
+        return out
+
+    candidates = F.filter(_places(text, CANDIDATE, 0), lambda c: ~allowed(c))
+    classed = F.filter(
+        F.transform(candidates, lambda c: F.struct(c["start"], c["value"], kind_no(c["value"]).alias("no"))),
+        lambda c: c["no"].isNotNull(),
+    )
+    spans = F.transform(
+        classed,
+        lambda c: F.struct(c["start"], c["no"], _window_span(c["value"], F.get(most, c["no"])).alias("span")),
+    )
+    return F.transform(
+        F.filter(spans, lambda c: c["span"]["first"].isNotNull()),
+        lambda c: F.struct(
+            (c["start"] + c["span"]["first"]).alias("start"),
+            (c["no"] + len(BASE)).alias("kind_no"),
+            (c["start"] + c["span"]["last"]).alias("end"),
+            F.get(names, c["no"]).alias("kind"),
+        ),
+    )
+
+
+def _base_spans(text: Column, no: int) -> Column:
+    kind, pattern, group, least = BASE[no]
+    kept = F.filter(_places(text, pattern, group), lambda c: F.length(c["value"]) >= least)
+    return F.transform(
+        kept,
+        lambda c: F.struct(c["start"], F.lit(no).alias("kind_no"), c["end"], F.lit(kind).alias("kind")),
+    )
+
+
+def secret_scan(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``secret_scan``: a struct of four span arrays, ``assign``, ``access``, ``hex`` and ``entropy``.
+
+    A span is ``struct<start, kind_no, end, kind>``.
+    """
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    spans = [_base_spans(whole, i).alias(kind[0]) for i, kind in enumerate(BASE)]
+    return docs.withColumn("secret_scan", F.struct(*spans, _entropy_spans(whole).alias("entropy")))
+
+
+def joined(spans: Column) -> Column:
+    """``kind:start:end`` by start, then kind as listed, comma-joined."""
+    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def summary(found: Column) -> list[Column]:
+    """The digest columns of a ``secret_scan`` struct."""
+    base = F.concat(*[found[kind[0]] for kind in BASE])
+    return [
+        *[F.size(found[kind[0]]).cast("bigint").alias(f"n_{kind[0]}") for kind in BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.concat(base, found["entropy"])).alias("spans"),
+    ]
