@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, lsh_forest, packing, secret_scan, simhash
+from trawl.llm import exact_search, lsh_forest, mixing, packing, secret_scan, simhash
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 
@@ -42,6 +42,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secret_scan.summary(F.col("secret_scan")))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    docs = docs.withColumn("domain", F.expr(mixing.domain()))
+    taken = mixing.mix_sources(docs, mixing.CORPUS_MIX)
+    return taken.select("doc_id", "domain", "lang", "source", F.col("epoch").cast("bigint").alias("epoch"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_exact_top_k": op3_exact_top_k,
@@ -49,8 +56,90 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lsh_forest": op5_lsh_forest,
     "op6_simhash": op6_simhash,
     "op7_secret_scan": op7_secret_scan,
+    "op9_mixing": op9_mixing,
 }
 
+
+
+def _filled(level: str, parent: str, name: str) -> str:
+    """One level of the budget: children ``(parent path, name, cap, weight, budget)`` in ``level``."""
+    group = f"PARTITION BY {parent}" if parent else ""
+    order = f"ORDER BY CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE), {name}"
+    return f"""(
+        SELECT * EXCLUDE (budget, owned, r, w, share, left_over),
+               share + CASE WHEN owned = 0 AND row_number() OVER ({group} ORDER BY left_over DESC, {name})
+                                 <= budget - sum(share) OVER ({group}) THEN 1 ELSE 0 END AS budget
+        FROM (
+            SELECT *, CASE WHEN owned = 1 THEN cap ELSE (r * weight) // w END AS share,
+                   CASE WHEN owned = 1 THEN -1 ELSE (r * weight) % w END AS left_over
+            FROM (
+                SELECT * EXCLUDE (own),
+                       budget - sum(CASE WHEN owned = 1 THEN cap ELSE 0 END) OVER ({group}) AS r,
+                       sum(CASE WHEN owned = 0 THEN weight ELSE 0 END) OVER ({group}) AS w
+                FROM (
+                    SELECT *, min(own) OVER ({group} {order} ROWS UNBOUNDED PRECEDING) AS owned
+                    FROM (
+                        SELECT *, CASE WHEN (budget - coalesce(sum(cap) OVER ({group} {order}
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight
+                                 >= cap * sum(weight) OVER ({group} {order}
+                                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                               THEN 1 ELSE 0 END AS own
+                        FROM {level} WHERE weight > 0 AND cap > 0
+                    )
+                )
+            )
+        )
+    )"""
+
+
+_MIXING_SQL = f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, lang, source,
+               'd' || CAST(ascii(md5(coalesce(source, ''))) % 4 AS VARCHAR) AS domain,
+               coalesce(lang, '') AS p1, coalesce(source, '') AS p2
+        FROM documents
+    ), counted AS (
+        SELECT doc_id, lang, source, domain, domain AS p0, p1, p2,
+               CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS HUGEINT) AS n
+        FROM d
+    ), leaves AS (
+        SELECT p0, p1, p2, CAST(sum(n) AS HUGEINT) AS tokens, CAST(sum(n) AS HUGEINT) * 4 AS cap
+        FROM counted GROUP BY ALL
+    ), l0 AS (
+        SELECT p0, CAST(sum(cap) AS HUGEINT) AS cap,
+               CAST(CASE p0 WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END AS HUGEINT) AS weight,
+               (SELECT CAST(sum(tokens) AS HUGEINT) FROM leaves) AS budget
+        FROM leaves GROUP BY p0
+    ), b0 AS (SELECT * FROM {_filled("l0", "", "p0")}
+    ), l1 AS (
+        SELECT p0, p1, CAST(sum(leaves.cap) AS HUGEINT) AS cap,
+               CAST(CASE p1 WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS HUGEINT) AS weight,
+               any_value(b0.budget) AS budget
+        FROM leaves JOIN b0 USING (p0) GROUP BY p0, p1
+    ), b1 AS (SELECT * FROM {_filled("l1", "p0", "p1")}
+    ), l2 AS (
+        SELECT p0, p1, p2, CAST(leaves.cap AS HUGEINT) AS cap, CAST(1 AS HUGEINT) AS weight, b1.budget
+        FROM leaves JOIN b1 USING (p0, p1)
+    ), b2 AS (SELECT * FROM {_filled("l2", "p0, p1", "p2")}
+    ), spent AS (
+        SELECT p0, p1, p2,
+               CASE WHEN tokens > 0 THEN coalesce(budget, 0) // tokens ELSE 0 END AS whole,
+               CASE WHEN tokens > 0 AND coalesce(budget, 0) = 0 THEN -1
+                    WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+        FROM leaves LEFT JOIN b2 USING (p0, p1, p2)
+    ), placed AS (
+        SELECT *, sum(n) OVER (PARTITION BY p0, p1, p2 ORDER BY key) AS upto
+        FROM (
+            SELECT *, md5('17:' || CAST(CAST(whole AS BIGINT) AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), ''))
+                   AS key
+            FROM counted JOIN spent USING (p0, p1, p2)
+        )
+    ), copies AS (
+        SELECT *, unnest(range(0, CAST(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT))) AS epoch FROM placed
+    )
+    SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch FROM copies
+"""
+
 # FLOOR of a product with a power of two is exact, and so are the integer products.
 ORACLE: dict[str, str] = {
     "op3_exact_top_k": """
@@ -71,4 +160,5 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op9_mixing": _MIXING_SQL,
 }
