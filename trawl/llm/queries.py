@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, lsh_forest, mixing, packing, secret_scan, simhash
+from trawl.llm import exact_search, lsh_forest, mixing, packing, quality, secret_scan, simhash
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 
@@ -42,6 +42,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secret_scan.summary(F.col("secret_scan")))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit_on_kept_labels(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = docs.select("doc_id", quality.held_out().alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     docs = docs.withColumn("domain", F.expr(mixing.domain()))
@@ -56,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lsh_forest": op5_lsh_forest,
     "op6_simhash": op6_simhash,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
 }
 
