@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, lsh_forest, mixing, packing, quality, secret_scan, simhash
+from trawl.llm import exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 
@@ -56,6 +56,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "domain", "lang", "source", F.col("epoch").cast("bigint").alias("epoch"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_exact_top_k": op3_exact_top_k,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 
@@ -148,6 +153,41 @@ _MIXING_SQL = f"""
     SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch FROM copies
 """
 
+# Rarest words first by the true count of sets that hold a word; any order gives the same pairs.
+_LINES_SQL = """
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+    lines AS (
+        SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line, len(parts) AS n_lines FROM d
+    ), sets AS (
+        SELECT doc_id, line_no, list_sort(list_distinct(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'))) AS words
+        FROM lines
+    ), worded AS (SELECT * FROM sets WHERE len(words) > 0
+    ), classes AS (
+        SELECT words, min(struct_pack(d := doc_id, l := line_no)) AS place, row_number() OVER () AS c FROM worded GROUP BY words
+    ), words AS (SELECT c, unnest(words) AS w FROM classes
+    ), counts AS (SELECT w, count(*) AS n FROM words GROUP BY w
+    ), ordered AS (
+        SELECT c, w, row_number() OVER (PARTITION BY c ORDER BY n, w) AS pos FROM words JOIN counts USING (w)
+    ), prefixes AS (
+        SELECT c, w FROM ordered JOIN classes USING (c)
+        WHERE pos <= len(words) - CAST(ceil(len(words) * 4 / 5.0) AS INTEGER) + 1
+    ), pairs AS (
+        SELECT DISTINCT a.c AS a, b.c AS b FROM prefixes AS a JOIN prefixes AS b ON a.w = b.w AND a.c <> b.c
+    ), gone AS (
+        SELECT DISTINCT b.c FROM pairs JOIN classes AS a ON pairs.a = a.c JOIN classes AS b ON pairs.b = b.c
+        WHERE a.place < b.place
+          AND 9 * len(list_intersect(a.words, b.words)) >= 4 * (len(a.words) + len(b.words))
+    ), removed AS (
+        SELECT doc_id, line_no FROM worded JOIN classes USING (words)
+        WHERE NOT (place.d = doc_id AND place.l = line_no) OR c IN (SELECT c FROM gone)
+    )
+    SELECT d.doc_id, CAST(len(parts) AS BIGINT) AS n_lines, coalesce(r.n, 0) AS n_removed, coalesce(r.l, '') AS removed_lines
+    FROM d LEFT JOIN (
+        SELECT doc_id, count(*) AS n, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS l
+        FROM removed GROUP BY doc_id
+    ) AS r ON d.doc_id = r.doc_id
+"""
+
 # FLOOR of a product with a power of two is exact, and so are the integer products.
 ORACLE: dict[str, str] = {
     "op3_exact_top_k": """
@@ -169,4 +209,5 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
     "op9_mixing": _MIXING_SQL,
+    "op10_line_dedup": _LINES_SQL,
 }
