@@ -144,7 +144,8 @@ def token_pieces(
         return pd.Series(out, dtype=object)
 
     one = small_batches(docs).select(F.col(id_col), tokenise(F.col(text).cast("string")).alias("pieces"))
-    return one.select(F.col(id_col), F.inline("pieces"))
+    # outer, as every text has a piece and a plain inline would make Spark filter by, and so compute, the UDF twice
+    return one.select(F.col(id_col), F.inline_outer("pieces"))
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
