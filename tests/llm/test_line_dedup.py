@@ -63,7 +63,7 @@ def test_threshold_and_chains(spark):
     ten = [f"t{i}" for i in range(10)]
     texts = [
         " ".join(ten),
-        " ".join([*ten[:9], "other"]),  # 9 / 11: stays
+        " ".join([*ten[:8], "o1", "o2"]),  # 8 / 12: stays
         " ".join(ten[:8]),  # 8 / 10: goes
         " ".join(ten[:7]),  # 7 / 8 with the one that went: goes
         "t0",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash
+from trawl.llm import exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 
@@ -17,6 +17,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(docs).select("doc_id", *licenses.summary(F.col("license_scan")))
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.derive(warc.responses_from_pages(pages))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     rows = rows.select("vec_id", exact_search.scaled(F.col("embedding")).alias("vec"))
@@ -62,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_lsh_forest": op5_lsh_forest,
