@@ -246,20 +246,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", len
 
     A column ``length``, if there is one, is set to the new text's length.
     """
-    kept = kept_lines(docs, id_col, text).withColumnsRenamed({"__id": "__kept_id", "__key": "__kept_key"})
+    kept = kept_lines(docs, id_col, text).withColumnsRenamed({"__id": "__kept_id", "__key": "__kept_key", "kept": "__kept"})
     whole = F.col(text).cast("string")
     keyed = docs.withColumns({"__doc": F.col(id_col), "__text_key": F.xxhash64(whole)})
     same = F.col("__doc").eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key"))
     worded = F.coalesce(whole.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    found = keyed.join(kept, same, "left").where(F.col("kept").isNotNull() | ~worded)
+    found = keyed.join(kept, same, "left").where(F.col("__kept").isNotNull() | ~worded)
     stays = F.filter(
         F.transform(
             F.split(whole, "\n", -1),
-            lambda line, i: F.when(~line.rlike("[^\\x20\\x09-\\x0D]") | F.array_contains(F.col("kept"), i), line),
+            lambda line, i: F.when(~line.rlike("[^\\x20\\x09-\\x0D]") | F.array_contains(F.col("__kept"), i), line),
         ),
         lambda line: line.isNotNull(),
     )
-    out = found.withColumn("__new", F.when(F.col("kept").isNull(), whole).otherwise(F.array_join(stays, "\n")))
+    out = found.withColumn("__new", F.when(F.col("__kept").isNull(), whole).otherwise(F.array_join(stays, "\n")))
     renewed = {text: F.col("__new")}
     if length and length in docs.columns:
         renewed[length] = F.length("__new").cast(docs.schema[length].dataType)

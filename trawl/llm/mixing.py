@@ -133,7 +133,7 @@ def _key(seed: int, epoch: Column, id_col: str) -> Column:
 
 
 def _cuts(counted: DataFrame, budgets: DataFrame, mix: Mixture, id_col: str) -> DataFrame:
-    """``(path columns, whole, last_key)``: whole epochs, and the last key of the prefix (null: none)."""
+    """``(path columns, __whole, __last_key)``: whole epochs, and the last key of the prefix (null: none)."""
     names = list(mix.names)
     spent = budgets.withColumns(
         {
@@ -157,7 +157,7 @@ def _cuts(counted: DataFrame, budgets: DataFrame, mix: Mixture, id_col: str) ->
     )
     return (
         spent.join(whole_slots, names, "left").join(inside, names, "left")
-        .select(*names, "whole", F.greatest("a", "b").alias("last_key"))
+        .select(*names, F.col("whole").alias("__whole"), F.greatest("a", "b").alias("__last_key"))
     )
 
 
@@ -176,8 +176,8 @@ def mix_sources(docs: DataFrame, mix: Mixture, id_col: str = "doc_id", text: str
     cuts = materialize(_cuts(counted, leaf_budgets(leaves, mix), mix, id_col), "cuts")
     out = docs.columns
     placed = docs.withColumns(path).join(cuts, names)
-    taken = F.col("whole") + F.when(_key(mix.seed, F.col("whole"), id_col) <= F.col("last_key"), 1).otherwise(0)
-    copies = placed.withColumn("__taken", F.coalesce(taken, F.col("whole")).cast("int")).where("__taken > 0")
+    in_prefix = _key(mix.seed, F.col("__whole"), id_col) <= F.col("__last_key")
+    copies = placed.withColumn("__taken", (F.col("__whole") + F.when(in_prefix, 1).otherwise(0)).cast("int")).where("__taken > 0")
     numbered = copies.withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__taken") - 1)))
     return numbered.select(*[F.col(c) for c in out if c != epoch], F.col("__epoch").alias(epoch))
 
