@@ -12,8 +12,8 @@ first by a hash of the id, a documented bound; scoring covers every row.
 
 Defined results: a null text counts as empty, and an empty text is scored like
 any other; labels that are null or differ for one id are left out; with fewer
-than two classes among the labels the score is the share of label 1 (0.5
-without labels); repeated rows each give a row; extra columns are kept.
+than two classes among the labels, or too few rows to split, the score is the
+share of label 1 (0.5 without labels); repeated rows each give a row; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -162,16 +162,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     return materialize(found.select("label", *[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()]), "statistics")
 
 
+def _constant(share: float) -> RuleModel:
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    return RuleModel(math.log(share / (1 - share)), ())
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> RuleModel:
     """Fit the ensemble on labelled rows; rows to hold out must be left out of ``labels``."""
     rows = training_rows(docs, labels, id_col, text, label)
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones in (0, n):
-        share = min(max(ones / n, 1e-6), 1 - 1e-6) if n else 0.5
-        return RuleModel(math.log(share / (1 - share)), ())
+        return _constant(ones / n if n else 0.5)
     vectors = rows.select("label", array_to_vector(F.array(*STATISTICS)).alias("features"))
     trees = GBTClassifier(maxDepth=DEPTH, maxIter=TREES, stepSize=0.3, subsamplingRate=0.7, maxBins=64, minInstancesPerNode=5, seed=SEED).fit(vectors)
     rules = tree_rules(trees, STATISTICS)
+    if not rules:  # too few rows for any split
+        return _constant(ones / n)
     stats = F.struct(*STATISTICS)
     held = F.transform(F.array(stats), lambda s: F.array(*[r.column(s).cast("double") for r in rules]))
     fired = materialize(rows.select("label", F.get(held, F.lit(0)).alias("fired")), "rules")
