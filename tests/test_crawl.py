@@ -52,3 +52,23 @@ def test_crawl_matches_brute_force(spark):
                     nxt.append(v)
         frontier = nxt
     assert got == depth
+
+
+def test_crawl_index_reads_only_allowed_answered_and_reached_pages(spark):
+    from trawl.operators.links import crawl_index
+    from trawl.operators.robots import pattern_regex
+    from pyspark.sql import functions as F
+
+    pages = [("https://s/a", 200, "<p>one"), ("https://s/b", 200, "<p>two"), ("https://s/no/c", 200, "<p>three"),
+             ("https://s/d", 404, None), ("https://s/e", 200, "<p>five"), ("https://s/f", 200, "<p>six")]
+    fetched = spark.createDataFrame(pages, "url STRING, status INT, html STRING")
+    links = spark.createDataFrame(
+        [("https://s/a", "/b"), ("https://s/a", "/no/c"), ("https://s/no/c", "/e"), ("https://s/b", "/d"), ("https://s/d", "/f")],
+        "src STRING, href STRING",
+    )
+    rules = spark.createDataFrame([("s", "disallow", "/no/")], "host STRING, kind STRING, p STRING").withColumn("regex", pattern_regex(F.col("p")))
+    visited, index = crawl_index(fetched, links, "https://s/a", rules)
+    got = {(r.url, r.depth, r.fetched) for r in visited.collect()}
+    assert got == {("https://s/a", 0, True), ("https://s/b", 1, True), ("https://s/no/c", 1, False), ("https://s/d", 2, False)}
+    assert {r.term for r in index.postings.collect()} == {"one", "two"}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("trawl_crawl")]

@@ -50,10 +50,9 @@ def test_number_rows_with_a_hot_group(spark):
     cold = spark.range(7).select(F.lit("cold").alias("g"), F.col("id").alias("o"))
     none = spark.range(2).select(F.lit(None).cast("string").alias("g"), F.col("id").alias("o"))
     df = hot.unionByName(cold).unionByName(none)
-    for window_rows in (100, 1_000_000):  # range-partitioned path, then the bounded-window path
-        out = number_rows(df, [F.col("o")], ["g"], name="rn", partitions=8, window_group_rows=window_rows)
-        bad = out.where(F.col("rn") != F.col("o") + 1).count()
-        assert bad == 0 and out.count() == 3009
+    out = number_rows(df, [F.col("o")], ["g"], name="rn", partitions=8)
+    bad = out.where(F.col("rn") != F.col("o") + 1).count()
+    assert bad == 0 and out.count() == 3009
 
 
 def test_collection_stats(spark):
@@ -67,15 +66,71 @@ def test_number_rows_aqe_sized_ranges(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
         hot = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
-        out = number_rows(hot, [F.col("o")], ["g"], name="rn", window_group_rows=10)
+        out = number_rows(hot, [F.col("o")], ["g"], name="rn")
         bad = out.where(F.col("rn") != (F.floor(F.col("o") / 3) + 1)).count()
         assert bad == 0 and out.count() == 5000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_number_rows_global_both_paths(spark):
+def test_number_rows_without_a_group(spark):
     df = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("o"))
-    for window_rows in (50, 1_000_000):
-        out = number_rows(df, [F.col("o")], name="rn", window_group_rows=window_rows)
-        assert out.where(F.col("rn") != F.col("o") + 1).count() == 0 and out.count() == 2000
+    out = number_rows(df, [F.col("o")], name="rn")
+    assert out.where(F.col("rn") != F.col("o") + 1).count() == 0 and out.count() == 2000
+
+
+def _scores(index, spark):
+    from trawl.operators import search as se
+
+    q = spark.createDataFrame([(1, "x y")], "qid BIGINT, q STRING")
+    return {r.url: round(r.score, 12) for r in se.search_scores(index, q).collect()}
+
+
+def test_appended_parts_on_disk_search_like_one_index(spark, tmp_path):
+    import pytest
+
+    from trawl.sources import index_store as st
+
+    rows = [("u1", "x y"), ("u2", "x z"), ("u3", "z"), ("u4", "y y w")]
+    def index(some, **kw):
+        return ix.build_text_index(spark.createDataFrame(some, "url STRING, text STRING"), **kw)
+    whole, path = _scores(index(rows), spark), str(tmp_path / "ix")
+    st.write_index(index(rows[:2]), path, buckets=4)
+    st.append_index(index(rows[2:]), path)
+    st.append_index(index(rows[1:3], seq=F.lit(0)), path)  # again: nothing changes
+    appended = st.open_index(spark, path)
+    assert not appended.is_resolved and _scores(appended, spark) == whole
+    compact = st.compact_index(appended, str(tmp_path / "one"), buckets=4)
+    assert compact.is_resolved and _scores(compact, spark) == whole
+    assert {r.term: r.df for r in compact.terms.collect()} == {"x": 2, "y": 2, "z": 2, "w": 1}
+    st.append_index(index([("u1", "x x x w")]), path)  # a page sent again: last postings, first document
+    again = st.open_index(spark, path).resolved()
+    assert {r.url: r.word_count for r in again.documents.collect()}["u1"] == 2
+    assert {(r.term, r.cnt) for r in again.postings.where("url = 'u1'").collect()} == {("x", 3), ("y", 1), ("w", 1)}
+    with pytest.raises(ValueError):
+        st.write_index(index(rows), path, buckets=4, mode="append")
+    assert ix.export_nested(st.open_index(spark, path)).count() == 4
+
+
+def test_a_term_is_in_few_files_of_its_bucket(spark, tmp_path):
+    """Files hold disjoint ranges of terms, so a lookup opens only those with the term."""
+    from trawl.sources import index_store as st
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        text = spark.range(400).select(
+            F.concat(F.lit("u"), F.col("id")).alias("url"),
+            F.array_join(F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: F.concat(F.lit("w"), i * 37 + F.col("id") % 37)), " ").alias("text"),
+        )
+        path = str(tmp_path / "ix")
+        st.write_index(ix.build_text_index(text), path, buckets=2)
+        stored = spark.read.parquet(path).where("term_bucket >= 0").withColumn("file", F.input_file_name())
+        spans = stored.groupBy("term_bucket", "file").agg(F.min("term").alias("a"), F.max("term").alias("b")).collect()
+        assert len(spans) > 4
+        for x in spans:
+            for y in spans:
+                if x.term_bucket == y.term_bucket and x.file < y.file:
+                    assert x.b <= y.a or y.b <= x.a
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

@@ -40,7 +40,8 @@ def test_batch_search_on_disk_uses_dynamic_pruning_and_broadcast(spark, tmp_path
     path = str(tmp_path / "ix")
     st.write_index(ix.build_text_index(text_documents(spark, SF001)), path, buckets=8)
     index = st.open_index(spark, path)
-    q = spark.createDataFrame([(1, "anat ouen"), (2, "thon the")], "qid BIGINT, q STRING")
+    spark.createDataFrame([(1, "anat ouen"), (2, "thon the")], "qid BIGINT, q STRING").write.parquet(str(tmp_path / "q"))
+    q = spark.read.parquet(str(tmp_path / "q"))
     text = se.search(index, q, k=10)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in text
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
@@ -58,8 +59,8 @@ def test_crawl_round_does_not_shuffle_edges_or_visited(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         edges = spark.range(100).select(F.concat(F.lit("u"), F.col("id")).alias("src"), F.lit("u1").alias("dst"))
-        et = _bucketed(edges, "src", 8, "plan_edges")
-        vt = _bucketed(spark.range(3).select(F.concat(F.lit("u"), F.col("id")).alias("url")), "url", 8, "plan_vis")
+        et, _ = _bucketed(edges, "src", 8, "plan_edges")
+        vt, _ = _bucketed(spark.range(3).select(F.concat(F.lit("u"), F.col("id")).alias("url")), "url", 8, "plan_vis")
         frontier = spark.range(2).select(F.concat(F.lit("u"), F.col("id")).alias("url"))
         e = spark.table(et)
         step = (
@@ -72,3 +73,18 @@ def test_crawl_round_does_not_shuffle_edges_or_visited(spark):
         assert text.count("Bucketed: true") == 2 or "SelectedBucketsCount" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbering_and_counts_need_no_single_partition_sort_or_expand(spark):
+    from trawl.operators import links as lk
+    from trawl.operators import reports as rp
+    from trawl.plans import fixtures as fx
+    from trawl.sources.tables import web_pages
+
+    index = ix.build_text_index(text_documents(spark, SF001))
+    dictionary = ix.term_dictionary(index.postings)
+    assert dictionary.select(F.max("term_id")).first()[0] == index.postings.select("term").distinct().count()
+    for df in (lk.outlink_counts(lk.resolved_links(web_pages(spark, SF001))), rp.crawl_report(fx.fetch_log(spark, SF001))):
+        assert "Expand" not in plan(df)
+    assert "SortAggregate" not in plan(ix.last_wins_postings(index.postings))
+    assert "SortAggregate" not in plan(ix.first_wins_documents(index.documents))

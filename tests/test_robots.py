@@ -44,6 +44,13 @@ def test_crawl_delay_last_valid_wins(spark):
     assert d["h"] == 1.5 and "gone" not in d
 
 
+def test_crawl_delay_takes_plain_numbers_only(spark):
+    values = ["NaN", "2d", "Infinity", "0x10", "1_0", "-3", "0", "+.5", "1e1"]
+    body = lambda v: f"User-agent: *\nCrawl-delay: {v}"
+    df = spark.createDataFrame([(v, "t", 200, body(v)) for v in values], "host STRING, fetched_at STRING, status INT, body STRING")
+    assert {r.host: r.delay_s for r in rb.crawl_delays(df).collect()} == {"+.5": 0.5, "1e1": 10.0}
+
+
 def test_filter(spark):
     rules = rb.parse_robots(files(spark).where("host = 'h'"))
     cases = [

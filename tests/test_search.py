@@ -41,7 +41,9 @@ def test_query_word_order_does_not_matter(spark):
 def test_same_part_twice_leaves_search_unchanged(spark):
     part = ix.build_text_index(docs(spark))
     again = ix.build_text_index(docs(spark), seq=F.lit(1))
-    doubled = ix.Index(part.documents.unionByName(again.documents), part.postings.unionByName(again.postings)).resolved()
+    doubled = ix.Index(
+        part.documents.unionByName(again.documents), part.postings.unionByName(again.postings), is_resolved=False
+    )
     q = spark.createDataFrame([(1, "banana cherry apple")], "qid BIGINT, q STRING")
     a = sorted((r.url, round(r.score, 12)) for r in se.search_scores(part, q).collect())
     b = sorted((r.url, round(r.score, 12)) for r in se.search_scores(doubled, q).collect())
@@ -116,12 +118,56 @@ def test_open_incomplete_index_fails_clearly(spark, tmp_path):
         st.open_index(spark, path)
 
 
-def test_page_number_parsing():
-    assert [se.page_number(p) for p in ["1", "2", "0", "-1", "abc", "", None, " 3 ", 4]] == [1, 2, 1, 1, 1, 1, 1, 3, 4]
+PAGES = ["1", "2", "0", "-1", "abc", "", None, " 3 ", "+4", "1_0", "３", "2147483648", "9" * 19, "9" * 25]
+NUMBERS = [1, 2, 1, 1, 1, 1, 1, 1, 4, 1, 1, 2147483648, 1, 1]
+
+
+def test_page_number_parsing(spark):
+    assert [se.page_number(p) for p in PAGES] == NUMBERS and se.page_number(4) == 4
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(PAGES)], "i INT, page STRING").orderBy("i")
+    assert [r[0] for r in df.select(se.parse_page(F.col("page"))).collect()] == NUMBERS
 
 
-def test_parse_page_column_matches_python(spark):
-    pages = ["1", "2", "0", "-1", "abc", "", " 3 "]
-    df = spark.createDataFrame([(p,) for p in pages], "page STRING")
-    got = [r[0] for r in df.select(se.parse_page(F.col("page"))).collect()]
-    assert got == [se.page_number(p) for p in pages]
+def test_far_pages_are_empty_and_never_fail(spark):
+    ranked = spark.range(1, 36).select(
+        F.lit(1).cast("bigint").alias("qid"), F.col("id").alias("rank"), F.lit("u").alias("url"), F.lit(1.0).alias("score")
+    )
+    pages = ["300000000", "2147483647", "99999999999", str(2**63 - 1), "1"]
+    reqs = spark.createDataFrame([(1, p) for p in pages], "qid BIGINT, page STRING")
+    assert {r.page for r in se.result_page(ranked, reqs).collect()} == {"1"}
+    facts = {r.page: r for r in se.paging_facts(ranked, reqs).collect()}
+    assert facts["99999999999"].start_index == 999999999980 and facts["99999999999"].end_index == 35
+    assert facts[str(2**63 - 1)].page_range == "1,2,3,4" and not facts[str(2**63 - 1)].has_next
+
+
+def test_requests_without_terms_or_far_away(spark, tmp_path):
+    from trawl.sources import index_store as st
+
+    path = str(tmp_path / "ix")
+    st.write_index(ix.build_text_index(docs(spark)), path, buckets=4)
+    for index in (ix.build_text_index(docs(spark)), st.open_index(spark, path)):
+        assert se.search_one(index, "").collect() == [] and se.search_one(index, ",;").collect() == []
+        for page in ("300000000", "99999999999", "x"):
+            assert se.search_one(index, "banana", page=page).count() == (3 if page == "x" else 0)
+
+
+def test_close_scores_rank_by_score(spark):
+    postings = spark.createDataFrame([("x", "a", 0.5), ("x", "b", 0.5 + 1e-12)], "term STRING, url STRING, tf DOUBLE")
+    index = ix.Index(spark.createDataFrame([("a", 1), ("b", 1)], "url STRING, word_count BIGINT"), postings)
+    q = spark.createDataFrame([(1, "x")], "qid BIGINT, q STRING")
+    assert [r.url for r in se.search_ranked(index, q).orderBy("rank").collect()] == ["b", "a"]
+    assert [r.url for r in se.search_ranked(index, q, decimals=9).orderBy("rank").collect()] == ["a", "b"]
+
+
+def test_search_page_shows_all_a_page_has(spark):
+    index = ix.build_text_index(
+        spark.createDataFrame([(f"https://h/a-{i:02d}.html", "x " + "y " * i) for i in range(12)], "url STRING, text STRING")
+    )
+    q = spark.createDataFrame([(1, "x"), (2, "nothing")], "qid BIGINT, q STRING")
+    reqs = spark.createDataFrame([(1, "2"), (2, "1"), (1, None)], "qid BIGINT, page STRING")
+    rows = se.search_page(index, q, reqs).orderBy("qid", "page", "rank").collect()
+    second = [r for r in rows if r.qid == 1 and r.page == "2"]
+    assert [r.rank for r in second] == [11, 12] and second[0].total == 12 and not second[0].has_next
+    assert second[0].display_url == "h/a-10.html" and second[0].title == "A 10" and second[0].clean_path.startswith("a-10-")
+    assert [(r.rank, r.total) for r in rows if r.qid == 2] == [(None, 0)]
+    assert len([r for r in rows if r.page is None]) == 10

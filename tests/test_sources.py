@@ -28,7 +28,10 @@ def test_stop_list_source(spark, tmp_path):
     bad = tmp_path / "bad.json"
     bad.write_text("{not json")
     assert read_stop_words(spark, str(bad)).count() == 0
-    assert stop_word_list(str(bad)) == ()
+    assert stop_word_list(spark, str(bad)) == ()
+    good = tmp_path / "good.json"
+    good.write_text('{"stopwords": ["x", "y", "x"]}')
+    assert stop_word_list(spark, str(good)) == ("x", "y")
 
 
 def test_sql_functions_equal_column_functions(spark):

@@ -35,6 +35,20 @@ def test_cut_off_page_and_unclosed_anchor(spark):
     assert words(spark, "<p>tail &amp") == ["tail", "&"]
 
 
+def test_unclosed_and_unmarked_elements(spark):
+    assert words(spark, "<p>a</p><style>p{color:red} zz") == ["a"]
+    assert words(spark, "y<!-- x <b>no</b> z") == ["y"]
+    assert words(spark, "<p>k</p><script>a<b>c d") == ["k", "a<b>c", "d"]
+    assert words(spark, "<!-- <script> -->rest<!-- </script> -->") == ["rest"]
+    assert words(spark, "<title>T &lt;i></title><textarea><b>raw&amp;</b></textarea> end") == ["end", "t", "<i>", "<b>raw&</b>"]
+
+
+def test_character_references(spark):
+    page = "caf&eacute; it&#8217;s f&uuml;r a&mdash;b &#x41;&#128;&#0;&#xD800;&#99999999999; &notit; &amp;lt; &bogus; &copy2 1&lt"
+    want = "café it’s für a—b a€\ufffd\ufffd\ufffd ¬it; &lt; &bogus; ©2 1<"
+    assert words(spark, page) == want.split()
+
+
 def test_unicode_whitespace_split(spark):
     df = spark.createDataFrame([("A b C\n\td  ",)], "t STRING")
     assert df.select(tokenize(F.col("t"))).first()[0] == ["a", "b", "c", "d"]

@@ -25,8 +25,23 @@ RESOLVE = [
     ("1a:b", None),  # colon in a scheme-less first segment
     ("HTTPS://Upper.example/X#frag", "https://Upper.example/X"),  # scheme lower-cased, host kept
     ("/p#frag", "https://h.example/p"),
+    ("https://u:pw@h.com/x", "https://u:pw@h.com/x"),
+    ("https://h:abc/p", None),  # a port is a number
+    ("https://h:8080/p", "https://h:8080/p"),
+    ("https://h:/p", "https://h:/p"),
+    ("http://[::1/p", None),  # a bracket that doesn't close
+    ("http://[::1]:8/p", "http://[::1]:8/p"),
+    ("http://[::1]x/p", None),
 ]
 
+
+def test_host_leaves_user_information_out(spark):
+    from trawl.operators.links import same_host_links
+
+    src = "https://user:pw@h.example/a"
+    links = spark.createDataFrame([(src, 0, "/b"), (src, 1, "https://h.example/c"), (src, 2, "https://x@o/d")], "src STRING, pos INT, href STRING")
+    assert sorted(r.pos for r in same_host_links(links).collect()) == [0, 1]
+
 EXTENSIONS = [
     ("/a?p=2", True),
     ("https://h.com", False),  # extension of the whole href: .com

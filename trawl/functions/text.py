@@ -6,34 +6,33 @@ one whole-stage-codegen projection (the higher-order ``filter`` excepted).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The HTML text-extraction chain, applied in this order.
-# Script bodies are collected first and appended raw (no entity decoding);
-# comments, style and anchor subtrees, then all tags (also cut-off ones) go.
-SCRIPT_BODY = r"(?is)<script\b[^>]*>(.*?)</script\s*>"
-SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
-COMMENT = r"(?s)<!--.*?-->"
-STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
+# The HTML text-extraction chain. Comments and elements whose
+# content isn't markup go in one pass, so that none hides in another; each
+# reaches to its end tag or, where a page is cut off, to the end. The content of
+# scripts is kept as it is, of textarea and title with references decoded.
+# Then anchor subtrees and all tags (also cut-off ones) go.
+_NOT_MARKUP = ("script", "style", "textarea", "title")
+OPAQUE = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in _NOT_MARKUP)
+SCRIPT_TEXT = r"(?is)\A<script\b[^>]*>(.*?)(?:</script\s*>)?\z"
+RAW_TEXT = r"(?is)\A<(?:textarea|title)\b[^>]*>(.*?)(?:</(?:textarea|title)\s*>)?\z"
 ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
 OPEN_ANCHOR = r"(?is)<a\b.*"
 TAG = r"<[/!?a-zA-Z][^>]*(>|\z)"
 
-# Character references decoded in page text, in this order;
-# the `;` is optional as in HTML and `amp` comes last.
-ENTITIES = (
-    (r"&nbsp;?", "\u00a0"),
-    (r"&copy;?", "©"),
-    (r"&middot;?", "·"),
-    (r"&quot;?", '"'),
-    (r"&#39;", "'"),
-    (r"&lt;?", "<"),
-    (r"&gt;?", ">"),
-    (r"&amp;?", "&"),
-)
+# Character references, by the table of the standard library: names that need a
+# semicolon end in one there; the others may stand without it.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+_SHORT_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+SHORT_NAME = "^(" + "|".join(_SHORT_NAMES) + ")"
+# Numbers 128 to 159 mean the characters of windows-1252.
+_WINDOWS_1252 = bytes(range(128, 160)).decode("cp1252", "replace")
 
 # Fixed value: characters trimmed from both ends of a token.
 TRIM_CHARS = ".,!?:;'"
@@ -49,17 +48,36 @@ def identity_stem(term: Column) -> Column:
     return term
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a number; those that are none give U+FFFD, as in HTML."""
+    odd = n.isNull() | (n <= 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    windows = F.substring(F.lit(_WINDOWS_1252), (n - 127).cast("int"), F.lit(1))
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return F.when(odd, "\ufffd").when(n.between(128, 159), windows).otherwise(plain)
+
+
+def _reference(ref: Column, names: Column) -> Column:
+    """One reference decoded; unknown names stay as they are."""
+    hexadecimal = F.conv(F.regexp_extract(ref, r"^&#[xX]([0-9A-Fa-f]{1,8});?$", 1), 16, 10).try_cast("bigint")
+    number = F.when(ref.rlike("^&#[xX]"), hexadecimal).otherwise(F.regexp_extract(ref, r"^&#([0-9]+)", 1).try_cast("bigint"))
+    name = F.substring(ref, 2, 1 << 20)
+    short = F.regexp_extract(name, SHORT_NAME, 1)
+    prefix = F.concat(F.try_element_at(names, short), F.substr(name, F.length(short) + 1))
+    return F.when(ref.startswith("&#"), _code_point(number)).otherwise(F.coalesce(F.try_element_at(names, name), prefix, ref))
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode the character references of ``ENTITIES``."""
-    for pattern, char in ENTITIES:
-        text = F.regexp_replace(text, pattern, char)
-    return text
+    """Named and numeric character references decoded once."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    pairs = F.arrays_zip(F.split(text, REFERENCE, -1).alias("gap"), F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)).alias("ref"))
+    decoded = F.transform(pairs, lambda p: F.concat(p["gap"], F.coalesce(_reference(p["ref"], names), F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
 def strip_markup(html: Column) -> Column:
-    """Remove scripts, comments, style, anchors and tags; each removal is a word boundary."""
+    """Remove comments, elements without markup, anchors and tags; each removal is a word boundary."""
     body = html
-    for pattern in (SCRIPT, COMMENT, STYLE, ANCHOR, OPEN_ANCHOR, TAG):
+    for pattern in (OPAQUE, ANCHOR, OPEN_ANCHOR, TAG):
         body = F.regexp_replace(body, pattern, " ")
     return body
 
@@ -67,11 +85,16 @@ def strip_markup(html: Column) -> Column:
 def html_text(html: Column) -> Column:
     """The indexable text of a page.
 
-    Text nodes outside ``<a>`` and ``<style>``, entities decoded, plus the raw
-    text of every script appended at the end (word bags do not depend on order).
+    Text nodes outside ``<a>`` and ``<style>`` with references decoded, and the
+    text of every textarea and title, and of every script as it is, appended at
+    the end (word bags do not depend on order).
     """
-    scripts = F.array_join(F.regexp_extract_all(html, F.lit(SCRIPT_BODY), 1), " ")
-    return F.concat_ws(" ", decode_entities(strip_markup(html)), scripts)
+    opaque = F.regexp_extract_all(html, F.lit(OPAQUE), F.lit(0))
+
+    def content(pattern: str) -> Column:
+        return F.array_join(F.transform(opaque, lambda x: F.regexp_extract(x, pattern, 1)), " ")
+
+    return F.concat_ws(" ", decode_entities(F.concat_ws(" ", strip_markup(html), content(RAW_TEXT))), content(SCRIPT_TEXT))
 
 
 def split_words(text: Column) -> Column:

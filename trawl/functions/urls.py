@@ -20,6 +20,9 @@ OPAQUE_REST = r"^[A-Za-z][A-Za-z0-9+.\-]*:([^#]*)"
 BAD_PERCENT = r"%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?\z)"
 CONTROL = r"[\x00-\x1f\x7f]"
 BAD_HOST = r"[\s{}|\\^`]"
+# A port that isn't a number (after the last ':'), or brackets that don't close before it.
+BAD_PORT = r"^[^\[].*:[0-9]*[^0-9:][^:]*\z|^:[0-9]*[^0-9:][^:]*\z|^\[[^\]]*\z|^\[.*\](?!(?::[0-9]*)?\z)[^\]]*\z"
+USER_INFO = r"^.*@"
 # A path made only of these characters is kept as written.
 PATH_KEPT = r"^[A-Za-z0-9\-_.~!$&'()*+,;=:@/\[\]%]*\z"
 # Escapes put back after encoding, so the path keeps these characters.
@@ -44,12 +47,8 @@ def url_part(url: Column, idx: int) -> Column:
 
 
 def url_host(url: Column) -> Column:
-    """Host with port ('' when there is no authority)."""
-    return url_part(url, 2)
-
-
-def url_path(url: Column) -> Column:
-    return url_part(url, 3)
+    """Host with port, without user information ('' when there is no authority)."""
+    return F.regexp_replace(url_part(url, 2), USER_INFO, "")
 
 
 def escape_path(path: Column) -> Column:
@@ -62,7 +61,7 @@ def escape_path(path: Column) -> Column:
 
 
 def invalid_url(ref: Column) -> Column:
-    """True when the URL would not parse: control characters, a bad escape, a bad host or a colon in a scheme-less first segment."""
+    """True when the URL would not parse: control characters, a bad escape, host or port, or a colon in a scheme-less first segment."""
     scheme = url_part(ref, 1)
     host = url_part(ref, 2)
     path = url_part(ref, 3)
@@ -72,6 +71,7 @@ def invalid_url(ref: Column) -> Column:
         ref.rlike(CONTROL)
         | F.concat(host, path, frag).rlike(BAD_PERCENT)
         | host.rlike(BAD_HOST)
+        | F.regexp_replace(host, USER_INFO, "").rlike(BAD_PORT)
         | no_scheme_colon
         | ref.startswith(":")
     )
@@ -121,7 +121,7 @@ def resolved_host(base: Column, href: Column) -> Column:
     blank = (F.coalesce(base, F.lit("")) == "") | (F.coalesce(href, F.lit("")) == "")
     r_host = url_part(href, 2)
     opaque = (url_part(href, 1) != "") & ~F.regexp_extract(href, OPAQUE_REST, 1).startswith("/")
-    return F.when(blank | opaque, F.lit("")).when(r_host != "", r_host).otherwise(url_host(base))
+    return F.when(blank | opaque, F.lit("")).when(r_host != "", url_host(href)).otherwise(url_host(base))
 
 
 def link_extension(href: Column) -> Column:
@@ -135,11 +135,6 @@ def followed_link(href: Column) -> Column:
     return (href != "") & ~href.startswith("#") & link_extension(href).isin(list(FOLLOWED_EXTENSIONS))
 
 
-def same_host(url: Column, seed: Column) -> Column:
-    """Exact, case-sensitive host (with port) equality; http and https both accepted."""
-    return url_host(url) == url_host(seed)
-
-
 # --- display functions (U1-U3) ----------------------------------------------
 
 

@@ -42,17 +42,22 @@ class Index:
     rows: DataFrame | None = None
     # Number of term buckets of an index read from disk (enables bucket pruning).
     buckets: int | None = None
-    # Term statistics ``(term, df, term_bucket)`` of an index read from disk:
+    # Term statistics ``(term, df, term_bucket)`` of a resolved index read from disk:
     # document frequencies looked up instead of recounted from postings.
     terms: DataFrame | None = None
+    # False where parts were appended: a URL may have several documents rows and
+    # a (term, url) several postings until W1 is applied.
+    is_resolved: bool = True
 
     def resolved(self) -> Index:
-        """W1 applied: first-wins documents, last-wins postings."""
+        """W1 applied: first-wins documents, last-wins postings. The index itself where that is done."""
+        if self.is_resolved:
+            return self
         return Index(first_wins_documents(self.documents), last_wins_postings(self.postings))
 
     def document_count(self) -> Column:
         """A4: N as a scalar subquery over the documents (zero-word ones included, K7)."""
-        return self.documents.select(F.count(F.lit(1))).scalar()
+        return self.resolved().documents.select(F.count(F.lit(1))).scalar()
 
 
 def analyze(
@@ -61,14 +66,16 @@ def analyze(
     *,
     stop_words: Sequence[str] | None = None,
     seq: Column | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per document ``(url, seq, word_count, kept)``: one projection, no shuffle."""
+    """Per document ``(url, seq, word_count, kept)`` and the columns ``carry``: one projection, no shuffle."""
     stops = stop_word_list() if stop_words is None else tuple(stop_words)
     kept = kept_tokens(text, stops)
     return docs.select(
         F.col("url"),
         (seq if seq is not None else F.lit(0)).cast("bigint").alias("seq"),
         kept.alias("kept"),
+        *carry,
     ).withColumn("word_count", F.size("kept").cast("bigint"))
 
 
@@ -77,6 +84,12 @@ def documents_of(analyzed: DataFrame) -> DataFrame:
     return analyzed.select(*DOCUMENT_COLUMNS)
 
 
+def document_sizes(analyzed: DataFrame, carry: Sequence[str] = (), stem: Stemmer = identity_stem) -> DataFrame:
+    """Per document ``(url, word_count, n_postings)`` and ``carry``: the sizes without the postings themselves."""
+    terms = F.array_distinct(F.filter(F.transform("kept", lambda t: index_term(t, stem)), lambda t: t != ""))
+    return analyzed.select("url", "word_count", F.size(terms).cast("bigint").alias("n_postings"), *carry)
+
+
 def _term_runs(analyzed: DataFrame, stem: Stemmer) -> DataFrame:
     """Per document, the sorted non-empty terms and the 1-based positions where a new term starts."""
     terms = F.array_sort(F.filter(F.transform("kept", lambda t: index_term(t, stem)), lambda t: t != ""))
@@ -166,24 +179,18 @@ def first_wins_documents(documents: DataFrame) -> DataFrame:
     """``INSERT OR IGNORE`` on url: the row with the lowest ``seq`` wins.
 
     An aggregate rather than a window: partial aggregation keeps a URL that
-    appears in a third of all rows from landing in one task.
+    appears in a third of all rows from landing in one task. The columns are
+    taken one by one, of fixed width, so the hash aggregate applies; of rows
+    with one ``seq`` the same one is taken for all columns, as they are updated
+    together.
     """
-    first = F.min_by(F.struct("word_count", "seq"), "seq")
-    return (
-        documents.groupBy("url")
-        .agg(first.alias("_first"))
-        .select("url", F.col("_first.word_count").alias("word_count"), F.col("_first.seq").alias("seq"))
-    )
+    return documents.groupBy("url").agg(F.min_by("word_count", "seq").alias("word_count"), F.min("seq").alias("seq"))
 
 
 def last_wins_postings(postings: DataFrame) -> DataFrame:
     """Map overwrite per (term, url): the row with the highest ``seq`` wins."""
-    last = F.max_by(F.struct("cnt", "word_count", "tf", "seq"), "seq")
-    return (
-        postings.groupBy("term", "url")
-        .agg(last.alias("_last"))
-        .select("term", "url", *[F.col(f"_last.{c}").alias(c) for c in ("cnt", "word_count", "tf", "seq")])
-    )
+    last = [F.max_by(c, "seq").alias(c) for c in ("cnt", "word_count", "tf")]
+    return postings.groupBy("term", "url").agg(*last, F.max("seq").alias("seq"))
 
 
 # --- S5 / S6 / O4: appending index parts -----------------------------------
@@ -208,7 +215,8 @@ def add_documents(index: Index, docs: DataFrame, *, stem: Stemmer = identity_ste
     )
     return Index(
         index.documents.unionByName(new_docs),
-        index.postings.unionByName(new_postings),
+        index.postings.select(*POSTING_COLUMNS).unionByName(new_postings),
+        is_resolved=False,
     )
 
 
@@ -232,15 +240,19 @@ def import_index(index: Index, nested: DataFrame, column: str = "index", *, seq:
     urls = flat.select("url").distinct()
     missing = urls.join(index.documents.select("url"), "url", "left_anti")
     new_docs = missing.select("url", F.lit(0).cast("bigint").alias("word_count"), F.lit(seq).cast("bigint").alias("seq"))
-    return Index(index.documents.unionByName(new_docs), index.postings.unionByName(new_postings))
+    return Index(
+        index.documents.unionByName(new_docs),
+        index.postings.select(*POSTING_COLUMNS).unionByName(new_postings),
+        is_resolved=False,
+    )
 
 
-def export_nested(postings: DataFrame) -> DataFrame:
+def export_nested(index: Index) -> DataFrame:
     """The import form, one row per document: ``index MAP<term, MAP<url, tf>>``.
 
     Grouping by url keeps each row as large as one document, never a whole term.
     """
-    per_doc = postings.groupBy("url").agg(
+    per_doc = index.resolved().postings.groupBy("url").agg(
         F.map_from_entries(F.collect_list(F.struct("term", F.create_map("url", "tf")))).alias("index")
     )
     return per_doc.select("index")
@@ -272,6 +284,7 @@ def document_frequency(postings: DataFrame) -> DataFrame:
 
 def collection_stats(index: Index) -> DataFrame:
     """A4: one row of collection sizes."""
+    index = index.resolved()
     docs = index.documents.agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum("word_count").cast("bigint").alias("n_words"),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
 from trawl.functions.urls import followed_link, link_extension, resolvable, resolve_link, resolved_host, url_host
+from trawl.operators.indexing import Index, build_page_index
+from trawl.operators.robots import robots_filter
 from trawl.session import ensure_checkpoint_dir, scratch_path
+from trawl.sources.pages import split_fetches
 
 # The link-extraction patterns. Complete `<a ...>` tags in page
 # order, then the first href value (double-quoted, single-quoted or bare).
@@ -19,14 +24,12 @@ def _href_of(tag: Column) -> Column:
     value = F.concat(
         F.regexp_extract(tag, HREF, 1), F.regexp_extract(tag, HREF, 2), F.regexp_extract(tag, HREF, 3)
     )
-    return F.replace(value, F.lit("&amp;"), F.lit("&"))
+    return tx.decode_entities(value)
 
 
 def anchor_hrefs(pages: DataFrame) -> DataFrame:
-    """L1: ``(src, pos, href)`` for every ``<a>`` tag outside scripts, comments and style; repeats kept."""
-    body = F.col("html")
-    for pattern in (tx.SCRIPT, tx.COMMENT, tx.STYLE):
-        body = F.regexp_replace(body, pattern, " ")
+    """L1: ``(src, pos, href)`` for every ``<a>`` tag outside comments and elements without markup; repeats kept."""
+    body = F.regexp_replace("html", tx.OPAQUE, " ")
     tags = F.regexp_extract_all(body, F.lit(ANCHOR_TAG), 0)
     exploded = pages.select(F.col("url").alias("src"), F.posexplode(tags).alias("pos", "tag"))
     return exploded.select("src", F.col("pos").cast("bigint"), _href_of(F.col("tag")).alias("href"))
@@ -61,12 +64,15 @@ def same_host_links(links: DataFrame) -> DataFrame:
 
 
 def outlink_counts(links: DataFrame) -> DataFrame:
-    """Per page, followed links, distinct resolved URLs and distinct same-host URLs."""
-    same = F.when(resolved_host(F.col("src"), F.col("href")) == url_host(F.col("src")), F.col("url"))
-    return links.groupBy("src").agg(
-        F.count(F.lit(1)).alias("n_links"),
-        F.countDistinct("url").alias("n_urls"),
-        F.countDistinct(same).alias("n_same_host"),
+    """Per page, followed links, distinct resolved URLs and distinct same-host URLs.
+
+    Counted over (page, URL) groups first, so no row is expanded for a second
+    distinct count.
+    """
+    same = F.col("url").isNotNull() & (resolved_host(F.col("src"), F.col("href")) == url_host(F.col("src")))
+    each = links.groupBy("src", "url").agg(F.count(F.lit(1)).alias("n"), F.bool_or(same).alias("same"))
+    return each.groupBy("src").agg(
+        F.sum("n").alias("n_links"), F.count("url").alias("n_urls"), F.count_if("same").alias("n_same_host")
     )
 
 
@@ -107,9 +113,9 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
         .join(page_keys.withColumnRenamed("url", "src"), "src", "left_semi")  # only fetched pages have links
         .distinct()
     )
-    edge_table = _bucketed(edges, "src", n_buckets, "crawl_edges")
+    edge_table, _ = _bucketed(edges, "src", n_buckets, "crawl_edges")
     seed_url = spark.range(1).select(resolve_link(seed_col, seed_col).alias("url"), F.lit(0).alias("depth"))
-    visited_table = _bucketed(seed_url, "url", n_buckets, "crawl_visited", partition="depth")
+    visited_table, visited_path = _bucketed(seed_url, "url", n_buckets, "crawl_visited", partition="depth")
     depth = 0
     while True:  # until no new URL: as many rounds as the site is deep
         depth += 1
@@ -126,19 +132,22 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
         _append_bucketed(step, "url", n_buckets, visited_table, partition="depth")  # O1
         if spark.table(visited_table).where(F.col("depth") == depth).isEmpty():  # fixpoint (D5)
             break
-    visited = spark.table(visited_table)
+    # The files stay under the scratch folder, whose owner clears it; the catalogue keeps nothing.
+    visited = spark.read.parquet(visited_path)
+    for table in (edge_table, visited_table):
+        spark.sql(f"DROP TABLE {table}")
     return visited.join(page_keys.select("url", F.lit(True).alias("fetched")), "url", "left").select(
         "url", F.col("depth").cast("int"), F.coalesce("fetched", F.lit(False)).alias("fetched")
     )
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int, name: str, partition: str | None = None) -> str:
-    """Write ``df`` as a table bucketed on ``key`` under the shared scratch folder; returns its name."""
+def _bucketed(df: DataFrame, key: str, buckets: int, name: str, partition: str | None = None) -> tuple[str, str]:
+    """Write ``df`` as a table bucketed on ``key`` under the shared scratch folder; returns its name and path."""
     path = scratch_path(df.sparkSession, name)
     table = f"trawl_{name}_{path.rsplit('-', 1)[-1]}"
     writer = df.write.bucketBy(buckets, key).mode("overwrite").option("path", path)
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
-    return table
+    return table, path
 
 
 def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str, partition: str | None = None) -> None:
@@ -146,8 +155,20 @@ def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str, partitio
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
 
 
-def _union_all(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def crawl_index(
+    fetched: DataFrame, links: DataFrame, seed: str, rules: DataFrame, *, stop_words: Sequence[str] | None = None
+) -> tuple[DataFrame, Index]:
+    """A crawl over given tables, from fetch results to an index: ``(visited(url, depth, fetched), index)``.
+
+    ``fetched(url, status, html)`` are fetch results, ``links(src, href)`` the
+    hrefs on them and ``rules`` parsed robots rules. Only pages answered 200 and
+    allowed by their host's rules are read: links of any other URL are never
+    followed, and only pages that the crawl reaches are indexed.
+    """
+    pages, _ = split_fetches(fetched)
+    allowed = robots_filter(pages.select("url").distinct(), rules).where("allowed").select("url")
+    readable = pages.join(allowed, "url", "left_semi")
+    visited = crawl_reachable(readable.select("url"), links, seed)
+    reached = visited.where("fetched").select(F.col("url").alias("r_url"))
+    kept = readable.join(reached, resolve_link(F.col("url"), F.col("url")) == F.col("r_url"), "left_semi")
+    return visited, build_page_index(kept, stop_words=stop_words)

@@ -17,14 +17,23 @@ _US = 1_000_000
 
 
 def crawl_report(fetches: DataFrame) -> DataFrame:
-    """One row: URLs visited (errors included), documents, errors, elapsed time and speed."""
-    elapsed_s = (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / _US
-    agg = fetches.agg(
-        F.countDistinct("url").alias("visited"),
-        F.countDistinct(F.when(F.col("status") == 200, F.col("url"))).alias("documents"),
-        F.countDistinct(F.when(F.col("status") != 200, F.col("url"))).alias("errors"),
-        F.count(F.lit(1)).alias("fetches"),
-        elapsed_s.alias("elapsed_s"),
+    """One row: URLs visited (errors included), documents, errors, elapsed time and speed.
+
+    One grouping by URL, then plain counts.
+    """
+    per_url = fetches.groupBy("url").agg(
+        F.bool_or(F.col("status") == 200).alias("ok"),
+        F.bool_or(F.col("status") != 200).alias("bad"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+    )
+    agg = per_url.agg(
+        F.count("url").alias("visited"),
+        F.count_if(F.col("ok") & F.col("url").isNotNull()).alias("documents"),
+        F.count_if(F.col("bad") & F.col("url").isNotNull()).alias("errors"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("fetches"),
+        ((F.unix_micros(F.max("last")) - F.unix_micros(F.min("first"))) / _US).alias("elapsed_s"),
     )
     ms_per_page = F.col("elapsed_s") * 1000 / F.col("visited")
     return agg.select(
@@ -44,13 +53,11 @@ def document_batches(docs: DataFrame, order: Column, site: str, size: int = BATC
     return numbered.drop("_ord").withColumn("batch_id", F.floor((F.col("n") - 1) / size).cast("bigint"))
 
 
-def batch_report(batches: DataFrame, postings: DataFrame, site: str) -> DataFrame:
-    """Per (site, batch): documents, postings (terms written) and words."""
-    per_doc = postings.groupBy("url").agg(F.count(F.lit(1)).alias("n_postings"))
-    joined = batches.join(per_doc, "url", "left")
-    return joined.groupBy(site, "batch_id").agg(
+def batch_report(batches: DataFrame, site: str) -> DataFrame:
+    """Per (site, batch): documents, postings (terms written) and words, from per-document sizes."""
+    return batches.groupBy(site, "batch_id").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.coalesce(F.sum("n_postings"), F.lit(0)).cast("bigint").alias("n_postings"),
+        F.sum("n_postings").cast("bigint").alias("n_postings"),
         F.sum("word_count").cast("bigint").alias("n_words"),
     )
 

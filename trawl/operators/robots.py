@@ -4,8 +4,7 @@ A robots file is a row ``(host, fetched_at, status, body)``. Parsing explodes
 the body into numbered lines; the user-agent group a rule belongs to is the
 last ``user-agent`` line before it (a running ``last(..., ignorenulls)``
 window within one file, so the window is as large as one file). Checking URLs
-is an equi-join on host with a regular-expression condition, then an
-any-allow / any-disallow aggregate per URL.
+is an equi-join on host with the host's rules as one array.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from trawl.operators.sequence import number_rows
 
 DEFAULT_AGENT = "trawl"
 FRESH_HOURS = 24
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 
 
 def _trim(c: Column) -> Column:
@@ -79,7 +79,7 @@ def parse_robots(files: DataFrame, agent: str = DEFAULT_AGENT) -> DataFrame:
 def crawl_delays(files: DataFrame, agent: str = DEFAULT_AGENT) -> DataFrame:
     """``(host, fetched_at, delay_s)``: the last valid crawl-delay > 0 of each file."""
     lines = robots_lines(files, agent)
-    delay = F.col("value").try_cast("double")
+    delay = F.when(F.col("value").rlike(_NUMBER), F.col("value").try_cast("double"))
     valid = lines.where(F.col("applies") & (F.col("directive") == "crawl-delay")).select(
         "host", "fetched_at", "line_no", delay.alias("delay_s")
     ).where(F.col("delay_s") > 0)
@@ -100,8 +100,8 @@ def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
     Any matching allow wins, then any matching disallow denies, otherwise the
     URL is allowed; a host without rules and an unparsable URL are allowed.
     Only the percent-decoded path is matched (no query); a blank path is ``/``.
-    The join keeps the host equality key, so it is a hash join with an
-    ``rlike`` condition, never a nested loop.
+    The rules of a host are one row (bounded by its one file), so each URL meets
+    one row by its host and is decided there: no row per rule, no second shuffle.
     """
     raw_path = url_part(F.col("url"), 3)
     path = F.try_url_decode(F.replace(raw_path, F.lit("+"), F.lit("%2B")))
@@ -111,15 +111,15 @@ def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(raw_path == "", F.lit("/")).otherwise(path).alias("path"),
         invalid_url(F.col("url")).alias("unparsable"),
     )
-    r = rules.select(F.col("host").alias("r_host"), "kind", "regex")
-    matched = keyed.join(r, (keyed["host"] == r["r_host"]) & F.regexp_like(F.col("path"), F.col("regex")), "left")
-    verdict = matched.groupBy("url").agg(
-        F.max("unparsable").alias("unparsable"),
-        F.bool_or(F.col("kind") == "allow").alias("any_allow"),
-        F.bool_or(F.col("kind") == "disallow").alias("any_disallow"),
-    )
-    allowed = F.col("unparsable") | F.coalesce("any_allow", F.lit(False)) | ~F.coalesce("any_disallow", F.lit(False))
-    return verdict.select("url", allowed.alias("allowed"))
+    each = F.collect_list(F.struct("kind", "regex")).alias("rules")
+    per_host = rules.groupBy(F.col("host").alias("r_host")).agg(each)
+    joined = keyed.join(per_host, F.col("host") == F.col("r_host"), "left")
+
+    def any_of(kind: str) -> Column:
+        hit = F.exists("rules", lambda r: (r["kind"] == kind) & F.regexp_like(F.col("path"), r["regex"]))
+        return F.coalesce(hit, F.lit(False))
+
+    return joined.select("url", (F.col("unparsable") | any_of("allow") | ~any_of("disallow")).alias("allowed"))
 
 
 def fetch_schedule(urls: DataFrame, delays: DataFrame) -> DataFrame:

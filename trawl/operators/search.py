@@ -6,28 +6,28 @@ one job answers many requests. Per query term ``t`` with multiplicity ``m``::
     idf(t)     = ln(N / (df(t) + 1)) + 1      (0 when df = 0)
     score(q,d) = sum over t of m * tf(t, d) * idf(t)
 
-Postings are only touched through a join with the set of query terms. When a
-bounded count shows that set is small (the usual case), it is broadcast and
-the postings are probed where they lie, so frequent terms never cause a
-shuffle of the postings on ``term``; above the limit the join shuffles.
+Postings are touched only through a join with the distinct query terms. Spark
+chooses the join by the sizes it sees: few terms are sent to the postings where
+they lie, many are shuffled, and a frequent term is split as a skewed key. An
+index on disk carries its term statistics, so df is looked up and the postings
+of the query terms are read once. An index of unresolved parts is resolved
+before any statistic is taken.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.text import Stemmer, clean_word, identity_stem, split_words
+from trawl.functions.urls import clean_path, display_title, format_score, format_url
 from trawl.operators.indexing import Index, document_frequency
 from trawl.operators.sequence import number_rows
 
 RESULTS_PER_PAGE = 10
-# Query terms (and their weights) are broadcast when a bounded count shows at
-# most this many rows; beyond it the joins shuffle instead.
-BROADCAST_TERMS = 200_000
-# Scores equal to this many decimals are ties, broken by url ascending; this
-# keeps the order stable across engines that sum in a different order.
-TIE_DECIMALS = 9
 
 
 def query_terms(queries: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
@@ -42,32 +42,21 @@ def idf(df: Column, n_docs: Column) -> Column:
     return F.when(df == 0, F.lit(0.0)).otherwise(F.ln(n_docs.cast("double") / (df + 1)) + 1)
 
 
-def at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (a bounded count: it stops after ``limit + 1``)."""
-    return limit > 0 and df.limit(limit + 1).count() <= limit
-
-
-def _hint(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
+def _wanted(index: Index, terms: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The distinct terms and the join keys; on disk the bucket is one, so that other buckets are pruned."""
+    wanted = terms.select("term").distinct()
+    if not index.buckets:
+        return wanted, ["term"]
+    from trawl.sources.index_store import term_bucket
 
-def term_lookup(index: Index, terms: DataFrame, small: bool = False) -> DataFrame:
-    """Postings of the given terms (inner join: absent terms contribute nothing).
+    return wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets)), ["term_bucket", "term"]
 
-    With ``small`` the distinct terms are broadcast, so the postings are
-    probed where they lie and never shuffled on ``term``.
-    """
-    wanted = terms.select("term").distinct()
-    keys = ["term"]
-    if index.buckets and "term_bucket" in index.postings.columns:
-        # Joining on the bucket too lets dynamic partition pruning skip every
-        # bucket of an on-disk index that holds none of the query terms.
-        from trawl.sources.index_store import term_bucket
 
-        wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
-        keys = ["term_bucket", "term"]
-    post = index.postings.select(*keys, "url", "tf")
-    return post.join(_hint(wanted, small), keys).select("term", "url", "tf")
+def term_lookup(index: Index, terms: DataFrame) -> DataFrame:
+    """Postings of the given terms (inner join: absent terms contribute nothing)."""
+    index = index.resolved()
+    wanted, keys = _wanted(index, terms)
+    return index.postings.select(*keys, "url", "tf").join(wanted, keys).select("term", "url", "tf")
 
 
 def term_idf(index: Index, hits: DataFrame) -> DataFrame:
@@ -78,79 +67,70 @@ def term_idf(index: Index, hits: DataFrame) -> DataFrame:
     )
 
 
-def search_scores(
-    index: Index,
-    queries: DataFrame,
-    stem: Stemmer = identity_stem,
-    broadcast_terms: int = BROADCAST_TERMS,
-) -> DataFrame:
-    """``(qid, url, score)`` for every document matching at least one query term.
-
-    When the query terms number at most ``broadcast_terms`` (checked), they and
-    their idf weights (one row per distinct term) are broadcast: the only
-    shuffles left are the partial df count per term and the (qid, url) sum.
-    """
-    qt = query_terms(queries, stem)
-    return scores_for_terms(index, qt, at_most(qt, broadcast_terms))
+def search_scores(index: Index, queries: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
+    """``(qid, url, score)`` for every document matching at least one query term."""
+    return scores_for_terms(index, query_terms(queries, stem))
 
 
-def stored_idf(index: Index, qt: DataFrame, small: bool) -> DataFrame:
+def stored_idf(index: Index, qt: DataFrame) -> DataFrame:
     """J2+A6 from an index's stored term statistics: a bucket-pruned lookup, no postings read."""
-    from trawl.sources.index_store import term_bucket
-
-    wanted = qt.select("term").distinct().withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
-    stats = index.terms.join(_hint(wanted, small), ["term_bucket", "term"])
+    wanted, keys = _wanted(index, qt)
     n_docs = index.document_count()
+    stats = index.terms.join(wanted, keys)
     return stats.select("term", "df", n_docs.alias("n_docs"), idf(F.col("df"), n_docs).alias("idf"))
 
 
-def scores_for_terms(index: Index, qt: DataFrame, small: bool) -> DataFrame:
-    """A7 from query terms ``(qid, term, m)``; ``small`` broadcasts them and their weights.
+def scores_for_terms(index: Index, qt: DataFrame) -> DataFrame:
+    """A7 from query terms ``(qid, term, m)``.
 
-    An index read from disk carries its term statistics, so df is looked up
-    and the postings of the query terms are read once (for scoring only).
+    The weights are joined to the query terms first, so the postings meet one
+    table of ``(qid, term, m * idf)``.
     """
-    hits = term_lookup(index, qt, small)
-    if index.terms is not None and index.buckets:
-        weights = _hint(stored_idf(index, qt, small).select("term", "idf"), small)
-    else:
-        weights = _hint(term_idf(index, hits).select("term", "idf"), small)
-    scored = hits.join(weights, "term").join(_hint(qt, small), "term")
-    return scored.groupBy("qid", "url").agg(F.sum(F.col("m") * F.col("tf") * F.col("idf")).alias("score"))
-
-
-_TIE_SCORE = "_tie_score"
-
-
-def _with_tie_score(scores: DataFrame) -> DataFrame:
-    """The rounded score as a column, computed once per row rather than in every comparison."""
-    return scores.withColumn(_TIE_SCORE, F.round("score", TIE_DECIMALS))
+    index = index.resolved()
+    hits = term_lookup(index, qt)
+    idfs = stored_idf(index, qt) if index.terms is not None else term_idf(index, hits)
+    weights = qt.join(idfs.select("term", "idf"), "term").select("qid", "term", (F.col("m") * F.col("idf")).alias("w"))
+    scored = hits.join(weights, "term")
+    return scored.groupBy("qid", "url").agg(F.sum(F.col("w") * F.col("tf")).alias("score"))
 
 
-def _rank_order() -> list[Column]:
-    return [F.col(_TIE_SCORE).desc(), F.col("url").asc()]
+def _rank_order(decimals: int | None) -> list[Column]:
+    """Score descending, url ascending on ties; with ``decimals`` scores equal to so many digits are ties."""
+    score = F.col("score") if decimals is None else F.round("score", decimals)
+    return [score.desc(), F.col("url").asc()]
 
 
-def search_ranked(index: Index, queries: DataFrame, stem: Stemmer = identity_stem) -> DataFrame:
+def search_ranked(
+    index: Index, queries: DataFrame, stem: Stemmer = identity_stem, decimals: int | None = None
+) -> DataFrame:
     """Every match with its rank per query, score descending, url ascending on ties.
 
     Ranks are numbered by range partitioning, so a query matching a third of
     the collection is spread over many tasks rather than sorted in one.
     """
-    scores = _with_tie_score(search_scores(index, queries, stem))
-    return number_rows(scores, _rank_order(), ["qid"], name="rank").select(
+    return _ranked(search_scores(index, queries, stem), decimals)
+
+
+def _ranked(scores: DataFrame, decimals: int | None) -> DataFrame:
+    return number_rows(scores, _rank_order(decimals), ["qid"], name="rank").select(
         "qid", F.col("rank").cast("bigint"), "url", "score"
     )
 
 
-def search(index: Index, queries: DataFrame, k: int = RESULTS_PER_PAGE, stem: Stemmer = identity_stem) -> DataFrame:
+def search(
+    index: Index,
+    queries: DataFrame,
+    k: int = RESULTS_PER_PAGE,
+    stem: Stemmer = identity_stem,
+    decimals: int | None = None,
+) -> DataFrame:
     """T4 / F2: the top ``k`` results per query in one job.
 
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so at most ``k`` rows per query and task travel.
     """
-    scores = _with_tie_score(search_scores(index, queries, stem))
-    w = Window.partitionBy("qid").orderBy(*_rank_order())
+    scores = search_scores(index, queries, stem)
+    w = Window.partitionBy("qid").orderBy(*_rank_order(decimals))
     return (
         scores.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
@@ -162,50 +142,86 @@ def search_one(index: Index, text: str, page: str | int | None = 1, stem: Stemme
     """one request - the page ``page`` of results for ``text`` (10 per page)."""
     from trawl.sources.index_store import postings_for
 
+    index = index.resolved()
     spark = index.postings.sparkSession
-    queries = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.lit(text).alias("q"))
+    one = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.lit(text).alias("q"))
     # The request's own terms (bounded by its length) become literals, so only
-    # their term buckets and row groups of the index are read, and the query
-    # side is a literal table, broadcast without a size check.
-    terms = query_terms(queries, stem).select("term", "m").collect()
-    literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).cast("bigint").alias("m")) for t, m in terms])
-    qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), F.inline(literal))
-    narrowed = Index(
-        index.documents, postings_for(index, [t for t, _ in terms]), buckets=index.buckets, terms=index.terms
-    )
-    scores = _with_tie_score(scores_for_terms(narrowed, qt, small=True))
+    # their term buckets and row groups of the index are read.
+    terms = query_terms(one, stem).select("term", "m").collect()
+    literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).alias("m")) for t, m in terms])
+    pairs = F.inline(literal.cast("array<struct<term: string, m: bigint>>"))
+    qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), pairs)
+    narrowed = replace(index, postings=postings_for(index, [t for t, _ in terms]), rows=None)
+    scores = scores_for_terms(narrowed, qt)
     start = (page_number(page) - 1) * RESULTS_PER_PAGE
-    # orderBy + offset + limit plans as TakeOrderedAndProject: a bounded top-k, no full sort.
-    return scores.orderBy(*_rank_order()).offset(start).limit(RESULTS_PER_PAGE).select("qid", "url", "score")
+    order = _rank_order(None)
+    if start + RESULTS_PER_PAGE < 1 << 31:
+        # orderBy + offset + limit plans as TakeOrderedAndProject: a bounded top-k, no full sort.
+        return scores.orderBy(*order).offset(start).limit(RESULTS_PER_PAGE).select("qid", "url", "score")
+    far = _ranked(scores, None).where((F.col("rank") > start) & (F.col("rank") <= start + RESULTS_PER_PAGE))
+    return far.orderBy("rank").select("qid", "url", "score")
+
+
+_WHOLE_NUMBER = "^[+-]?[0-9]+$"
+_MAX_LONG = (1 << 63) - 1
 
 
 def page_number(page: str | int | None) -> int:
-    """The request parameter as a page number: blank, non-numeric or < 1 means 1."""
-    try:
-        n = int(str(page).strip())
-    except (TypeError, ValueError):
-        return 1
-    return n if n >= 1 else 1
+    """The request parameter as a page number: anything but a whole number from 1 to a long's largest means 1."""
+    text = "" if page is None else str(page)
+    n = int(text) if re.fullmatch("[+-]?[0-9]+", text) else 1
+    return n if 1 <= n <= _MAX_LONG else 1
 
 
 # --- T2 / T3: pages of results ---------------------------------------------
 
 
 def parse_page(page: Column) -> Column:
-    """Blank, non-numeric or < 1 means page 1."""
-    n = page.try_cast("int")
-    return F.when(n.isNull() | (n < 1), F.lit(1)).otherwise(n)
+    """``page_number`` as a Column, a BIGINT."""
+    n = F.when(page.rlike(_WHOLE_NUMBER), page.try_cast("bigint"))
+    return F.coalesce(F.when(n >= 1, n), F.lit(1).cast("bigint"))
+
+
+def _start_index(page_no: Column) -> Column:
+    """Results before a page; pages beyond a long's range start at its end."""
+    return F.least(page_no - 1, F.lit(_MAX_LONG // RESULTS_PER_PAGE - 1)) * RESULTS_PER_PAGE
 
 
 def result_page(ranked: DataFrame, requests: DataFrame) -> DataFrame:
     """The requested page of each query's ranked results; a page past the end is empty.
 
-    ``ranked`` needs ranks up to 10 x the highest requested page, so
-    ``search(index, queries, k=...)`` (a bounded top-k) is enough.
+    ``ranked`` holds every rank (``search_ranked``), so no page is out of reach.
+    The join is on (query, page), so each result meets only the requests that
+    show it.
     """
     req = requests.select("qid", "page", parse_page(F.col("page")).alias("page_no"))
-    lo = (F.col("page_no") - 1) * RESULTS_PER_PAGE
-    return req.join(ranked, "qid").where((F.col("rank") > lo) & (F.col("rank") <= lo + RESULTS_PER_PAGE))
+    paged = ranked.withColumn("page_no", F.floor((F.col("rank") - 1) / RESULTS_PER_PAGE).cast("bigint") + 1)
+    return req.join(paged, ["qid", "page_no"])
+
+
+def search_page(index: Index, queries: DataFrame, requests: DataFrame, decimals: int | None = None) -> DataFrame:
+    """A result page as a user sees it: rank, URL, display URL, title, clean path, score text, total and paging.
+
+    One row for each result shown; a request whose page is empty gives one row
+    with null result columns.
+    """
+    ranked = search_ranked(index, queries, decimals=decimals)
+    facts = paging_facts(ranked, requests)
+    shown = result_page(ranked, requests).select(
+        "qid",
+        "page",
+        "rank",
+        "url",
+        format_url(F.col("url")).alias("display_url"),
+        display_title(F.col("url")).alias("title"),
+        clean_path(F.col("url")).alias("clean_path"),
+        format_score(F.col("score")).alias("score"),
+    )
+    same = (F.col("f.qid") == F.col("s.qid")) & F.col("f.page").eqNullSafe(F.col("s.page"))
+    return facts.alias("f").join(shown.alias("s"), same, "left").select(
+        "f.qid", "f.page", "page_no", "rank", "url", "display_url", "title", "clean_path", "score",
+        "total", "total_pages", "start_index", "end_index", "has_next", "has_prev", "page_range",
+    )
 
 
 def result_counts(results: DataFrame) -> DataFrame:
@@ -220,22 +236,23 @@ def paging_facts(results: DataFrame, requests: DataFrame) -> DataFrame:
     """
     req = requests.select("qid", "page", parse_page(F.col("page")).alias("page_no"))
     totals = req.join(result_counts(results), "qid", "left").withColumn("total", F.coalesce("total", F.lit(0)))
-    total_pages = F.floor((F.col("total") + RESULTS_PER_PAGE - 1) / RESULTS_PER_PAGE).cast("int")
+    total_pages = F.floor((F.col("total") + RESULTS_PER_PAGE - 1) / RESULTS_PER_PAGE).cast("bigint")
     facts = totals.select(
         "qid",
         "page",
         "page_no",
         F.col("total").cast("bigint").alias("total"),
         total_pages.alias("total_pages"),
-        ((F.col("page_no") - 1) * RESULTS_PER_PAGE).alias("start_index"),
+        _start_index(F.col("page_no")).alias("start_index"),
     )
-    first = F.greatest(F.lit(1), F.col("page_no") - 2)
-    last = F.least(F.col("total_pages"), first + 4)
-    first = F.when(last - first < 4, F.greatest(F.lit(1), last - 4)).otherwise(first)
+    one = F.lit(1).cast("bigint")
+    first = F.greatest(one, F.col("page_no") - 2)
+    last = F.least(F.col("total_pages"), first + F.least(F.lit(4), F.lit(_MAX_LONG) - first))
+    first = F.when(last - first < 4, F.greatest(one, last - 4)).otherwise(first)
     page_range = F.when(F.col("total_pages") > 1, F.array_join(F.sequence(first, last), ","))
     return facts.select(
         "*",
-        F.least(F.col("start_index") + RESULTS_PER_PAGE, F.col("total")).cast("int").alias("end_index"),
+        F.least(F.col("start_index") + RESULTS_PER_PAGE, F.col("total")).alias("end_index"),
         (F.col("page_no") < F.col("total_pages")).alias("has_next"),
         (F.col("page_no") > 1).alias("has_prev"),
         page_range.alias("page_range"),

@@ -1,13 +1,11 @@
-"""Row numbers within groups without sending an unbounded group to one task.
+"""Row numbers within groups without sending a group to one task.
 
 ``row_number() over (partition by g order by o)`` puts every row of a group in
 one task, so one hot group (a third of the data) would run on a single core.
-The largest group is measured first: while every group is within a bound the
-window is fine and used. Beyond it the rows are range-partitioned on
-``(g, o)`` instead, so a hot group is split over many tasks. Each task numbers
-its rows locally, and a small table of per-partition counts gives every group
-the number of its rows in earlier partitions. This generalises
-``zipWithIndex`` to grouped numbering.
+Here the rows are range-partitioned on ``(g, o)``, so a hot group is split over
+many tasks. Each task numbers its rows locally, and a small table of
+per-partition counts gives every group the number of its rows in earlier
+partitions. This generalises ``zipWithIndex`` to grouped numbering.
 """
 
 from __future__ import annotations
@@ -29,58 +27,39 @@ def number_rows(
     *,
     name: str = "rn",
     partitions: int | None = None,
-    broadcast_groups: int = 200_000,
-    window_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, ... within each ``partition_by`` group in ``order_by`` order.
 
     ``order_by`` should make the order total (add a unique tie-break column),
     otherwise tied rows get their numbers in an arbitrary order.
 
-    The input is checkpointed once (its upstream runs once and the rows stay
-    fixed if an executor is lost). A cheap aggregate then measures the largest
-    group: when every group has at most ``window_group_rows`` rows, a plain
-    ``row_number()`` window numbers them (no task holds more than that bound);
-    otherwise the rows are range-partitioned on (group, order) so a hot group
-    spans many tasks, each task numbers its rows locally (partition ids and
-    positions pinned by a second checkpoint), and per-(partition, group)
-    offsets - broadcast when a bounded count allows - complete the numbers.
+    The range-partitioned rows are checkpointed once: partition ids and
+    positions stay fixed if an executor is lost, and the counts read exactly
+    the placement that is numbered. There is one row of counts per group and
+    partition that holds it.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [F.col(c) for c in partition_by]
-    fixed = df.checkpoint(eager=True)
-    if window_group_rows > 0:
-        sizes = fixed.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rn_size"))
-        largest = sizes.agg(F.max("_rn_size")).first()[0] or 0
-        if largest <= window_group_rows:
-            w = Window.partitionBy(*keys).orderBy(*order_by) if keys else Window.orderBy(*order_by)
-            return fixed.select(*[F.col(c) for c in df.columns], F.row_number().over(w).cast("bigint").alias(name))
     # Without an explicit count, AQE sizes the range exchange; coalesced
     # partitions are adjacent ranges, so the order across partitions holds.
     ranged = (
-        fixed.repartitionByRange(partitions, *keys, *order_by)
-        if partitions
-        else fixed.repartitionByRange(*keys, *order_by)
+        df.repartitionByRange(partitions, *keys, *order_by) if partitions else df.repartitionByRange(*keys, *order_by)
     ).sortWithinPartitions(*keys, *order_by)
-    # Partition ids and positions are pinned by a reliable checkpoint, so the
-    # counts and the numbering below read exactly the same placement.
     tagged = (
         ranged.withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
     counts = tagged.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST))
-    earlier = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     group_keys = [f"_rn_g{i}" for i in range(len(partition_by))]
+    # Without a group key this window sees one row per partition.
+    earlier = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col(_PID).alias("_rn_opid"),
         *[F.col(c).alias(g) for c, g in zip(partition_by, group_keys)],
         _FIRST,
         F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias(_BEFORE),
     )
-    if offsets.limit(broadcast_groups + 1).count() <= broadcast_groups:
-        offsets = F.broadcast(offsets)
     # Null-safe join keys: a null group key is a group of its own, as in a window.
     cond = [F.col(_PID) == F.col("_rn_opid")] + [
         F.col(c).eqNullSafe(F.col(g)) for c, g in zip(partition_by, group_keys)

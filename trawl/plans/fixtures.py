@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.sources.tables import balanced, benchmark_queries, read_table, web_pages
+from trawl.sources.tables import benchmark_queries, read_table, spread, web_pages
 
 # Inline query cases added to the benchmark queries (negative qids):
 # repeats, punctuation, stop words with and without comma, mixed case, an
@@ -26,12 +26,13 @@ EXTRA_QUERIES = (
 )
 
 # Page request parameters (blank, non-numeric, < 1, past the end).
-PAGE_REQUESTS = ("1", "2", "0", "-1", "abc", "", "999")
+PAGE_REQUESTS = ("1", "2", "0", "-1", "abc", "", "999", "+3", " 2", "1_0", "2147483647", "99999999999", "9" * 19, "9" * 25)
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts as whole queries plus the inline cases."""
-    extra = spark.createDataFrame(list(EXTRA_QUERIES), "qid BIGINT, q STRING")
+    cases = F.array(*[F.struct(F.lit(i).cast("bigint").alias("qid"), F.lit(q).alias("q")) for i, q in EXTRA_QUERIES])
+    extra = spark.range(1).select(F.inline(cases))
     return benchmark_queries(spark, sf_dir).unionByName(extra)
 
 
@@ -71,23 +72,35 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The robots.txt body served for every host (lines in order).
-ROBOTS_BODY = "\n".join(
-    [
-        "# robots for the test hosts",
-        "User-agent: *",
-        "Disallow: /en/",
-        "Allow: /en/4*",
-        "Disallow: /*.html$",
-        "Crawl-delay: 2",
-        "",
-        "User-agent: other",
-        "Disallow: /",
-        "Crawl-delay: oops",
-    ]
+# Robots.txt bodies (lines in order); a host gets one by its name's hash.
+ROBOTS_BODIES = tuple(
+    "\n".join(lines)
+    for lines in (
+        (
+            "# robots for the test hosts",
+            "User-agent: *",
+            "Disallow: /en/",
+            "Allow: /en/4*",
+            "Disallow: /*.html$",
+            "Crawl-delay: 2",
+            "",
+            "User-agent: other",
+            "Disallow: /",
+            "Crawl-delay: oops",
+        ),
+        ("user-agent: Trawl-Bot", "DISALLOW: /fr/", "crawl-delay: NaN", "Crawl-Delay: .5", "crawl-delay: 2d"),
+        ("Disallow: /", "User-agent: someone", "Disallow: /", "no colon here", "Crawl-delay: 3"),
+        ("User-agent: *", "Disallow:", "Allow: ", "Disallow: /de/*7$", "Disallow: /e\\E.n", "Crawl-delay: 1e1", "Crawl-delay: -1"),
+    )
 )
 
 
+def robots_body(host: Column) -> Column:
+    """One of ``ROBOTS_BODIES`` by the second hexadecimal digit of the host's md5."""
+    digit = F.conv(F.substring(F.md5(host), 2, 1), 16, 10).cast("int")
+    return F.element_at(F.array(*[F.lit(b) for b in ROBOTS_BODIES]), digit % len(ROBOTS_BODIES) + 1)
+
+
 def robots_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(host, fetched_at, status, body)``: one robots file per distinct host of ``pages``.
 
@@ -102,7 +115,7 @@ def robots_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.to_timestamp(F.lit("2024-01-31 00:00:00")))
         .alias("fetched_at"),
         F.when(h == "2", F.lit(404)).otherwise(F.lit(200)).alias("status"),
-        F.lit(ROBOTS_BODY).alias("body"),
+        robots_body(F.col("host")).alias("body"),
     )
 
 
@@ -112,7 +125,7 @@ def reindex_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Sources hold several documents, so a URL arrives several times with
     different contents: first-wins documents and last-wins postings apply.
     """
-    docs = balanced(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return docs.select(
         F.concat(F.lit("src:"), F.col("source")).alias("url"), "text", F.col("doc_id").alias("seq")
     )
@@ -139,6 +152,12 @@ HREF_CASES = (
     ":foo",
     "1a:b",
     "HTTPS://Upper.example/X#frag",
+    "https://user:pw@h.com/x",
+    "https://h:abc/p",
+    "https://h:8080/p",
+    "http://[::1/p",
+    "http://[::1]:8/p",
+    "http://[::1]x/p",
 )
 
 

@@ -1,5 +1,9 @@
 """DuckDB SQL for each registered query: an independent statement of the same semantics.
 
+Nothing of the functions and operators under test is imported: patterns, lists
+and constants are stated here again, and character references come from the
+standard library's table.
+
 Written against the pre-registered views (``documents``, ``pages``, ``benchmark``,
 ``events``, ...). Regular expressions follow RE2: ``(?U)`` would mean
 ungreedy there, so white space is spelt out as a class, and replacement needs
@@ -8,12 +12,15 @@ the ``'g'`` flag.
 
 from __future__ import annotations
 
-from trawl.functions import text as tx
+import json
+from html.entities import html5
+from pathlib import Path
+
 from trawl.plans import fixtures as fx
-from trawl.sources.stopwords import stop_word_list
 
 ORACLE: dict[str, str] = {}
 
+TRIM_CHARS = ".,!?:;'"
 SPLIT = r"[\s\x0b\x85\p{Z}]+"
 
 
@@ -22,18 +29,88 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+STOP_WORDS = json.loads((Path(__file__).parent.parent / "sources" / "stop_words.json").read_text())["stopwords"]
+
+
 def stops_sql() -> str:
-    return ", ".join(q(w) for w in stop_word_list())
+    return ", ".join(q(w) for w in STOP_WORDS)
+
+
+# Comments and elements without markup, to their end or the page's.
+UNREAD = "|".join(
+    [
+        r"<!--(?s:.)*?(?:-->|\z)",
+        r"<script\b[^>]*>(?s:.)*?(?:</script\s*>|\z)",
+        r"<style\b[^>]*>(?s:.)*?(?:</style\s*>|\z)",
+        r"<textarea\b[^>]*>(?s:.)*?(?:</textarea\s*>|\z)",
+        r"<title\b[^>]*>(?s:.)*?(?:</title\s*>|\z)",
+    ]
+)
+LINKED = (r"(?is)<a\b[^>]*>.*?</a\s*>", r"(?is)<a\b.*", r"<[/!?a-zA-Z][^>]*(>|\z)")
+REF = r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+CP1252 = {128 + i: c for i, c in enumerate(bytes(range(128, 160)).decode("cp1252", "replace"))}
 
 
-def html_text_sql(col: str = "html") -> str:
-    body = col
-    for pat in (tx.SCRIPT, tx.COMMENT, tx.STYLE, tx.ANCHOR, tx.OPEN_ANCHOR, tx.TAG):
+def _map_sql(pairs) -> str:
+    keys, values = zip(*pairs)
+    return f"MAP {{{', '.join(f'{k}: {v}' for k, v in zip(keys, values))}}}"
+
+
+# One-row tables of names and of the numbers that mean windows-1252 characters.
+REFERENCES = f"""
+refs AS (SELECT {_map_sql((q(k), q(v)) for k, v in html5.items())} AS names,
+                {_map_sql((k, q(v)) for k, v in CP1252.items())} AS old)"""
+SHORT = "^(" + "|".join(sorted((k for k in html5 if k[-1] != ";"), key=len, reverse=True)) + ")"
+
+
+def decode_sql(text: str) -> str:
+    """References decoded; needs the one-row table ``refs`` in scope."""
+    names, old = "refs.names", "refs.old"
+    number = (
+        "CASE WHEN starts_with(lower(r), '&#x') THEN TRY_CAST('0x' || regexp_extract(r, '^&#[xX]([0-9A-Fa-f]{1,8});?$', 1) AS BIGINT)"
+        " ELSE TRY_CAST(regexp_extract(r, '^&#([0-9]+)', 1) AS BIGINT) END"
+    )
+    char = (
+        f"CASE WHEN ({number}) IS NULL OR ({number}) <= 0 OR ({number}) > 1114111 OR ({number}) BETWEEN 55296 AND 57343 THEN chr(65533)"
+        f" WHEN ({number}) BETWEEN 128 AND 159 THEN {old}[({number})] ELSE chr(CAST(({number}) AS INTEGER)) END"
+    )
+    named = (
+        f"coalesce({names}[substr(r, 2)], {names}[regexp_extract(r[2:], {q(SHORT)}, 1)]"
+        f" || substr(r, 2 + length(regexp_extract(r[2:], {q(SHORT)}, 1))), r)"
+    )
+    refs = f"regexp_extract_all({text}, {q(REF)})"
+    decoded = f"list_transform({refs}, lambda r: CASE WHEN starts_with(r, '&#') THEN {char} ELSE {named} END)"
+    gaps = f"string_split_regex({text}, {q(REF)})"
+    return (
+        f"(CASE WHEN contains({text}, '&') THEN array_to_string(list_transform(list_zip({gaps}, {decoded}),"
+        f" lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '') ELSE {text} END)"
+    )
+
+
+def visible_sql(col: str) -> str:
+    body = f"regexp_replace({col}, {q('(?i)' + UNREAD)}, ' ', 'g')"
+    for pat in LINKED:
         body = f"regexp_replace({body}, {q(pat)}, ' ', 'g')"
-    for pat, ch in tx.ENTITIES:
-        body = f"regexp_replace({body}, {q(pat)}, {q(ch)}, 'g')"
-    scripts = f"array_to_string(regexp_extract_all({col}, {q(tx.SCRIPT_BODY)}, 1), ' ')"
-    return f"({body} || ' ' || {scripts})"
+    return body
+
+
+def inner_sql(col: str, names: str) -> str:
+    """The text inside the elements ``names`` among the unread ones, joined by spaces."""
+    pattern = rf"(?is)\A<(?:{names})\b[^>]*>(.*?)(?:</(?:{names})\s*>)?\z"
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({col}, {q('(?i)' + UNREAD)}),"
+        f" lambda u: regexp_extract(u, {q(pattern)}, 1)), ' ')"
+    )
+
+
+def html_text_sql(col: str = "html") -> str:
+    return f"({col}_text || ' ' || {inner_sql(col, 'script')})"
+
+
+# Pages with their text before references are decoded, and after.
+PAGE_TEXT = f"""
+page_raw AS (SELECT *, {visible_sql('html')} || ' ' || {inner_sql('html', 'textarea|title')} AS raw FROM pages),
+page_text AS (SELECT page_id, url, html, {decode_sql('raw')} AS html_text FROM page_raw, refs)"""
 
 
 def tokens_sql(text: str) -> str:
@@ -41,7 +118,7 @@ def tokens_sql(text: str) -> str:
 
 
 def clean_sql(tok: str) -> str:
-    return f"lower(trim({tok}, {q(tx.TRIM_CHARS)}))"
+    return f"lower(trim({tok}, {q(TRIM_CHARS)}))"
 
 
 def suffix_stem_sql(term: str) -> str:
@@ -49,13 +126,14 @@ def suffix_stem_sql(term: str) -> str:
 
 
 DOC_SRC = "SELECT 'doc:' || CAST(doc_id AS VARCHAR) AS url, text FROM documents"
-PAGE_SRC = f"SELECT url, {html_text_sql('html')} AS text FROM pages"
+PAGE_SRC = f"SELECT url, {html_text_sql('html')} AS text FROM page_text"
 
 
 def corpus(kind: str, src: str, stem=lambda t: t) -> str:
     """CTEs ``{kind}_src/_tok/_kept/_docs/_post`` for an index over ``src(url, text)``."""
     term = stem(clean_sql("tok"))
-    return f"""
+    before = f"{REFERENCES},{PAGE_TEXT}," if "page_text" in src else ""
+    return f"""{before}
 {kind}_src AS ({src}),
 {kind}_tok AS (SELECT s.url, t.tok FROM {kind}_src s, unnest({tokens_sql('s.text')}) AS t(tok)),
 {kind}_kept AS (SELECT url, tok FROM {kind}_tok WHERE tok NOT IN ({stops_sql()})),
@@ -109,7 +187,7 @@ def register(name: str, sql: str) -> None:
     ORACLE[name] = sql.strip()
 
 
-STOP_VALUES = lambda: ", ".join(f"({q(w)})" for w in stop_word_list())
+STOP_VALUES = lambda: ", ".join(f"({q(w)})" for w in STOP_WORDS)
 
 register("stop_words", f"""
 WITH words AS (SELECT DISTINCT w AS word FROM (VALUES {STOP_VALUES()}) v(w)),
@@ -136,10 +214,7 @@ register("clean_terms", with_(corpus("doc", DOC_SRC)) + f"""
 SELECT {clean_sql('tok')} AS term, CAST(count(*) AS BIGINT) AS n FROM doc_kept GROUP BY 1
 """)
 
-register("html_words", f"""
-SELECT p.url, t.tok AS token, CAST(count(*) AS BIGINT) AS cnt
-FROM pages p, unnest({tokens_sql(html_text_sql('p.html'))}) AS t(tok) GROUP BY 1, 2
-""")
+register("html_words", with_(corpus("page", PAGE_SRC)) + "SELECT url, tok AS token, CAST(count(*) AS BIGINT) AS cnt FROM page_tok GROUP BY 1, 2")
 
 register("query_terms", with_(queries_sql(), query_terms_sql()) + "SELECT qid, term, m FROM qt")
 
@@ -196,47 +271,53 @@ SELECT qid, CAST(rank AS BIGINT) AS rank, url, round(score, 6) AS score FROM ran
 
 def page_requests_sql() -> str:
     pages = ", ".join(q(p) for p in fx.PAGE_REQUESTS)
+    number = "CASE WHEN regexp_full_match(page, '[+-]?[0-9]+') THEN TRY_CAST(page AS BIGINT) END"
     return f"""
 reqs AS (
-  SELECT qid, page,
-         CASE WHEN TRY_CAST(page AS INTEGER) IS NULL OR TRY_CAST(page AS INTEGER) < 1 THEN 1
-              ELSE TRY_CAST(page AS INTEGER) END AS page_no
-  FROM qs, unnest([{pages}]) AS r(page))"""
+  SELECT qid, page, CASE WHEN ({number}) >= 1 THEN ({number}) ELSE 1 END AS page_no
+  FROM qs, unnest([{pages}]) AS r(page)),
+facts0 AS (
+  SELECT r.qid, r.page, r.page_no, CAST(coalesce(c.total, 0) AS BIGINT) AS total,
+         CAST((coalesce(c.total, 0) + 9) // 10 AS BIGINT) AS total_pages,
+         CAST(least(CAST(r.page_no AS HUGEINT) - 1, 922337203685477579) * 10 AS BIGINT) AS start_index
+  FROM reqs r LEFT JOIN (SELECT qid, count(*) AS total FROM ranked GROUP BY qid) c ON c.qid = r.qid),
+rng AS (
+  SELECT *, least(total_pages, greatest(1, CAST(page_no AS HUGEINT) - 2) + 4) AS last_p FROM facts0),
+rng2 AS (
+  SELECT *, CASE WHEN last_p - greatest(1, page_no - 2) < 4 THEN greatest(1, last_p - 4)
+                 ELSE greatest(1, page_no - 2) END AS first_p FROM rng),
+paging AS (
+  SELECT qid, page, page_no, total, total_pages, start_index,
+         CAST(least(CAST(start_index AS HUGEINT) + 10, total) AS BIGINT) AS end_index,
+         page_no < total_pages AS has_next, page_no > 1 AS has_prev,
+         CASE WHEN total_pages > 1 THEN array_to_string(range(CAST(first_p AS BIGINT), CAST(last_p AS BIGINT) + 1), ',')
+         END AS page_range
+  FROM rng2)"""
 
 
 register("result_page", with_(corpus("doc", DOC_SRC), queries_sql(), query_terms_sql(), scores_sql("doc"), page_requests_sql()) + """
 SELECT r.qid, r.page, r.page_no, CAST(k.rank AS BIGINT) AS rank, k.url, printf('%.4f', k.score) AS score
 FROM reqs r JOIN ranked k ON k.qid = r.qid
-WHERE k.rank > (r.page_no - 1) * 10 AND k.rank <= r.page_no * 10
+WHERE (k.rank - 1) // 10 = r.page_no - 1
 """)
 
-register("paging_facts", with_(corpus("doc", DOC_SRC), queries_sql(), query_terms_sql(), scores_sql("doc"), page_requests_sql()) + """
-, facts AS (
-  SELECT r.qid, r.page, r.page_no, CAST(coalesce(c.total, 0) AS BIGINT) AS total,
-         CAST((coalesce(c.total, 0) + 9) // 10 AS INTEGER) AS total_pages,
-         (r.page_no - 1) * 10 AS start_index
-  FROM reqs r LEFT JOIN (SELECT qid, count(*) AS total FROM ranked GROUP BY qid) c ON c.qid = r.qid),
-rng AS (
-  SELECT *, least(total_pages, greatest(1, page_no - 2) + 4) AS last_p FROM facts),
-rng2 AS (
-  SELECT *, CASE WHEN last_p - greatest(1, page_no - 2) < 4 THEN greatest(1, last_p - 4)
-                 ELSE greatest(1, page_no - 2) END AS first_p FROM rng)
-SELECT qid, page, page_no, total, total_pages, start_index,
-       CAST(least(start_index + 10, total) AS INTEGER) AS end_index,
-       page_no < total_pages AS has_next, page_no > 1 AS has_prev,
-       CASE WHEN total_pages > 1 THEN array_to_string(range(first_p, last_p + 1), ',') END AS page_range
-FROM rng2
-""")
+PAGED = with_(corpus("doc", DOC_SRC), queries_sql(), query_terms_sql(), scores_sql("doc"), page_requests_sql())
+
+register("paging_facts", PAGED + "SELECT * FROM paging")
 
 
 # --- links and URLs -----------------------------------------------------------
 
-from trawl.functions import urls as ur  # noqa: E402
-from trawl.operators import links as lk  # noqa: E402
+URL_RE = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?"
+KEPT_PATH = r"^[A-Za-z0-9\-_.~!$&'()*+,;=:@/\[\]%]*\z"
+UNESCAPED = {"%2F": "/", "%24": "$", "%26": "&", "%2B": "+", "%2C": ",", "%3A": ":", "%3B": ";", "%3D": "=", "%40": "@", "%7E": "~"}
+A_TAG = r"(?is)<a\s[^>]*>"
+HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+AFTER_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:([^#]*)"
 
 
 def part_sql(x: str, i: int) -> str:
-    return f"regexp_extract({x}, {q(ur.URL_PARTS)}, {i})"
+    return f"regexp_extract({x}, {q(URL_RE)}, {i})"
 
 
 def rx(x: str, pattern: str) -> str:
@@ -245,16 +326,27 @@ def rx(x: str, pattern: str) -> str:
 
 def escape_path_sql(p: str) -> str:
     enc = f"url_encode(url_decode({p}))"
-    for code, ch in ur.PATH_RESTORE:
+    for code, ch in UNESCAPED.items():
         enc = f"replace({enc}, {q(code)}, {q(ch)})"
-    return f"(CASE WHEN {rx(p, ur.PATH_KEPT)} THEN {p} ELSE {enc} END)"
+    return f"(CASE WHEN {rx(p, KEPT_PATH)} THEN {p} ELSE {enc} END)"
+
+
+def bad_port_sql(host: str) -> str:
+    rest = f"regexp_extract({host}, '\\]([^\\]]*)\\z', 1)"
+    last = f"regexp_extract({host}, '(:[^:]*)\\z', 1)"
+    return (
+        f"(CASE WHEN starts_with({host}, '[') THEN NOT contains({host}, ']') OR NOT regexp_full_match({rest}, '(:[0-9]*)?')"
+        f" ELSE {last} <> '' AND NOT regexp_full_match({last}, ':[0-9]*') END)"
+    )
 
 
 def invalid_sql(ref: str) -> str:
     scheme, host, path, frag = (part_sql(ref, i) for i in (1, 2, 3, 5))
     return (
-        f"({rx(ref, ur.CONTROL)} OR {rx(f'({host} || {path} || {frag})', ur.BAD_PERCENT)} OR {rx(host, ur.BAD_HOST)}"
-        f" OR ({scheme} = '' AND NOT {rx(ref, ur.HAS_AUTHORITY)} AND {rx(path, '^[^/]*:')})"
+        f"({rx(ref, '[' + chr(92) + 'x00-' + chr(92) + 'x1f' + chr(92) + 'x7f]')}"
+        f" OR {rx(f'({host} || {path} || {frag})', '%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?' + chr(92) + 'z)')}"
+        f" OR {rx(host, r'[\s{}|\\^`]')} OR {bad_port_sql(host_sql(ref))}"
+        f" OR ({scheme} = '' AND NOT {rx(ref, r'^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//')} AND {rx(path, '^[^/]*:')})"
         f" OR starts_with({ref}, ':'))"
     )
 
@@ -262,8 +354,8 @@ def invalid_sql(ref: str) -> str:
 def resolve_sql(base: str, href: str) -> str:
     rs, rh, rp, rq = (part_sql(href, i) for i in (1, 2, 3, 4))
     scheme = f"lower(CASE WHEN {rs} <> '' THEN {rs} ELSE {part_sql(base, 1)} END)"
-    host = f"(CASE WHEN {rh} <> '' THEN {rh} ELSE {part_sql(base, 2)} END)"
-    rest = f"regexp_extract({href}, {q(ur.OPAQUE_REST)}, 1)"
+    host = f"(CASE WHEN {rh} <> '' THEN {rh} ELSE {host_sql(base)} END)"
+    rest = f"regexp_extract({href}, {q(AFTER_SCHEME)}, 1)"
     opaque = f"({rs} <> '' AND NOT starts_with({rest}, '/'))"
     path = escape_path_sql(rp)
     slash = f"(CASE WHEN {rp} <> '' AND NOT starts_with({rp}, '/') AND {host} <> '' THEN '/' ELSE '' END)"
@@ -278,7 +370,7 @@ def resolve_sql(base: str, href: str) -> str:
 
 
 def host_sql(x: str) -> str:
-    return part_sql(x, 2)
+    return f"regexp_replace({part_sql(x, 2)}, '^.*@', '')"
 
 
 def ext_sql(h: str) -> str:
@@ -286,24 +378,17 @@ def ext_sql(h: str) -> str:
 
 
 def followed_sql(h: str) -> str:
-    exts = ", ".join(q(e) for e in ur.FOLLOWED_EXTENSIONS)
-    return f"({h} <> '' AND NOT starts_with({h}, '#') AND {ext_sql(h)} IN ({exts}))"
-
-
-def stripped_sql(col: str) -> str:
-    body = col
-    for pat in (tx.SCRIPT, tx.COMMENT, tx.STYLE):
-        body = f"regexp_replace({body}, {q(pat)}, ' ', 'g')"
-    return body
+    return f"({h} <> '' AND NOT starts_with({h}, '#') AND {ext_sql(h)} IN ('', '.html'))"
 
 
-HREF_SQL = "replace(" + " || ".join(f"regexp_extract(tag, {q(lk.HREF)}, {i})" for i in (1, 2, 3)) + ", '&amp;', '&')"
+HREF_SQL = " || ".join(f"regexp_extract(tag, {q(HREF_RE)}, {i})" for i in (1, 2, 3))
 
-ANCHORS = f"""
-anchors AS (
-  SELECT src, CAST(pos AS BIGINT) AS pos, {HREF_SQL} AS href FROM (
+ANCHORS = f"""{REFERENCES},
+tags AS (
+  SELECT src, pos, {HREF_SQL} AS raw FROM (
     SELECT url AS src, unnest(l) AS tag, generate_subscripts(l, 1) - 1 AS pos
-    FROM (SELECT url, regexp_extract_all({stripped_sql('html')}, {q(lk.ANCHOR_TAG)}, 0) AS l FROM pages))),
+    FROM (SELECT url, regexp_extract_all(regexp_replace(html, {q('(?i)' + UNREAD)}, ' ', 'g'), {q(A_TAG)}, 0) AS l FROM pages))),
+anchors AS (SELECT src, CAST(pos AS BIGINT) AS pos, {decode_sql('raw')} AS href FROM tags, refs),
 followed AS (SELECT src, pos, href FROM anchors WHERE {followed_sql('href')}),
 resolved AS (SELECT src, pos, href, {resolve_sql('src', 'href')} AS url FROM followed)"""
 
@@ -363,19 +448,20 @@ SELECT r.slug, t.url, t.url IS NOT NULL AS found FROM req r LEFT JOIN tbl t ON t
 HOST_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
 
-register("crawl_reachable", f"""
-WITH RECURSIVE pg AS (SELECT page_id, url, regexp_extract(url, {q(HOST_RE)}, 1) AS host FROM pages),
+CRAWL_LINKS = f"""
+pg AS (SELECT page_id, url, regexp_extract(url, {q(HOST_RE)}, 1) AS host FROM pages),
 num AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS n FROM pg),
 hosts AS (SELECT host, row_number() OVER (ORDER BY host) AS hn FROM (SELECT DISTINCT host FROM pg)),
 firsts AS (SELECT h.hn, m.url FROM num m JOIN hosts h ON h.host = m.host WHERE m.n = 0),
 links AS (
   SELECT a.url AS src, b.url AS href FROM num a JOIN num b ON a.host = b.host AND (b.n = 2 * a.n + 1 OR b.n = 2 * a.n + 2)
   UNION ALL SELECT a.url, f.url FROM num a JOIN hosts h ON h.host = a.host JOIN firsts f ON f.hn = h.hn + 1
-  UNION ALL SELECT url, regexp_extract(url, {q(SCHEME_RE)}, 1) || '://' || host || '/missing' FROM num),
+  UNION ALL SELECT url, regexp_extract(url, {q(SCHEME_RE)}, 1) || '://' || host || '/missing' FROM num)"""
+
+CRAWL_REACH = f"""
 seed AS (
   SELECT first AS url FROM (SELECT host, count(*) AS c, arg_min(url, page_id) AS first FROM pg GROUP BY host)
   ORDER BY c DESC, host LIMIT 1),
-keys AS (SELECT DISTINCT {resolve_sql('url', 'url')} AS url FROM pages),
 seed_url AS (SELECT {resolve_sql('url', 'url')} AS url FROM seed),
 cand AS (SELECT {resolve_sql('src', 'src')} AS src, {resolve_sql('src', 'href')} AS dst FROM links),
 edges AS (
@@ -386,15 +472,21 @@ reach(url, depth) AS (
   SELECT url, 0 FROM seed_url
   UNION ALL
   SELECT e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.url
-  WHERE r.depth < (SELECT count(*) FROM pages))
+  WHERE r.depth < (SELECT count(*) FROM pages))"""
+
+register("crawl_reachable", f"""
+WITH RECURSIVE {CRAWL_LINKS.strip()},
+keys AS (SELECT DISTINCT {resolve_sql('url', 'url')} AS url FROM pages),
+{CRAWL_REACH.strip()}
 SELECT url, CAST(min(depth) AS INTEGER) AS depth, url IN (SELECT url FROM keys) AS fetched FROM reach GROUP BY url
 """)
 
 
 # --- robots ---------------------------------------------------------------------
 
-from trawl.operators import robots as rb  # noqa: E402
-from trawl.plans.catalog import ROBOTS_AS_OF  # noqa: E402
+AGENT = "trawl"
+# The time at which files are checked, as the query has it.
+ROBOTS_AS_OF = "2024-01-31 12:00:00"
 
 TRIM_RE = r"^[\s\x0b\x85\p{Z}]+|[\s\x0b\x85\p{Z}]+\z"
 
@@ -411,12 +503,13 @@ rfiles AS (
          CASE WHEN substr(md5(host), 1, 1) = '1' THEN TIMESTAMP '2024-01-29 23:00:00'
               ELSE TIMESTAMP '2024-01-31 00:00:00' END AS fetched_at,
          CASE WHEN substr(md5(host), 1, 1) = '2' THEN 404 ELSE 200 END AS status,
-         {q(fx.ROBOTS_BODY)} AS body
+         CASE CAST('0x' || substr(md5(host), 2, 1) AS INTEGER) % 4
+           {' '.join(f'WHEN {i} THEN {q(b)}' for i, b in enumerate(fx.ROBOTS_BODIES))} END AS body
   FROM rhosts)"""
 
 
 def robots_lines_sql(files: str) -> str:
-    agent = q(rb.DEFAULT_AGENT)
+    agent = q(AGENT)
     return f"""
 rl0 AS (
   SELECT host, fetched_at, CAST(line_no AS BIGINT) AS line_no, {trim_sql('raw')} AS line FROM (
@@ -441,7 +534,8 @@ rrules AS (
 rdelay AS (
   SELECT host, fetched_at, arg_max(d, line_no) AS delay_s FROM (
     SELECT host, fetched_at, line_no, TRY_CAST(value AS DOUBLE) AS d FROM rlines
-    WHERE applies AND directive = 'crawl-delay') WHERE d > 0 GROUP BY host, fetched_at)"""
+    WHERE applies AND directive = 'crawl-delay'
+      AND regexp_full_match(value, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')) WHERE d > 0 GROUP BY host, fetched_at)"""
 
 
 FRESH_SQL = f"""
@@ -620,3 +714,45 @@ SELECT url, regexp_replace(url, '^https://', '') AS display_url, {display_title_
        {clean_path_sql('url')} AS slug, printf('%.4f', CAST(length(html) AS DOUBLE) / 7) AS size_score
 FROM pages
 """)
+
+
+# --- pages of results, appended indexes, crawl to index -----------------------------
+
+register("search_page", PAGED + f"""
+SELECT p.qid, p.page, p.page_no, CAST(k.rank AS BIGINT) AS rank, k.url,
+       regexp_replace(k.url, '^https://', '') AS display_url, {display_title_sql('k.url')} AS title,
+       {clean_path_sql('k.url')} AS clean_path, printf('%.4f', k.score) AS score,
+       p.total, p.total_pages, p.start_index, p.end_index, p.has_next, p.has_prev, p.page_range
+FROM paging p LEFT JOIN ranked k ON k.qid = p.qid AND (k.rank - 1) // 10 = p.page_no - 1
+""")
+
+register("append_search", with_(corpus("doc", DOC_SRC), corpus("page", PAGE_SRC), """
+both_docs AS (SELECT * FROM doc_docs UNION ALL SELECT * FROM page_docs),
+both_post AS (SELECT * FROM doc_post UNION ALL SELECT * FROM page_post)""", queries_sql(), query_terms_sql(), scores_sql("both")) + """
+SELECT qid, CAST(rank AS BIGINT) AS rank, url, round(score, 6) AS score FROM ranked WHERE rank <= 10
+""")
+
+register("crawl_index", f"""
+WITH RECURSIVE {REFERENCES.strip()},{PAGE_TEXT},{corpus("page", PAGE_SRC).split(PAGE_TEXT + ",", 1)[1]},
+{robots_files_sql().strip()},{FRESH_SQL},{robots_lines_sql("rfresh")},
+keyed AS (
+  SELECT page_id, url, {host_sql('url')} AS host,
+         CASE WHEN {part_sql('url', 3)} = '' THEN '/' ELSE url_decode({part_sql('url', 3)}) END AS path,
+         {invalid_sql('url')} AS unparsable
+  FROM pages WHERE page_id % 10 <> 0),
+readable AS (
+  SELECT k.page_id, k.url
+  FROM keyed k LEFT JOIN rrules r ON r.host = k.host AND regexp_matches(k.path, r.regex)
+  GROUP BY ALL
+  HAVING bool_or(k.unparsable) OR coalesce(bool_or(r.kind = 'allow'), false) OR NOT coalesce(bool_or(r.kind = 'disallow'), false)),
+{CRAWL_LINKS},
+keys AS (SELECT DISTINCT {resolve_sql('url', 'url')} AS url FROM readable),
+{CRAWL_REACH}
+SELECT r.url, CAST(min(r.depth) AS INTEGER) AS depth, r.url IN (SELECT url FROM keys) AS fetched,
+       any_value(d.word_count) AS word_count, any_value(d.n) AS n_postings
+FROM reach r LEFT JOIN (
+  SELECT {resolve_sql('d.url', 'd.url')} AS key, d.word_count, CAST(coalesce(p.n, 0) AS BIGINT) AS n
+  FROM page_docs d LEFT JOIN (SELECT url, count(*) AS n FROM page_post GROUP BY url) p ON p.url = d.url
+  WHERE d.url IN (SELECT url FROM readable)) d ON d.key = r.url
+GROUP BY r.url
+""")

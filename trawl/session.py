@@ -28,6 +28,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TRAWL_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the test tables are single files of one row group
+        .config("spark.trawl.readPartitions", str(shuffle_partitions))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

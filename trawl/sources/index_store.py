@@ -7,31 +7,34 @@ One dataset holds both tables, partitioned by ``term_bucket``::
     _terms/term_bucket=B/   term statistics: term, df (document frequency)
     _meta/                  the number of buckets
 
-``term_bucket = pmod(xxhash64(term), buckets)``. Documents and postings come
-out of one pass over the text and one shuffle. A lookup of known terms reads
-only their buckets (static partition pruning: the bucket of a literal term is
-constant-folded), and within a bucket Parquet row-group statistics on the
-sorted ``term`` column skip the rest. The write uses a ``REBALANCE`` hint on
-the bucket: adaptive execution splits a bucket that holds a very frequent
-term over several tasks (and files) and merges small ones, so no term ever
-lands in a single task; ``files_per_bucket`` adds a url salt on top.
+``term_bucket = pmod(xxhash64(term), buckets)``; the caller gives the number
+of buckets, about one per 256 MB of postings. The rows of an index are computed
+once, then range-partitioned on (bucket, term, url): a lookup of known terms
+reads only their buckets (static or dynamic partition pruning), within a bucket
+the files hold disjoint ranges of terms, so only files (and row groups) with the
+term are opened, and a very frequent term is split over files by url.
+
+``append_index`` adds a part beside the index (``_parts/``). An index with
+parts is unresolved until it is read: searches apply W1 before any statistic is
+taken, and ``compact_index`` writes it back as one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index
+from trawl.session import ensure_checkpoint_dir
 
-# Term buckets: scale with the postings size (about one bucket per 256 MB of
-# postings); ``files_per_bucket`` spreads each bucket over more tasks.
-DEFAULT_BUCKETS = 16
+_COLUMNS = ("url", "seq", "word_count", "term", "cnt", "tf")
 
 
-def term_bucket(term: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
+def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
@@ -49,35 +52,28 @@ def _combined(index: Index) -> DataFrame:
     return docs.unionByName(index.postings.select("url", "seq", "word_count", "term", "cnt", "tf"))
 
 
-def write_index(
-    index: Index,
-    path: str,
-    *,
-    buckets: int = DEFAULT_BUCKETS,
-    files_per_bucket: int = 2,
-    mode: str = "overwrite",
-) -> None:
-    """Write documents and postings in one job; ``overwrite`` replaces any old index (the caller picks, D11)."""
-    rows = _combined(index)
-    is_doc = F.col("term").isNull()
-    bucket = F.when(is_doc, F.lit(-1)).otherwise(term_bucket(F.col("term"), buckets))
-    # REBALANCE: hash by bucket (and an optional url salt), then AQE splits
-    # skewed partitions - a bucket holding a very frequent term is written by
-    # several tasks - and merges small ones.
-    keys = ["term_bucket"]
-    if files_per_bucket > 1:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("url"), F.lit(files_per_bucket)))
-        keys.append("_salt")
+def write_index(index: Index, path: str, *, buckets: int, mode: str = "overwrite") -> None:
+    """Write documents, postings and term statistics of the resolved index.
+
+    ``mode`` is ``overwrite`` (replaces any old index) or ``error`` (the caller
+    picks, D11); adding to an index is ``append_index``.
+    """
+    if mode not in ("overwrite", "error"):
+        raise ValueError(f"mode {mode!r}: an index is overwritten or written anew; use append_index to add to one")
+    spark = index.documents.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Computed once: range partitioning reads its input twice (sample and rows).
+    rows = _combined(index.resolved()).checkpoint(eager=True)
+    bucket = F.when(F.col("term").isNull(), F.lit(-1)).otherwise(term_bucket(F.col("term"), buckets))
+    order = ["term_bucket", "term", "url"]
     (
         rows.withColumn("term_bucket", bucket)
-        .hint("rebalance", *keys)
-        .drop("_salt")
-        .sortWithinPartitions("term_bucket", "term", "url")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("term_bucket")
         .parquet(path)
     )
-    spark = rows.sparkSession
     # Term statistics from the postings just written (one column read, map-side
     # partial counts), bucketed like the postings for pruned lookups.
     written = spark.read.parquet(path).where(F.col("term_bucket") >= 0)
@@ -90,31 +86,60 @@ def write_index(
     spark.createDataFrame([(buckets,)], "buckets INT").write.mode(mode).json(f"{path}/_meta")
 
 
-def compact_index(index: Index, path: str, **kw) -> Index:
-    """Rewrite an index of appended parts as one resolved index on disk (W1 applied once).
+def append_index(part: Index, path: str) -> None:
+    """Add ``part`` to the index at ``path``: after everything already there, whatever its own ``seq``.
 
-    Appends only add rows (first-wins documents and last-wins postings are
-    resolved when read); compaction writes the resolved result with fresh term
-    statistics, so later reads skip the resolution.
+    Documents stay first-wins and postings last-wins across parts. One writer
+    at a time; a part shows up when its write is committed.
     """
-    write_index(index.resolved(), path, **kw)
+    spark = part.documents.sparkSession
+    there = open_index(spark, path)
+    newest = there.documents.select("seq").unionByName(there.postings.select("seq")).agg(F.max("seq")).first()[0]
+    rows = _combined(part.resolved())
+    oldest = rows.agg(F.min("seq")).first()[0]
+    if oldest is None:
+        return
+    shifted = rows.withColumn("seq", F.col("seq") + F.lit((newest if newest is not None else -1) + 1 - oldest))
+    shifted.write.parquet(f"{path}/_parts/part={uuid.uuid4().hex[:12]}")
+
+
+def compact_index(index: Index, path: str, *, buckets: int) -> Index:
+    """Rewrite an index of appended parts as one resolved index on disk (W1 applied once)."""
+    write_index(index, path, buckets=buckets)
     return open_index(index.postings.sparkSession, path)
 
 
+def _missing(err: AnalysisException) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
 def open_index(spark: SparkSession, path: str) -> Index:
     """Read an index written by ``write_index``; postings keep their ``term_bucket`` column."""
     try:
         meta = spark.read.schema("buckets INT").json(f"{path}/_meta").first()
-    except Exception as err:  # no marker: the write did not finish
-        raise FileNotFoundError(f"no complete index at {path} (missing _meta; the write did not finish)") from err
+    except AnalysisException as err:
+        if not _missing(err):
+            raise
+        meta = None
     if meta is None:
-        raise FileNotFoundError(f"no complete index at {path} (empty _meta)")
+        raise FileNotFoundError(f"no complete index at {path} (missing _meta; the write did not finish)")
     buckets = meta[0]
     table = spark.read.parquet(path)
     documents = table.where(F.col("term_bucket") == -1).select(*DOCUMENT_COLUMNS)
     postings = table.where(F.col("term_bucket") >= 0).select(*POSTING_COLUMNS, "term_bucket")
-    terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "term_bucket")
-    return Index(documents, postings, buckets=buckets, terms=terms)
+    try:
+        parts = spark.read.parquet(f"{path}/_parts").select(*_COLUMNS)
+    except AnalysisException as err:
+        if not _missing(err):
+            raise
+        terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "term_bucket")
+        return Index(documents, postings, buckets=buckets, terms=terms)
+    added = parts.where(F.col("term").isNotNull()).select(*POSTING_COLUMNS)
+    return Index(
+        documents.unionByName(parts.where(F.col("term").isNull()).select(*DOCUMENT_COLUMNS)),
+        postings.select(*POSTING_COLUMNS).unionByName(added),
+        is_resolved=False,
+    )
 
 
 def postings_for(index: Index, terms: Iterable[str]) -> DataFrame:

@@ -11,33 +11,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over all cores when it yields fewer partitions than there are cores.
+# Session setting: spread text scans over so many partitions before CPU-heavy work.
+READ_PARTITIONS = "spark.trawl.readPartitions"
 
-    Tokenising and HTML extraction are CPU-bound per row, so a file with one
-    large row group would otherwise run in a single task. On a cluster the
-    input splits outnumber the cores and nothing moves. The hash covers the
-    given columns (url and content), so many rows under one URL still spread.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out evenly when the session sets ``spark.trawl.readPartitions``; else leave the scan as it is.
+
+    Meant for few large files with one row group each, which Spark can't split.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # e.g. no RDD access: leave the scan as it is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, F.xxhash64(*keys))
+    n = df.sparkSession.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as indexable rows ``(url, text, doc_id)``; the url is ``doc:<doc_id>``."""
-    docs = balanced(read_table(spark, sf_dir, "documents"), "doc_id", "text")
-    return docs.select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text", "doc_id")
+    """``documents`` as indexable rows ``(url, text, doc_id, lang)``; the url is ``doc:<doc_id>``."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return docs.select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text", "doc_id", "lang")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as ``(page_id, url, html)``."""
-    return balanced(read_table(spark, sf_dir, "pages"), "url", "html").select("page_id", "url", "html")
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

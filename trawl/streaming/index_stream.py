@@ -7,44 +7,29 @@ query resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trawl.functions.text import Stemmer, identity_stem
-from trawl.sources.tables import balanced
+from trawl.sources.tables import spread
 from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index, build_page_index, postings_of
 
 DEFAULT_TICK = "30 seconds"
 
 
 def land_files(df: DataFrame, path: str, files: int) -> str:
-    """Write ``df`` as ``files`` Parquet files into a landing folder (a stand-in for arriving data)."""
+    """Write ``df`` as ``files`` Parquet files, in no order, into a landing folder (a stand-in for arriving data)."""
     df.repartition(files).write.mode("overwrite").parquet(path)
     return path
 
 
-def land_in_time_order(df: DataFrame, path: str, files: int, ts: str = "ts") -> str:
-    """Land ``df`` as ``files`` Parquet files, one time slice after the other.
-
-    Fetch results arrive in the order they are fetched; writing the slices in
-    order makes the file stream see them that way, so a watermark only drops
-    data that is really late. Slice bounds come from the min and max time.
-    """
-    lo, hi = df.select(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
-    if lo is None:
-        return land_files(df, path, 1)
-    width = max(1, (hi - lo) // files + 1)
-    slot = ((F.unix_micros(ts) - F.lit(lo)) / F.lit(width)).cast("int")
-    for i in range(files):
-        df.where(slot == i).coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
     """A streaming read of the Parquet files landing in ``path``."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
@@ -67,6 +52,25 @@ def _start(spark: SparkSession, writer, state_partitions: int | None) -> Streami
         spark.conf.set(key, before)
 
 
+def _first_seq(spark: SparkSession, out: str, stream: str) -> int:
+    """The ``seq`` of a stream's batch 0: kept beside the index, made at the stream's first start."""
+    marker = f"{out}/_streams/stream={stream}"
+    try:
+        return spark.read.schema("base BIGINT").json(marker).first()[0]
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+    try:
+        newest = spark.read.parquet(out).agg(F.max("seq")).first()[0]
+    except AnalysisException as err:
+        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        newest = None
+    base = 0 if newest is None else newest + 1
+    spark.createDataFrame([(base,)], "base BIGINT").write.mode("overwrite").json(marker)
+    return base
+
+
 def index_stream(
     pages: DataFrame,
     out: str,
@@ -77,24 +81,29 @@ def index_stream(
     stop_words: Sequence[str] | None = None,
     stem: Stemmer = identity_stem,
 ) -> StreamingQuery:
-    """X1+X3: index each micro-batch of ``pages(url, html)`` and write it as part ``batch_id``.
-
-    Every part is written with ``overwrite`` into its own ``batch_id=N``
-    folder, so a batch that is re-run after a failure replaces its half-written
-    output instead of adding to it (idempotent commit). ``seq = batch_id`` so
-    first-wins documents and last-wins postings apply across parts.
+    """X1+X3: index each micro-batch of ``pages(url, html)`` and write it as a part of its own.
+
+    A part is keyed by the stream (its checkpoint) and ``batch_id`` and written
+    with ``overwrite``, so a batch that is re-run after a failure replaces its
+    half-written output (idempotent commit) and another stream into the same
+    index never touches it. ``seq`` goes on from what the index held when the
+    stream first started, plus ``batch_id``, so first-wins documents and
+    last-wins postings apply across parts and streams (one stream at a time).
+    Of rows with one URL in a batch, the one whose text has the lowest hash counts.
     """
+    spark = pages.sparkSession
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    base = _first_seq(spark, out, stream)
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        # A micro-batch of few large files is spread over all cores before the
-        # CPU-bound HTML work (a no-op when the batch already has enough splits).
-        pages_part = balanced(batch.select("url", "html"), "url", "html")
-        part = build_page_index(pages_part, stop_words=stop_words, stem=stem, seq=F.lit(batch_id))
+        one = spread(batch).groupBy("url").agg(F.min_by("html", F.xxhash64("html")).alias("html"))
+        part = build_page_index(one, stop_words=stop_words, stem=stem, seq=F.lit(base + batch_id))
         # Documents (term null) and postings of the part in one pass and one write.
-        part.rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        key = f"stream={stream}/batch_id={batch_id}"
+        part.rows.write.mode("overwrite").parquet(f"{out}/{key}")
         # The batch report row, from the part just written (a footer-level read).
-        written = batch.sparkSession.read.parquet(f"{out}/batch_id={batch_id}")
+        written = batch.sparkSession.read.parquet(f"{out}/{key}")
         report = written.agg(
             F.count_if(F.col("term").isNull()).alias("n_docs"),
             F.count_if(F.col("term").isNotNull()).alias("n_postings"),
@@ -104,23 +113,23 @@ def index_stream(
             "n_postings",
             F.lit(round(time.time() - started, 3)).alias("seconds"),
         )
-        report.coalesce(1).write.mode("overwrite").parquet(f"{out}/_batches/batch_id={batch_id}")
+        report.coalesce(1).write.mode("overwrite").parquet(f"{out}/_batches/{key}")
 
     writer = pages.writeStream.foreachBatch(write_part).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()
 
 
 def stream_batch_report(spark: SparkSession, out: str) -> DataFrame:
-    """A12 for a stream: ``(batch_id, n_docs, n_postings, seconds)`` per committed micro-batch."""
-    return spark.read.parquet(f"{out}/_batches").select("batch_id", "n_docs", "n_postings", "seconds")
+    """A12 for a stream: ``(batch_id, n_docs, n_postings, seconds)`` per stream and committed micro-batch."""
+    return spark.read.parquet(f"{out}/_batches").select("stream", "batch_id", "n_docs", "n_postings", "seconds")
 
 
 def read_streamed_index(spark: SparkSession, out: str) -> Index:
-    """The parts written by ``index_stream`` as one index (resolve it with ``Index.resolved``)."""
+    """The parts written by ``index_stream`` as one index, resolved when it is searched or written."""
     rows = spark.read.parquet(out)
     docs = rows.where(F.col("term").isNull()).select(*DOCUMENT_COLUMNS)
     post = postings_of(rows.where(F.col("term").isNotNull()))
-    return Index(docs, post.select(*POSTING_COLUMNS))
+    return Index(docs, post.select(*POSTING_COLUMNS), is_resolved=False)
 
 
 def dedupe_stream(fetches: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -135,15 +144,16 @@ def dedupe_stream(fetches: DataFrame, watermark: str | None = None) -> DataFrame
     return fetches.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["url"])
 
 
-def progress_stream(fetches: DataFrame, tick: str = DEFAULT_TICK, watermark: str = "10 minutes") -> DataFrame:
+def progress_stream(fetches: DataFrame, tick: str = DEFAULT_TICK, watermark: str | None = None) -> DataFrame:
     """Distinct URLs fetched per tumbling ``tick`` window.
 
-    Exact distinct counts with bounded state: (window, url) pairs are
-    deduplicated first (state evicted by the watermark), then counted per
-    window. A window holding most fetches is still a count, never a set.
+    (window, url) pairs are deduplicated first, then counted per window, so a
+    window holding most fetches is still a count, never a set. Without a
+    watermark every fetch counts, however late, and the pairs stay in state; a
+    ``watermark`` bounds the state and leaves out fetches later than that.
     """
-    win = F.window("ts", tick)
-    deduped = fetches.withWatermark("ts", watermark).withColumn("window", win).dropDuplicates(["window", "url"])
+    rows = fetches.withWatermark("ts", watermark) if watermark else fetches
+    deduped = rows.withColumn("window", F.window("ts", tick)).dropDuplicates(["window", "url"])
     return deduped.groupBy("window").agg(F.count(F.lit(1)).alias("n_urls"))
 
 
