@@ -27,6 +27,7 @@ from trawl.sources.tables import benchmark_queries, text_documents, web_pages  #
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+BUCKETS = 16
 # Registered queries also timed end to end (beside the headline ones).
 EXTRA = (
     "search_ranked",
@@ -55,16 +56,16 @@ def main() -> None:
 
     # Warm-up (not timed): JVM start and JIT/codegen of the index and search paths, on a small slice.
     warm = scratch_path(spark, "bench-warm")
-    st.write_index(ix.build_text_index(text_documents(spark, SF_DIR).limit(200)), warm)
-    st.write_index(ix.build_page_index(web_pages(spark, SF_DIR).limit(50)), scratch_path(spark, "bench-warm-pages"))
+    st.write_index(ix.build_text_index(text_documents(spark, SF_DIR).limit(200)), warm, buckets=BUCKETS)
+    st.write_index(ix.build_page_index(web_pages(spark, SF_DIR).limit(50)), scratch_path(spark, "bench-warm-pages"), buckets=BUCKETS)
     warm_index = st.open_index(spark, warm)
     se.search(warm_index, fx.search_queries(spark, SF_DIR).limit(5), k=10).collect()
     se.search_one(warm_index, "warm up query", page=1).collect()
 
     doc_path = scratch_path(spark, "bench-doc-index")
     page_path = scratch_path(spark, "bench-page-index")
-    timed("index_documents", lambda: st.write_index(ix.build_text_index(text_documents(spark, SF_DIR)), doc_path))
-    timed("index_pages", lambda: st.write_index(ix.build_page_index(web_pages(spark, SF_DIR)), page_path))
+    timed("index_documents", lambda: st.write_index(ix.build_text_index(text_documents(spark, SF_DIR)), doc_path, buckets=BUCKETS))
+    timed("index_pages", lambda: st.write_index(ix.build_page_index(web_pages(spark, SF_DIR)), page_path, buckets=BUCKETS))
 
     index = st.open_index(spark, doc_path)
     first_query = benchmark_queries(spark, SF_DIR).orderBy("qid").select("q").first()[0]

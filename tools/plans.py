@@ -38,7 +38,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     path = scratch_path(spark, "plans-index")
-    st.write_index(ix.build_text_index(text_documents(spark, sf)), path)
+    st.write_index(ix.build_text_index(text_documents(spark, sf)), path, buckets=16)
     index = st.open_index(spark, path)
     sections = [
         ("Index build: documents and postings rows (no shuffle before the write)",
