@@ -2,59 +2,68 @@
 
 A line (texts are cut at LF) is the set of its lower-cased words, runs of
 characters other than space, tab, LF, VT, FF and CR. A line goes if any earlier
-line of the corpus, by document id, then text key, then line number, has a
-Jaccard similarity of at least 4/5 with it; it goes too if that earlier line
-goes itself.
+line of the corpus, by document id, then line number, has a Jaccard similarity
+of at least 4/5 with it; it goes too if that earlier line goes itself.
 
 Method (prefix filtering with positional and length filters):
 
-1. Words become 64-bit hashes, and their occurrences over all lines are counted
+1. Words become 64-bit hashes, and their occurrences in the corpus are counted
    in ``2 ** COUNTER_BITS`` counters chosen by the hash. The rank of its counter
    replaces these bits of a hash, which is a bijection: sorting a line's keys
    puts its rarest words first, in one order for the whole corpus.
 2. Lines with equal key sets are one class, named by its first line (a
    pre-aggregated minimum); its other lines go.
-3. Two sets of ``n`` and ``m`` keys at 4/5 or more share one of the first
-   ``n - ceil(4n/5) + 1`` keys of each. Classes meet on these prefix keys, and a
-   pair stays if its sizes (length filter), the positions of the shared key
-   (positional filter) and the differing bits of two 64-bit summaries (each
-   needs a word that only one line has) allow the similarity.
-4. Pairs left are verified: the Jaccard similarity of the full sets.
+3. Two sets of ``n`` and ``m`` keys at 4/5 or more share ``l`` of the first
+   ``n - ceil(4n/5) + l`` keys of each, for any ``l`` up to their overlap; long
+   lines use a larger ``l``, as they often share one rare word by chance.
+   Classes of similar size meet on these prefix keys, and a meeting stays if their sizes (length
+   filter), the positions of the shared key (positional filter) and the
+   differing bits of two 64-bit summaries (each needs a word that only one line
+   has) allow the similarity. Pairs that meet ``l`` times are candidates.
+4. Candidates are verified: the Jaccard similarity of the full sets.
 
 A group of many near copies shares its prefix keys, so all its pairs would meet.
-As a line needs one earlier match only, step 3 first looks at the few
-predecessors of each class under its rarest keys; classes matched there are
+As a line needs one earlier match only, step 3 first looks at the closest of a
+few predecessors of each class under its rarest keys; classes matched there are
 settled. Only the others are joined, as the later line, with all classes, which
 loses nothing and is small for copies. Postings are short rows keyed by words
 that are rare, and skewed keys of the join are split by adaptive execution.
 
 The full sets are needed only for candidates: their lines are read again from
-the texts through a sieve of ``2 ** 22`` bits, which lets all candidates and few
-others pass, before anything is shuffled.
+the texts through a sieve of ``2 ** SIEVE_BITS`` bits, which lets all candidates
+and few others pass, before anything is shuffled.
 
 Hash width: two different words are taken for one only if their 64-bit hashes
 are equal, two different sets only if 128 bits are.
 
 Defined results: blank lines, null and empty texts stay as they are; a document
-that loses its last line with words goes from ``dedup_lines``; rows alike in id
-and text are decided alike (neither is later); null ids come first; an empty
-table gives no rows; extra columns are kept.
+that loses its last line with words goes from ``dedup_lines``; null ids come
+first; under repeated ids, lines of one number are ordered by a hash of their
+words, equal ones by that of their text; rows alike in id and text are decided
+alike (neither is later); an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm.common import materialize
 
-COUNTER_BITS = 16
+COUNTER_BITS = 17
 SIEVE_BITS = 22
 # Predecessors looked at under so many of a class's rarest keys.
-LOOK_KEYS = 4
+LOOK_KEYS = 3
 LOOK_BACK = 2
+# A line must share one prefix key more for each so many keys.
+KEYS_PER_MEETING = 20
 
 _WORDS = "[\\x20\\x09-\\x0D]+"
+_WORDED = "[^\\x20\\x09-\\x0D]"
+_SPACES = " \t\n\x0b\x0c\r"
 _PLACE = ["__id", "__key", "line_no"]
 # J >= 4/5 of sets of n and m keys that share o: o / (n + m - o) >= 4/5.
 _ENOUGH = "9 * {o} >= 4 * ({n} + {m})"
@@ -66,21 +75,28 @@ def _documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(place, hashes)`` of every line that has words; the hashes are distinct."""
+    """``(place, line)`` of every line that has words."""
     at = docs.select("__id", "__key", F.posexplode(F.split("__text", "\n", -1)).alias("line_no", "line"))
-    words = F.filter(F.split(F.lower("line"), _WORDS), lambda w: w != "")
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
-    return at.select(*_PLACE, hashes.alias("hashes")).where(F.size("hashes") > 0)
+    return at.where(F.col("line").rlike(_WORDED))
+
+
+def _words(line: Column) -> Column:
+    return F.split(F.btrim(F.lower(line), F.lit(_SPACES)), _WORDS)
+
+
+def _hashes(line: Column) -> Column:
+    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
 
 
 def _counter(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
 
 
-def _ranks(lines: DataFrame) -> DataFrame:
+def _ranks(docs: DataFrame) -> DataFrame:
     """One row ``ranks``: the rank of every counter by its count, rarest 0; of ``2 ** COUNTER_BITS`` entries."""
-    counted = lines.select(F.explode("hashes").alias("h")).groupBy(_counter(F.col("h")).alias("c")).agg(F.count("*").alias("n"))
-    every = lines.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("c"))
+    words = docs.select(F.explode(_words(F.col("__text"))).alias("w"))
+    counted = words.groupBy(_counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n"))
+    every = docs.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("c"))
     one = every.join(counted, "c", "left").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "c"))).alias("by_count")
     )
@@ -95,16 +111,21 @@ def _keyed(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     table = ranks.select("ranks").scalar()
 
     def key(h: Column) -> Column:
-        rank = F.get(F.col("__ranks"), _counter(h)).cast("bigint") - half
+        rank = F.coalesce(F.get(F.col("__ranks"), _counter(h)), F.lit(0)).cast("bigint") - half
         return F.shiftleft(rank, low).bitwiseOR(h.bitwiseAND(F.lit((1 << low) - 1)))
 
-    keys = F.sort_array(F.transform("hashes", key))
+    keys = F.sort_array(F.transform(_hashes(F.col("line")), key))
     return lines.withColumn("__ranks", table).select(*_PLACE, keys.alias("keys"))
 
 
-def _prefix_size(n: Column) -> Column:
-    """``n - ceil(4n/5) + 1`` in whole numbers."""
-    return (n - F.expr("(4 * n + 4) div 5").cast("int") + 1).cast("int")
+def _shared(n: str) -> str:
+    """How many prefix keys a line of ``n`` keys and its partner must share."""
+    return f"(1 + {n} div {KEYS_PER_MEETING})"
+
+
+def _prefix_size() -> Column:
+    """``n - ceil(4n/5) + l`` in whole numbers, at most ``n``."""
+    return F.expr(f"CAST(least(n, n - (4 * n + 4) div 5 + {_shared('n')}) AS INT)")
 
 
 def _classes(keyed: DataFrame) -> DataFrame:
@@ -119,9 +140,9 @@ def _classes(keyed: DataFrame) -> DataFrame:
     sets = keyed.withColumn("n", F.size("keys")).select(
         F.xxhash64("keys").alias("s1"),
         F.xxhash64(F.lit(1), F.col("keys")).alias("s2"),
-        F.struct(*_PLACE).alias("place"),
+        F.struct("__id", "line_no", "__key").alias("place"),
         "n",
-        F.transform(F.slice("keys", 1, _prefix_size(F.col("n"))), lambda k: F.hash(k)).alias("prefix"),
+        F.transform(F.slice("keys", 1, _prefix_size()), lambda k: F.hash(k)).alias("prefix"),
         summary.alias("summary"),
     )
     first = sets.groupBy("s1", "s2").agg(
@@ -131,49 +152,77 @@ def _classes(keyed: DataFrame) -> DataFrame:
     return first.select(F.monotonically_increasing_id().alias("cid"), "place.*", "n", "prefix", "summary")
 
 
-def _postings(classes: DataFrame, keys: int | None = None) -> DataFrame:
+def _postings(classes: DataFrame, keys: int | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """Prefix keys of the classes that can have a partner: of different sets, one of 4 and one of 5 keys are the first."""
+    classes = classes.where(F.abs("n") >= 4)
     prefix = F.slice("prefix", 1, keys) if keys else F.col("prefix")
-    order = [F.col(c) for c in _PLACE]
-    return classes.select(F.posexplode(prefix).alias("pos", "key"), "cid", "n", "summary", F.struct(*order).alias("at"))
+    return classes.select(F.posexplode(prefix).alias("pos", "key"), "cid", "n", "summary", "__id", "line_no", *more)
+
+
+def _order(at: str = "") -> list[Column]:
+    return [F.col(f"{at}{c}") for c in ("__id", "line_no", "summary", "cid")]
 
 
 def _possible(a: str, b: str) -> Column:
-    """The filters on a pair that shares a prefix key, from both postings."""
-    size = f"5 * least({a}n, {b}n) >= 4 * greatest({a}n, {b}n)"
-    # the keys still to come bound the overlap where this is the first shared key
-    reach = f"least({a}n - {a}pos, {b}n - {b}pos)"
-    place = _ENOUGH.format(o=reach, n=f"{a}n", m=f"{b}n")
+    """The filters on a pair that shares a prefix key, from both postings (``n`` may have a sign)."""
+    n, m = f"abs({a}n)", f"abs({b}n)"
+    size = f"5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
+    # up to l - 1 shared keys come before the l-th; those still to come bound the rest of the overlap
+    earlier = f"least({_shared(n)}, {_shared(m)}) - 1"
+    place = _ENOUGH.format(o=f"({earlier} + least({n} - {a}pos, {m} - {b}pos))", n=n, m=m)
     # each differing bit needs a word of one line only: at most n + m - 2 o of them, with o the least overlap allowed
-    need = f"((4 * ({a}n + {b}n) + 8) div 9)"
-    bits = f"bit_count({a}summary ^ {b}summary) <= {a}n + {b}n - 2 * {need}"
-    return F.expr(f"{size} AND {place} AND {bits}")
+    need = f"((4 * ({n} + {m}) + 8) div 9)"
+    # different sets of one size share all but one key at most
+    differ = f"({n} <> {m} OR {need} < {n})"
+    return F.expr(f"{size} AND {differ} AND {place} AND bit_count({a}summary ^ {b}summary) <= {n} + {m} - 2 * {need}")
 
 
 def _near_predecessors(classes: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)``, ``a`` the earlier, of the last few classes before each under its rarest keys."""
+    """Candidate pairs ``(a, b)``: for each class ``b`` the closest of the last few before it under its rarest keys."""
     posting = _postings(classes, LOOK_KEYS)
-    order = Window.partitionBy("key").orderBy("at")
+    order = Window.partitionBy("key").orderBy(*_order())
     mine = F.struct("cid", "n", "pos", "summary")
     before = posting.withColumn("before", F.array(*[F.lag(mine, i).over(order) for i in range(1, LOOK_BACK + 1)]))
     looked = before.select("cid", "n", "pos", "summary", F.explode("before").alias("p")).where("p.cid <> cid")
     flat = looked.select("cid", "n", "pos", "summary", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("cid", "n", "pos", "summary")])
-    return flat.where(_possible("", "p_")).select(F.col("p_cid").alias("a"), F.col("cid").alias("b")).distinct()
+    apart = F.expr("bit_count(summary ^ p_summary)")
+    return flat.where(_possible("", "p_")).groupBy(F.col("cid").alias("b")).agg(F.min_by("p_cid", apart).alias("a"))
 
 
 def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)``, ``a`` the earlier, of all classes with each unsettled one."""
-    later = classes.join(settled, classes["cid"] == settled["b"], "left_anti")
-    a, b = _postings(classes).alias("a"), _postings(later).alias("b")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.at") < F.col("b.at")) & _possible("a.", "b."))
-    return met.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
+    """Candidate pairs ``(a, b)``, ``a`` the earlier, of all classes with each unsettled one.
+
+    Classes meet within bands of sizes (by the bits of ``n``), so that a long
+    line's prefix doesn't meet short ones; a class that may have a partner in
+    the next band is there too, as a visitor, and visitors don't meet each
+    other. A settled class has a negative ``n``, so that both sides of the join
+    read one shuffle of postings.
+    """
+    marked = classes.select("cid", "n", "prefix", "summary", "__id", "line_no").join(
+        settled.select(F.col("b").alias("cid"), F.lit(-1).alias("sign")), "cid", "left"
+    )
+    bits = F.length(F.bin("n"))
+    home, visit = F.struct(bits.alias("band"), F.lit(False).alias("visitor")), F.struct((bits + 1).alias("band"), F.lit(True).alias("visitor"))
+    near_next = 5 * F.col("n").cast("bigint") >= 4 * F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    places = F.when(near_next, F.array(home, visit)).otherwise(F.array(home))
+    banded = marked.select("*", F.inline(places)).withColumn("n", F.col("n") * F.coalesce("sign", F.lit(1)))
+    posting = _postings(banded, more=["band", "visitor"])
+    a, b = posting.alias("a"), posting.alias("b")
+    earlier = F.struct(*_order("a.")) < F.struct(*_order("b."))
+    # b.n > 0, put so that it isn't filtered before the shuffle, which both sides share
+    unsettled = F.greatest("b.n", -F.abs("a.n")) > 0
+    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.band") == F.col("b.band"))
+    met = a.join(b, same & ~(F.col("a.visitor") & F.col("b.visitor")) & unsettled & earlier & _possible("a.", "b."))
+    times = F.expr(f"least({_shared('abs(a.n)')}, {_shared('abs(b.n)')})").alias("l")
+    pairs = met.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"), times)
+    return pairs.groupBy("a", "b", "l").agg(F.count("*").alias("c")).where("c >= l").select("a", "b")
 
 
 def _sieve(places: DataFrame) -> DataFrame:
     """One row ``words``: ``2 ** SIEVE_BITS`` bits, set where a place's hash points."""
     n_words = 1 << (SIEVE_BITS - 6)
     h = F.xxhash64(*_PLACE)
-    set_ = places.select(F.pmod(h, F.lit(n_words)).cast("int").alias("w"), _bit_of(h).alias("bit"))
-    some = set_.groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    some = places.groupBy(F.pmod(h, F.lit(n_words)).cast("int").alias("w")).agg(F.bit_or(_bit_of(h)).alias("bits"))
     every = places.sparkSession.range(n_words).select(F.col("id").cast("int").alias("w"))
     one = every.join(some, "w", "left").agg(
         F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))).alias("x")
@@ -185,7 +234,7 @@ def _bit_of(h: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame, ranks: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
     """``b`` of the pairs whose full sets have a Jaccard similarity of 4/5 or more."""
     needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
     places = materialize(classes.select("cid", *_PLACE).join(needed, "cid"), "candidate-lines")
@@ -193,31 +242,41 @@ def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame, ranks: Dat
     h = F.xxhash64(*_PLACE)
     word = F.get(F.col("__words"), F.pmod(h, F.lit(1 << (SIEVE_BITS - 6))).cast("int"))
     passed = lines.withColumn("__words", sieve.scalar()).where(word.bitwiseAND(_bit_of(h)) != 0).drop("__words")
-    # rows alike in id and text give the same line more than once
     here = passed.alias("l").join(
         places.alias("p"),
         F.col("l.__id").eqNullSafe(F.col("p.__id")) & (F.col("l.__key") == F.col("p.__key")) & (F.col("l.line_no") == F.col("p.line_no")),
     )
-    sets = materialize(here.select("cid", F.array_sort("hashes").alias("hashes")).distinct(), "candidate-sets")
-    a = sets.select(F.col("cid").alias("a"), F.col("hashes").alias("x"))
-    b = sets.select(F.col("cid").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").withColumns(
-        {"o": F.size(F.array_intersect("x", "y")), "n": F.size("x"), "m": F.size("y")}
-    )
-    return both.where(_ENOUGH.format(o="o", n="n", m="m")).select("b").distinct()
+    # rows alike in id and text give the same line more than once
+    sets = here.groupBy("cid").agg(F.any_value("line").alias("line"))
+    a = sets.select(F.col("cid").alias("a"), F.col("line").alias("x"))
+    b = sets.select(F.col("cid").alias("b"), F.col("line").alias("y"))
+    both = pairs.join(a, "a").join(b, "b").select("b", _hashes(F.col("x")).alias("x"), _hashes(F.col("y")).alias("y"))
+    sized = both.select("b", F.size(F.array_intersect("x", "y")).alias("o"), F.size("x").alias("n"), F.size("y").alias("m"))
+    return sized.where(_ENOUGH.format(o="o", n="n", m="m")).select("b").distinct()
+
+
+def _free_shuffles(df: DataFrame) -> DataFrame:
+    """Let Spark drop the shuffle files of steps whose result is written.
+
+    It does so when the driver's garbage is collected, by default every half
+    hour, which is long for steps of this size.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(__id, __key, kept)``: for every document with words left, the numbers of the lines with words that stay."""
     own = _documents(docs, id_col, text)
     lines = _lines(own)
-    ranks = materialize(_ranks(lines), "ranks")
-    classes = materialize(_classes(_keyed(lines, ranks)), "classes")
+    ranks = materialize(_ranks(own), "ranks")
+    classes = _free_shuffles(materialize(_classes(_keyed(lines, ranks)), "classes"))
     near = materialize(_near_predecessors(classes), "near-pairs")
-    settled = materialize(_verified(near, classes, lines, ranks), "settled")
-    pairs = materialize(_joined_pairs(classes, settled), "pairs")
-    matched = _verified(pairs, classes, lines, ranks)
-    gone = materialize(settled.union(matched).distinct(), "gone")
+    settled = _free_shuffles(materialize(_verified(near, classes, lines), "settled"))
+    pairs = _free_shuffles(materialize(_joined_pairs(classes, settled), "pairs"))
+    matched = _verified(pairs, classes, lines)
+    gone = _free_shuffles(materialize(settled.union(matched).distinct(), "gone"))
     left = classes.join(gone, classes["cid"] == gone["b"], "left_anti")
     return left.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
@@ -227,7 +286,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     kept = kept_lines(docs, id_col, text)
     each = F.split(F.coalesce("__text", F.lit("")), "\n", -1)
     numbered = F.filter(
-        F.transform(each, lambda line, i: F.when(line.rlike("[^\\x20\\x09-\\x0D]"), i)), lambda i: i.isNotNull()
+        F.transform(each, lambda line, i: F.when(line.rlike(_WORDED), i)), lambda i: i.isNotNull()
     )
     rows = _documents(docs, id_col, text).select("__id", "__key", F.size(each).alias("lines"), numbered.alias("worded"))
     same = F.col("d.__id").eqNullSafe(F.col("k.__id")) & (F.col("d.__key") == F.col("k.__key"))
@@ -250,12 +309,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", len
     whole = F.col(text).cast("string")
     keyed = docs.withColumns({"__doc": F.col(id_col), "__text_key": F.xxhash64(whole)})
     same = F.col("__doc").eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key"))
-    worded = F.coalesce(whole.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    worded = F.coalesce(whole.rlike(_WORDED), F.lit(False))
     found = keyed.join(kept, same, "left").where(F.col("__kept").isNotNull() | ~worded)
     stays = F.filter(
         F.transform(
             F.split(whole, "\n", -1),
-            lambda line, i: F.when(~line.rlike("[^\\x20\\x09-\\x0D]") | F.array_contains(F.col("__kept"), i), line),
+            lambda line, i: F.when(~line.rlike(_WORDED) | F.array_contains(F.col("__kept"), i), line),
         ),
         lambda line: line.isNotNull(),
     )
