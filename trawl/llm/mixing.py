@@ -15,9 +15,9 @@ budget lasts; of the next one the longest prefix that fits is taken.
 
 Scale: token counts are made once and written without the texts. Shares are
 window functions over the leaves, not the documents. The prefix of a leaf is
-found in two steps, so that a source with a third of all rows is no single
-group: token sums of ``16 ** SLOT_DIGITS`` slots of the permutation
-(pre-aggregated), then the documents of the one slot where the budget ends. The
+found in steps, so that a source with a third of all rows is no single group:
+token sums of 256 slots of the permutation (pre-aggregated), then of 256 parts
+of the one slot where the budget ends, then the documents of the last part. The
 result per leaf, whole epochs and the last key taken, is joined to the
 documents by path.
 
@@ -26,19 +26,21 @@ go to the siblings with the largest remainders.
 
 Defined results: null path values count as ``''``; a null text has no tokens; a
 weight of 0 takes nothing; a document without tokens costs nothing and comes
-with the prefix it lies in; rows whose id ties are taken together or not at all; an empty table gives no rows; extra columns are kept.
+with the prefix it lies in (a leaf without any takes all of it once); rows whose id ties are taken together or not at all; an empty table gives no rows; extra columns are kept.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm.common import materialize
 
-SLOT_DIGITS = 4
+# Hexadecimal digits of the key that make a slot, step by step.
+SLOT_DIGITS = (2, 4)
 _WORD = r"[^\x20\x09-\x0D]+"
 _BIG = "decimal(38,0)"
 
@@ -138,27 +140,25 @@ def _cuts(counted: DataFrame, budgets: DataFrame, mix: Mixture, id_col: str) ->
     spent = budgets.withColumns(
         {
             "whole": F.expr("CASE WHEN tokens > 0 THEN budget div tokens ELSE 0 END"),
-            "rest": F.expr("CASE WHEN tokens > 0 AND budget = 0 THEN -1 WHEN tokens > 0 THEN budget % tokens ELSE 0 END"),
+            "rest": F.expr("CASE WHEN tokens = 0 THEN 0 WHEN budget % tokens = 0 THEN -1 ELSE budget % tokens END"),
         }
     ).select(*names, "whole", "rest")
     keyed = counted.join(spent, names).withColumn("key", _key(mix.seed, F.col("whole"), id_col))
-    keyed = materialize(keyed.withColumn("slot", F.substring("key", 1, SLOT_DIGITS)).select(*names, "slot", "key", "n", "rest"), "epoch")
-    slots = keyed.groupBy(*names, "slot", "rest").agg(F.sum("n").alias("n"), F.max("key").alias("key"))
-    running = Window.partitionBy(*names).orderBy("slot")
-    slots = slots.withColumn("upto", F.sum("n").over(running))
-    whole_slots = slots.where("upto <= rest").groupBy(*names).agg(F.max("key").alias("a"))
-    # the first slot that doesn't fit as a whole
-    edge = slots.where("upto > rest AND upto - n <= rest").select(*names, "slot", (F.col("upto") - F.col("n")).alias("before"))
-    first = Window.partitionBy(*names, "slot").orderBy("key")
-    inside = (
-        keyed.join(edge, [*names, "slot"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(first))
-        .where("upto <= rest").groupBy(*names).agg(F.max("key").alias("b"))
-    )
-    return (
-        spent.join(whole_slots, names, "left").join(inside, names, "left")
-        .select(*names, F.col("whole").alias("__whole"), F.greatest("a", "b").alias("__last_key"))
-    )
+    rows = materialize(keyed.select(*names, "key", "n", "rest"), "epoch").withColumn("before", F.lit(0).cast("bigint"))
+    found = []
+    for digits in SLOT_DIGITS:
+        slot = F.substring("key", 1, digits).alias("slot")
+        slots = rows.groupBy(*names, slot, "rest", "before").agg(F.sum("n").alias("n"), F.max("key").alias("key"))
+        running = Window.partitionBy(*names).orderBy("slot")
+        slots = slots.withColumn("upto", F.col("before") + F.sum("n").over(running))
+        found.append(slots.where("upto <= rest").select(*names, "key"))
+        # the first slot that doesn't fit as a whole
+        edge = slots.where("upto > rest AND upto - n <= rest").select(*names, "slot", (F.col("upto") - F.col("n")).alias("before"))
+        rows = rows.drop("before").withColumn("slot", slot).join(edge, [*names, "slot"]).drop("slot")
+    inside = rows.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(*names).orderBy("key")))
+    found.append(inside.where("upto <= rest").select(*names, "key"))
+    last = reduce(DataFrame.union, found).groupBy(*names).agg(F.max("key").alias("__last_key"))
+    return spent.join(last, names, "left").select(*names, F.col("whole").alias("__whole"), "__last_key")
 
 
 def mix_sources(docs: DataFrame, mix: Mixture, id_col: str = "doc_id", text: str = "text", epoch: str = "epoch") -> DataFrame:

@@ -143,8 +143,8 @@ _MIXING_SQL = f"""
     ), spent AS (
         SELECT p0, p1, p2,
                CASE WHEN tokens > 0 THEN coalesce(budget, 0) // tokens ELSE 0 END AS whole,
-               CASE WHEN tokens > 0 AND coalesce(budget, 0) = 0 THEN -1
-                    WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+               CASE WHEN tokens = 0 THEN 0 WHEN coalesce(budget, 0) % tokens = 0 THEN -1
+                    ELSE budget % tokens END AS rest
         FROM leaves LEFT JOIN b2 USING (p0, p1, p2)
     ), placed AS (
         SELECT *, sum(n) OVER (PARTITION BY p0, p1, p2 ORDER BY key) AS upto
