@@ -36,49 +36,60 @@ LASSO = 0.001
 SEED = 8
 THRESHOLD = 0.3
 
-_SPACE = r"[\s ]+"
+_SPACES = " \t\n\x0b\x0c\r\u00a0"
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text, by name. Shares are of characters unless named otherwise."""
+def statistics(text: Column) -> Column:
+    """Statistics of a whole text (null: empty) as a struct of doubles, in the order of ``STATISTICS``.
+
+    Shares are of characters unless named otherwise. The text's words and lines
+    are bound once and then referred to.
+    """
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    parts = F.struct(
+        whole.alias("text"),
+        F.split(F.btrim(F.lower(whole), F.lit(_SPACES)), f"[{_SPACES}]+").alias("words"),
+        F.filter(F.split(whole, "\n"), lambda x: F.trim(x) != "").alias("lines"),
+    )
+    return F.get(F.transform(F.array(parts), _statistics), F.lit(0))
+
+
+def _statistics(parts: Column) -> Column:
+    text, words, lines = parts["text"], parts["words"], parts["lines"]
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.filter(F.split(F.lower(text), _SPACE), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    n_words = F.greatest(F.size(words), F.lit(1)).cast("double")
+    # a blank text splits into one empty word
+    counted = F.when(F.get(words, F.lit(0)) == "", 0).otherwise(F.size(words))
+    n_words = F.greatest(counted, F.lit(1)).cast("double")
     n_lines = F.greatest(F.size(lines), F.lit(1)).cast("double")
 
-    def share(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)) / chars
-
-    def same_as_next(w: Column) -> Column:
-        pairs = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: (a == b).cast("int"))
-        return F.aggregate(pairs, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))) / n_words
+    def count(pattern: str) -> Column:
+        return F.regexp_count(text, F.lit(pattern))
 
-    return {
+    values = {
         "log_chars": F.log1p(F.length(text).cast("double")),
-        "log_words": F.log1p(F.size(words).cast("double")),
+        "log_words": F.log1p(counted.cast("double")),
         "word_length": F.length(F.translate(text, " \t\r\n", "")) / n_words,
         "distinct_words": F.size(F.array_distinct(words)) / n_words,
-        "repeated_next": same_as_next(words),
-        "capitals": share(r"\p{Lu}"),
-        "letters": share(r"\p{L}"),
-        "digits": share(r"[0-9]"),
-        "marks": share(r"[.,;:?]"),
-        "shouts": share(r"!"),
-        "symbols": share(r"[#$%&*+/<=>@\[\]\\^_`{|}~]"),
-        "sentence_ends": F.regexp_count(text, F.lit(r"[.!?](?:\s|$)")) / n_words,
-        "capital_starts": F.regexp_count(text, F.lit(r"(?:^|\s)\p{Lu}")) / n_words,
+        "capitals": count(r"\p{Lu}") / chars,
+        "letters": F.length(F.regexp_replace(text, r"\P{L}+", "")) / chars,
+        "digits": count(r"[0-9]") / chars,
+        "marks": count(r"[.,;:?]") / chars,
+        "shouts": count(r"!") / chars,
+        "symbols": count(r"[#$%&*+/<=>@\[\]\\^_`{|}~]") / chars,
+        "sentence_ends": count(r"[.!?](?:\s|$)") / n_words,
+        "capital_starts": count(r"(?:^|\s)\p{Lu}") / n_words,
         "lines": F.log1p(n_lines),
         "words_a_line": n_words / n_lines,
         "distinct_lines": F.size(F.array_distinct(lines)) / n_lines,
         "open_lines": F.size(F.filter(lines, lambda x: ~F.rtrim(x).rlike(r"[.!?]$"))) / n_lines,
-        "links": F.regexp_count(text, F.lit(r"https?://|www\.")) / n_words,
+        "links": count(r"https?://|www\.") / n_words,
     }
+    return F.struct(*[values[n].cast("double").alias(n) for n in STATISTICS])
 
 
 # The names of the statistics, in the order of a feature vector.
 STATISTICS = (
-    "log_chars", "log_words", "word_length", "distinct_words", "repeated_next", "capitals", "letters", "digits", "marks",
+    "log_chars", "log_words", "word_length", "distinct_words", "capitals", "letters", "digits", "marks",
     "shouts", "symbols", "sentence_ends", "capital_starts", "lines", "words_a_line", "distinct_lines", "open_lines", "links",
 )
 
@@ -111,7 +122,6 @@ class RuleModel:
 
         The statistics are bound once, as a struct that the rules then refer to.
         """
-        stats = F.struct(*[c.cast("double").alias(n) for n, c in statistics(F.coalesce(text.cast("string"), F.lit(""))).items()])
 
         def logistic(s: Column) -> Column:
             total = F.lit(self.intercept)
@@ -119,7 +129,7 @@ class RuleModel:
                 total = total + F.when(rule.column(s), weight).otherwise(0.0)
             return 1 / (1 + F.exp(-total))
 
-        return F.get(F.transform(F.array(stats), logistic), F.lit(0))
+        return F.get(F.transform(F.array(statistics(text)), logistic), F.lit(0))
 
 
 def simplified(terms: list[tuple[str, bool, float]]) -> Rule:
@@ -157,9 +167,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     )
     picked = one.orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE_ROWS).select("__id", F.col("label").cast("double"))
     # of a bounded number of rows, so small enough to send to all
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = rows.join(F.broadcast(picked), "__id")
-    return materialize(found.select("label", *[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()]), "statistics")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
+    found = rows.join(F.broadcast(picked), "__id").select("label", statistics(F.col("__text")).alias("s"))
+    return materialize(found.select("label", "s.*"), "statistics")
 
 
 def _constant(share: float) -> RuleModel:
