@@ -101,6 +101,63 @@ def test_random_strings_match_the_windows_counted_anew(spark):
     assert scan(spark, texts) == [expected(t) for t in texts]
 
 
+# written by hand: (text, the secret in it)
+PLANTED = [
+    ("https://hooks.example.org/services/T03AB9XQ2/B04ZK77LP/k9XvQ2mZr7LtB1wYc8PdHs3E ok", "k9XvQ2mZr7LtB1wYc8PdHs3E"),
+    ("see db/prod/qX7vLm2RtZ9kWc4YbN8sHd3JfGp5", "qX7vLm2RtZ9kWc4YbN8sHd3JfGp5"),
+    ("sample_cfg=qX7vLm2RtZ9kWc4YbN8sHd3JfGp5", "qX7vLm2RtZ9kWc4YbN8sHd3JfGp5"),
+    ("my-example/Rw3nT8yKq5ZcV2bXj7Lm4HpD", "Rw3nT8yKq5ZcV2bXj7Lm4HpD"),
+    ("your_key=hqzvwkxjtmcbgplrdynsfaeo", "hqzvwkxjtmcbgplrdynsfaeo"),
+    ("abcdefghijkl=Rw3nT8yKq5ZcV2bXj7Lm4HpD", "Rw3nT8yKq5ZcV2bXj7Lm4HpD"),
+    ("sha256-of/Rw3nT8yKq5ZcV2bXj7Lm4HpD", "Rw3nT8yKq5ZcV2bXj7Lm4HpD"),
+    ("keys/prod/XKQZ-8842-PLMV-3391-TTGW", "XKQZ-8842-PLMV-3391-TTGW"),
+    ("no digit: XkQzvLmR/tZkWcYb+NsHdJfGpq", "XkQzvLmR/tZkWcYb+NsHdJfGpq"),
+    ("letters hqzvwkxjtmcbgplrdynsfaeo", "hqzvwkxjtmcbgplrdynsfaeo"),
+]
+HARMLESS = [
+    "src/main/java/com/acme/UserService home/user42/projects/2024/01/15/notes",
+    "MAX_RETRY_COUNT_DEFAULT_VALUE X-Forwarded-For-Original your_api_key_here_please",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/ ---------------------begin",
+    "sha1-2fd4e1c67a2d28fced849ee1bb76e7391b93eb12 550e8400-e29b-41d4-a716-446655440000",
+    "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY AbstractSingletonProxyFactoryBean",
+]
+
+
+def test_a_secret_beside_words_of_the_allow_list_is_found(spark):
+    texts = [t for t, _ in PLANTED]
+    got = scan(spark, texts)
+    assert got == [expected(t) for t in texts]
+    for (text, secret), row in zip(PLANTED, got):
+        spans = [s.split(":") for s in row[4].split(",") if s.startswith("entropy")]
+        at = text.index(secret)
+        covered = sum(max(0, min(int(b), at + len(secret)) - max(int(a), at)) for _, a, b in spans)
+        assert covered >= 20, (text, row[4])
+
+
+def test_words_paths_and_placeholders_stay_allowed(spark):
+    got = scan(spark, HARMLESS)
+    assert got == [expected(t) for t in HARMLESS]
+    assert not any("entropy" in r[4] for r in got)
+
+
+def test_few_random_strings_are_on_the_allow_list():
+    import random
+    import string
+
+    rng = random.Random(3)
+    for n in (24, 40):
+        for before in ("", "sample_cfg=", "db/prod/"):
+            strings = [before + "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n)) for _ in range(4000)]
+            lost = sum(any(re.search(p, s) for p in ss.ALLOWED) or not any(re.search(p, s) for _, p, _ in ss.CLASSES) for s in strings)
+            assert lost <= 10
+
+
+def test_long_candidates_of_many_parts(spark):
+    texts = ["ab-" * 2_000, "a1/" * 2_000, "0123456789" * 300]
+    got = scan(spark, texts)
+    assert got[0][4] == "" and len(got) == 3
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark).withColumn("spans", F.lit(1)).withColumn("start", F.lit(2))
     out = ss.secret_scan(docs)
