@@ -106,6 +106,33 @@ def test_pages_by_hand():
     assert warc.page_text("&amp;lt;")[3] == html.unescape("&amp;lt;")
 
 
+STRAY_QUOTES = [
+    ("<p>a</p><p title=it's>b</p><p>clean words that don't vanish</p>", "a b clean words that don't vanish", []),
+    ('<p>a</p><p title=5">b</p><p>the 6" pipe</p>', 'a b the 6" pipe', []),
+    ("<p 'x>b</p><p>it's here</p>", "b it's here", []),
+    ('<p class="a"">b</p><p>say "so"</p>', 'b say "so"', []),
+    ("<a title=it's href=/u?x=1'>l</a><p>don't</p>", "l don't", ["/u?x=1'"]),
+    ('<a href="/u" "title>l</a><a href = \'/v>"\' x>m</a>', "lm", ["/u", '/v>"']),
+    ("<p>a</p><p title=it's>b</p>", "a b", []),
+    ("<p alt=can't>only one quote", "only one quote", []),
+    ("<script src=it's>var a='<p>no</p>';</script><p>don't</p>", "don't", []),
+    ("<br/><img src=/a/b/><a href=/c/>l</a ' ><p>it's</p>", "l it's", ["/c/"]),
+]
+
+
+def test_stray_quotes_open_nothing():
+    for page, words, links in STRAY_QUOTES:
+        got = warc.page_text(page)
+        assert (got[3].split(), got[2]) == (words.split(), links), page
+
+
+def test_unclosed_quote_and_cut_off_tags():
+    assert warc.page_text('<p>a</p><p title="never>b</p><p>c</p>')[3] == "a\nb\nc"
+    assert warc.page_text('<p>a</p><a href="http://x/y z') == (None, None, [], "a")
+    for cut in ("<p ", "<script ", '<p x="', "<script x='"):
+        assert warc.page_text("one " + cut + "a=b' c " * 5_000)[3] == "one"
+
+
 def odd(spark):
     rows = [
         ("response", "<a>", "http://x/", "2020-01-01T00:00:00Z", "HTTP/1.1 404 Not\r\nA: b\r\n", "<p>é\n\n</p>", "sha1:X", "sha1:Y", "z", 1),

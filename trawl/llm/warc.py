@@ -43,23 +43,29 @@ _BREAKS = frozenset(
     "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "li main nav ol option p pre section table td th title tr ul".split()
 )
+# Attributes as HTML's tokenizer reads them: a quote opens a value only right after "="; elsewhere it is part of a name
+# or an unquoted value, and so is one that is never closed. Any text but ">" fits, so a tag ends at the next one.
+_VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*))"
+_NAME = r"[^\s/>][^\s/>=]*"
+_ATTRIBUTES = rf"(?:[\s/]+|{_NAME}(?:{_VALUE.replace('([', '(?:[')})?)*"
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg)\b(?P<rawattrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg)\b(?P<rawattrs>{_ATTRIBUTES})(?:>|\Z)"
     r"(?P<rawtext>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRIBUTES})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE})?")
 # Of the elements whose content isn't markup, those whose text is shown.
 _SHOWN_RAW = frozenset({"textarea"})
 
 
 def _attribute(attrs: str, name: str) -> str | None:
     for m in _ATTRIBUTE.finditer(attrs):
-        if m[1].lower() == name:
-            return html.unescape(next(g for g in m.groups()[1:] if g is not None))
+        value = next((g for g in m.groups()[1:] if g is not None), None)
+        if m[1].lower() == name and value is not None and not (m[4] or "").startswith(('"', "'")):
+            return html.unescape(value)
     return None
 
 
