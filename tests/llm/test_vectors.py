@@ -157,3 +157,20 @@ def test_many_copies_are_all_candidates():
     forest = lf.Forest(np.arange(300)[::-1].copy(), vecs, trees=3)
     ((near, scores),) = forest.search(np.array([5]), vecs[:1], 4, 10)
     assert near.tolist() == [0, 1, 2, 3] and set(scores) == {14.0}
+
+
+@pytest.mark.parametrize("copies", [157, 301, 302, 303])
+def test_ties_of_many_copies_go_to_the_smallest_ids(copies):
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        vecs = np.repeat(rng.normal(size=(1, 64)), copies, axis=0)
+        forest = lf.Forest(np.arange(copies)[::-1].copy(), vecs, trees=3)
+        ((near, scores),) = forest.search(np.array([-1]), rng.normal(size=(1, 64)) + vecs[:1], 20, 10)
+        assert near.tolist() == list(range(20)) and len(set(scores.tolist())) == 1
+
+
+def test_rescoring_with_lengths_beyond_floats():
+    vecs = np.concatenate([np.full((30, 4), 1e200), np.full((30, 4), 1e-300), np.full((30, 4), 1.0)])
+    forest = lf.Forest(np.arange(90), vecs, trees=3)
+    ((near, scores),) = forest.search(np.array([-1]), np.full((1, 4), 1e50), 40, 90)
+    assert near.tolist() == list(range(30)) + list(range(60, 70))

@@ -60,6 +60,12 @@ class Forest:
 
     def __init__(self, ids: np.ndarray, vecs: np.ndarray, trees: int = TREES) -> None:
         self.ids, self.vecs, self.trees = ids, vecs, trees
+        # equal vectors get their exact product from the same row, the first of them
+        whole = np.ascontiguousarray(vecs + 0.0)  # -0.0 is 0.0
+        _, first, same = np.unique(whole.view(np.dtype((np.void, whole.dtype.itemsize * whole.shape[1]))).ravel(), return_index=True, return_inverse=True)
+        self.first = first[same.ravel()]
+        # a product in another order of adding differs by less than this times the query's length
+        self.error = 2 * (vecs.shape[1] + 2) * np.finfo(np.float64).eps * np.linalg.norm(vecs, axis=1)
         strings = hash_strings(vecs, trees)
         self.order = np.argsort(strings, axis=1, kind="stable")
         self.strings = np.take_along_axis(strings, self.order, axis=1)
@@ -86,6 +92,17 @@ class Forest:
             short, long = np.where(enough, middle, short), np.where(enough, long, middle)
         return self.ranges(strings, short)
 
+    def within_error(self, at: np.ndarray, scores: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        """Positions of all scores that may be among the best ``k`` once they are exact."""
+        if len(scores) <= k:
+            return np.arange(len(scores))
+        with np.errstate(invalid="ignore", over="ignore"):
+            error = self.error[at] * np.linalg.norm(q) + len(q) * np.finfo(np.float64).tiny
+            lowest = scores - error
+            lowest[np.isnan(lowest)] = -np.inf
+            least = np.partition(lowest, len(lowest) - k)[len(lowest) - k]
+            return np.nonzero(~(scores + error < least))[0]
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, least: int):
         """Ids and exact products of the best ``k`` candidates of each query."""
         low, high = self.ascend(hash_strings(queries, self.trees), least)
@@ -96,9 +113,10 @@ class Forest:
                 seen[self.order[t, low[t, j] : high[t, j]]] = True
             at = np.nonzero(seen & (self.ids != query_ids[j]))[0]
             scores = self.vecs[at] @ q
+            near = self.within_error(at, self.vecs[at] @ q, q, k)
             # exactly one way of adding up for what is returned, whatever the matrix product does
-            near = best(self.ids[at], scores, k + 8)
-            exact = np.array([float(np.dot(self.vecs[i], q)) for i in at[near]])
+            rows, which = np.unique(self.first[at[near]], return_inverse=True)
+            exact = np.array([float(np.dot(self.vecs[i], q)) for i in rows])[which.ravel()]
             top = best(self.ids[at[near]], exact, k)
             yield self.ids[at[near]][top], exact[top]
 
