@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF001
+from sf_dirs import SF001
 from trawl.plans import oracle
 from trawl.plans.catalog import QUERIES
 

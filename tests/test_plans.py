@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sf_dirs import SF001
 from trawl.operators import indexing as ix
 from trawl.operators import search as se
 from trawl.operators import robots as rb

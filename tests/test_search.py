@@ -90,7 +90,7 @@ def test_search_one_on_disk_index(spark, tmp_path):
 
 def test_stored_term_statistics_match_postings(spark, tmp_path):
     from trawl.sources import index_store as st
-    from conftest import SF001
+    from sf_dirs import SF001
     from trawl.plans import fixtures as fx
     from trawl.sources.tables import text_documents
 

@@ -84,7 +84,7 @@ def test_query_terms_repeats_and_no_stop_filter(spark):
 
 def test_tf_sums_property(spark):
     # tf of a document sums to (word_count - tokens that trim to '') / word_count
-    from conftest import SF001
+    from sf_dirs import SF001
     from trawl.sources.tables import text_documents
 
     index = ix.build_text_index(text_documents(spark, SF001))
