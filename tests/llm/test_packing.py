@@ -1,13 +1,15 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from helpers import SF, documents, odd_documents, table
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trawl.llm import packing
+from trawl.llm import packing, word_ids
 from trawl.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -55,16 +57,39 @@ def test_odd_rows(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+ODD = [*"aAbzZ09 .,'\n\t\u00e9\u0301\u00c9\u0130\u00df\u00aa\u2082\u3000\ufb01\x00\x1c\x85<|>", "'s", "'LL", "<|endoftext|>", "  ", "\U0001f600"]
+
+
 def test_word_cache_equals_the_tokenizer_on_odd_strings():
-    tok, own = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    rng = random.Random(5)
+    tok, own = Tokenizer.from_file(PATH), word_ids.WordIds(PATH)
+    assert own.by_word
     texts = [
         "It's I'LL we've 'Tis o''clock a.b,c!! x1y22 ½ ² ªº µm Straße ÀÉÎ ÿŸ",
         "é ́x áb Å İ ſs ﬁ \x1c\x1dq \x85  z   　 ​",
         "<|endoftext|>a <|startoftext|> <| endoftext |> <|endoftext|",
         "日本語 テキスト мир ΟΔΥΣΣΕΥΣ Σ \U0001f600\U0001f601 \x00\x01\x7f",
     ]
-    for t in texts:
-        assert np.frombuffer(own.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    texts += ["", " \n", " lead and trail ", *("".join(rng.choices(ODD, k=40)) for _ in range(2000))]
+    ids, ends = own.encode(pa.array([*texts, None]))
+    want = [tok.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want
+
+
+def test_other_tokenizer_files_encode_whole_texts(spark):
+    """A file with another pre-tokenizer isn't taken word by word: its ids are those of the whole text."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    assert not word_ids.WordIds(path).by_word
+    texts = ["two  words", " \n x", "", "plain text here"]
+    got = packing.token_pieces(documents(spark, texts), tokenizer=path, end_id=50256, with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: tok.encode(t, add_special_tokens=False).ids + [50256] for i, t in enumerate(texts)}
+
+
+def test_slices_hold_whole_texts():
+    texts = pa.array(["a" * 10, None, "b" * 100, "", "c"])
+    parts = [p.to_pylist() for p in word_ids.slices(texts, 20)]
+    assert sum(parts, []) == texts.to_pylist() and parts[0] == ["a" * 10, None]
 
 
 def test_sum_of_squares_rule_against_brute_force():

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from trawl.session import scratch_path
 
-# Rows per Arrow batch where a row is a whole text: a batch of very long texts still fits a worker.
+# Rows and bytes of an Arrow batch where a row is a whole text: a batch of very long texts still fits a worker.
 TEXT_ROWS_PER_BATCH = 1000
+TEXT_BYTES_PER_BATCH = 64 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
@@ -39,9 +40,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Get ``df`` ready for Python workers: code shipped, and a bound on the rows of an Arrow batch."""
+    """Get ``df`` ready for Python workers: code shipped, and a bound on the rows and bytes of an Arrow batch.
+
+    The bounds are session settings, read when the job runs, so they stay set.
+    """
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES_PER_BATCH))
     return df
 
 

@@ -14,7 +14,8 @@ expected size; each shard is packed on its own, so a task holds
 few sequences unfilled. Nothing depends on a key, so no source or group of
 copies can be hot.
 
-Defined results: a null or empty text is a document of the end token alone;
+Defined results: a null or empty text is a document of the end token alone; a
+text of any length is taken whole (a worker holds one text and its ids);
 documents longer than a sequence are cut into full pieces and a rest, all
 others stay whole; repeated rows are packed once each; an empty table gives no
 rows; extra columns are ignored here and can be joined on the id.
@@ -22,97 +23,21 @@ rows; extra columns are ignored here and can be joined on the id.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.llm.common import materialize, small_batches
+from trawl.llm.word_ids import default_tokenizer, slices, word_ids
 
 CAPACITY = 4096
 END_ID = 1
 SHARD_PIECES = 65_536
-# Entries kept in a worker's word caches; beyond that a cache begins anew.
-CACHED_WORDS = 500_000
-
-
-class WordTokenizer:
-    """Token ids of whole texts from a ``tokenizers`` file, through caches of words.
-
-    Made for files whose pre-tokenizer never joins characters across white
-    space: a text is cut at ASCII white space and each distinct chunk is
-    encoded once. Chunks of plain Latin letters, digits and ASCII signs are cut
-    further by the file's own split pattern and go to its BPE model word by
-    word; all other chunks go through the whole tokenizer. ``ids`` returns
-    little-endian unsigned 32-bit ids.
-    """
-
-    # Characters that NFC leaves alone and whose lower case is one letter.
-    _PLAIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
-    # The split pattern of word_bpe_49k.json over those characters (ª, º, µ, ², ³, ¹, ¼-¾ aren't among them).
-    _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r\x0b\x0c]+")
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        # Byte-level BPE files write a byte as a printable character: the byte itself where that is printable.
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        self.byte_chars = {b: 256 + i for i, b in enumerate(rest)}
-
-    def _word(self, word: str) -> bytes:
-        out = self.words.get(word)
-        if out is None:
-            shown = word.encode().decode("latin-1").translate(self.byte_chars)
-            out = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            if len(word) <= 64:
-                self.words[word] = out
-        return out
-
-    def _chunk(self, chunk: str) -> bytes:
-        if self._PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            out = b"".join(map(self._word, self._SPLIT.findall(chunk.lower())))
-        else:
-            out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self.chunks) >= CACHED_WORDS:
-            self.chunks.clear()
-        if len(chunk) <= 64:
-            self.chunks[chunk] = out
-        return out
-
-    def ids(self, text: str) -> bytes:
-        known, new = self.chunks.get, self._chunk
-        return b"".join([known(c) or new(c) for c in re.split("[ \t\n\r\x0b\x0c]+", text) if c])
-
-
-@lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
-
-
-def default_tokenizer() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
-def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
-    """``(piece, start, ids)`` of at most ``capacity`` ids each; ``ids`` are 4 bytes apiece."""
-    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-        yield piece, at // 4, ids[at : at + 4 * capacity]
 
 
 def token_pieces(
@@ -126,26 +51,34 @@ def token_pieces(
 ) -> DataFrame:
     """Pieces of every document: ``(id_col, piece, start, length, ids_crc32[, ids])``."""
     path = tokenizer or default_tokenizer()
-    end = np.array([end_id], dtype="<u4").tobytes()
-    fields = "piece: int, start: bigint, length: bigint, ids_crc32: bigint" + ", ids: array<bigint>" * with_ids
-
-    @F.pandas_udf(f"array<struct<{fields}>>")
-    def tokenise(texts: pd.Series) -> pd.Series:
-        tok = word_tokenizer(path)
-        out = []
-        for t in texts:
-            rows = []
-            for piece, start, ids in cut(tok.ids(t or "") + end, capacity):
-                row = {"piece": piece, "start": start, "length": len(ids) // 4, "ids_crc32": zlib.crc32(ids)}
-                if with_ids:
-                    row["ids"] = np.frombuffer(ids, dtype="<u4").astype("int64")
-                rows.append(row)
-            out.append(rows)
-        return pd.Series(out, dtype=object)
-
-    one = small_batches(docs).select(F.col(id_col), tokenise(F.col(text).cast("string")).alias("pieces"))
-    # outer, as every text has a piece and a plain inline would make Spark filter by, and so compute, the UDF twice
-    return one.select(F.col(id_col), F.inline_outer("pieces"))
+    key = docs.schema[id_col]
+    long = T.LongType()
+    fields = [key, T.StructField("piece", T.IntegerType()), *(T.StructField(c, long) for c in ("start", "length", "ids_crc32"))]
+    schema = T.StructType(fields + [T.StructField("ids", T.ArrayType(long))] * with_ids)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_ids(path)
+        for batch in batches:
+            names, at = batch.column(0), 0
+            for texts in slices(batch.column(1)):
+                ids, ends = known.encode_ended(texts, end_id)
+                size = np.diff(ends)
+                pieces = -(-size // capacity)
+                doc = np.repeat(np.arange(len(size)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(size[doc] - start, capacity)
+                first = ends[doc] + start
+                raw = memoryview(ids.tobytes())
+                crc = [zlib.crc32(raw[4 * f : 4 * (f + n)]) for f, n in zip(first.tolist(), length.tolist())]
+                columns = [names.take(pa.array(doc + at)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+                if with_ids:  # the pieces follow each other, so one list column over all ids
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)), pa.int32()), pa.array(ids.astype(np.int64))))
+                at += len(texts)
+                yield pa.record_batch(columns, names=schema.names)
+
+    texts = small_batches(docs).select(F.col(id_col), F.col(text).cast("string").alias("_text"))
+    return texts.mapInArrow(cut, schema)
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
