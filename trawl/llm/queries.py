@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
+from trawl.llm import dac, exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
+from trawl.session import scratch_path
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-codes")
+    dac.write_ids(read(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return dac.read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op12_token_codes": op12_token_codes,
 }
 
 
