@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import dac, exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
+from trawl.llm import alignment, dac, exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 from trawl.session import scratch_path
@@ -72,6 +72,10 @@ def op12_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(spark, path)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_alignment(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
     "op12_token_codes": op12_token_codes,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 
