@@ -48,22 +48,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.llm.common import materialize, small_batches
-from trawl.llm.word_ids import CACHED_LENGTH, CACHED_WORDS, byte_characters, slices
+from trawl.llm.word_ids import CACHED_LENGTH, byte_characters, slices
 
 CHUNK_DOCUMENTS = 32_768
 CHUNK_POSTINGS = 4_000_000
 # A container with more documents than this is a plain bitmap of 4 KB, else places of 2 bytes.
 DENSE = CHUNK_DOCUMENTS // 16
+# Entries of a worker's caches of pieces and of A's words.
+CACHED_PIECES = 300_000
 # No character of any text; a text that has it all the same is cut by another way.
-MARK = "﷐"
-_SPACES = "\t-\r \x1c-\x1f\x85\xa0  -     　"
+MARK = "\ufdd0"
+_SPACES = "\t-\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUN_START = f"([^{_SPACES}])([ \n])"
 # Fixed value: how byte-level files of this kind split a text.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Aligned(NamedTuple):
-    """One piece of text: numbers of tokens, groups and links, the groups as text, and the linked pairs."""
+    """One piece of text: numbers of tokens and groups, the groups as text, and the linked pairs."""
 
     valid: bool
     n_a: int
@@ -76,19 +78,14 @@ class Aligned(NamedTuple):
 _NOTHING = Aligned(False, 0, 0, 0, "", b"")
 
 
-def align(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups and linked pairs of two token lists with their byte ends; both cover the same bytes."""
-    groups, links = [], []
-    i = j = i0 = j0 = 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        end_a, end_b = a_ends[i], b_ends[j]
-        i += end_a <= end_b
-        j += end_b <= end_a
-        if end_a == end_b:
-            groups.append((a[i0:i], b[j0:j]))
-            i0, j0 = i, j
-    return groups, links
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links as places in A and in B, and the common ends, of two tilings of the same bytes by their ascending ends.
+
+    Between two neighbouring ends of either tiling lies exactly one link: no end
+    falls inside the overlap of two tokens.
+    """
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), np.intersect1d(ends_a, ends_b, assume_unique=True)
 
 
 class Aligner:
@@ -115,74 +112,87 @@ class Aligner:
             self.b.encode("a  b ", out_type=str) and "".join(self.b.encode("a  b ", out_type=str)) == "▁a▁▁b▁"
         )
         self.by_piece = bool(plain_a and plain_b)
-        byte = re.compile("<0x([0-9A-F]{2})>")
-        self.b_bytes = [
-            bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) and self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
-        ]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.b_space = self.b.piece_to_id("▁")
+        self.b_size = np.array([len(x) for x in self.b_bytes])
         self.byte_chars = byte_characters()
-        self.chars = {c: b for b, c in self.byte_chars.items()}
+        chars = {chr(c): b for b, c in self.byte_chars.items()} | {chr(b): b for b in range(256) if b not in self.byte_chars}
+        n_a = self.a.get_vocab_size()
+        self.a_bytes = [bytes(chars.get(c, 0) for c in self.a.id_to_token(i) or "") for i in range(n_a)]
+        self.a_size = np.array([len(x) for x in self.a_bytes])
+        # A token as the groups' text has it: by what follows it.
+        self.shown_a = np.array([f"{i}{end}" for end in ",|" for i in range(n_a)], dtype=object)
+        self.shown_b = np.array([f"{i}{end}" for end in (",", ";") for i in range(self.n_b)], dtype=object)
         self.split = regex.compile(BYTE_LEVEL_SPLIT).findall
         self.model = self.a.model
-        self.words: dict[str, tuple[list[int], list[int]]] = {}
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, Aligned] = {}
 
-    def _a_word(self, word: str) -> tuple[list[int], list[int]]:
+    def _a_word(self, word: str) -> bytes:
         shown = word.encode().decode("latin-1").translate(self.byte_chars)
-        tokens = self.model.tokenize(shown)
-        out = [t.id for t in tokens], [len(t.value) for t in tokens]
-        if len(self.words) >= CACHED_WORDS:
+        out = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(self.words) >= CACHED_PIECES:
             self.words.clear()
         if len(word) <= CACHED_LENGTH:
             self.words[word] = out
         return out
 
-    def _a_tokens(self, text: str) -> tuple[list[int], list[int]]:
-        ids: list[int] = []
-        sizes: list[int] = []
+    def _a_tokens(self, texts: list[str]) -> list[bytes]:
+        """A's ids of each piece, 4 bytes each."""
         if not self.by_piece:
-            ids = self.a.encode(text, add_special_tokens=False).ids
-            return ids, [len(self.a.id_to_token(i)) for i in ids]
-        for word in self.split(text):
-            more = self.words.get(word) or self._a_word(word)
-            ids += more[0]
-            sizes += more[1]
-        return ids, sizes
-
-    def _b_tokens(self, text: str) -> list[int]:
-        """Ids of a piece that starts with a space or a line end."""
-        if text == " " and self.by_piece:
-            return [self.b_space]
-        if text[0] == " ":
-            return self.b.encode(text[1:], num_threads=1)
-        return self.b.encode(text, num_threads=1)[1:]  # without the space it puts in front
-
-    def _restores(self, raw: bytes, ids: list[int]) -> bool:
-        """Do A's tokens, byte-level decoded, give ``raw``? True by construction where pieces are used."""
-        if self.by_piece:
-            return True
-        text = "".join(self.a.id_to_token(i) for i in ids)
-        return bytes(self.chars.get(ord(c), ord(c)) for c in text if ord(c) in self.chars or ord(c) < 256) == raw
-
-    def piece(self, text: str) -> Aligned:
-        """``text`` (with its leading space or line end) aligned."""
-        raw = text.encode()
-        b = self._b_tokens(text)
-        parts = [self.b_bytes[i] for i in b]
-        if b"".join(parts) != raw:
-            out = _NOTHING
-        else:
-            a, sizes = self._a_tokens(text)
-            if sum(sizes) != len(raw) or not self._restores(raw, a):
-                out = _NOTHING
-            else:
-                groups, links = align(a, np.cumsum(sizes).tolist(), b, np.cumsum([len(p) for p in parts]).tolist())
-                shown = ";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups])
-                out = Aligned(True, len(a), len(b), len(groups), shown, array("q", [x * self.n_b + y for x, y in links]).tobytes())
-        if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
-        if len(text) <= CACHED_LENGTH:
-            self.known[text] = out
+            found = self.a.encode_batch(texts, add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in found]
+        known, new, split = self.words.get, self._a_word, self.split
+        return [b"".join([known(w) or new(w) for w in split(t)]) for t in texts]
+
+    def _b_tokens(self, texts: list[str]) -> list[list[int]]:
+        """B's ids of pieces that start with a space or a line end; B puts a space in front itself."""
+        found = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        if not self.by_piece:
+            return found
+        return [ids[1:] if t[0] == "\n" else ids or [self.b_space] for t, ids in zip(texts, found)]
+
+    def _align(self, texts: list[str]) -> list[Aligned]:
+        """Pieces (with their leading space or line end) aligned, all at once."""
+        raws = [t.encode() for t in texts]
+        a_ids = self._a_tokens(texts)
+        b_ids = self._b_tokens(texts)
+        a_bytes, b_bytes = self.a_bytes, self.b_bytes
+        valid = [b"".join([b_bytes[i] for i in ids]) == raw for ids, raw in zip(b_ids, raws)]
+        if not self.by_piece:  # else A's bytes are the text's by construction
+            valid = [v and b"".join([a_bytes[i] for i in array("I", ids)]) == raw for v, ids, raw in zip(valid, a_ids, raws)]
+        good = [i for i, v in enumerate(valid) if v]
+        a = np.frombuffer(b"".join([a_ids[i] for i in good]), np.uint32).astype(np.int64)
+        b = np.fromiter((x for i in good for x in b_ids[i]), np.int64)
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.cumsum([len(raws[i]) for i in good]) if good else np.zeros(0, np.int64)
+        in_a, in_b, cuts = overlaps(ends_a, ends_b)
+        pairs = (a[in_a] * self.n_b + b[in_b]).tobytes()
+        upto_link = 8 * np.searchsorted(np.maximum(ends_a[in_a] - self.a_size[a[in_a]], ends_b[in_b] - self.b_size[b[in_b]]), ends)
+        # The groups' text: A's tokens, then B's, of each group; the last of A in a group ends in a bar, the last of B in a semicolon.
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        last_a, last_b = np.isin(ends_a, cuts, assume_unique=True), np.isin(ends_b, cuts, assume_unique=True)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = np.concatenate([self.shown_a[a + last_a * len(self.a_size)], self.shown_b[b + last_b * self.n_b]])[order].tolist()
+        n_a, n_b = np.searchsorted(ends_a, ends, side="right"), np.searchsorted(ends_b, ends, side="right")
+        n_groups = np.searchsorted(cuts, ends, side="right")
+        out = [_NOTHING] * len(texts)
+        pa_, pb, pg, pl = 0, 0, 0, 0
+        for i, ea, eb, eg, el in zip(good, n_a.tolist(), n_b.tolist(), n_groups.tolist(), upto_link.tolist()):
+            text = "".join(shown[pa_ + pb : ea + eb])[:-1]
+            out[i] = Aligned(True, ea - pa_, eb - pb, eg - pg, text, pairs[pl:el])
+            pa_, pb, pg, pl = ea, eb, eg, el
+        return out
+
+    def aligned(self, texts: list[str]) -> list[Aligned]:
+        """Pieces aligned, the known ones from the cache, which keeps the pieces at hand where it is full."""
+        new = [t for t in texts if t not in self.known]
+        found = dict(zip(new, self._align(new))) if new else {}
+        out = [x if (x := self.known.get(t)) is not None else found[t] for t in texts]
+        if len(self.known) + len(found) > CACHED_PIECES:
+            found = dict(zip(texts[:CACHED_PIECES], out))
+            self.known = {}
+        self.known.update((t, x) for t, x in found.items() if len(t) <= CACHED_LENGTH)
         return out
 
     def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -236,7 +246,7 @@ class Batch(NamedTuple):
 def align_texts(known: Aligner, texts: pa.Array) -> Batch:
     """Counts and groups per text, and its postings: (text, pair, number of links)."""
     names, codes, offsets = known.pieces(texts)
-    words = [known.known.get(w) or known.piece(w) for w in names.to_numpy(zero_copy_only=False)]
+    words = known.aligned(names.to_numpy(zero_copy_only=False).tolist())
     docs = np.repeat(np.arange(len(texts)), np.diff(offsets))
     valid = np.array([w.valid for w in words], dtype=bool)[codes]
     good = np.ones(len(texts), dtype=bool)
