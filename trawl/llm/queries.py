@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import alignment, dac, exact_search, line_dedup, lsh_forest, mixing, packing, quality, secret_scan, simhash, warc
+from trawl.llm import alignment, dac, exact_search, line_dedup, lsh_forest, mixing, packing, prefix_trie, quality, secret_scan, simhash, warc
 from trawl.llm import license_scan as licenses
 from trawl.llm.common import read
 from trawl.session import scratch_path
@@ -66,6 +66,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(prefix_trie.turns_of(conversations)))
+
+
 def op12_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-codes")
     dac.write_ids(read(spark, sf_dir, "documents", "doc_id", "text"), path)
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_token_codes": op12_token_codes,
     "op13_token_alignment": op13_token_alignment,
 }
