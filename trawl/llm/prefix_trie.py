@@ -324,9 +324,13 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, panel: int = PANEL) -> DataF
     prefix = every.where((F.col("depth") == panel) & F.col("q1").isNotNull()).select(
         (F.col("k") + 1).alias("k"), F.lit(1).alias("depth"), F.col("q1").alias("p1"), F.col("q2").alias("p2"), F.col("conv_id").alias("panel_parent")
     )
-    every = every.join(over, "parent_key", "left").join(prefix, ["k", "depth", "p1", "p2"], "left")
-    parent = F.when((F.col("k") > 0) & (F.col("depth") == 1), F.col("panel_parent")).otherwise(F.coalesce("parent", "edge_parent"))
+    # Most nodes know their parent: only the others are joined, so no null key gathers them in one task.
+    first = (F.col("k") > 0) & (F.col("depth") == 1)
+    known = every.where(~first & F.col("parent_key").isNull())
+    by_path = every.where(~first & F.col("parent_key").isNotNull()).join(over, "parent_key").withColumn("parent", F.col("edge_parent"))
+    by_hash = every.where(first).join(prefix, ["k", "depth", "p1", "p2"]).withColumn("parent", F.col("panel_parent"))
+    every = known.unionByName(by_path.select(columns)).unionByName(by_hash.select(columns))
     return every.select(
-        "conv_id", (F.col("k").cast("bigint") * panel + F.col("depth")).alias("depth"), parent.alias("parent_conv_id"),
+        "conv_id", (F.col("k").cast("bigint") * panel + F.col("depth")).alias("depth"), F.col("parent").alias("parent_conv_id"),
         "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), F.coalesce("digest", F.lit(NO_ENDS)).alias("ends_sha256"),
     )
