@@ -48,6 +48,13 @@ class Index:
     # False where parts were appended: a URL may have several documents rows and
     # a (term, url) several postings until W1 is applied.
     is_resolved: bool = True
+    # N where a manifest has it; None: counted from the documents.
+    n_documents: int | None = None
+    # Rows that a term may have in ``terms``, one for each run: df is their sum.
+    term_parts: int = 1
+    # Postings of all runs with ``term_bucket`` and ``run``, and the replaced ones among them:
+    # a lookup narrows both to its terms before it takes one from the other.
+    stored: tuple[DataFrame, DataFrame] | None = None
 
     def resolved(self) -> Index:
         """W1 applied: first-wins documents, last-wins postings. The index itself where that is done."""
@@ -56,7 +63,9 @@ class Index:
         return Index(first_wins_documents(self.documents), last_wins_postings(self.postings))
 
     def document_count(self) -> Column:
-        """A4: N as a scalar subquery over the documents (zero-word ones included, K7)."""
+        """A4: N from the manifest, or as a scalar subquery over the documents (zero-word ones included, K7)."""
+        if self.n_documents is not None:
+            return F.lit(self.n_documents).cast("bigint")
         return self.resolved().documents.select(F.count(F.lit(1))).scalar()
 
 

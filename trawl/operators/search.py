@@ -56,7 +56,12 @@ def term_lookup(index: Index, terms: DataFrame) -> DataFrame:
     """Postings of the given terms (inner join: absent terms contribute nothing)."""
     index = index.resolved()
     wanted, keys = _wanted(index, terms)
-    return index.postings.select(*keys, "url", "tf").join(wanted, keys).select("term", "url", "tf")
+    if index.stored is None:
+        return index.postings.select(*keys, "url", "tf").join(wanted, keys).select("term", "url", "tf")
+    held, replaced = index.stored
+    place = ["term_bucket", "term", "url", "run"]
+    hits = held.select(*place, "tf").join(wanted, keys)
+    return hits.join(replaced.join(wanted, keys).select(place), place, "left_anti").select("term", "url", "tf")
 
 
 def term_idf(index: Index, hits: DataFrame) -> DataFrame:
@@ -77,6 +82,8 @@ def stored_idf(index: Index, qt: DataFrame) -> DataFrame:
     wanted, keys = _wanted(index, qt)
     n_docs = index.document_count()
     stats = index.terms.join(wanted, keys)
+    if index.term_parts > 1:
+        stats = stats.groupBy("term").agg(F.sum("df").alias("df"))
     return stats.select("term", "df", n_docs.alias("n_docs"), idf(F.col("df"), n_docs).alias("idf"))
 
 
@@ -151,7 +158,7 @@ def search_one(index: Index, text: str, page: str | int | None = 1, stem: Stemme
     literal = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).alias("m")) for t, m in terms])
     pairs = F.inline(literal.cast("array<struct<term: string, m: bigint>>"))
     qt = spark.range(1).select(F.lit(1).cast("bigint").alias("qid"), pairs)
-    narrowed = replace(index, postings=postings_for(index, [t for t, _ in terms]), rows=None)
+    narrowed = replace(index, postings=postings_for(index, [t for t, _ in terms]), rows=None, stored=None)
     scores = scores_for_terms(narrowed, qt)
     start = (page_number(page) - 1) * RESULTS_PER_PAGE
     order = _rank_order(None)

@@ -16,7 +16,8 @@ term are opened, and a very frequent term is split over files by url.
 
 ``append_index`` adds a part beside the index (``_parts/``). An index with
 parts is unresolved until it is read: searches apply W1 before any statistic is
-taken, and ``compact_index`` writes it back as one.
+taken, and ``compact_index`` writes it back as one. An index that grows all the
+time is better kept in ``run_store``, which settles W1 when it appends.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _combined(index: Index) -> DataFrame:
+def combined_rows(index: Index) -> DataFrame:
     """``(url, seq, word_count, term, cnt, tf)``: document rows (term null) and postings together."""
     if index.rows is not None:
         rows = index.rows
@@ -63,7 +64,7 @@ def write_index(index: Index, path: str, *, buckets: int, mode: str = "overwrite
     spark = index.documents.sparkSession
     ensure_checkpoint_dir(spark)
     # Computed once: range partitioning reads its input twice (sample and rows).
-    rows = _combined(index.resolved()).checkpoint(eager=True)
+    rows = combined_rows(index.resolved()).checkpoint(eager=True)
     bucket = F.when(F.col("term").isNull(), F.lit(-1)).otherwise(term_bucket(F.col("term"), buckets))
     order = ["term_bucket", "term", "url"]
     (
@@ -95,7 +96,7 @@ def append_index(part: Index, path: str) -> None:
     spark = part.documents.sparkSession
     there = open_index(spark, path)
     newest = there.documents.select("seq").unionByName(there.postings.select("seq")).agg(F.max("seq")).first()[0]
-    rows = _combined(part.resolved())
+    rows = combined_rows(part.resolved())
     oldest = rows.agg(F.min("seq")).first()[0]
     if oldest is None:
         return
