@@ -224,9 +224,26 @@ def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return se.search_page(stored_index(spark, sf_dir), queries, fx.page_requests(queries), decimals=RANK_DECIMALS)
 
 
+def _grown(spark: SparkSession, *parts: ix.Index) -> str:
+    """An index of runs, one for each part."""
+    path = scratch_path(spark, "runs")
+    rs.create(spark, path, buckets=TERM_BUCKETS)
+    for part in parts:
+        rs.append_run(part, path)
+    return path
+
+
 @query
 def append_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3+S6+A5: the ``documents`` index on disk, the ``pages`` index and the documents once more appended, searched."""
+    """S3+S4+S6+A5: an index of runs - ``documents``, ``pages`` and the documents once more - searched without a recount."""
+    path = _grown(spark, doc_index(spark, sf_dir), page_index(spark, sf_dir), doc_index(spark, sf_dir))
+    out = se.search(rs.open_runs(spark, path), fx.search_queries(spark, sf_dir), k=10, decimals=RANK_DECIMALS)
+    return out.select("qid", "rank", "url", r6("score").alias("score"))
+
+
+@query
+def append_parts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3+S6+W1: the same appends as unresolved parts of one written index, resolved when searched."""
     path = scratch_path(spark, "appended-index")
     st.write_index(doc_index(spark, sf_dir), path, buckets=TERM_BUCKETS)
     st.append_index(page_index(spark, sf_dir), path)
@@ -235,6 +252,21 @@ def append_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("qid", "rank", "url", r6("score").alias("score"))
 
 
+@query
+def bounded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4+A7: top 10 per query by upper bounds from the stored term statistics."""
+    out = se.search_bounded(stored_index(spark, sf_dir), fx.search_queries(spark, sf_dir), k=10, decimals=RANK_DECIMALS)
+    return out.select("qid", "rank", "url", r6("score").alias("score"))
+
+
+@query
+def append_term_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8+A9: term ids after the ``documents`` were indexed and the ``pages`` appended: old ids stay, new terms go on from them."""
+    path = _grown(spark, doc_index(spark, sf_dir), page_index(spark, sf_dir))
+    counts = rs.term_bridge(spark, path).groupBy("term_id").agg(F.count(F.lit(1)).alias("n_urls"))
+    return rs.dictionary(spark, path).select("term_id", "term").join(counts, "term_id")
+
+
 # --- links and URLs -----------------------------------------------------------
 
 from trawl.functions import urls as ur  # noqa: E402
@@ -387,6 +419,7 @@ from trawl.functions.sqlfuncs import register_sql_functions  # noqa: E402
 from trawl.operators import reports as rp  # noqa: E402
 from trawl.session import scratch_path  # noqa: E402
 from trawl.sources import index_store as st  # noqa: E402
+from trawl.sources import run_store as rs  # noqa: E402
 from trawl.sources.pages import fetch_outcomes  # noqa: E402
 from trawl.streaming import index_stream as xs  # noqa: E402
 
@@ -530,6 +563,19 @@ def streaming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post.select("term", "url", "cnt", "word_count", r6("tf").alias("tf"))
 
 
+@query
+def streaming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1+X3+A5: pages arriving in files, each micro-batch committed as a run; searched as it stands after the last one."""
+    base = scratch_path(spark, "stream-runs")
+    pages = web_pages(spark, sf_dir).select("url", "html")
+    files = _landing_files(spark)
+    landing = xs.land_files(pages, f"{base}/landing", files)
+    stream = xs.file_stream(spark, landing, pages.schema, files_per_trigger=-(-files // MICRO_BATCHES))
+    xs.run_stream(stream, f"{base}/index", f"{base}/checkpoint", buckets=TERM_BUCKETS).awaitTermination()
+    out = se.search(rs.open_runs(spark, f"{base}/index"), fx.search_queries(spark, sf_dir), k=10, decimals=RANK_DECIMALS)
+    return out.select("qid", "rank", "url", r6("score").alias("score"))
+
+
 def _fetch_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     log = fx.fetch_log(spark, sf_dir)
     files = _landing_files(spark)

@@ -726,10 +726,28 @@ SELECT p.qid, p.page, p.page_no, CAST(k.rank AS BIGINT) AS rank, k.url,
 FROM paging p LEFT JOIN ranked k ON k.qid = p.qid AND (k.rank - 1) // 10 = p.page_no - 1
 """)
 
-register("append_search", with_(corpus("doc", DOC_SRC), corpus("page", PAGE_SRC), """
+APPENDED = with_(corpus("doc", DOC_SRC), corpus("page", PAGE_SRC), """
 both_docs AS (SELECT * FROM doc_docs UNION ALL SELECT * FROM page_docs),
 both_post AS (SELECT * FROM doc_post UNION ALL SELECT * FROM page_post)""", queries_sql(), query_terms_sql(), scores_sql("both")) + """
 SELECT qid, CAST(rank AS BIGINT) AS rank, url, round(score, 6) AS score FROM ranked WHERE rank <= 10
+"""
+register("append_search", APPENDED)
+register("append_parts_search", APPENDED)
+
+TOP_10 = "SELECT qid, CAST(rank AS BIGINT) AS rank, url, round(score, 6) AS score FROM ranked WHERE rank <= 10"
+register("bounded_search", with_(corpus("doc", DOC_SRC), queries_sql(), query_terms_sql(), scores_sql("doc")) + TOP_10)
+register("streaming_search", with_(corpus("page", PAGE_SRC), queries_sql(), query_terms_sql(), scores_sql("page")) + TOP_10)
+
+register("append_term_ids", with_(corpus("doc", DOC_SRC), corpus("page", PAGE_SRC), """
+old AS (SELECT DISTINCT term FROM doc_post),
+added AS (SELECT DISTINCT term FROM page_post WHERE term NOT IN (SELECT term FROM old)),
+ids AS (
+  SELECT row_number() OVER (ORDER BY term) AS term_id, term FROM old
+  UNION ALL
+  SELECT (SELECT count(*) FROM old) + row_number() OVER (ORDER BY term), term FROM added)""") + """
+SELECT term_id, term, count(*) AS n_urls
+FROM ids JOIN (SELECT url, term FROM doc_post UNION SELECT url, term FROM page_post) p USING (term)
+GROUP BY term_id, term
 """)
 
 register("crawl_index", f"""

@@ -4,7 +4,7 @@ One dataset holds both tables, partitioned by ``term_bucket``::
 
     term_bucket=-1/         documents: url, word_count, seq (term, cnt, tf null)
     term_bucket=B/          postings:  term, url, cnt, word_count, tf, seq (sorted by term)
-    _terms/term_bucket=B/   term statistics: term, df (document frequency)
+    _terms/term_bucket=B/   term statistics: term, df (document frequency), max_tf (the largest tf)
     _meta/                  the number of buckets
 
 ``term_bucket = pmod(xxhash64(term), buckets)``; the caller gives the number
@@ -78,7 +78,7 @@ def write_index(index: Index, path: str, *, buckets: int, mode: str = "overwrite
     # Term statistics from the postings just written (one column read, map-side
     # partial counts), bucketed like the postings for pruned lookups.
     written = spark.read.parquet(path).where(F.col("term_bucket") >= 0)
-    stats = written.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df"))
+    stats = written.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"))
     stats.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term").write.mode(mode).partitionBy(
         "term_bucket"
     ).parquet(f"{path}/_terms")
@@ -133,7 +133,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
     except AnalysisException as err:
         if not _missing(err):
             raise
-        terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "term_bucket")
+        terms = spark.read.parquet(f"{path}/_terms").select("term", "df", "max_tf", "term_bucket")
         return Index(documents, postings, buckets=buckets, terms=terms)
     added = parts.where(F.col("term").isNotNull()).select(*POSTING_COLUMNS)
     return Index(

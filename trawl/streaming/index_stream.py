@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trawl.functions.text import Stemmer, identity_stem
+from trawl.sources import run_store as rs
 from trawl.sources.tables import spread
 from trawl.operators.indexing import DOCUMENT_COLUMNS, POSTING_COLUMNS, Index, build_page_index, postings_of
 
@@ -97,7 +98,7 @@ def index_stream(
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        one = spread(batch).groupBy("url").agg(F.min_by("html", F.xxhash64("html")).alias("html"))
+        one = spread(_one_per_url(batch))
         part = build_page_index(one, stop_words=stop_words, stem=stem, seq=F.lit(base + batch_id))
         # Documents (term null) and postings of the part in one pass and one write.
         key = f"stream={stream}/batch_id={batch_id}"
@@ -119,6 +120,56 @@ def index_stream(
     return _trigger(writer, available_now, interval).start()
 
 
+def run_stream(
+    pages: DataFrame,
+    out: str,
+    checkpoint: str,
+    *,
+    buckets: int,
+    fanout: int = 4,
+    available_now: bool = True,
+    interval: str = "5 seconds",
+    stop_words: Sequence[str] | None = None,
+    stem: Stemmer = identity_stem,
+) -> StreamingQuery:
+    """X1+X3 on a growing index: each micro-batch is one committed run, searchable right after it.
+
+    A batch brings its own document frequencies and document count, so a search
+    reads no older part to count. The manifest names the stream's last batch, so a
+    batch that is run again after a failure adds nothing; several streams may
+    write to one index. Runs of one size tier are merged as they pile up
+    (``fanout`` of them). Of rows with one URL in a batch, the one whose text has
+    the lowest hash counts.
+    """
+    spark = pages.sparkSession
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    if not rs.versions(spark, out):
+        try:
+            rs.create(spark, out, buckets=buckets)
+        except FileExistsError:
+            pass  # another stream has just made it
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        one = spread(_one_per_url(batch))
+        part = build_page_index(one, stop_words=stop_words, stem=stem)
+        rs.append_run(part, out, batch=(stream, batch_id))
+        rs.merge_runs(batch.sparkSession, out, fanout=fanout)
+
+    writer = pages.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, interval).start()
+
+
+def _one_per_url(batch: DataFrame) -> DataFrame:
+    """One row per URL, that of the lowest text hash. Hashes are compared first, so only the texts that stay are shuffled on."""
+    named = batch.select("url", "html", F.xxhash64("html").alias("h"))
+    lowest = named.groupBy("url").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    held = named.join(lowest, ["url", "h"])
+    once = held.where("n = 1").select("url", "html")
+    # rows equal in URL and hash, and URLs with several texts
+    many = held.where("n > 1").groupBy("url").agg(F.min("html").alias("html"))
+    return once.unionByName(many)
+
+
 def stream_batch_report(spark: SparkSession, out: str) -> DataFrame:
     """A12 for a stream: ``(batch_id, n_docs, n_postings, seconds)`` per stream and committed micro-batch."""
     return spark.read.parquet(f"{out}/_batches").select("stream", "batch_id", "n_docs", "n_postings", "seconds")
