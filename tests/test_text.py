@@ -43,6 +43,26 @@ def test_unclosed_and_unmarked_elements(spark):
     assert words(spark, "<title>T &lt;i></title><textarea><b>raw&amp;</b></textarea> end") == ["end", "t", "<i>", "<b>raw&</b>"]
 
 
+def test_quoted_ends_and_custom_elements(spark):
+    assert words(spark, "<p title='a>b'>c") == ["c"]
+    assert words(spark, "one <a-card>two</a-card> three <p>four") == ["one", "two", "three", "four"]
+    assert words(spark, "<p>a</p><p title=it's>b</p><p>words that don't vanish</p>") == ["a", "b", "words", "that", "don't", "vanish"]
+    assert words(spark, '<a title="x>y" href="z.html">in</a> out <abbr title="q>r">s</abbr>') == ["out", "s"]
+    assert words(spark, "<title-bar>t</title-bar><script-x>u</script-x><script src='a>b'>v</script>") == ["t", "u", "v"]
+    many = "".join(f' a{i}="{i}>"' for i in range(300))  # a long cut-off tag is passed once
+    assert words(spark, f"x <p{many}") == ["x"] and words(spark, f"x <a{many}") == ["x"]
+    assert words(spark, "x <p " + "a=b " * 20_000 + "> y") == ["x", "y"]
+
+
+def test_links_in_tags_with_quoted_ends(spark):
+    from trawl.operators.links import anchor_hrefs
+
+    html = """<a title="x>y" href="z.html">1</a><a-b href="no.html">2</a-b><A\nHREF='q>.html'>3</A><a href=it's.html>4</a><abbr href="n">5</abbr><a href="cut.html"""
+    df = spark.createDataFrame([("u", html), ("v", '<a href="end">x'), ("w", '<a href="end"')], "url STRING, html STRING")
+    got = [(r.src, r.href) for r in anchor_hrefs(df).orderBy("src", "pos").collect()]
+    assert got[:3] == [("u", "z.html"), ("u", "q>.html"), ("u", "it")] and got[3:] == [("v", "end")]
+
+
 def test_character_references(spark):
     page = "caf&eacute; it&#8217;s f&uuml;r a&mdash;b &#x41;&#128;&#0;&#xD800;&#99999999999; &notit; &amp;lt; &bogus; &copy2 1&lt"
     want = "café it’s für a—b a€\ufffd\ufffd\ufffd ¬it; &lt; &bogus; ©2 1<"

@@ -18,13 +18,18 @@ from pyspark.sql import functions as F
 # reaches to its end tag or, where a page is cut off, to the end. The content of
 # scripts is kept as it is, of textarea and title with references decoded.
 # Then anchor subtrees and all tags (also cut-off ones) go.
+# A quote opens a value only right after "=", and a ">" in a quoted value doesn't
+# end the tag. Every pattern may also end with the page, so none is tried in
+# more than one way.
+_ATTRIBUTES = r"""(?:[^>]*?=\s*(?:"[^"]*"|'[^']*'))*[^>]*"""
+# What follows an element's name in its start tag: white space, a slash, or the end (so not ``<a-card>``).
+TAG_REST = rf"(?:[\s/]{_ATTRIBUTES})?(?:>|\z)"
 _NOT_MARKUP = ("script", "style", "textarea", "title")
-OPAQUE = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in _NOT_MARKUP)
-SCRIPT_TEXT = r"(?is)\A<script\b[^>]*>(.*?)(?:</script\s*>)?\z"
-RAW_TEXT = r"(?is)\A<(?:textarea|title)\b[^>]*>(.*?)(?:</(?:textarea|title)\s*>)?\z"
-ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
-OPEN_ANCHOR = r"(?is)<a\b.*"
-TAG = r"<[/!?a-zA-Z][^>]*(>|\z)"
+OPAQUE = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{t}{TAG_REST}.*?(?:</{t}\s*>|\z)" for t in _NOT_MARKUP)
+SCRIPT_TEXT = rf"(?is)\A<script{TAG_REST}(.*?)(?:</script\s*>)?\z"
+RAW_TEXT = rf"(?is)\A<(?:textarea|title){TAG_REST}(.*?)(?:</(?:textarea|title)\s*>)?\z"
+ANCHOR = rf"(?is)<a{TAG_REST}.*?(?:</a\s*>|\z)"
+TAG = rf"<[/!?a-zA-Z]{_ATTRIBUTES}(?:>|\z)"
 
 # Character references, by the table of the standard library: names that need a
 # semicolon end in one there; the others may stand without it.
@@ -77,7 +82,7 @@ def decode_entities(text: Column) -> Column:
 def strip_markup(html: Column) -> Column:
     """Remove comments, elements without markup, anchors and tags; each removal is a word boundary."""
     body = html
-    for pattern in (OPAQUE, ANCHOR, OPEN_ANCHOR, TAG):
+    for pattern in (OPAQUE, ANCHOR, TAG):
         body = F.regexp_replace(body, pattern, " ")
     return body
 

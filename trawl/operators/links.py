@@ -15,8 +15,9 @@ from trawl.session import ensure_checkpoint_dir, scratch_path
 from trawl.sources.pages import split_fetches
 
 # The link-extraction patterns. Complete `<a ...>` tags in page
-# order, then the first href value (double-quoted, single-quoted or bare).
-ANCHOR_TAG = r"(?is)<a\s[^>]*>"
+# order (the last one may be cut off), then the first href value (double-quoted,
+# single-quoted or bare).
+ANCHOR_TAG = rf"(?is)<a{tx.TAG_REST}"
 HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 
 
@@ -30,7 +31,7 @@ def _href_of(tag: Column) -> Column:
 def anchor_hrefs(pages: DataFrame) -> DataFrame:
     """L1: ``(src, pos, href)`` for every ``<a>`` tag outside comments and elements without markup; repeats kept."""
     body = F.regexp_replace("html", tx.OPAQUE, " ")
-    tags = F.regexp_extract_all(body, F.lit(ANCHOR_TAG), 0)
+    tags = F.filter(F.regexp_extract_all(body, F.lit(ANCHOR_TAG), 0), lambda t: t.rlike(r"(?is)^<a[\s/].*>\z"))
     exploded = pages.select(F.col("url").alias("src"), F.posexplode(tags).alias("pos", "tag"))
     return exploded.select("src", F.col("pos").cast("bigint"), _href_of(F.col("tag")).alias("href"))
 

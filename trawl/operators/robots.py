@@ -100,8 +100,10 @@ def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
     Any matching allow wins, then any matching disallow denies, otherwise the
     URL is allowed; a host without rules and an unparsable URL are allowed.
     Only the percent-decoded path is matched (no query); a blank path is ``/``.
-    The rules of a host are one row (bounded by its one file), so each URL meets
-    one row by its host and is decided there: no row per rule, no second shuffle.
+    The rules of a host are one row (bounded by its one file): a pattern of all
+    its allow rules and one of all its disallow rules. URLs come sorted by host,
+    and ``regexp_instr`` keeps its last compiled pattern, so a pattern is compiled
+    once for a host's run of URLs and not for each (URL, rule).
     """
     raw_path = url_part(F.col("url"), 3)
     path = F.try_url_decode(F.replace(raw_path, F.lit("+"), F.lit("%2B")))
@@ -111,13 +113,17 @@ def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(raw_path == "", F.lit("/")).otherwise(path).alias("path"),
         invalid_url(F.col("url")).alias("unparsable"),
     )
-    each = F.collect_list(F.struct("kind", "regex")).alias("rules")
-    per_host = rules.groupBy(F.col("host").alias("r_host")).agg(each)
-    joined = keyed.join(per_host, F.col("host") == F.col("r_host"), "left")
+
+    def one_of(kind: str) -> Column:
+        """The patterns of a kind as one; null where a host has none."""
+        each = F.collect_set(F.when(F.col("kind") == kind, F.concat(F.lit("(?:"), "regex", F.lit(")"))))
+        return F.nullif(F.array_join(F.array_sort(each), "|"), F.lit("")).alias(kind)
+
+    per_host = rules.groupBy(F.col("host").alias("r_host")).agg(one_of("allow"), one_of("disallow"))
+    joined = keyed.sortWithinPartitions("host").join(per_host, F.col("host") == F.col("r_host"), "left")
 
     def any_of(kind: str) -> Column:
-        hit = F.exists("rules", lambda r: (r["kind"] == kind) & F.regexp_like(F.col("path"), r["regex"]))
-        return F.coalesce(hit, F.lit(False))
+        return F.coalesce(F.regexp_instr("path", F.col(kind)) > 0, F.lit(False))
 
     return joined.select("url", (F.col("unparsable") | any_of("allow") | ~any_of("disallow")).alias("allowed"))
 

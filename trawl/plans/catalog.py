@@ -280,6 +280,20 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hrefs.where((F.col("href") != "") & ~F.col("href").startswith("#"))
 
 
+@query
+def odd_markup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1-P5 on pages with quoted ``>``, stray quotes and custom elements."""
+    toks = fx.odd_pages(spark, sf_dir).select("url", F.explode(tokenize(html_text(F.col("html")))).alias("token"))
+    return toks.groupBy("url", "token").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def odd_markup_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1+L2 on the same pages."""
+    hrefs = lk.anchor_hrefs(fx.odd_pages(spark, sf_dir))
+    return hrefs.where((F.col("href") != "") & ~F.col("href").startswith("#"))
+
+
 @query
 def link_extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L3: extension of each href and whether it is followed."""
@@ -588,7 +602,7 @@ def streaming_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visited set of a fetch stream, each URL once."""
     base = scratch_path(spark, "stream-dedupe")
     visited = xs.dedupe_stream(_fetch_stream(spark, sf_dir, base))
-    xs.write_stream(visited, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    xs.write_stream(visited, f"{base}/out", f"{base}/checkpoint", state=xs.ROCKSDB).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("url")
 
 
@@ -602,6 +616,18 @@ def streaming_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.unix_seconds("window.start").alias("window_start"), F.col("n_urls").cast("bigint"))
 
 
+@query
+def streaming_progress_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 with bounded state: per window, whether the sketch's count is within its stated error of the exact one."""
+    base = scratch_path(spark, "stream-sketch")
+    sketches = xs.progress_sketches(_fetch_stream(spark, sf_dir, base))
+    xs.write_stream(sketches, f"{base}/out", f"{base}/checkpoint", mode="complete").awaitTermination()
+    exact = fx.fetch_log(spark, sf_dir).groupBy(F.window("ts", xs.DEFAULT_TICK).alias("window")).agg(F.countDistinct("url").alias("n"))
+    both = spark.read.parquet(f"{base}/out").join(exact, "window")
+    near = F.abs(xs.sketch_count(F.col("sketch")) - F.col("n")) <= F.ceil(F.col("n") * 3 * xs.SKETCH_ERROR)
+    return both.select(F.unix_seconds("window.start").alias("window_start"), near.alias("within_bound"))
+
+
 @query
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the display functions registered as SQL functions and used from ``spark.sql``."""

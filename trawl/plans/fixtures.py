@@ -192,3 +192,14 @@ def site_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     top = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.min_by("url", "page_id").alias("first"))
     seed = top.orderBy(F.desc("n"), "host").select("first").first()[0]
     return pages.select("url"), links, seed
+
+
+# Markup that ends a tag or an anchor only for a careless reader.
+ODD_START = """<a title="x>y" href="quoted.html">in</a><a-b href="own.html">custom</a-b><a href='one.html' title='p>q' lang=it's>in</a> """
+ODD_PARAGRAPH = """<p title="a>b" lang='x > y' id=it's><a-card class="c>d">card</a-card> <title-bar>bar</title-bar> """
+
+
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with quoted ``>``, stray quotes and custom elements in their markup."""
+    html = F.concat(F.lit(ODD_START), F.replace(F.col("html"), F.lit("<p>"), F.lit(ODD_PARAGRAPH)))
+    return web_pages(spark, sf_dir).withColumn("html", html)

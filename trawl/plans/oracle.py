@@ -36,17 +36,20 @@ def stops_sql() -> str:
     return ", ".join(q(w) for w in STOP_WORDS)
 
 
+# The rest of a start tag after its name: quoted values (right after "=") may hold ">".
+IN_TAG = r"""(?:[^>]*?=\s*(?:"[^"]*"|'[^']*'))*[^>]*"""
+TAG_END = r"(?:[\s/]" + IN_TAG + r")?(?:>|\z)"
 # Comments and elements without markup, to their end or the page's.
 UNREAD = "|".join(
     [
         r"<!--(?s:.)*?(?:-->|\z)",
-        r"<script\b[^>]*>(?s:.)*?(?:</script\s*>|\z)",
-        r"<style\b[^>]*>(?s:.)*?(?:</style\s*>|\z)",
-        r"<textarea\b[^>]*>(?s:.)*?(?:</textarea\s*>|\z)",
-        r"<title\b[^>]*>(?s:.)*?(?:</title\s*>|\z)",
+        r"<script" + TAG_END + r"(?s:.)*?(?:</script\s*>|\z)",
+        r"<style" + TAG_END + r"(?s:.)*?(?:</style\s*>|\z)",
+        r"<textarea" + TAG_END + r"(?s:.)*?(?:</textarea\s*>|\z)",
+        r"<title" + TAG_END + r"(?s:.)*?(?:</title\s*>|\z)",
     ]
 )
-LINKED = (r"(?is)<a\b[^>]*>.*?</a\s*>", r"(?is)<a\b.*", r"<[/!?a-zA-Z][^>]*(>|\z)")
+LINKED = (r"(?is)<a" + TAG_END + r".*?(?:</a\s*>|\z)", r"<[/!?a-zA-Z]" + IN_TAG + r"(?:>|\z)")
 REF = r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)"
 CP1252 = {128 + i: c for i, c in enumerate(bytes(range(128, 160)).decode("cp1252", "replace"))}
 
@@ -96,7 +99,7 @@ def visible_sql(col: str) -> str:
 
 def inner_sql(col: str, names: str) -> str:
     """The text inside the elements ``names`` among the unread ones, joined by spaces."""
-    pattern = rf"(?is)\A<(?:{names})\b[^>]*>(.*?)(?:</(?:{names})\s*>)?\z"
+    pattern = rf"(?is)\A<(?:{names}){TAG_END}(.*?)(?:</(?:{names})\s*>)?\z"
     return (
         f"array_to_string(list_transform(regexp_extract_all({col}, {q('(?i)' + UNREAD)}),"
         f" lambda u: regexp_extract(u, {q(pattern)}, 1)), ' ')"
@@ -311,7 +314,7 @@ register("paging_facts", PAGED + "SELECT * FROM paging")
 URL_RE = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?"
 KEPT_PATH = r"^[A-Za-z0-9\-_.~!$&'()*+,;=:@/\[\]%]*\z"
 UNESCAPED = {"%2F": "/", "%24": "$", "%26": "&", "%2B": "+", "%2C": ",", "%3A": ":", "%3B": ";", "%3D": "=", "%40": "@", "%7E": "~"}
-A_TAG = r"(?is)<a\s[^>]*>"
+A_TAG = r"(?is)<a" + TAG_END
 HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 AFTER_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:([^#]*)"
 
@@ -387,13 +390,28 @@ ANCHORS = f"""{REFERENCES},
 tags AS (
   SELECT src, pos, {HREF_SQL} AS raw FROM (
     SELECT url AS src, unnest(l) AS tag, generate_subscripts(l, 1) - 1 AS pos
-    FROM (SELECT url, regexp_extract_all(regexp_replace(html, {q('(?i)' + UNREAD)}, ' ', 'g'), {q(A_TAG)}, 0) AS l FROM pages))),
+    FROM (SELECT url, list_filter(regexp_extract_all(regexp_replace(html, {q('(?i)' + UNREAD)}, ' ', 'g'), {q(A_TAG)}, 0),
+                                  lambda t: regexp_matches(t, '(?is)^<a[\\s/]') AND ends_with(t, '>')) AS l FROM pages))),
 anchors AS (SELECT src, CAST(pos AS BIGINT) AS pos, {decode_sql('raw')} AS href FROM tags, refs),
 followed AS (SELECT src, pos, href FROM anchors WHERE {followed_sql('href')}),
 resolved AS (SELECT src, pos, href, {resolve_sql('src', 'href')} AS url FROM followed)"""
 
 register("extract_links", with_(ANCHORS) + "SELECT src, pos, href FROM anchors WHERE href <> '' AND NOT starts_with(href, '#')")
 
+ODD_PAGES = (
+    f"odd_pages AS (SELECT page_id, url, {q(fx.ODD_START)} || replace(html, '<p>', {q(fx.ODD_PARAGRAPH)}) AS html FROM pages)"
+)
+register(
+    "odd_markup_words",
+    with_(ODD_PAGES, corpus("page", PAGE_SRC).replace("FROM pages", "FROM odd_pages"))
+    + "SELECT url, tok AS token, CAST(count(*) AS BIGINT) AS cnt FROM page_tok GROUP BY 1, 2",
+)
+register(
+    "odd_markup_links",
+    with_(ODD_PAGES, ANCHORS.replace("FROM pages", "FROM odd_pages"))
+    + "SELECT src, pos, href FROM anchors WHERE href <> '' AND NOT starts_with(href, '#')",
+)
+
 register("link_extension_filter", with_(ANCHORS) + f"""
 SELECT src, pos, href, {ext_sql('href')} AS ext, {followed_sql('href')} AS keep
 FROM anchors WHERE href <> '' AND NOT starts_with(href, '#')
@@ -709,6 +727,11 @@ SELECT CAST((epoch_us(ts) // 30000000) * 30 AS BIGINT) AS window_start, CAST(cou
 FROM fl GROUP BY 1
 """)
 
+# Every window's sketch is within its bound.
+register("streaming_progress_sketch", with_(FETCH_LOG) + """
+SELECT DISTINCT CAST((epoch_us(ts) // 30000000) * 30 AS BIGINT) AS window_start, true AS within_bound FROM fl
+""")
+
 register("sql_functions", f"""
 SELECT url, regexp_replace(url, '^https://', '') AS display_url, {display_title_sql('url')} AS title,
        {clean_path_sql('url')} AS slug, printf('%.4f', CAST(length(html) AS DOUBLE) / 7) AS size_score
