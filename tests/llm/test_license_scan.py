@@ -87,3 +87,14 @@ def test_odd_rows(spark):
     for i in (2, 3, 4):
         assert by_id[i][:7] == (0, 0, None, None, "", "", 0.0)
     assert by_id[5]["n_words"] == 60_000
+
+
+def test_very_many_places_take_linear_time():
+    import time
+
+    from trawl.llm import license_scan
+
+    began = time.time()
+    out = license_scan.scan_text("all rights reserved " * 50_000 + "under the mit license " * 20_000)
+    assert time.time() - began < 60
+    assert out[1] == 20_000 and len(out[7]) >= 70_000 and (out[2], out[3]) == (150_000, 150_000 + 4 * 19_999)

@@ -171,6 +171,23 @@ def test_odd_rows(spark):
     assert scan(spark, [long_key, many]) == [expected(long_key), expected(many)]
 
 
+def test_a_very_long_candidate_and_very_many_places(spark):
+    """200,000 characters in one candidate and 20,000 places in one text: linear, so done within a short while."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    data = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=200_000))
+    many = " ".join(f"token={i:012x}" for i in range(20_000))
+    path = "seg/" * 5_000
+    began = time.time()
+    got = scan(spark, [f"data:{data}", many, path])
+    assert time.time() - began < 90
+    assert got[1][0] == 20_000 and got[2][4] == ""
+    first, last = got[0][4].split(",")[-1].split(":")[1:]
+    assert got[0][4].endswith(f"entropy_base64:{first}:{last}") and int(first) < 50 and int(last) > 199_900
+
+
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op7_secret_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

@@ -9,7 +9,8 @@ over each. The window's Shannon entropy is
     H = log2(W) - (1 / W) sum c log2(c)
 
 over the counts ``c`` of its characters, and the sum is kept up incrementally:
-one character enters, one leaves, two counts change. Where H reaches the
+one character enters, one leaves, two counts change, and only these two are
+looked up among the ``WINDOW`` - 1 characters that stay. Where H reaches the
 class's threshold, the span from the first such window to the end of the last
 is reported as ``entropy_<class>``. The sums are integers (``c log2(c)`` in
 millionths), so a threshold is met alike on every machine. Every candidate has a
@@ -23,12 +24,17 @@ texts between matches, so a text is scanned whole in one row and nothing is
 shuffled.
 
 Defined results: a null or empty text has no span; the digest of no span is
-that of the empty string; repeated rows each give a row; extra columns are kept.
+that of the empty string; repeated rows each give a row; a text or candidate of
+any length is scanned whole, in time in proportion to its length (matches are
+placed in runs of ``RUN``, so no list is copied once a match); extra columns are
+kept, but for one named ``secret_scan``, which the result replaces. A plain
+sequence repeated more than 64 times is scanned like any other candidate.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,14 +82,16 @@ ALLOWED = (
     r"|sha256[-_=](?:[0-9a-f]{64}|[a-z0-9+/_-]{43}=?)|sha384[-_=](?:[0-9a-f]{96}|[a-z0-9+/_-]{64})"
     r"|sha512[-_=](?:[0-9a-f]{128}|[a-z0-9+/_-]{86}(?:==)?))$",
     rf"^(?=.*[+/_=-])(?!.*(?:{_RANDOM_CASE}))[A-Za-z+/_=-]+$",
-    rf"^(?!.*(?:{_RANDOM}))/?(?:[A-Za-z0-9_-]{{1,15}}/){{2,64}}[A-Za-z0-9_=-]*$",
+    rf"^(?!.*(?:{_RANDOM}))/?(?:[A-Za-z0-9_-]{{1,15}}/){{2,}}+[A-Za-z0-9_=-]*$",
     rf"^[A-Za-z_-]{{0,12}}(?:{_SEQUENCE}[+/_=-]*){{1,64}}[A-Za-z]{{0,8}}$",
     r"^[=_/+-]+$",
 )
-# Text right before a candidate that says what it is.
-ALLOWED_BEFORE = r"(?i)(?:sha(?:1|256|384|512)|md5|digest|checksum|commit|integrity|base64)[\"']?\s*[:,=@-]\s*[\"']?$"
+# Text right before a candidate that says what it is; at most 20 characters.
+ALLOWED_BEFORE = r"(?i)(?:sha(?:1|256|384|512)|md5|digest|checksum|commit|integrity|base64)[\"']?\s{0,4}[:,=@-]\s{0,4}[\"']?$"
 _BEFORE_CHARS = 24
 _MILLION = 1_000_000
+# Matches placed together: a list of places is copied once a match within a run only.
+RUN = 256
 
 
 def _c_log_c(c: int) -> int:
@@ -113,45 +121,61 @@ def _places(text: Column, pattern: str, group: int) -> Column:
             F.struct(end.alias("at"), F.concat(state["found"], F.array(place)).alias("found"))
         )
 
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
+    def run_of(all_parts: Column, i: Column) -> Column:
+        """The places of one run of matches, counted from the run's start, and the run's length."""
+        return F.aggregate(F.slice(all_parts, i * RUN + 1, F.lit(RUN)), F.struct(F.lit(0).alias("at"), empty.alias("found")), step)
+
+    def begun(runs: Column) -> Column:
+        """Where each run starts: one more entry than there are runs."""
+        zero = F.array(F.lit(0))
+        return F.aggregate(runs, zero, lambda starts, r: F.concat(starts, F.array(F.element_at(starts, -1) + r["at"])))
+
+    def moved(both: Column) -> Column:
+        by_run = F.transform(both["runs"], lambda r, i: F.transform(r["found"], lambda p: F.struct(
+            (p["start"] + F.get(both["starts"], i)).alias("start"), (p["end"] + F.get(both["starts"], i)).alias("end"),
+            p["value"].alias("value"), p["before"].alias("before"),
+        )))
+        return F.flatten(by_run)
+
+    runs = _with(parts, lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / RUN).cast("int")), lambda i: run_of(x, i)))
+    found = _with(_with(runs, lambda x: F.struct(x.alias("runs"), begun(x).alias("starts"))), moved)
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda's variable, not an expression used in many places."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _window_span(value: Column, most: Column) -> Column:
     """``struct<first, last>``: first and last position whose window's sum is at most ``most``, else nulls."""
-    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c))
     table = F.array(*[F.lit(_c_log_c(c)).cast("bigint") for c in range(WINDOW + 1)])
     start = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"),
         F.lit(0).cast("bigint").alias("sum"),
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
     )
-    steps = F.transform(
-        codes,
-        lambda c, i: F.struct(i.alias("i"), c.alias("enter"), F.when(i >= WINDOW, F.get(codes, i - WINDOW)).alias("leave")),
-    )
-
-    def slide(state: Column, step: Column) -> Column:
-        enter, leave, counts = step["enter"], step["leave"], state["counts"]
-        stays = F.coalesce(enter == leave, F.lit(False))
-        changed = F.transform(
-            counts,
-            lambda c, k: c + F.when(k == enter, 1).otherwise(0) - F.when(F.coalesce(k == leave, F.lit(False)), 1).otherwise(0),
-        )
-        now, gone = F.get(counts, enter), F.get(counts, leave)
-        added = F.get(table, now + 1) - F.get(table, now)
-        removed = F.coalesce(F.get(table, gone - 1) - F.get(table, gone), F.lit(0).cast("bigint"))
-        total = F.when(stays, state["sum"]).otherwise(state["sum"] + added + removed)
-        met = (step["i"] >= WINDOW - 1) & (total <= most)
-        return F.struct(
-            F.when(stays, counts).otherwise(changed).alias("counts"),
-            total.alias("sum"),
-            F.when(met, F.coalesce(state["first"], step["i"] - (WINDOW - 1))).otherwise(state["first"]).alias("first"),
-            F.when(met, step["i"] + 1).otherwise(state["last"]).alias("last"),
-        )
 
-    return F.aggregate(steps, start, slide, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+    def scan(chars: Column) -> Column:
+        def slide(state: Column, i: Column) -> Column:
+            first = F.greatest(i - (WINDOW - 1), F.lit(0))
+            stay = F.slice(chars, first + 1, i - first)
+            enter, leave = F.get(chars, i), F.get(chars, i - WINDOW)
+            count = lambda c: F.size(stay) - F.size(F.array_remove(stay, c))
+            added = F.get(table, count(enter) + 1) - F.get(table, count(enter))
+            removed = F.when(i >= WINDOW, F.get(table, count(leave)) - F.get(table, count(leave) + 1)).otherwise(F.lit(0).cast("bigint"))
+            return _with(
+                state["sum"] + added + removed,
+                lambda total: F.struct(
+                    total.alias("sum"),
+                    F.when((i >= WINDOW - 1) & (total <= most), F.coalesce(state["first"], i - (WINDOW - 1))).otherwise(state["first"]).alias("first"),
+                    F.when((i >= WINDOW - 1) & (total <= most), i + 1).otherwise(state["last"]).alias("last"),
+                ),
+            )
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, slide, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+
+    return _with(F.split(value, ""), scan)
 
 
 def _entropy_spans(text: Column) -> Column:
