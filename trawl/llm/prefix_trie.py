@@ -50,6 +50,8 @@ from trawl.operators.sequence import number_rows
 
 PANEL = 32
 SHARD_ROWS = 100_000
+# Copies of an edge node that its children are joined to.
+SALTS = 64
 ID_BYTES = 16
 _HEAD = struct.Struct(">iqq")
 NO_ENDS = hashlib.sha256(b"").hexdigest()
@@ -327,7 +329,10 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, panel: int = PANEL) -> DataF
     # Most nodes know their parent: only the others are joined, so no null key gathers them in one task.
     first = (F.col("k") > 0) & (F.col("depth") == 1)
     known = every.where(~first & F.col("parent_key").isNull())
-    by_path = every.where(~first & F.col("parent_key").isNotNull()).join(over, "parent_key").withColumn("parent", F.col("edge_parent"))
+    # An edge node may have very many children (the root has all first turns), so they are dealt over SALTS tasks.
+    over = over.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    children = every.where(~first & F.col("parent_key").isNotNull()).withColumn("salt", F.pmod("conv_id", F.lit(SALTS)).cast("int"))
+    by_path = children.join(over, ["parent_key", "salt"]).withColumn("parent", F.col("edge_parent"))
     by_hash = every.where(first).join(prefix, ["k", "depth", "p1", "p2"]).withColumn("parent", F.col("panel_parent"))
     every = known.unionByName(by_path.select(columns)).unionByName(by_hash.select(columns))
     return every.select(
