@@ -95,20 +95,34 @@ def test_odd_rows(spark):
     assert ld.dedup_lines(docs.limit(0)).count() == 0 and ld.line_report(docs.limit(0)).count() == 0
 
 
-def test_keys_are_a_bijection_that_sorts_by_rarity(spark):
-    docs = documents(spark, ["b a", "a c", "a b d"])
-    lines = ld._lines(ld._documents(docs, "doc_id", "text"))
-    rows = ld._keyed(lines, ld._ranks(ld._documents(docs, "doc_id", "text"))).collect()
-    hashes = {r["line"]: r["h"] for r in spark.createDataFrame([(w,) for w in "abcd"], "line string").select("line", F.xxhash64("line").alias("h")).collect()}
-    low = (1 << (64 - ld.COUNTER_BITS)) - 1
-    name = {h & low: w for w, h in hashes.items()}
+def test_keys_sort_by_rarity(spark):
+    docs = documents(spark, ["b a", "a c", "a b d", "a"])
+    own = ld._documents(docs, "doc_id", "text")
+    rows = ld._keyed(ld._lines(own), ld._levels(own)).collect()
+    hashes = spark.createDataFrame([(w,) for w in "abcd"], "line string").select("line", F.xxhash64("line").alias("h"))
+    low = (1 << 58) - 1
+    name = {r["h"] & low: r["line"] for r in hashes.collect()}
     order = ["".join(name[k & low] for k in r["keys"]) for r in sorted(rows, key=lambda r: r["__id"])]
-    assert order[0] == "ba" and order[1] == "ca" and order[2][0] == "d" and order[2] == "dba"
+    assert order == ["ba", "ca", "dba", "a"]  # a is found four times, b twice, the others once
+    levels = {name[k & low]: (k >> 58) + 32 for r in rows for k in r["keys"]}
+    assert levels == {"a": 5, "b": 3, "c": 0, "d": 0}
+
+
+def test_words_found_once_have_no_postings_and_summaries_count_differences(spark):
+    own = ld._documents(documents(spark, ["a b c d e f g h", "a b c d e f g i", "j k l m n o p q"]), "doc_id", "text")
+    classes = ld._classes(ld._keyed(ld._lines(own), ld._levels(own)))
+    first = {r["__id"]: r for r in classes.collect()}
+    assert [r["cid"] for r in sorted(first.values(), key=lambda r: r["__id"])] == sorted(r["cid"] for r in first.values())
+    assert first[2]["prefix"] == [None, None] and first[0]["prefix"][0] is None and first[0]["prefix"][1] is not None
+    ids = {r["cid"]: i for i, r in first.items()}
+    assert {ids[r["cid"]] for r in ld._postings(classes).collect()} == {0, 1}
+    apart = sum(bin((first[0][p] ^ first[1][p]) & (2**64 - 1)).count("1") for p in ("p0", "p1"))
+    assert apart in (0, 2)  # h and i, unless both hashes point to one place
 
 
 def test_no_python_on_the_main_path(spark):
     docs = ld._documents(documents(spark, ["a b"]), "doc_id", "text")
-    keyed = ld._keyed(ld._lines(docs), spark.createDataFrame([([0] * (1 << ld.COUNTER_BITS),)], "ranks array<int>"))
-    for df in (ld._ranks(docs), ld._classes(keyed)):
+    keyed = ld._keyed(ld._lines(docs), spark.createDataFrame([([0] * (1 << ld.COUNTER_BITS),)], "levels array<tinyint>"))
+    for df in (ld._levels(docs), ld._classes(keyed)):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Arrow" not in text

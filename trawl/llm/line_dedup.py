@@ -7,10 +7,11 @@ of at least 4/5 with it; it goes too if that earlier line goes itself.
 
 Method (prefix filtering with positional and length filters):
 
-1. Words become 64-bit hashes, and their occurrences in the corpus are counted
-   in ``2 ** COUNTER_BITS`` counters chosen by the hash. The rank of its counter
-   replaces these bits of a hash, which is a bijection: sorting a line's keys
-   puts its rarest words first, in one order for the whole corpus.
+1. Words become hashes, and their occurrences in the corpus are counted in
+   ``2 ** COUNTER_BITS`` counters chosen by the hash. A counter is kept as one of
+   64 levels, half a power of two each, which becomes the first six bits of the
+   word's key: sorting a line's keys puts its rarest words first, in one order
+   for the whole corpus.
 2. Lines with equal key sets are one class, named by its first line (a
    pre-aggregated minimum); its other lines go.
 3. Two sets of ``n`` and ``m`` keys at 4/5 or more share ``l`` of the first
@@ -18,8 +19,10 @@ Method (prefix filtering with positional and length filters):
    lines use a larger ``l``, as they often share one rare word by chance.
    Classes of similar size meet on these prefix keys, and a meeting stays if their sizes (length
    filter), the positions of the shared key (positional filter) and the
-   differing bits of two 64-bit summaries (each needs a word that only one line
-   has) allow the similarity. Pairs that meet ``l`` times are candidates.
+   differing bits of their 128-bit parity summaries (each needs a word that only
+   one line has) allow the similarity. A word whose counter says 1 is in no other
+   line, so its key has a position and no posting. Pairs that meet ``l`` times
+   are candidates.
 4. Candidates are verified: the Jaccard similarity of the full sets.
 
 A group of many near copies shares its prefix keys, so all its pairs would meet.
@@ -33,8 +36,9 @@ The full sets are needed only for candidates: their lines are read again from
 the texts through a sieve of ``2 ** SIEVE_BITS`` bits, which lets all candidates
 and few others pass, before anything is shuffled.
 
-Hash width: two different words are taken for one only if their 64-bit hashes
-are equal, two different sets only if 128 bits are.
+Hash width: two different words of one level are taken for one key only if 58
+bits of their hashes are equal, two different sets for one class only if 128
+bits are; candidates are verified by 64-bit hashes.
 
 Defined results: blank lines, null and empty texts stay as they are; a document
 that loses its last line with words goes from ``dedup_lines``; null ids come
@@ -45,7 +49,6 @@ alike (neither is later); an empty table gives no rows; extra columns are kept.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,13 +56,15 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import materialize
 
-COUNTER_BITS = 17
+COUNTER_BITS = 20
+# The table of levels is put together from so many parts.
+TABLE_PARTS = 1024
 SIEVE_BITS = 22
 # Predecessors looked at under so many of a class's rarest keys.
 LOOK_KEYS = 3
 LOOK_BACK = 2
 # A line must share one prefix key more for each so many keys.
-KEYS_PER_MEETING = 20
+KEYS_PER_MEETING = 128
 
 _WORDS = "[\\x20\\x09-\\x0D]+"
 _WORDED = "[^\\x20\\x09-\\x0D]"
@@ -92,30 +97,30 @@ def _counter(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
 
 
-def _ranks(docs: DataFrame) -> DataFrame:
-    """One row ``ranks``: the rank of every counter by its count, rarest 0; of ``2 ** COUNTER_BITS`` entries."""
+def _levels(docs: DataFrame) -> DataFrame:
+    """One row ``levels``: a byte for every counter, 0 for a count of 1 at most, then two for each doubling, up to 63."""
     words = docs.select(F.explode(_words(F.col("__text"))).alias("w"))
     counted = words.groupBy(_counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n"))
+    level = F.when(F.col("n") > 1, F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63))).otherwise(0).cast("byte")
+    size = (1 << COUNTER_BITS) // TABLE_PARTS
     every = docs.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("c"))
-    one = every.join(counted, "c", "left").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "c"))).alias("by_count")
+    parts = every.join(counted.select("c", level.alias("v")), "c", "left").groupBy(F.floor(F.col("c") / size).alias("p")).agg(
+        F.array_sort(F.collect_list(F.struct("c", F.coalesce("v", F.lit(0).cast("byte")).alias("v"))))["v"].alias("v")
     )
-    by_counter = F.array_sort(F.transform("by_count", lambda x, i: F.struct(x["c"].alias("c"), i.cast("int").alias("rank"))))
-    return one.select(F.transform(by_counter, lambda x: x["rank"]).alias("ranks"))
+    one = parts.agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("x"))
+    return one.select(F.flatten("x.v").alias("levels"))
 
 
-def _keyed(lines: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Lines with ``keys``: sorted, rarest first; the rank takes the place of the counter's bits."""
-    low = 64 - COUNTER_BITS
-    half = 1 << (COUNTER_BITS - 1)  # keys are signed, so ranks are moved to be signed too
-    table = ranks.select("ranks").scalar()
+def _keyed(lines: DataFrame, levels: DataFrame) -> DataFrame:
+    """Lines with ``keys``: sorted, rarest first; a key is its word's level, then 58 bits of its hash."""
+    table = levels.select("levels").scalar()
 
     def key(h: Column) -> Column:
-        rank = F.coalesce(F.get(F.col("__ranks"), _counter(h)), F.lit(0)).cast("bigint") - half
-        return F.shiftleft(rank, low).bitwiseOR(h.bitwiseAND(F.lit((1 << low) - 1)))
+        level = F.get(F.col("__levels"), _counter(h)).cast("bigint") - 32  # keys are signed
+        return F.shiftleft(level, 58).bitwiseOR(h.bitwiseAND(F.lit((1 << 58) - 1)))
 
     keys = F.sort_array(F.transform(_hashes(F.col("line")), key))
-    return lines.withColumn("__ranks", table).select(*_PLACE, keys.alias("keys"))
+    return lines.withColumn("__levels", table).select(*_PLACE, keys.alias("keys"))
 
 
 def _shared(n: str) -> str:
@@ -128,39 +133,53 @@ def _prefix_size() -> Column:
     return F.expr(f"CAST(least(n, n - (4 * n + 4) div 5 + {_shared('n')}) AS INT)")
 
 
+def _parity(bit: int) -> Column:
+    """Parity, in 64 places, of the keys with the given bit 6."""
+    one = F.lit(1).cast("bigint")
+
+    def flip(p: Column, k: Column) -> Column:
+        mine = F.shiftright(k, 6).bitwiseAND(one).bitwiseXOR(F.lit(1 - bit).cast("bigint"))
+        return p.bitwiseXOR(F.call_function("shiftleft", mine, k.bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate("keys", F.lit(0).cast("bigint"), flip)
+
+
 def _classes(keyed: DataFrame) -> DataFrame:
-    """One row for each distinct set: its first line's place, size, short prefix keys and 64-bit summary.
+    """One row for each distinct set: its first line's place, size, short prefix keys and summary (``p0``, ``p1``).
 
-    Prefix keys are cut to 32 bits here, which can only add candidates.
+    Prefix keys are cut to 32 bits here, which can only add candidates; words
+    found once in the corpus are nulls. ``cid`` is in the order of the places.
     """
-    summary = F.aggregate(
-        "keys", F.lit(0).cast("bigint"),
-        lambda s, k: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))),
-    )
+    once = F.lit(-31).cast("bigint") * (1 << 58)  # keys of level 0 are below
     sets = keyed.withColumn("n", F.size("keys")).select(
         F.xxhash64("keys").alias("s1"),
         F.xxhash64(F.lit(1), F.col("keys")).alias("s2"),
         F.struct("__id", "line_no", "__key").alias("place"),
         "n",
-        F.transform(F.slice("keys", 1, _prefix_size()), lambda k: F.hash(k)).alias("prefix"),
-        summary.alias("summary"),
-    )
-    first = sets.groupBy("s1", "s2").agg(
-        F.min("place").alias("place"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
-        F.any_value("summary").alias("summary"),
+        F.transform(F.slice("keys", 1, _prefix_size()), lambda k: F.when(k >= once, F.hash(k))).alias("prefix"),
+        _parity(0).alias("p0"),
+        _parity(1).alias("p1"),
     )
-    return first.select(F.monotonically_increasing_id().alias("cid"), "place.*", "n", "prefix", "summary")
+    same = [F.any_value(c).alias(c) for c in ("n", "prefix", "p0", "p1")]
+    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("place"), *same).select("place.*", "n", "prefix", "p0", "p1")
+    # places are tied only under repeated ids
+    ordered = first.orderBy("__id", "line_no", "p0", "p1")
+    return ordered.select(F.monotonically_increasing_id().alias("cid"), "*")
 
 
 def _postings(classes: DataFrame, keys: int | None = None, more: Sequence[str] = ()) -> DataFrame:
     """Prefix keys of the classes that can have a partner: of different sets, one of 4 and one of 5 keys are the first."""
     classes = classes.where(F.abs("n") >= 4)
-    prefix = F.slice("prefix", 1, keys) if keys else F.col("prefix")
-    return classes.select(F.posexplode(prefix).alias("pos", "key"), "cid", "n", "summary", "__id", "line_no", *more)
+    entries = F.filter(
+        F.transform("prefix", lambda k, i: F.struct(i.alias("pos"), k.alias("key"))), lambda e: e["key"].isNotNull()
+    )
+    if keys:
+        entries = F.slice(entries, 1, keys)
+    return classes.select(F.inline(entries), "cid", "n", "p0", "p1", *more)
 
 
-def _order(at: str = "") -> list[Column]:
-    return [F.col(f"{at}{c}") for c in ("__id", "line_no", "summary", "cid")]
+def _apart(a: str, b: str) -> str:
+    return f"(bit_count({a}p0 ^ {b}p0) + bit_count({a}p1 ^ {b}p1))"
 
 
 def _possible(a: str, b: str) -> Column:
@@ -174,18 +193,18 @@ def _possible(a: str, b: str) -> Column:
     need = f"((4 * ({n} + {m}) + 8) div 9)"
     # different sets of one size share all but one key at most
     differ = f"({n} <> {m} OR {need} < {n})"
-    return F.expr(f"{size} AND {differ} AND {place} AND bit_count({a}summary ^ {b}summary) <= {n} + {m} - 2 * {need}")
+    return F.expr(f"{size} AND {_apart(a, b)} <= {n} + {m} - 2 * {need} AND {differ} AND {place}")
 
 
 def _near_predecessors(classes: DataFrame) -> DataFrame:
     """Candidate pairs ``(a, b)``: for each class ``b`` the closest of the last few before it under its rarest keys."""
     posting = _postings(classes, LOOK_KEYS)
-    order = Window.partitionBy("key").orderBy(*_order())
-    mine = F.struct("cid", "n", "pos", "summary")
-    before = posting.withColumn("before", F.array(*[F.lag(mine, i).over(order) for i in range(1, LOOK_BACK + 1)]))
-    looked = before.select("cid", "n", "pos", "summary", F.explode("before").alias("p")).where("p.cid <> cid")
-    flat = looked.select("cid", "n", "pos", "summary", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("cid", "n", "pos", "summary")])
-    apart = F.expr("bit_count(summary ^ p_summary)")
+    order = Window.partitionBy("key").orderBy("cid")
+    fields = ("cid", "n", "pos", "p0", "p1")
+    before = posting.withColumn("before", F.array(*[F.lag(F.struct(*fields), i).over(order) for i in range(1, LOOK_BACK + 1)]))
+    looked = before.select(*fields, F.explode("before").alias("p")).where("p.cid <> cid")
+    flat = looked.select(*fields, *[F.col(f"p.{c}").alias(f"p_{c}") for c in fields])
+    apart = F.expr(_apart("", "p_"))
     return flat.where(_possible("", "p_")).groupBy(F.col("cid").alias("b")).agg(F.min_by("p_cid", apart).alias("a"))
 
 
@@ -198,7 +217,7 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     other. A settled class has a negative ``n``, so that both sides of the join
     read one shuffle of postings.
     """
-    marked = classes.select("cid", "n", "prefix", "summary", "__id", "line_no").join(
+    marked = classes.select("cid", "n", "prefix", "p0", "p1").join(
         settled.select(F.col("b").alias("cid"), F.lit(-1).alias("sign")), "cid", "left"
     )
     bits = F.length(F.bin("n"))
@@ -208,7 +227,7 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     banded = marked.select("*", F.inline(places)).withColumn("n", F.col("n") * F.coalesce("sign", F.lit(1)))
     posting = _postings(banded, more=["band", "visitor"])
     a, b = posting.alias("a"), posting.alias("b")
-    earlier = F.struct(*_order("a.")) < F.struct(*_order("b."))
+    earlier = F.col("a.cid") < F.col("b.cid")
     # b.n > 0, put so that it isn't filtered before the shuffle, which both sides share
     unsettled = F.greatest("b.n", -F.abs("a.n")) > 0
     same = (F.col("a.key") == F.col("b.key")) & (F.col("a.band") == F.col("b.band"))
@@ -255,28 +274,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFra
     return sized.where(_ENOUGH.format(o="o", n="n", m="m")).select("b").distinct()
 
 
-def _free_shuffles(df: DataFrame) -> DataFrame:
-    """Let Spark drop the shuffle files of steps whose result is written.
-
-    It does so when the driver's garbage is collected, by default every half
-    hour, which is long for steps of this size.
-    """
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df
-
-
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(__id, __key, kept)``: for every document with words left, the numbers of the lines with words that stay."""
     own = _documents(docs, id_col, text)
     lines = _lines(own)
-    ranks = materialize(_ranks(own), "ranks")
-    classes = _free_shuffles(materialize(_classes(_keyed(lines, ranks)), "classes"))
+    levels = materialize(_levels(own), "levels")
+    classes = materialize(_classes(_keyed(lines, levels)), "classes")
     near = materialize(_near_predecessors(classes), "near-pairs")
-    settled = _free_shuffles(materialize(_verified(near, classes, lines), "settled"))
-    pairs = _free_shuffles(materialize(_joined_pairs(classes, settled), "pairs"))
+    settled = materialize(_verified(near, classes, lines), "settled")
+    pairs = materialize(_joined_pairs(classes, settled), "pairs")
     matched = _verified(pairs, classes, lines)
-    gone = _free_shuffles(materialize(settled.union(matched).distinct(), "gone"))
+    gone = materialize(settled.union(matched).distinct(), "gone")
     left = classes.join(gone, classes["cid"] == gone["b"], "left_anti")
     return left.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
