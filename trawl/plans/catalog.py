@@ -434,7 +434,8 @@ from trawl.operators import reports as rp  # noqa: E402
 from trawl.session import scratch_path  # noqa: E402
 from trawl.sources import index_store as st  # noqa: E402
 from trawl.sources import run_store as rs  # noqa: E402
-from trawl.sources.pages import fetch_outcomes  # noqa: E402
+from trawl.sources.pages import fetch_outcomes, split_fetches  # noqa: E402
+from trawl.sources import warc_files as wf
 from trawl.streaming import index_stream as xs  # noqa: E402
 
 
@@ -444,6 +445,16 @@ def page_source_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch_outcomes(fx.fetched_pages(spark, sf_dir))
 
 
+@query
+def warc_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 from crawl output: fetch results written as WARC response records, read back from the files and split."""
+    path = scratch_path(spark, "warc")
+    wf.write_fetches(fx.fetched_pages(spark, sf_dir), path)
+    pages, errors = split_fetches(wf.read_fetches(spark, path))
+    digest = pages.select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"), F.lit(None).cast("string").alias("error"))
+    return digest.unionByName(errors.select("url", F.lit(None).cast("string").alias("html_md5"), "error"))
+
+
 @query
 def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3+S4: the ``pages`` index written as bucketed Parquet and read back."""

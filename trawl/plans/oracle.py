@@ -608,6 +608,12 @@ SELECT url, page_id % 10 <> 0 AS ok,
 FROM pages
 """)
 
+register("warc_fetches", """
+SELECT url, CASE WHEN page_id % 10 <> 0 THEN md5(coalesce(html, '')) END AS html_md5,
+       CASE WHEN page_id % 10 = 0 THEN 'unexpected status code: 404' END AS error
+FROM pages
+""")
+
 register("index_roundtrip", with_(corpus("page", PAGE_SRC)) + """
 SELECT term, url, cnt, word_count, round(tf, 6) AS tf FROM page_post
 """)

@@ -14,9 +14,9 @@ def split_fetches(fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``fetched(url, status, html[, error])`` -> ``(pages(url, html), errors(url, error))``."""
     has_error = "error" in fetched.columns
     err = F.col("error") if has_error else F.lit(None).cast("string")
-    ok = (F.col("status") == 200) & err.isNull()
+    ok = F.coalesce(F.col("status") == 200, F.lit(False)) & err.isNull()
     pages = fetched.where(ok).select("url", "html")
-    message = F.coalesce(err, F.concat(F.lit("unexpected status code: "), F.col("status").cast("string")))
+    message = F.coalesce(err, F.concat(F.lit("unexpected status code: "), F.coalesce(F.col("status").cast("string"), F.lit("none"))))
     errors = fetched.where(~ok).select("url", message.alias("error"))
     return pages, errors
 
