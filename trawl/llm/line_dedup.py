@@ -61,8 +61,8 @@ COUNTER_BITS = 20
 TABLE_PARTS = 1024
 SIEVE_BITS = 22
 # Predecessors looked at under so many of a class's rarest keys.
-LOOK_KEYS = 3
-LOOK_BACK = 2
+LOOK_KEYS = 6
+LOOK_BACK = 4
 # A line must share one prefix key more for each so many keys.
 KEYS_PER_MEETING = 128
 
