@@ -7,6 +7,7 @@ only, so the results compare exactly with the DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -437,6 +438,7 @@ from trawl.sources import run_store as rs  # noqa: E402
 from trawl.sources.pages import fetch_outcomes, split_fetches  # noqa: E402
 from trawl.sources import warc_files as wf
 from trawl.streaming import index_stream as xs  # noqa: E402
+from trawl.streaming.stall_stream import stall_stream  # noqa: E402
 
 
 @query
@@ -568,6 +570,9 @@ def stall_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The arriving files are taken in so many micro-batches.
 MICRO_BATCHES = 4
+# How long a live crawl's tick stays open for fetches out of order, and how often its fetches arrive.
+STALL_DELAY_SECONDS = 30
+STALL_ARRIVALS = 2
 
 
 def _landing_files(spark: SparkSession) -> int:
@@ -639,6 +644,31 @@ def streaming_progress_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.unix_seconds("window.start").alias("window_start"), near.alias("within_bound"))
 
 
+@query
+def streaming_stall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 live: ticks closed by timers while fetches arrive in order of time, the query restarted for each arrival."""
+    base = scratch_path(spark, "stream-stall")
+    log = fx.fetch_log(spark, sf_dir).select("url", "ts")
+    start, end = log.agg(F.min("ts"), F.max("ts")).first()
+    schema = log.schema
+    cuts = [start + (end - start) * i / STALL_ARRIVALS for i in range(STALL_ARRIVALS)]
+    # After the last fetch's tick is over, a heartbeat says that nothing more came.
+    tick = timedelta(seconds=rp.TICK_SECONDS)
+    over = start + tick * ((end - start) // tick + 1) + timedelta(seconds=STALL_DELAY_SECONDS + 1)
+    heartbeat = spark.createDataFrame([(None, over)], schema)
+    for i, cut in enumerate(cuts):
+        came = log.where(F.col("ts") >= F.lit(cut))
+        if i + 1 < len(cuts):
+            came = came.where(F.col("ts") < F.lit(cuts[i + 1]))
+        else:
+            came = came.unionByName(heartbeat)
+        came.write.mode("append").parquet(f"{base}/landing")
+        stream = xs.file_stream(spark, f"{base}/landing", schema, files_per_trigger=None)
+        ticks = stall_stream(stream, start, rp.TICK_SECONDS, f"{STALL_DELAY_SECONDS} seconds")
+        xs.write_stream(ticks, f"{base}/out", f"{base}/checkpoint", state=xs.ROCKSDB).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the display functions registered as SQL functions and used from ``spark.sql``."""

@@ -704,7 +704,7 @@ LEFT JOIN (SELECT url, count(*) AS n FROM doc_post GROUP BY url) np ON np.url =
 GROUP BY 1, 2
 """)
 
-register("stall_ticks", with_(FETCH_LOG) + """
+STALL_SQL = with_(FETCH_LOG) + """
 , st AS (SELECT epoch_us(min(ts)) AS s FROM fl),
 fs AS (SELECT url, epoch_us(min(ts)) AS f FROM fl GROUP BY url),
 nw AS (SELECT (f - (SELECT s FROM st)) // 30000000 + 1 AS tick, count(*) AS new FROM fs GROUP BY 1),
@@ -717,7 +717,13 @@ f2 AS (SELECT *, visited > 0 AND new = 0 AS stalled FROM v)
 SELECT CAST(tick AS BIGINT) AS tick, CAST(new AS BIGINT) AS new, CAST(visited AS BIGINT) AS visited, stalled,
        coalesce(tick = (SELECT min(tick) FROM f2 WHERE stalled), false) AS first_stall
 FROM f2
-""")
+"""
+
+register("stall_ticks", STALL_SQL)
+
+# Live, ticks go on to that of the last fetch, whether it brings a new URL or not.
+LAST_NEW, LAST_FETCH = "(SELECT max(tick) FROM nw)", "(SELECT (epoch_us(max(ts)) - (SELECT s FROM st)) // 30000000 + 1 FROM fl)"
+register("streaming_stall", STALL_SQL.replace(LAST_NEW, LAST_FETCH))
 
 
 # --- streaming (drained streams equal these batch statements) --------------------

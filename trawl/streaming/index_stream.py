@@ -31,9 +31,10 @@ def land_files(df: DataFrame, path: str, files: int) -> str:
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
-    """A streaming read of the Parquet files landing in ``path``."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = 1) -> DataFrame:
+    """A streaming read of the Parquet files landing in ``path`` (``None``: all that are there make one micro-batch)."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
 def _trigger(writer, available_now: bool, interval: str):
