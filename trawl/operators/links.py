@@ -117,26 +117,28 @@ def crawl_reachable(pages: DataFrame, links: DataFrame, seed: str) -> DataFrame:
     edge_table, _ = _bucketed(edges, "src", n_buckets, "crawl_edges")
     seed_url = spark.range(1).select(resolve_link(seed_col, seed_col).alias("url"), F.lit(0).alias("depth"))
     visited_table, visited_path = _bucketed(seed_url, "url", n_buckets, "crawl_visited", partition="depth")
-    depth = 0
-    while True:  # until no new URL: as many rounds as the site is deep
-        depth += 1
-        visited = spark.table(visited_table)
-        frontier = visited.where(F.col("depth") == depth - 1).select("url")
-        edges_b = spark.table(edge_table)
-        step = (
-            frontier.join(edges_b, frontier["url"] == edges_b["src"])
-            .select(F.col("dst").alias("url"))
-            .distinct()
-            .join(visited.select("url"), "url", "left_anti")  # J4 / O2
-            .select("url", F.lit(depth).alias("depth"))
-        )
-        _append_bucketed(step, "url", n_buckets, visited_table, partition="depth")  # O1
-        if spark.table(visited_table).where(F.col("depth") == depth).isEmpty():  # fixpoint (D5)
-            break
-    # The files stay under the scratch folder, whose owner clears it; the catalogue keeps nothing.
+    try:
+        depth = 0
+        while True:  # until no new URL: as many rounds as the site is deep
+            depth += 1
+            visited = spark.table(visited_table)
+            frontier = visited.where(F.col("depth") == depth - 1).select("url")
+            edges_b = spark.table(edge_table)
+            step = (
+                frontier.join(edges_b, frontier["url"] == edges_b["src"])
+                .select(F.col("dst").alias("url"))
+                .distinct()
+                .join(visited.select("url"), "url", "left_anti")  # J4 / O2
+                .select("url", F.lit(depth).alias("depth"))
+            )
+            _append_bucketed(step, "url", n_buckets, visited_table, partition="depth")  # O1
+            if spark.table(visited_table).where(F.col("depth") == depth).isEmpty():  # fixpoint (D5)
+                break
+    finally:
+        # The files stay under the scratch folder, whose owner clears it; the catalogue keeps nothing, also after a failure.
+        for table in (edge_table, visited_table):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
     visited = spark.read.parquet(visited_path)
-    for table in (edge_table, visited_table):
-        spark.sql(f"DROP TABLE {table}")
     return visited.join(page_keys.select("url", F.lit(True).alias("fetched")), "url", "left").select(
         "url", F.col("depth").cast("int"), F.coalesce("fetched", F.lit(False)).alias("fetched")
     )
@@ -156,6 +158,13 @@ def _append_bucketed(df: DataFrame, key: str, buckets: int, table: str, partitio
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
 
 
+def readable_pages(fetched: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(url, html)`` of the fetch results answered 200 and allowed by their host's rules."""
+    pages, _ = split_fetches(fetched)
+    allowed = robots_filter(pages.select("url").distinct(), rules).where("allowed").select("url")
+    return pages.join(allowed, "url", "left_semi")
+
+
 def crawl_index(
     fetched: DataFrame, links: DataFrame, seed: str, rules: DataFrame, *, stop_words: Sequence[str] | None = None
 ) -> tuple[DataFrame, Index]:
@@ -166,9 +175,7 @@ def crawl_index(
     allowed by their host's rules are read: links of any other URL are never
     followed, and only pages that the crawl reaches are indexed.
     """
-    pages, _ = split_fetches(fetched)
-    allowed = robots_filter(pages.select("url").distinct(), rules).where("allowed").select("url")
-    readable = pages.join(allowed, "url", "left_semi")
+    readable = readable_pages(fetched, rules)
     visited = crawl_reachable(readable.select("url"), links, seed)
     reached = visited.where("fetched").select(F.col("url").alias("r_url"))
     kept = readable.join(reached, resolve_link(F.col("url"), F.col("url")) == F.col("r_url"), "left_semi")

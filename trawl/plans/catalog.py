@@ -394,9 +394,14 @@ def robots_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def crawl_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2+R3+O1-O3+A2: pages answered 200, allowed by robots rules and reached from the seed, indexed."""
-    _, links, seed = fx.site_links(spark, sf_dir)
+    _, links, _ = fx.site_links(spark, sf_dir)
     rules = rb.parse_robots(rb.fresh_files(fx.robots_files(spark, sf_dir), _as_of()))
-    visited, index = lk.crawl_index(fx.fetched_pages(spark, sf_dir), links, seed, rules)
+    fetched = fx.fetched_pages(spark, sf_dir)
+    # A seed that may be read: the first such page of the host that has most of them.
+    readable = lk.readable_pages(fetched, rules).select("url").join(web_pages(spark, sf_dir).select("url", "page_id"), "url")
+    sites = readable.groupBy(fx.host_of(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.min_by("url", "page_id").alias("first"))
+    seed = sites.orderBy(F.desc("n"), "host").select("first").first()
+    visited, index = lk.crawl_index(fetched, links, seed["first"] if seed else "", rules)
     sizes = _with_postings(index).select(F.col("url").alias("d_url"), "word_count", "n_postings")
     joined = visited.join(sizes, F.col("url") == ur.resolve_link(F.col("d_url"), F.col("d_url")), "left")
     return joined.select("url", "depth", "fetched", "word_count", "n_postings")

@@ -800,7 +800,7 @@ readable AS (
   HAVING bool_or(k.unparsable) OR coalesce(bool_or(r.kind = 'allow'), false) OR NOT coalesce(bool_or(r.kind = 'disallow'), false)),
 {CRAWL_LINKS},
 keys AS (SELECT DISTINCT {resolve_sql('url', 'url')} AS url FROM readable),
-{CRAWL_REACH}
+{CRAWL_REACH.replace("FROM pg GROUP BY", "FROM pg WHERE url IN (SELECT url FROM readable) GROUP BY")}
 SELECT r.url, CAST(min(r.depth) AS INTEGER) AS depth, r.url IN (SELECT url FROM keys) AS fetched,
        any_value(d.word_count) AS word_count, any_value(d.n) AS n_postings
 FROM reach r LEFT JOIN (
