@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from sf_dirs import rows  # noqa: E402, F401
 from trawl.session import local_session  # noqa: E402
 
 
@@ -14,10 +15,3 @@ def spark():
     s = local_session("*", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (optionally only some columns), sorted."""
-    if cols:
-        df = df.select(*cols)
-    return sorted(tuple(r) for r in df.collect())
