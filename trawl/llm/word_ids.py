@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Entries kept in a worker's word cache; beyond that the cache begins anew.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 # Words longer than this are encoded each time.
 CACHED_LENGTH = 64
 SLICE_BYTES = 8 << 20
