@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import SF, documents, odd_documents, table
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trawl.llm import dac
+from trawl.llm import dac, word_ids
 from trawl.llm.queries import QUERIES
 from trawl.session import scratch_path
 
@@ -34,6 +35,18 @@ def test_query_against_the_whole_tokenizer(spark):
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows) == want
 
 
+def test_words_beyond_the_default_cache_are_encoded_once(monkeypatch):
+    known = word_ids.WordIds(PATH, dac.CACHED_WORDS)
+    n = word_ids.CACHED_WORDS + 20_000
+    encoded, word = [], known._word
+    monkeypatch.setattr(known, "_word", lambda w: encoded.append(w) or word(w))
+    texts = pa.array([" ".join(f"{i:x}" for i in range(n))])
+    first, again = known.encode(texts)[0], known.encode(texts)[0]
+    assert len(encoded) == n and np.array_equal(first, again)
+    small = word_ids.WordIds(PATH, 10)  # a cache that begins anew gives the same ids
+    assert np.array_equal(small.encode(texts.cast(pa.string()))[0], first) and len(small.words) <= 10
+
+
 @pytest.mark.parametrize("top", [1, 200, 255, 256, 70_000, 2**24, 2**32 - 1])
 def test_round_trip_and_random_access(top):
     rng = np.random.default_rng(top)

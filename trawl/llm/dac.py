@@ -45,6 +45,8 @@ from trawl.llm.word_ids import SLICE_BYTES, default_tokenizer, slices, word_ids
 
 END_ID = 1
 SEGMENT_TOKENS = 8_000_000
+# Entries of a worker's word cache: a task's texts hold more distinct words than the default, and would encode most anew.
+CACHED_WORDS = 500_000
 RANK_BITS = 512
 MAGIC = b"DAC1"
 _HEADER = struct.Struct("<4sHHQQQQQ")
@@ -201,7 +203,7 @@ def write_ids(
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, shard, number = word_ids(vocabulary), TaskContext.get().partitionId(), 0
+        known, shard, number = word_ids(vocabulary, CACHED_WORDS), TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         names: list[int | None] = []

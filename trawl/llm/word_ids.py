@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Entries kept in a worker's word cache; beyond that the cache begins anew.
+# Entries kept in a worker's word cache unless the caller has memory for more; beyond that the cache begins anew.
 CACHED_WORDS = 100_000
 # Words longer than this are encoded each time.
 CACHED_LENGTH = 64
@@ -71,7 +71,7 @@ def _packed(ids: list[int]) -> bytes:
 class WordIds:
     """Ids by a ``tokenizers`` file without special tokens; words through a cache where the file allows it."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -86,6 +86,7 @@ class WordIds:
             and not steps[1].get("add_prefix_space")
             and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
         )
+        self.cached_words = cached_words
         self.model = self.tokenizer.model
         self.byte_chars = byte_characters()
         self.parts: dict[str, bytes] = {}
@@ -95,7 +96,7 @@ class WordIds:
         plain = part.isascii() and part.isprintable()
         shown = part if plain else part.encode().decode("latin-1").translate(self.byte_chars)
         out = _packed([t.id for t in self.model.tokenize(shown)])
-        if len(self.parts) >= CACHED_WORDS:
+        if len(self.parts) >= self.cached_words:
             self.parts.clear()
         if len(part) <= CACHED_LENGTH:
             self.parts[part] = out
@@ -107,7 +108,7 @@ class WordIds:
             out = b"".join([known(p) or new(p) for p in _SPLIT.findall(word.lower())])
         else:
             out = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self.words) >= CACHED_WORDS:
+        if len(self.words) >= self.cached_words:
             self.words.clear()
         if len(word) <= CACHED_LENGTH:
             self.words[word] = out
@@ -145,9 +146,9 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    """The one instance of a worker for ``path``."""
-    return WordIds(path)
+def word_ids(path: str, cached_words: int = CACHED_WORDS) -> WordIds:
+    """The one instance of a worker for ``path`` and a cache of that size."""
+    return WordIds(path, cached_words)
 
 
 def default_tokenizer() -> str:
