@@ -126,3 +126,37 @@ def test_no_python_on_the_main_path(spark):
     for df in (ld._levels(docs), ld._classes(keyed)):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Arrow" not in text
+
+
+def test_keys_are_never_null(spark):
+    """So they are sorted as plain longs, without a comparator."""
+    docs = ld._documents(documents(spark, ["a b\tc", None]), "doc_id", "text")
+    assert not ld._keyed(ld._lines(docs), ld._levels(docs)).schema["keys"].dataType.containsNull
+
+
+def test_every_separator_and_case(spark):
+    texts = ["A B\tC\x0bD\x0cE\r", "\r\t a  b c d e\x0c", "\x0b\t \r", " e d c b a\n\tE\nΟΔΟΣ a b c", "οδος a b c", "a\u00a0b\x85c", "A\u00a0B\x85C"]
+    assert report(spark, texts) == [[], [0], [], [0], [0], [], [0]]
+
+
+def test_a_near_copy_behind_several_lines_under_every_key_is_looked_at(spark):
+    a = [f"a{i}" for i in range(20)]
+    between = [" ".join([*(a[:10] if i % 2 else a[10:]), *(f"f{i}x{j}" for j in range(10))]) for i in range(10)]
+    texts = [" ".join(a), *between, " ".join([*a[:19], "b"])]
+    own = ld._documents(documents(spark, texts), "doc_id", "text")
+    classes = ld._classes(ld._keyed(ld._lines(own), ld._levels(own))).cache()
+    doc = {r["cid"]: r["__id"] for r in classes.collect()}
+    assert [(doc[r["a"]], doc[r["b"]]) for r in ld._near_predecessors(classes).collect()] == [(0, 11)]
+    assert report(spark, texts) == brute(texts)
+
+
+def test_both_sides_of_the_join_read_one_shuffle(spark):
+    own = ld._documents(documents(spark, ["a b c d e f g h i j", "a b c d e f g h i k", "x"]), "doc_id", "text")
+    classes = ld.materialize(ld._classes(ld._keyed(ld._lines(own), ld._levels(own))), "classes")
+    settled = spark.createDataFrame([], "b bigint")
+    pairs = ld._joined_pairs(classes, settled)
+    assert pairs.count() == 1
+    entry = ld._joined_pairs(classes, settled)
+    entry.collect()
+    plan = entry._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "[meet#" in plan

@@ -62,13 +62,13 @@ TABLE_PARTS = 1024
 SIEVE_BITS = 22
 # Predecessors looked at under so many of a class's rarest keys.
 LOOK_KEYS = 6
-LOOK_BACK = 4
+LOOK_BACK = 8
 # A line must share one prefix key more for each so many keys.
 KEYS_PER_MEETING = 128
 
-_WORDS = "[\\x20\\x09-\\x0D]+"
 _WORDED = "[^\\x20\\x09-\\x0D]"
-_SPACES = " \t\n\x0b\x0c\r"
+# Word separators other than space; LF cuts lines before.
+_SEPARATORS = "[\\x09\\x0B-\\x0D]"
 _PLACE = ["__id", "__key", "line_no"]
 # J >= 4/5 of sets of n and m keys that share o: o / (n + m - o) >= 4/5.
 _ENOUGH = "9 * {o} >= 4 * ({n} + {m})"
@@ -80,13 +80,18 @@ def _documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(place, line)`` of every line that has words."""
-    at = docs.select("__id", "__key", F.posexplode(F.split("__text", "\n", -1)).alias("line_no", "line"))
+    """``(place, line)`` of every line that has words: lower-cased, words set apart by spaces."""
+    at = docs.select("__id", "__key", F.posexplode(F.split(_spaced("__text"), "\n", -1)).alias("line_no", "line"))
     return at.where(F.col("line").rlike(_WORDED))
 
 
+def _spaced(text: str) -> Column:
+    """Lower case, with a space for every separator but LF: a split at one character needs no regular expression."""
+    return F.regexp_replace(F.lower(text), _SEPARATORS, " ")
+
+
 def _words(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(_SPACES)), _WORDS)
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _hashes(line: Column) -> Column:
@@ -99,7 +104,8 @@ def _counter(h: Column) -> Column:
 
 def _levels(docs: DataFrame) -> DataFrame:
     """One row ``levels``: a byte for every counter, 0 for a count of 1 at most, then two for each doubling, up to 63."""
-    words = docs.select(F.explode(_words(F.col("__text"))).alias("w"))
+    each = F.split(F.replace(_spaced("__text"), F.lit("\n"), F.lit(" ")), " ")
+    words = docs.select(F.explode(each).alias("w")).where("w <> ''")
     counted = words.groupBy(_counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n"))
     level = F.when(F.col("n") > 1, F.least(F.floor(2 * F.log2("n")) + 1, F.lit(63))).otherwise(0).cast("byte")
     size = (1 << COUNTER_BITS) // TABLE_PARTS
@@ -116,7 +122,8 @@ def _keyed(lines: DataFrame, levels: DataFrame) -> DataFrame:
     table = levels.select("levels").scalar()
 
     def key(h: Column) -> Column:
-        level = F.get(F.col("__levels"), _counter(h)).cast("bigint") - 32  # keys are signed
+        # never null, so that the keys are sorted as plain longs
+        level = F.coalesce(F.get(F.col("__levels"), _counter(h)), F.lit(0).cast("byte")).cast("bigint") - 32  # keys are signed
         return F.shiftleft(level, 58).bitwiseOR(h.bitwiseAND(F.lit((1 << 58) - 1)))
 
     keys = F.sort_array(F.transform(_hashes(F.col("line")), key))
@@ -169,7 +176,7 @@ def _classes(keyed: DataFrame) -> DataFrame:
 
 def _postings(classes: DataFrame, keys: int | None = None, more: Sequence[str] = ()) -> DataFrame:
     """Prefix keys of the classes that can have a partner: of different sets, one of 4 and one of 5 keys are the first."""
-    classes = classes.where(F.abs("n") >= 4)
+    classes = classes.where("n >= 4")
     entries = F.filter(
         F.transform("prefix", lambda k, i: F.struct(i.alias("pos"), k.alias("key"))), lambda e: e["key"].isNotNull()
     )
@@ -183,8 +190,8 @@ def _apart(a: str, b: str) -> str:
 
 
 def _possible(a: str, b: str) -> Column:
-    """The filters on a pair that shares a prefix key, from both postings (``n`` may have a sign)."""
-    n, m = f"abs({a}n)", f"abs({b}n)"
+    """The filters on a pair that shares a prefix key, from both postings; what most pairs fail comes first."""
+    n, m = f"{a}n", f"{b}n"
     size = f"5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
     # up to l - 1 shared keys come before the l-th; those still to come bound the rest of the overlap
     earlier = f"least({_shared(n)}, {_shared(m)}) - 1"
@@ -193,7 +200,7 @@ def _possible(a: str, b: str) -> Column:
     need = f"((4 * ({n} + {m}) + 8) div 9)"
     # different sets of one size share all but one key at most
     differ = f"({n} <> {m} OR {need} < {n})"
-    return F.expr(f"{size} AND {_apart(a, b)} <= {n} + {m} - 2 * {need} AND {differ} AND {place}")
+    return F.expr(f"{_apart(a, b)} <= {n} + {m} - 2 * {need} AND {size} AND {differ} AND {place}")
 
 
 def _near_predecessors(classes: DataFrame) -> DataFrame:
@@ -214,26 +221,38 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     Classes meet within bands of sizes (by the bits of ``n``), so that a long
     line's prefix doesn't meet short ones; a class that may have a partner in
     the next band is there too, as a visitor, and visitors don't meet each
-    other. A settled class has a negative ``n``, so that both sides of the join
-    read one shuffle of postings.
+    other. Both sides of the join read one shuffle of postings, each a row of
+    five longs: ``meet`` is the key and its band, ``who`` the class with two
+    flags (visitor, settled) and ``size`` its ``n`` and the key's position.
     """
     marked = classes.select("cid", "n", "prefix", "p0", "p1").join(
-        settled.select(F.col("b").alias("cid"), F.lit(-1).alias("sign")), "cid", "left"
+        settled.select(F.col("b").alias("cid"), F.lit(1).cast("bigint").alias("settled")), "cid", "left"
     )
+    n = F.col("n").cast("bigint")
     bits = F.length(F.bin("n"))
-    home, visit = F.struct(bits.alias("band"), F.lit(False).alias("visitor")), F.struct((bits + 1).alias("band"), F.lit(True).alias("visitor"))
-    near_next = 5 * F.col("n").cast("bigint") >= 4 * F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    who = 4 * F.col("cid") + F.coalesce("settled", F.lit(0).cast("bigint"))
+    home, visit = F.struct(bits.alias("band"), who.alias("who")), F.struct((bits + 1).alias("band"), (who + 2).alias("who"))
+    near_next = 5 * n >= 4 * F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
     places = F.when(near_next, F.array(home, visit)).otherwise(F.array(home))
-    banded = marked.select("*", F.inline(places)).withColumn("n", F.col("n") * F.coalesce("sign", F.lit(1)))
-    posting = _postings(banded, more=["band", "visitor"])
-    a, b = posting.alias("a"), posting.alias("b")
-    earlier = F.col("a.cid") < F.col("b.cid")
-    # b.n > 0, put so that it isn't filtered before the shuffle, which both sides share
-    unsettled = F.greatest("b.n", -F.abs("a.n")) > 0
-    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.band") == F.col("b.band"))
-    met = a.join(b, same & ~(F.col("a.visitor") & F.col("b.visitor")) & unsettled & earlier & _possible("a.", "b."))
-    times = F.expr(f"least({_shared('abs(a.n)')}, {_shared('abs(b.n)')})").alias("l")
-    pairs = met.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"), times)
+    entries = _postings(marked.withColumn("places", places), more=["places"]).select("key", "pos", "n", "p0", "p1", F.inline("places"))
+    posting = entries.select(
+        (F.shiftleft(F.col("key").cast("bigint"), 6) + F.col("band")).alias("meet"),
+        "who",
+        (F.shiftleft(n, 32) + F.col("pos")).alias("size"),
+        "p0",
+        "p1",
+    )
+
+    def side(name: str) -> DataFrame:
+        return posting.select("meet", *[F.col(c).alias(f"{name}_{c}") for c in ("who", "size", "p0", "p1")])
+
+    # a class meets itself where two of its keys are cut to one: cids are compared, not flags; that b is unsettled and
+    # not both are visitors is one condition on both, as one on b alone would be filtered before the shuffle they share
+    order = "(a_who >> 2) < (b_who >> 2) AND (b_who & ((a_who & 2) | 1)) = 0"
+    parts = {f"{x}_{c}": e for x in "ab" for c, e in (("n", f"({x}_size >> 32)"), ("pos", f"({x}_size & 4294967295)"))}
+    met = side("a").join(side("b"), "meet").where(order).withColumns({c: F.expr(e) for c, e in parts.items()}).where(_possible("a_", "b_"))
+    times = F.expr(f"least({_shared('a_n')}, {_shared('b_n')})").alias("l")
+    pairs = met.select(F.expr("a_who >> 2").alias("a"), F.expr("b_who >> 2").alias("b"), times)
     return pairs.groupBy("a", "b", "l").agg(F.count("*").alias("c")).where("c >= l").select("a", "b")
 
 
