@@ -160,3 +160,33 @@ def test_both_sides_of_the_join_read_one_shuffle(spark):
     entry.collect()
     plan = entry._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan and "[meet#" in plan
+
+
+def test_only_frequent_keys_are_looked_at_before_the_join(spark):
+    rare = [" ".join(f"r{i}" for i in range(20)), " ".join([*(f"r{i}" for i in range(19)), "s"])]
+    group = [" ".join([*(f"g{i}" for i in range(20)), f"u{j}"]) for j in range(12)]
+    texts = [*rare, *group]
+    own = ld._documents(documents(spark, texts), "doc_id", "text")
+    classes = ld._classes(ld._keyed(ld._lines(own), ld._levels(own))).cache()
+    doc = {r["cid"]: r["__id"] for r in classes.collect()}
+    assert {doc[r["b"]] for r in ld._near_predecessors(classes).collect()} == set(range(3, 14))
+    assert report(spark, texts) == brute(texts)
+
+
+def test_summaries_are_parities_of_the_keys(spark):
+    own = ld._documents(documents(spark, ["a b\tc d e", "f g", "A\x0bh\ri\x0cj k l m n o p"]), "doc_id", "text")
+    keyed = ld._keyed(ld._lines(own), ld._levels(own))
+    want = set()
+    for r in keyed.collect():
+        p = [0, 0]
+        for k in r["keys"]:
+            p[k >> 6 & 1] ^= 1 << (k & 63)
+        want.add((r["__id"], *p))
+    got = {(r["__id"], *(r[c] & (2**64 - 1) for c in ("p0", "p1"))) for r in ld._classes(keyed).collect()}
+    assert got == want and len(got) == 3
+
+
+def test_separators_are_replaced_only_where_there_are_some(spark):
+    texts = ["A b", "A\tb\x0bc\x0cd\re\nf", "Ä B", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(ld._spaced("t").alias("s")).collect()
+    assert [r["s"] for r in rows] == ["a b", "a b c d e\nf", "ä b", None]

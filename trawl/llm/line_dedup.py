@@ -27,8 +27,9 @@ Method (prefix filtering with positional and length filters):
 
 A group of many near copies shares its prefix keys, so all its pairs would meet.
 As a line needs one earlier match only, step 3 first looks at the closest of a
-few predecessors of each class under its rarest keys; classes matched there are
-settled. Only the others are joined, as the later line, with all classes, which
+few predecessors of each class under its rarest keys among those that are much
+more frequent than the mean counter, as the keys of a large group are; classes
+matched there are settled. Only the others are joined, as the later line, with all classes, which
 loses nothing and is small for copies. Postings are short rows keyed by words
 that are rare, and skewed keys of the join are split by adaptive execution.
 
@@ -49,7 +50,8 @@ alike (neither is later); an empty table gives no rows; extra columns are kept.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,15 +62,17 @@ COUNTER_BITS = 20
 # The table of levels is put together from so many parts.
 TABLE_PARTS = 1024
 SIEVE_BITS = 22
-# Predecessors looked at under so many of a class's rarest keys.
+# Predecessors looked at under so many of a class's rarest frequent keys.
 LOOK_KEYS = 6
 LOOK_BACK = 8
+# A key is frequent from so many levels above the mean counter's on: two levels are twice as many occurrences.
+FREQUENT = 6
 # A line must share one prefix key more for each so many keys.
 KEYS_PER_MEETING = 128
 
 _WORDED = "[^\\x20\\x09-\\x0D]"
 # Word separators other than space; LF cuts lines before.
-_SEPARATORS = "[\\x09\\x0B-\\x0D]"
+_SEPARATORS = "\t\x0b\x0c\r"
 _PLACE = ["__id", "__key", "line_no"]
 # J >= 4/5 of sets of n and m keys that share o: o / (n + m - o) >= 4/5.
 _ENOUGH = "9 * {o} >= 4 * ({n} + {m})"
@@ -81,13 +85,20 @@ def _documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``(place, line)`` of every line that has words: lower-cased, words set apart by spaces."""
-    at = docs.select("__id", "__key", F.posexplode(F.split(_spaced("__text"), "\n", -1)).alias("line_no", "line"))
-    return at.where(F.col("line").rlike(_WORDED))
+    return _cut(docs, _spaced("__text")).where(F.trim("line") != "")
+
+
+def _cut(docs: DataFrame, text: Column) -> DataFrame:
+    return docs.select("__id", "__key", F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
 
 
 def _spaced(text: str) -> Column:
-    """Lower case, with a space for every separator but LF: a split at one character needs no regular expression."""
-    return F.regexp_replace(F.lower(text), _SEPARATORS, " ")
+    """Lower case, with a space for every separator but LF: a split at one character needs no regular expression.
+
+    Most texts have no other separator; looking for each of the four is much cheaper than the expression.
+    """
+    found = reduce(Column.__or__, [F.contains(F.col(text), F.lit(c)) for c in _SEPARATORS])
+    return F.when(found, F.regexp_replace(F.lower(text), f"[{_SEPARATORS}]", " ")).otherwise(F.lower(text))
 
 
 def _words(line: Column) -> Column:
@@ -127,7 +138,11 @@ def _keyed(lines: DataFrame, levels: DataFrame) -> DataFrame:
         return F.shiftleft(level, 58).bitwiseOR(h.bitwiseAND(F.lit((1 << 58) - 1)))
 
     keys = F.sort_array(F.transform(_hashes(F.col("line")), key))
-    return lines.withColumn("__levels", table).select(*_PLACE, keys.alias("keys"))
+    # the key from which on words are frequent: every level is at least one step of 58 bits
+    total = F.aggregate("levels", F.lit(0).cast("bigint"), lambda t, v: t + v)
+    frequent = F.least(F.floor(total / F.size("levels")) + FREQUENT, F.lit(63)).cast("bigint")
+    least = levels.select(F.shiftleft(frequent - 32, 58)).scalar()
+    return lines.withColumn("__levels", table).select(*_PLACE, keys.alias("keys"), least.alias("frequent"))
 
 
 def _shared(n: str) -> str:
@@ -140,13 +155,11 @@ def _prefix_size() -> Column:
     return F.expr(f"CAST(least(n, n - (4 * n + 4) div 5 + {_shared('n')}) AS INT)")
 
 
-def _parity(bit: int) -> Column:
-    """Parity, in 64 places, of the keys with the given bit 6."""
-    one = F.lit(1).cast("bigint")
+def _parity(places: Callable[[Column], Column]) -> Column:
+    """Parity, in 64 places, of the keys: each flips its place if ``places`` of it is 1."""
 
     def flip(p: Column, k: Column) -> Column:
-        mine = F.shiftright(k, 6).bitwiseAND(one).bitwiseXOR(F.lit(1 - bit).cast("bigint"))
-        return p.bitwiseXOR(F.call_function("shiftleft", mine, k.bitwiseAND(F.lit(63)).cast("int")))
+        return p.bitwiseXOR(F.call_function("shiftleft", places(k), k.bitwiseAND(F.lit(63).cast("bigint")).cast("int")))
 
     return F.aggregate("keys", F.lit(0).cast("bigint"), flip)
 
@@ -155,34 +168,36 @@ def _classes(keyed: DataFrame) -> DataFrame:
     """One row for each distinct set: its first line's place, size, short prefix keys and summary (``p0``, ``p1``).
 
     Prefix keys are cut to 32 bits here, which can only add candidates; words
-    found once in the corpus are nulls. ``cid`` is in the order of the places.
+    found once in the corpus are nulls, the first ``rare`` are not frequent.
+    ``p0`` is of the keys whose bit 6 is 0, ``p1`` of the others. ``cid`` is in
+    the order of the places.
     """
-    once = F.lit(-31).cast("bigint") * (1 << 58)  # keys of level 0 are below
-    sets = keyed.withColumn("n", F.size("keys")).select(
+    once = F.lit(-31 * (1 << 58)).cast("bigint")  # keys of level 0 are below
+    one = F.lit(1).cast("bigint")
+    summed = keyed.withColumns({"n": F.size("keys"), "all": _parity(lambda k: one), "p1": _parity(lambda k: F.shiftright(k, 6).bitwiseAND(one))})
+    first_keys = F.slice("keys", 1, _prefix_size())
+    sets = summed.select(
         F.xxhash64("keys").alias("s1"),
         F.xxhash64(F.lit(1), F.col("keys")).alias("s2"),
         F.struct("__id", "line_no", "__key").alias("place"),
         "n",
-        F.transform(F.slice("keys", 1, _prefix_size()), lambda k: F.when(k >= once, F.hash(k))).alias("prefix"),
-        _parity(0).alias("p0"),
-        _parity(1).alias("p1"),
+        F.transform(first_keys, lambda k: F.when(k >= once, F.hash(k))).alias("prefix"),
+        F.size(F.filter(first_keys, lambda k: k < F.col("frequent"))).alias("rare"),
+        F.col("all").bitwiseXOR(F.col("p1")).alias("p0"),
+        "p1",
     )
-    same = [F.any_value(c).alias(c) for c in ("n", "prefix", "p0", "p1")]
-    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("place"), *same).select("place.*", "n", "prefix", "p0", "p1")
+    own = ("n", "prefix", "rare", "p0", "p1")
+    same = [F.any_value(c).alias(c) for c in own]
+    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("place"), *same).select("place.*", *own)
     # places are tied only under repeated ids
     ordered = first.orderBy("__id", "line_no", "p0", "p1")
     return ordered.select(F.monotonically_increasing_id().alias("cid"), "*")
 
 
-def _postings(classes: DataFrame, keys: int | None = None, more: Sequence[str] = ()) -> DataFrame:
+def _postings(classes: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Prefix keys of the classes that can have a partner: of different sets, one of 4 and one of 5 keys are the first."""
-    classes = classes.where("n >= 4")
-    entries = F.filter(
-        F.transform("prefix", lambda k, i: F.struct(i.alias("pos"), k.alias("key"))), lambda e: e["key"].isNotNull()
-    )
-    if keys:
-        entries = F.slice(entries, 1, keys)
-    return classes.select(F.inline(entries), "cid", "n", "p0", "p1", *more)
+    every = classes.where("n >= 4").select(F.posexplode("prefix").alias("pos", "key"), "cid", "n", "p0", "p1", *more)
+    return every.where("key IS NOT NULL")
 
 
 def _apart(a: str, b: str) -> str:
@@ -204,8 +219,8 @@ def _possible(a: str, b: str) -> Column:
 
 
 def _near_predecessors(classes: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)``: for each class ``b`` the closest of the last few before it under its rarest keys."""
-    posting = _postings(classes, LOOK_KEYS)
+    """Candidate pairs ``(a, b)``: for each class ``b`` the closest of the last few before it under its rarest frequent keys."""
+    posting = _postings(classes.where("size(prefix) > rare"), ["rare"]).where(f"pos BETWEEN rare AND rare + {LOOK_KEYS - 1}")
     order = Window.partitionBy("key").orderBy("cid")
     fields = ("cid", "n", "pos", "p0", "p1")
     before = posting.withColumn("before", F.array(*[F.lag(F.struct(*fields), i).over(order) for i in range(1, LOOK_BACK + 1)]))
@@ -225,7 +240,7 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     five longs: ``meet`` is the key and its band, ``who`` the class with two
     flags (visitor, settled) and ``size`` its ``n`` and the key's position.
     """
-    marked = classes.select("cid", "n", "prefix", "p0", "p1").join(
+    marked = classes.where("n >= 4").select("cid", "n", "prefix", "p0", "p1").join(
         settled.select(F.col("b").alias("cid"), F.lit(1).cast("bigint").alias("settled")), "cid", "left"
     )
     n = F.col("n").cast("bigint")
@@ -234,8 +249,8 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     home, visit = F.struct(bits.alias("band"), who.alias("who")), F.struct((bits + 1).alias("band"), (who + 2).alias("who"))
     near_next = 5 * n >= 4 * F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
     places = F.when(near_next, F.array(home, visit)).otherwise(F.array(home))
-    entries = _postings(marked.withColumn("places", places), more=["places"]).select("key", "pos", "n", "p0", "p1", F.inline("places"))
-    posting = entries.select(
+    placed = marked.select("cid", "n", "prefix", "p0", "p1", F.inline(places))
+    posting = _postings(placed, ["band", "who"]).select(
         (F.shiftleft(F.col("key").cast("bigint"), 6) + F.col("band")).alias("meet"),
         "who",
         (F.shiftleft(n, 32) + F.col("pos")).alias("size"),
@@ -272,20 +287,20 @@ def _bit_of(h: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """``b`` of the pairs whose full sets have a Jaccard similarity of 4/5 or more."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``b`` of the pairs whose full sets have a Jaccard similarity of 4/5 or more; only their lines are lower-cased again."""
     needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
     places = materialize(classes.select("cid", *_PLACE).join(needed, "cid"), "candidate-lines")
     sieve = materialize(_sieve(places), "sieve")
     h = F.xxhash64(*_PLACE)
     word = F.get(F.col("__words"), F.pmod(h, F.lit(1 << (SIEVE_BITS - 6))).cast("int"))
-    passed = lines.withColumn("__words", sieve.scalar()).where(word.bitwiseAND(_bit_of(h)) != 0).drop("__words")
+    passed = _cut(docs, F.col("__text")).withColumn("__words", sieve.scalar()).where(word.bitwiseAND(_bit_of(h)) != 0).drop("__words")
     here = passed.alias("l").join(
         places.alias("p"),
         F.col("l.__id").eqNullSafe(F.col("p.__id")) & (F.col("l.__key") == F.col("p.__key")) & (F.col("l.line_no") == F.col("p.line_no")),
     )
     # rows alike in id and text give the same line more than once
-    sets = here.groupBy("cid").agg(F.any_value("line").alias("line"))
+    sets = here.groupBy("cid").agg(F.any_value("line").alias("line")).select("cid", _spaced("line").alias("line"))
     a = sets.select(F.col("cid").alias("a"), F.col("line").alias("x"))
     b = sets.select(F.col("cid").alias("b"), F.col("line").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("b", _hashes(F.col("x")).alias("x"), _hashes(F.col("y")).alias("y"))
@@ -296,13 +311,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFra
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(__id, __key, kept)``: for every document with words left, the numbers of the lines with words that stay."""
     own = _documents(docs, id_col, text)
-    lines = _lines(own)
     levels = materialize(_levels(own), "levels")
-    classes = materialize(_classes(_keyed(lines, levels)), "classes")
+    classes = materialize(_classes(_keyed(_lines(own), levels)), "classes")
     near = materialize(_near_predecessors(classes), "near-pairs")
-    settled = materialize(_verified(near, classes, lines), "settled")
+    settled = materialize(_verified(near, classes, own), "settled")
     pairs = materialize(_joined_pairs(classes, settled), "pairs")
-    matched = _verified(pairs, classes, lines)
+    matched = _verified(pairs, classes, own)
     gone = materialize(settled.union(matched).distinct(), "gone")
     left = classes.join(gone, classes["cid"] == gone["b"], "left_anti")
     return left.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
