@@ -190,3 +190,52 @@ def test_separators_are_replaced_only_where_there_are_some(spark):
     texts = ["A b", "A\tb\x0bc\x0cd\re\nf", "Ä B", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(ld._spaced("t").alias("s")).collect()
     assert [r["s"] for r in rows] == ["a b", "a b c d e\nf", "ä b", None]
+
+
+def test_pairs_of_every_size_meet_on_the_smaller_ones_short_prefix(spark):
+    """One frequent word order, so that prefixes decide; sizes on both sides of the bands' borders, in both orders."""
+    rng = random.Random(9)
+    texts = []
+    for n in [*range(4, 36), 61, 64, 77, 80, 81, 100, 127, 128, 160]:
+        base = [f"b{n}x{i}" for i in range(n)]
+        longest = base + [f"e{n}x{i}" for i in range(n // 4)]
+        for line in (base, longest, longest[:-1], rng.sample(base, n - n // 9)):
+            texts.append(" ".join(rng.sample(line, len(line))))
+    rng.shuffle(texts)
+    want = brute(texts)
+    assert report(spark, texts) == want and sum(map(len, want)) > 100
+
+
+def test_a_visitor_has_its_short_prefix_only(spark):
+    a, b = [f"a{i}" for i in range(15)], [f"a{i}" for i in range(17)]
+    own = ld._documents(documents(spark, [" ".join(a), " ".join(b)]), "doc_id", "text")
+    classes = ld.materialize(ld._classes(ld._keyed(ld._lines(own), ld._levels(own))), "classes")
+    pairs = ld._joined_pairs(classes, spark.createDataFrame([], "b bigint"))
+    assert pairs.count() == 1
+    short = classes.select("n", F.size("prefix").alias("full"), ld._smaller_prefix_size().alias("short"))
+    assert sorted(map(tuple, short.collect())) == [(15, 4, 2), (17, 4, 2)]
+    # the word shared by both in the prefix of one only, past the short prefix of the smaller: no meeting is needed there
+    assert report(spark, [" ".join(a), " ".join(b)]) == [[], [0]]
+
+
+def test_a_sieve_parts_rows_without_losing_any(spark):
+    rows = spark.range(5000).select(F.col("id").alias("cid"))
+    some = rows.where("cid % 50 = 0")
+    perhaps, others = ld._sifted(rows, some, "sieve", "cid")
+    p, o = {r["cid"] for r in perhaps.collect()}, {r["cid"] for r in others.collect()}
+    assert not p & o and p | o == set(range(5000)) and p >= set(range(0, 5000, 50)) and len(p) < 200
+    perhaps, others = ld._sifted(rows, some.limit(0), "sieve", "cid")
+    assert perhaps.count() == 0 and others.count() == 5000
+
+
+def test_classes_are_not_shuffled_for_the_few_settled_ones(spark):
+    own = ld._documents(documents(spark, ["a b c d e f g h i j", "a b c d e f g h i k", "x"]), "doc_id", "text")
+    classes = ld.materialize(ld._classes(ld._keyed(ld._lines(own), ld._levels(own))), "classes")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = ld._joined_pairs(classes, spark.createDataFrame([(10**9,)], "b bigint"))
+        assert pairs.count() == 1
+        assert "Union" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)

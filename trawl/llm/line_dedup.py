@@ -17,7 +17,8 @@ Method (prefix filtering with positional and length filters):
 3. Two sets of ``n`` and ``m`` keys at 4/5 or more share ``l`` of the first
    ``n - ceil(4n/5) + l`` keys of each, for any ``l`` up to their overlap; long
    lines use a larger ``l``, as they often share one rare word by chance.
-   Classes of similar size meet on these prefix keys, and a meeting stays if their sizes (length
+   The smaller set needs only the first ``n - ceil(8n/9) + l`` of its keys, as the overlap is at least
+   ``ceil(8n/9)`` of them. Classes of similar size meet on these prefix keys, and a meeting stays if their sizes (length
    filter), the positions of the shared key (positional filter) and the
    differing bits of their 128-bit parity summaries (each needs a word that only
    one line has) allow the similarity. A word whose counter says 1 is in no other
@@ -35,7 +36,9 @@ that are rare, and skewed keys of the join are split by adaptive execution.
 
 The full sets are needed only for candidates: their lines are read again from
 the texts through a sieve of ``2 ** SIEVE_BITS`` bits, which lets all candidates
-and few others pass, before anything is shuffled.
+and few others pass, before anything is shuffled. Classes go through such
+sieves before they are joined with settled, candidate or matched ones; what a
+sieve lets pass by chance is joined exactly.
 
 Hash width: two different words of one level are taken for one key only if 58
 bits of their hashes are equal, two different sets for one class only if 128
@@ -130,12 +133,17 @@ def _levels(docs: DataFrame) -> DataFrame:
 
 def _keyed(lines: DataFrame, levels: DataFrame) -> DataFrame:
     """Lines with ``keys``: sorted, rarest first; a key is its word's level, then 58 bits of its hash."""
-    table = levels.select("levels").scalar()
+
+    def change(level: Column, counter: Column) -> Column:
+        """What turns the first six bits of a hash, those of its counter too, into the level; keys are signed."""
+        return F.shiftleft((level.cast("bigint") - 32).bitwiseXOR(F.shiftright(counter, COUNTER_BITS - 6).cast("bigint")), 58)
+
+    # put together once for a counter, not once for a word, as lambdas are interpreted
+    table = levels.select(F.transform("levels", change)).scalar()
 
     def key(h: Column) -> Column:
         # never null, so that the keys are sorted as plain longs
-        level = F.coalesce(F.get(F.col("__levels"), _counter(h)), F.lit(0).cast("byte")).cast("bigint") - 32  # keys are signed
-        return F.shiftleft(level, 58).bitwiseOR(h.bitwiseAND(F.lit((1 << 58) - 1)))
+        return h.bitwiseXOR(F.coalesce(F.get(F.col("__levels"), _counter(h)), F.lit(0).cast("bigint")))
 
     keys = F.sort_array(F.transform(_hashes(F.col("line")), key))
     # the key from which on words are frequent: every level is at least one step of 58 bits
@@ -155,6 +163,11 @@ def _prefix_size() -> Column:
     return F.expr(f"CAST(least(n, n - (4 * n + 4) div 5 + {_shared('n')}) AS INT)")
 
 
+def _smaller_prefix_size() -> Column:
+    """The same for the smaller set of a pair: the overlap is at least ``ceil(8n/9)``, as the other has no fewer keys."""
+    return F.expr(f"CAST(least(n, n - (8 * n + 8) div 9 + {_shared('n')}) AS INT)")
+
+
 def _parity(places: Callable[[Column], Column]) -> Column:
     """Parity, in 64 places, of the keys: each flips its place if ``places`` of it is 1."""
 
@@ -233,26 +246,32 @@ def _near_predecessors(classes: DataFrame) -> DataFrame:
 def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     """Candidate pairs ``(a, b)``, ``a`` the earlier, of all classes with each unsettled one.
 
-    Classes meet within bands of sizes (by the bits of ``n``), so that a long
-    line's prefix doesn't meet short ones; a class that may have a partner in
-    the next band is there too, as a visitor, and visitors don't meet each
-    other. Both sides of the join read one shuffle of postings, each a row of
-    five longs: ``meet`` is the key and its band, ``who`` the class with two
-    flags (visitor, settled) and ``size`` its ``n`` and the key's position.
+    Each pair meets on the short prefix of its smaller class (of two alike in
+    size, the earlier) and the full prefix of the larger one. Classes meet
+    within bands of sizes (by the bits of ``n``), so that a long line's prefix
+    doesn't meet short ones; a class that may have a larger partner in the next
+    band is there too, as a visitor, with its short prefix. Both sides of the
+    join read one shuffle of postings, each a row of five longs: ``meet`` is the
+    key and its band, ``who`` the class with three flags (in the short prefix,
+    visitor, settled) and ``size`` its ``n`` and the key's position.
     """
-    marked = classes.where("n >= 4").select("cid", "n", "prefix", "p0", "p1").join(
-        settled.select(F.col("b").alias("cid"), F.lit(1).cast("bigint").alias("settled")), "cid", "left"
-    )
+    some = settled.select(F.col("b").alias("cid"), F.lit(1).cast("bigint").alias("settled"))
+    perhaps, others = _sifted(classes.where("n >= 4").select("cid", "n", "prefix", "p0", "p1"), some, "settled-sieve", "cid")
+    # a table, so that both sides of the join have the same plan whatever size it is
+    looked = materialize(perhaps.join(some, "cid", "left"), "settled-classes")
+    marked = looked.unionByName(others.withColumn("settled", F.lit(None).cast("bigint")))
     n = F.col("n").cast("bigint")
     bits = F.length(F.bin("n"))
-    who = 4 * F.col("cid") + F.coalesce("settled", F.lit(0).cast("bigint"))
-    home, visit = F.struct(bits.alias("band"), who.alias("who")), F.struct((bits + 1).alias("band"), (who + 2).alias("who"))
+    who = 8 * F.col("cid") + F.coalesce("settled", F.lit(0).cast("bigint"))
+    short = _smaller_prefix_size()
+    home = F.struct(bits.alias("band"), who.alias("who"), F.col("prefix"))
+    visit = F.struct((bits + 1).alias("band"), (who + 2).alias("who"), F.slice("prefix", 1, short).alias("prefix"))
     near_next = 5 * n >= 4 * F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
     places = F.when(near_next, F.array(home, visit)).otherwise(F.array(home))
-    placed = marked.select("cid", "n", "prefix", "p0", "p1", F.inline(places))
+    placed = marked.select("cid", "n", "p0", "p1", F.inline(places))
     posting = _postings(placed, ["band", "who"]).select(
         (F.shiftleft(F.col("key").cast("bigint"), 6) + F.col("band")).alias("meet"),
-        "who",
+        (F.col("who") + F.when(F.col("pos") < short, 4).otherwise(0)).alias("who"),
         (F.shiftleft(n, 32) + F.col("pos")).alias("size"),
         "p0",
         "p1",
@@ -261,28 +280,40 @@ def _joined_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
         return posting.select("meet", *[F.col(c).alias(f"{name}_{c}") for c in ("who", "size", "p0", "p1")])
 
-    # a class meets itself where two of its keys are cut to one: cids are compared, not flags; that b is unsettled and
-    # not both are visitors is one condition on both, as one on b alone would be filtered before the shuffle they share
-    order = "(a_who >> 2) < (b_who >> 2) AND (b_who & ((a_who & 2) | 1)) = 0"
-    parts = {f"{x}_{c}": e for x in "ab" for c, e in (("n", f"({x}_size >> 32)"), ("pos", f"({x}_size & 4294967295)"))}
-    met = side("a").join(side("b"), "meet").where(order).withColumns({c: F.expr(e) for c, e in parts.items()}).where(_possible("a_", "b_"))
-    times = F.expr(f"least({_shared('a_n')}, {_shared('b_n')})").alias("l")
-    pairs = met.select(F.expr("a_who >> 2").alias("a"), F.expr("b_who >> 2").alias("b"), times)
+    # s is the smaller class. That its key is in the short prefix and t is no visitor is one condition on both, as one on
+    # either alone would be filtered before the shuffle they share; a class doesn't meet itself, where two of its keys are
+    # cut to one; the later of both is unsettled
+    s_n, t_n, s, t = "(s_size >> 32)", "(t_size >> 32)", "(s_who >> 3)", "(t_who >> 3)"
+    order = f"(s_who & 4) - (t_who & 2) = 4 AND ({s_n} < {t_n} OR {s_n} = {t_n} AND {s} < {t}) AND if({s} < {t}, t_who, s_who) & 1 = 0"
+    parts = {f"{x}_{c}": e for x in "st" for c, e in (("n", f"({x}_size >> 32)"), ("pos", f"({x}_size & 4294967295)"))}
+    met = side("s").hint("merge").join(side("t"), "meet").where(order).withColumns({c: F.expr(e) for c, e in parts.items()}).where(_possible("s_", "t_"))
+    times = F.expr(f"least({_shared('s_n')}, {_shared('t_n')})").alias("l")
+    pairs = met.select(F.expr(f"least({s}, {t})").alias("a"), F.expr(f"greatest({s}, {t})").alias("b"), times)
     return pairs.groupBy("a", "b", "l").agg(F.count("*").alias("c")).where("c >= l").select("a", "b")
 
 
-def _sieve(places: DataFrame) -> DataFrame:
-    """One row ``words``: ``2 ** SIEVE_BITS`` bits, set where a place's hash points."""
+def _sieve(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row ``words``: ``2 ** SIEVE_BITS`` bits, set where a hash of ``cols`` points."""
     n_words = 1 << (SIEVE_BITS - 6)
-    h = F.xxhash64(*_PLACE)
-    some = places.groupBy(F.pmod(h, F.lit(n_words)).cast("int").alias("w")).agg(F.bit_or(_bit_of(h)).alias("bits"))
-    every = places.sparkSession.range(n_words).select(F.col("id").cast("int").alias("w"))
+    h = F.xxhash64(*cols)
+    some = rows.groupBy(F.pmod(h, F.lit(n_words)).cast("int").alias("w")).agg(F.bit_or(_bit_of(h)).alias("bits"))
+    every = rows.sparkSession.range(n_words).select(F.col("id").cast("int").alias("w"))
     one = every.join(some, "w", "left").agg(
         F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))).alias("x")
     )
     return one.select(F.transform("x", lambda x: x["bits"]).alias("words"))
 
 
+def _sifted(df: DataFrame, rows: DataFrame, name: str, *cols: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two, without a shuffle: what may have ``cols`` alike with a row of ``rows``, and what surely has not."""
+    sieve = materialize(_sieve(rows, cols), name)
+    h = F.xxhash64(*cols)
+    word = F.get(F.col("__words"), F.pmod(h, F.lit(1 << (SIEVE_BITS - 6))).cast("int"))
+    hit = word.bitwiseAND(_bit_of(h)) != 0
+    with_words = df.withColumn("__words", sieve.scalar())
+    return with_words.where(hit).drop("__words"), with_words.where(~hit).drop("__words")
+
+
 def _bit_of(h: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))
 
@@ -290,20 +321,20 @@ def _bit_of(h: Column) -> Column:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``b`` of the pairs whose full sets have a Jaccard similarity of 4/5 or more; only their lines are lower-cased again."""
     needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
-    places = materialize(classes.select("cid", *_PLACE).join(needed, "cid"), "candidate-lines")
-    sieve = materialize(_sieve(places), "sieve")
-    h = F.xxhash64(*_PLACE)
-    word = F.get(F.col("__words"), F.pmod(h, F.lit(1 << (SIEVE_BITS - 6))).cast("int"))
-    passed = _cut(docs, F.col("__text")).withColumn("__words", sieve.scalar()).where(word.bitwiseAND(_bit_of(h)) != 0).drop("__words")
+    perhaps, _ = _sifted(classes.select("cid", *_PLACE), needed, "candidate-sieve", "cid")
+    places = materialize(perhaps.join(needed, "cid"), "candidate-lines")
+    passed, _ = _sifted(_cut(docs, F.col("__text")), places, "line-sieve", *_PLACE)
     here = passed.alias("l").join(
         places.alias("p"),
         F.col("l.__id").eqNullSafe(F.col("p.__id")) & (F.col("l.__key") == F.col("p.__key")) & (F.col("l.line_no") == F.col("p.line_no")),
     )
     # rows alike in id and text give the same line more than once
-    sets = here.groupBy("cid").agg(F.any_value("line").alias("line")).select("cid", _spaced("line").alias("line"))
-    a = sets.select(F.col("cid").alias("a"), F.col("line").alias("x"))
-    b = sets.select(F.col("cid").alias("b"), F.col("line").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").select("b", _hashes(F.col("x")).alias("x"), _hashes(F.col("y")).alias("y"))
+    found = here.groupBy("cid").agg(F.any_value("line").alias("line")).select("cid", _spaced("line").alias("line"))
+    # hashed once for a class, not once for a pair
+    sets = materialize(found.select("cid", _hashes(F.col("line")).alias("words")), "candidate-sets")
+    a = sets.select(F.col("cid").alias("a"), F.col("words").alias("x"))
+    b = sets.select(F.col("cid").alias("b"), F.col("words").alias("y"))
+    both = pairs.join(a, "a").join(b, "b")
     sized = both.select("b", F.size(F.array_intersect("x", "y")).alias("o"), F.size("x").alias("n"), F.size("y").alias("m"))
     return sized.where(_ENOUGH.format(o="o", n="n", m="m")).select("b").distinct()
 
@@ -318,7 +349,8 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     pairs = materialize(_joined_pairs(classes, settled), "pairs")
     matched = _verified(pairs, classes, own)
     gone = materialize(settled.union(matched).distinct(), "gone")
-    left = classes.join(gone, classes["cid"] == gone["b"], "left_anti")
+    perhaps, others = _sifted(classes.select("cid", *_PLACE), gone.select(F.col("b").alias("cid")), "gone-sieve", "cid")
+    left = others.union(perhaps.join(gone, perhaps["cid"] == gone["b"], "left_anti"))
     return left.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 
@@ -326,16 +358,15 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """``(id_col, n_lines, n_removed, removed_lines)`` for every row of ``docs``; line numbers from 0, comma-joined."""
     kept = kept_lines(docs, id_col, text)
     each = F.split(F.coalesce("__text", F.lit("")), "\n", -1)
-    numbered = F.filter(
-        F.transform(each, lambda line, i: F.when(line.rlike(_WORDED), i)), lambda i: i.isNotNull()
-    )
-    rows = _documents(docs, id_col, text).select("__id", "__key", F.size(each).alias("lines"), numbered.alias("worded"))
+    # texts are split once: an entry for every line, null for blank ones
+    numbered = F.transform(each, lambda line, i: F.when(line.rlike(_WORDED), i))
+    rows = _documents(docs, id_col, text).select("__id", "__key", numbered.alias("numbered"))
     same = F.col("d.__id").eqNullSafe(F.col("k.__id")) & (F.col("d.__key") == F.col("k.__key"))
     found = rows.alias("d").join(kept.alias("k"), same, "left")
-    removed = F.array_except("worded", F.coalesce("kept", F.array().cast("array<int>")))
+    removed = F.array_except(F.array_compact("numbered"), F.coalesce("kept", F.array().cast("array<int>")))
     return found.select(
         F.col("d.__id").alias(id_col),
-        F.col("lines").cast("bigint").alias("n_lines"),
+        F.size("numbered").cast("bigint").alias("n_lines"),
         F.size(removed).cast("bigint").alias("n_removed"),
         F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"),
     )
