@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from trawl.operators import indexing as ix
 from trawl.operators.sequence import number_rows
+from trawl.sources import index_store as st
 
 
 def test_first_and_last_wins(spark):
@@ -134,3 +135,19 @@ def test_a_term_is_in_few_files_of_its_bucket(spark, tmp_path):
                     assert x.b <= y.a or y.b <= x.a
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_an_appended_part_is_a_row_a_document(spark, tmp_path):
+    """Postings of a part are unfolded when they are read; parts with tf of their own stay as they are."""
+    path, schema = str(tmp_path / "index"), "url STRING, text STRING"
+    st.write_index(ix.build_text_index(spark.createDataFrame([("a", "x y"), ("b", "x")], schema)), path, buckets=2)
+    st.append_index(ix.build_text_index(spark.createDataFrame([("a", "x x z"), ("c", ""), (None, "z")], schema)), path)
+    assert spark.read.parquet(f"{path}/_parts").count() == 3
+    nested = spark.createDataFrame([({"y": {"b": 0.75}, "q": {"d": 0.5}},)], "index MAP<STRING, MAP<STRING, DOUBLE>>")
+    empty = ix.build_text_index(spark.createDataFrame([], schema))
+    st.append_index(ix.import_index(empty, nested).resolved(), path)
+    st.append_index(empty, path)
+    index = st.open_index(spark, path).resolved()
+    assert {(r.url, r.word_count) for r in index.documents.collect()} == {("a", 2), ("b", 1), ("c", 0), (None, 1), ("d", 0)}
+    found = {(r.term, r.url): round(r.tf, 9) for r in index.postings.collect()}
+    assert found == {("x", "a"): round(2 / 3, 9), ("z", "a"): round(1 / 3, 9), ("y", "a"): 0.5, ("x", "b"): 1.0, ("z", None): 1.0, ("y", "b"): 0.75, ("q", "d"): 0.5}
